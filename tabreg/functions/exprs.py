@@ -126,3 +126,12 @@ def skew_type3(c: str | Column, n: Column | None = None) -> Column:
 def md5_order(seed, key: str | Column) -> Column:
     """Reproducible pseudo-random order of a key: md5 of ``seed|key``."""
     return F.md5(F.concat(F.lit(f"{seed}|"), col(key).cast("string")))
+
+
+def safe_corr(x: str | Column, y: str | Column) -> Column:
+    """Pearson correlation over the rows where both are present, NULL (not an ANSI
+    divide-by-zero error) when either side is constant there. An aggregate expression."""
+    xc, yc = col(x).cast("double"), col(y).cast("double")
+    sx = F.stddev_samp(F.when(yc.isNotNull(), xc))
+    sy = F.stddev_samp(F.when(xc.isNotNull(), yc))
+    return F.try_divide(F.covar_samp(xc, yc), sx * sy)

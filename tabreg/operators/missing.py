@@ -141,8 +141,8 @@ def impute_predictors(df: DataFrame, numeric_cols: Sequence[str], mincor: float
             if x == y:
                 continue
             keys.append((y, x))
-            aggs.append(F.corr(F.col(x), F.col(y)).alias(f"v|{y}|{x}"))
-            aggs.append(F.corr(F.col(x), F.col(y).isNull().cast("double")).alias(f"m|{y}|{x}"))
+            aggs.append(X.safe_corr(x, y).alias(f"v|{y}|{x}"))
+            aggs.append(X.safe_corr(F.col(x), F.col(y).isNull().cast("double")).alias(f"m|{y}|{x}"))
     if not aggs:
         spark = df.sparkSession
         return spark.createDataFrame([], "target string, predictor string, r_value double, "

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabreg.functions import exprs as X
 from tabreg.operators.profile import melt
 
 
@@ -30,7 +31,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "complete") ->
     for i, x in enumerate(cols):
         for y in cols[i:]:
             pairs.append((x, y))
-            aggs.append(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}|{y}"))
+            aggs.append(X.safe_corr(x, y).alias(f"{x}|{y}"))
     if nulls == "propagate":
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_n|{c}") for c in cols]
     wide = df.agg(*aggs)
@@ -51,7 +52,7 @@ def corr_screen(df: DataFrame, cols: Sequence[str], label: str, threshold: float
     """``(variable, r)`` for columns whose |corr with label| >= threshold, largest
     r first. One aggregate."""
     others = [c for c in cols if c != label]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in others])
+    wide = df.agg(*[X.safe_corr(c, label).alias(c) for c in others])
     long = wide.unpivot([], others, "variable", "r")
     return long.where(F.abs("r") >= threshold).orderBy(F.desc("r"))
 

@@ -75,13 +75,14 @@ def anova_oneway(df: DataFrame, label: str, factors: Sequence[str],
     ms_within, f)`` and optionally ``p`` (F upper tail, a pandas UDF on the k-row table)."""
     ls = level_stats(df, label, factors)
     g = ls.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"))
     j = ls.join(g, "variable")
-    out = j.groupBy("variable", "k", "n").agg(
+    out = j.groupBy("variable", "k", F.col("n_total").alias("n_all")).agg(
         F.sum(F.col("n") * F.pow(F.col("mean") - F.col("_grand"), 2)).alias("ss_between"),
         F.sum((F.col("n") - 1) * F.col("var")).alias("ss_within"))
-    out = (out.withColumn("df_between", (F.col("k") - 1).cast("long"))
+    out = (out.withColumnRenamed("n_all", "n")
+              .withColumn("df_between", (F.col("k") - 1).cast("long"))
               .withColumn("df_within", (F.col("n") - F.col("k")).cast("long"))
               .withColumn("ms_between", F.try_divide(F.col("ss_between"), F.col("df_between")))
               .withColumn("ms_within", F.try_divide(F.col("ss_within"), F.col("df_within")))

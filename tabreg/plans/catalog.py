@@ -1,4 +1,4 @@
 """The registered query catalogue (imports every catalogue module for its side effect)."""
 
-from tabreg.plans import q_clean, q_missing  # noqa: F401
+from tabreg.plans import q_clean, q_missing, q_profile, q_relate  # noqa: F401
 from tabreg.plans.registry import REGISTRY  # noqa: F401

@@ -53,7 +53,7 @@ def donor_draw(df: DataFrame, key: str, target: str, group_cols: Sequence[str] =
 
 def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
                    predictors: Mapping[str, Sequence[str]] | None = None, categorical: Sequence[str] = (),
-                   seed: int = 1970, min_node: int = 5, max_depth: int = 10, max_bins: int = 64,
+                   seed: int = 1970, min_node: int = 5, max_depth: int = 10, max_bins: int = 256,
                    sweeps: int = 1) -> DataFrame:
     """I6 + I7: returns ``df`` with every target completed and ``<target>_imputed`` flags
     (I9: the observed-vs-imputed review table is a filter on those flags).

@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from tabreg.operators.order import with_group_rank
 from tabreg.session import cut_lineage
 
+import os
+_TRACE = bool(os.environ.get("TABREG_TRACE"))
+
 
 def donor_draw(df: DataFrame, key: str, target: str, group_cols: Sequence[str] = (), seed: int = 1970,
                out: str | None = None) -> DataFrame:
@@ -66,10 +69,11 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
     flags = {t: F.col(t).isNull() for t in targets}
     cur = df.withColumns({f"_orig_{t}": F.col(t) for t in targets}) \
             .withColumns({f"{t}_imputed": v for t, v in flags.items()})
-    # initial fill: a draw from all observed values
-    for t in targets:
-        cur = donor_draw(cur.drop(f"{t}_imputed"), key, t, (), seed)
+    # initial fill: a draw from all observed values. ``donor_draw`` reads its input three
+    # times, so the plan is cut after every column (else it grows geometrically)
     cur = cut_lineage(cur)
+    for t in targets:
+        cur = cut_lineage(donor_draw(cur.drop(f"{t}_imputed"), key, t, (), seed))
     for _ in range(sweeps):
         for t in targets:
             feats = [c for c in predictors.get(t, predictors.get("*", [])) if c != t]
@@ -98,6 +102,8 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
             filled = filled.join(prev, key, "left").withColumn(t, F.coalesce(F.col(t), F.col("_prev"))) \
                            .withColumn(f"{t}_imputed", F.col(f"_orig_{t}").isNull()).drop("_prev")
             cur = cut_lineage(filled.select(*cur.columns))
+            if _TRACE:
+                print("imputed", t, flush=True)
     return cur.drop(*[f"_orig_{t}" for t in targets])
 
 

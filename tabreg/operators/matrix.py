@@ -341,3 +341,58 @@ class FittedRecipe:
         for s in self.steps:
             df = s.transform(df)
         return df
+
+
+# -- pairwise-complete moments (correlations with missing values) ---------------------------
+
+def pairwise_moments(df: DataFrame, cols: Sequence[str], indicators: Sequence[str] = ()) -> DataFrame:
+    """One pass: for every pair (i, j) of ``cols`` (plus 0/1 missing indicators of
+    ``indicators``, named ``<col>__isna``), the sums over rows where both are present:
+    ``n, sx, sy, sxx, syy, sxy``. Each task folds its rows with a few matrix products
+    (mask M, zero-filled values X0: n = M'M, sx = X0'M, sxx = (X0^2)'M, sxy = X0'X0),
+    emits one p x p block, and a ``groupBy`` sums the blocks. Returns long rows
+    ``(var_x, var_y, n, sx, sy, sxx, syy, sxy)``; only p^2 rows, whatever the row count.
+    """
+    cols = list(cols)
+    names = cols + [f"{c}__isna" for c in indicators]
+    exprs = [F.col(c).cast("double").alias(f"_p{k}") for k, c in enumerate(cols)]
+    exprs += [F.col(c).isNull().cast("double").alias(f"_p{len(cols) + k}") for k, c in enumerate(indicators)]
+    p = len(names)
+    sel = df.select(*exprs)
+    pc = [f"_p{k}" for k in range(p)]
+
+    def fold(batches):
+        acc = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = pdf[pc].to_numpy(dtype=float)
+            m = (~np.isnan(x)).astype(float)
+            x0 = np.nan_to_num(x)
+            blk = np.stack([m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0])
+            acc = blk if acc is None else acc + blk
+        if acc is not None:
+            ii, jj = np.meshgrid(np.arange(p), np.arange(p), indexing="ij")
+            yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
+                                "n": acc[0].ravel(), "sx": acc[1].ravel(), "sxx": acc[2].ravel(),
+                                "sxy": acc[3].ravel()})
+
+    blocks = sel.mapInPandas(fold, "i int, j int, n double, sx double, sxx double, sxy double")
+    s = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
+    # sums of y over the pair's rows are the transposed entries of sx / sxx
+    t = s.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    name_arr = F.array(*[F.lit(n) for n in names])
+    j = s.join(t, ["i", "j"])
+    return j.select(F.element_at(name_arr, F.col("i") + 1).alias("var_x"),
+                    F.element_at(name_arr, F.col("j") + 1).alias("var_y"),
+                    "n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def corr_from_moments(m: DataFrame) -> DataFrame:
+    """Pearson r per pair from ``pairwise_moments``; NULL when a side is constant."""
+    n = F.col("n")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    r = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    return m.select("var_x", "var_y", F.col("n").cast("long").alias("n"), r.alias("r"))

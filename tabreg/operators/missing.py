@@ -127,31 +127,25 @@ def impute_predictors(df: DataFrame, numeric_cols: Sequence[str], mincor: float
     correlation of ``x`` with ``y`` and with ``y``'s missing flag; ``x`` is a predictor of
     ``y`` when the larger absolute value exceeds ``mincor``.
 
-    Categorical columns enter through their rank code (the caller adds ``*_rank`` columns).
-    All ``corr`` aggregates run in one pass; the output has one row per (target, x).
-    Returns ``(target, predictor, r_value, r_missing, selected)``.
+    Categorical columns enter through their rank code (the caller adds rank columns).
+    One pass builds the pairwise-complete moment matrix of the columns and the targets'
+    missing flags (``matrix.pairwise_moments``), so the cost does not grow with the
+    number of (target, predictor) pairs. Returns
+    ``(target, predictor, r_value, r_missing, selected)``.
     """
+    from tabreg.operators.matrix import corr_from_moments, pairwise_moments
     cols = [c for c in numeric_cols if c not in exclude]
     miss = missing_counts_wide(df, cols).first()
     targets = [c for c in cols if miss[c] > 0]
-    aggs = []
-    keys = []
-    for y in targets:
-        for x in cols:
-            if x == y:
-                continue
-            keys.append((y, x))
-            aggs.append(X.safe_corr(x, y).alias(f"v|{y}|{x}"))
-            aggs.append(X.safe_corr(F.col(x), F.col(y).isNull().cast("double")).alias(f"m|{y}|{x}"))
-    if not aggs:
-        spark = df.sparkSession
-        return spark.createDataFrame([], "target string, predictor string, r_value double, "
-                                         "r_missing double, selected boolean")
-    wide = df.agg(*aggs)
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(y).alias("target"), F.lit(x).alias("predictor"),
-                 F.col(f"`v|{y}|{x}`").alias("r_value"), F.col(f"`m|{y}|{x}`").alias("r_missing"))
-        for y, x in keys]))
-    long = wide.select(pairs.alias("_p")).select("_p.*")
+    if not targets:
+        return df.sparkSession.createDataFrame([], "target string, predictor string, r_value double, "
+                                                   "r_missing double, selected boolean")
+    r = corr_from_moments(pairwise_moments(df, cols, targets)).cache()
+    val = r.where(F.col("var_y").isin(targets) & (F.col("var_x") != F.col("var_y"))) \
+           .select(F.col("var_y").alias("target"), F.col("var_x").alias("predictor"), F.col("r").alias("r_value"))
+    ind = r.where(F.col("var_y").isin([f"{t}__isna" for t in targets]) & F.col("var_x").isin(cols)) \
+           .select(F.regexp_replace("var_y", "__isna$", "").alias("target"), F.col("var_x").alias("predictor"),
+                   F.col("r").alias("r_missing"))
+    long = val.join(ind, ["target", "predictor"], "left").where(F.col("predictor").isin(cols))
     best = F.greatest(F.coalesce(F.abs("r_value"), F.lit(0.0)), F.coalesce(F.abs("r_missing"), F.lit(0.0)))
     return long.withColumn("selected", best > F.lit(mincor))

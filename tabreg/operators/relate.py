@@ -20,32 +20,22 @@ from tabreg.operators.profile import melt
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "complete") -> DataFrame:
-    """Long form ``(var_x, var_y, r)`` of all pairs of ``cols`` from one aggregate.
+    """Long form ``(var_x, var_y, r)`` of all pairs of ``cols`` from one pass.
 
-    ``nulls="complete"`` uses pairwise-complete rows (Spark's ``corr``);
-    ``nulls="propagate"`` gives NULL for any pair touching a column with a missing value.
+    ``nulls="complete"`` uses pairwise-complete rows; ``nulls="propagate"`` gives NULL for
+    any pair touching a column with a missing value (as a plain ``cor`` does). The
+    pass builds the pairwise-complete moment matrix with a few matrix products per task,
+    so p columns cost p^2 numbers, not p^2 aggregate expressions.
     """
+    from tabreg.operators.matrix import corr_from_moments, pairwise_moments
     cols = list(cols)
-    aggs = []
-    pairs = []
-    for i, x in enumerate(cols):
-        for y in cols[i:]:
-            pairs.append((x, y))
-            aggs.append(X.safe_corr(x, y).alias(f"{x}|{y}"))
+    r = corr_from_moments(pairwise_moments(df, cols))
+    r = r.withColumn("r", F.when(F.col("var_x") == F.col("var_y"), F.lit(1.0)).otherwise(F.col("r")))
     if nulls == "propagate":
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n|{c}") for c in cols]
-    wide = df.agg(*aggs)
-    recs = []
-    for x, y in pairs:
-        r = F.col(f"`{x}|{y}`")
-        if x == y:
-            r = F.when(r.isNotNull() | F.lit(True), F.lit(1.0))
-        if nulls == "propagate":
-            r = F.when((F.col(f"`_n|{x}`") == 0) & (F.col(f"`_n|{y}`") == 0), r)
-        recs.append(F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"), r.alias("r")))
-        if x != y:
-            recs.append(F.struct(F.lit(y).alias("var_x"), F.lit(x).alias("var_y"), r.alias("r")))
-    return wide.select(F.explode(F.array(*recs)).alias("_c")).select("_c.*")
+        counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
+        complete = [c for c in cols if counts[c] == counts["_n"]]
+        r = r.withColumn("r", F.when(F.col("var_x").isin(complete) & F.col("var_y").isin(complete), F.col("r")))
+    return r.select("var_x", "var_y", "r")
 
 
 def corr_screen(df: DataFrame, cols: Sequence[str], label: str, threshold: float = 0.5) -> DataFrame:

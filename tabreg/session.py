@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor re-reads the files instead of recomputing the
+    plan; never a local checkpoint) and, unlike ``Dataset.checkpoint``, gives the planner
+    the real file size: a checkpointed relation keeps the size estimate of the plan it
+    replaced, and join estimates are products of their inputs, so in an iterative job
+    the estimates compound until planning itself stalls.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tabreg-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

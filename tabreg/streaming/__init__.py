@@ -1,0 +1 @@
+"""Streaming: scoring a stream with a fitted model (the reference has no streaming operator)."""

@@ -103,3 +103,25 @@ def test_codebook_roundtrip_and_amend(spark):
     assert got == ["1Fam", "Duplex", "TwnhsE"]
     assert CB.rename_level("Utilities", "NoSwr", "NoSewr").levels("Utilities")[1] == "NoSewr"
     assert CB.relevel("Electrical", ["Mix"]).levels("Electrical")[0] == "Mix"
+
+
+def test_snapshot_roundtrip_prunes_by_set(spark, tmp_path):
+    df = spark.createDataFrame([(1, "train", 10.0), (2, "test", None), (3, "train", 12.0)],
+                               "Id long, Set string, SalePrice double")
+    path = str(tmp_path / "snap")
+    io.write_snapshot(df, path, partition_by=["Set"])
+    back = io.read_snapshot(spark, path)
+    tr = back.where(F.col("Set") == "train")
+    assert sorted(r["Id"] for r in tr.collect()) == [1, 3]
+    plan = tr._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "Set" in plan
+    assert missing.restore_label(back, "SalePrice", "Set").where("Set = 'test'").first()["SalePrice"] is None
+
+
+def test_imputed_pairs_view(spark):
+    from tabreg.operators import impute
+    df = spark.createDataFrame([(i, float(i), None if i % 4 == 0 else float(2 * i)) for i in range(1, 41)],
+                               "key long, x double, y double")
+    out = impute.chained_impute(df, "key", ["y"], {"y": ["x"]}, min_node=2, max_depth=4)
+    pairs = impute.imputed_pairs(out, "x", "y").collect()
+    assert sum(r["imputed"] for r in pairs) == 10 and all(r["y"] is not None for r in pairs)

@@ -369,23 +369,24 @@ def pairwise_moments(df: DataFrame, cols: Sequence[str], indicators: Sequence[st
             x = pdf[pc].to_numpy(dtype=float)
             m = (~np.isnan(x)).astype(float)
             x0 = np.nan_to_num(x)
-            blk = np.stack([m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0])
+            sx = x0.T @ m                       # sx[i, j] = sum of x_i where x_i and x_j present
+            sxx = (x0 * x0).T @ m
+            blk = np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x0.T @ x0])
             acc = blk if acc is None else acc + blk
         if acc is not None:
             ii, jj = np.meshgrid(np.arange(p), np.arange(p), indexing="ij")
             yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                                "n": acc[0].ravel(), "sx": acc[1].ravel(), "sxx": acc[2].ravel(),
-                                "sxy": acc[3].ravel()})
+                                **{k: acc[n].ravel() for n, k in enumerate(_MOMENTS)}})
 
-    blocks = sel.mapInPandas(fold, "i int, j int, n double, sx double, sxx double, sxy double")
-    s = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
-    # sums of y over the pair's rows are the transposed entries of sx / sxx
-    t = s.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    schema = "i int, j int, " + ", ".join(f"{k} double" for k in _MOMENTS)
+    blocks = sel.mapInPandas(fold, schema)
+    s = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
     name_arr = F.array(*[F.lit(n) for n in names])
-    j = s.join(t, ["i", "j"])
-    return j.select(F.element_at(name_arr, F.col("i") + 1).alias("var_x"),
-                    F.element_at(name_arr, F.col("j") + 1).alias("var_y"),
-                    "n", "sx", "sy", "sxx", "syy", "sxy")
+    return s.select(F.element_at(name_arr, F.col("i") + 1).alias("var_x"),
+                    F.element_at(name_arr, F.col("j") + 1).alias("var_y"), *_MOMENTS)
+
+
+_MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
 
 def corr_from_moments(m: DataFrame) -> DataFrame:

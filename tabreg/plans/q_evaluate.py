@@ -10,6 +10,7 @@ from tabreg.operators import split
 from tabreg.plans.common import r6
 from tabreg.plans.q_split import _BINS_SQL, SEED
 from tabreg.plans.registry import register
+from tabreg.session import cut_lineage
 from tabreg.sources.tables import table
 
 MODELS = ["status_mean", "priority_mean"]
@@ -21,7 +22,7 @@ def oof_predictions(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
     o = o.withColumn("obs", F.log("o_totalprice"))
     folds = split.stratified_folds(o, "o_orderkey", "o_totalprice", k=10, seed=SEED).select("o_orderkey", "fold")
-    o = o.join(folds, "o_orderkey")
+    o = cut_lineage(o.join(folds, "o_orderkey"))     # one fold assignment, read by both models
     outs = []
     for model, g in (("status_mean", "o_orderstatus"), ("priority_mean", "o_orderpriority")):
         means = o.groupBy(g).agg(F.avg("obs").alias("pred"))

@@ -253,7 +253,7 @@ def outlier_filter(spark, sf_dir):
 
 @register("large_error_flags", "F9 E13", sql=f"""
 SELECT count(*) AS n, count(CASE WHEN label <> '' THEN 1 END) AS n_flagged,
-       sum(CASE WHEN label <> '' THEN CAST(label AS BIGINT) ELSE 0 END) AS key_sum
+       CAST(sum(CASE WHEN label <> '' THEN CAST(label AS BIGINT) ELSE 0 END) AS BIGINT) AS key_sum
 FROM (
   SELECT CASE WHEN abs(l_extendedprice / l_quantity - p_retailprice) > 0.5
               THEN CAST(l_orderkey AS VARCHAR) ELSE '' END AS label

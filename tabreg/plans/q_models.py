@@ -116,7 +116,7 @@ def _bc_sql():
     for c in _BC_COLS:
         for lam in _BC_LAMS:
             t = f"ln({c})" if lam == 0 else f"(power({c}, {lam}) - 1) / {lam}"
-            parts.append(f"SELECT '{c}' AS variable, {lam} AS lam, "
+            parts.append(f"SELECT '{c}' AS variable, CAST({lam} AS DOUBLE) AS lam, "
                          f"round(-count({c}) / 2.0 * ln(var_pop({t})) + ({lam} - 1) * sum(ln({c})), 2) AS loglik "
                          f"FROM {_MODEL_SQL} m WHERE {c} > 0")
     return " UNION ALL ".join(parts)

@@ -145,7 +145,7 @@ def hsd_label_rows(spark, sf_dir):
 
 
 @register("simple_fit", "A15", sql=" UNION ALL ".join(f"""
-SELECT '{x}' AS variable, regr_count(l_extendedprice, {x}) AS n,
+SELECT '{x}' AS variable, CAST(regr_count(l_extendedprice, {x}) AS BIGINT) AS n,
        round(regr_slope(l_extendedprice, {x}), 6) AS slope,
        round(regr_intercept(l_extendedprice, {x}), 4) AS intercept,
        round(regr_r2(l_extendedprice, {x}), 6) AS r2,

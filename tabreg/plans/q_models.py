@@ -305,3 +305,12 @@ def score(spark, sf_dir):
     scored, _ = refit_and_score(train, new, FEATURES, LABEL, models.LinearSpec("enet", lam=0.001, alpha=0.5),
                                 recipe=matrix.Recipe([matrix.Standardize(FEATURES)]), key=KEY)
     return scored.select(F.col(KEY).alias("Id"), r6("prediction", "prediction"))
+
+
+@register("forest_importance", "ML11 ML8")
+def forest_importance(spark, sf_dir):
+    """Impurity importances of a random forest on the training rows, scaled to 0..100."""
+    t = models.assemble(model_table(spark, sf_dir).where(F.col("set") == "train"), FEATURES)
+    m = models.forest(FEATURES, LABEL, num_trees=20, mtry=3, min_node=5, max_depth=8).fit(t)
+    imp = models.feature_importance(m, FEATURES, "forest", spark)
+    return EV.scaled_importance(imp, "importance", by=["model"]).select("model", "variable", "importance", "scaled")

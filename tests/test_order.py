@@ -51,3 +51,14 @@ def test_global_rank_without_groups(spark):
     r = with_group_rank(df, [], ["v", "id"], "r", "n").collect()
     assert sorted(x["r"] for x in r) == list(range(1, 101))
     assert all(x["r"] == x["v"] + 1 for x in r)
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    """A group holding most of the rows is ranked exactly and split over several tasks."""
+    from tabreg.operators.order import _rank_core
+    df = spark.range(0, 6000).withColumn("g", F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(0))
+    ranked, stats = _rank_core(df, ["g"], [F.md5(F.col("id").cast("string")), F.col("id")], "r", 8)
+    hot_tasks = stats.where("g = 0").select("_tr_pid").distinct().count()
+    assert hot_tasks >= 4
+    hot = ranked.where("g = 0").select("r").collect()
+    assert sorted(x["r"] for x in hot) == list(range(1, len(hot) + 1))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
+from tabreg.session import cut_lineage
 
 
 def missing_counts_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -48,19 +49,21 @@ def missing_pattern(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     One row per pattern: a 0/1 flag per column (1 = missing), ``n_rows`` and
     ``n_missing_cols``. A margin row (``is_margin = 1``) holds the NULL count of every
-    column in the flag columns. The grouping keys are 0/1 flags, so partial aggregation
-    leaves at most 2^k rows per task before the shuffle.
+    column in the flag columns. One pass: the grouping keys are 0/1 flags, so partial
+    aggregation leaves at most 2^k rows per task; the margin is summed from the pattern
+    table itself.
     """
     flags = {c: F.col(c).isNull().cast("long") for c in cols}
     pats = (df.select(*[v.alias(c) for c, v in flags.items()])
               .groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")))
-    pats = pats.withColumn("n_missing_cols", sum((F.col(c) for c in cols), F.lit(0)).cast("long")) \
-               .withColumn("is_margin", F.lit(0))
-    margin = (df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in cols])
-                .withColumn("n_rows", F.lit(None).cast("long"))
-                .withColumn("n_missing_cols", sum((F.col(c) for c in cols), F.lit(0)).cast("long"))
-                .withColumn("is_margin", F.lit(1)))
-    return pats.unionByName(margin)
+    pats = cut_lineage(pats)                              # at most 2^k rows
+    out = pats.withColumn("n_missing_cols", sum((F.col(c) for c in cols), F.lit(0)).cast("long")) \
+              .withColumn("is_margin", F.lit(0))
+    margin = (pats.agg(*[F.sum(F.col(c) * F.col("n_rows")).cast("long").alias(c) for c in cols])
+                  .withColumn("n_rows", F.lit(None).cast("long"))
+                  .withColumn("n_missing_cols", sum((F.col(c) for c in cols), F.lit(0)).cast("long"))
+                  .withColumn("is_margin", F.lit(1)))
+    return out.unionByName(margin)
 
 
 # -- rule-based fills --------------------------------------------------------------------
@@ -102,7 +105,10 @@ def fill_all_missing_with(df: DataFrame, cols: Sequence[str], constants: Mapping
     """Joint-missing fill where some columns take constants and others a global
     extreme (``{"col": "min"}``), the extreme taken over the input before filling."""
     cond = X.all_null(cols)
-    scalars = {c: global_extreme(df, c, how) for c, how in extremes.items()}
+    # all extremes from one aggregate: a scalar subquery returning one struct
+    one = df.agg(F.struct(*[(F.min(c) if how == "min" else F.max(c)).alias(c)
+                            for c, how in extremes.items()]).alias("_x")).scalar()
+    scalars = {c: one[c] for c in extremes}
     upd = {c: F.when(cond, F.lit(v)).otherwise(F.col(c)) for c, v in constants.items()}
     upd.update({c: F.when(cond, s).otherwise(F.col(c)) for c, s in scalars.items()})
     return df.withColumns(upd)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
 from tabreg.operators.order import exact_quantiles
+from tabreg.session import cut_lineage
 
 
 def melt(df: DataFrame, cols: Sequence[str], value_type: str = "string",
@@ -60,8 +61,11 @@ def near_zero_variance(df: DataFrame, cols: Sequence[str], freq_cut: float = 95
     percent_unique = 100 * distinct non-missing values / rows;
     nzv = (freq_ratio > freq_cut and percent_unique <= unique_cut) or zero_var.
     """
-    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = level_counts(df, cols)
+    # one pass: counts per (variable, level) including the NULL level, materialised
+    # (it is an aggregate); the row count is any variable's total
+    allc = cut_lineage(level_counts(df, cols, keep_null=True))
+    n_rows = allc.where(F.col("variable") == cols[0]).agg(F.sum("n")).scalar()
+    counts = allc.where(F.col("level").isNotNull())
     t2 = top_two(counts)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
     out = names.join(t2, "variable", "left")
@@ -80,8 +84,9 @@ def near_zero_variance(df: DataFrame, cols: Sequence[str], freq_cut: float = 95
 def skim_factor(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
     """A3 for categorical columns: missing, complete rate, distinct levels, the ``top``
     most common levels as ``"level: n"`` text (count desc, then level)."""
-    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = level_counts(df, cols)
+    allc = cut_lineage(level_counts(df, cols, keep_null=True))    # one pass, then small tables
+    n_rows = allc.where(F.col("variable") == cols[0]).agg(F.sum("n")).scalar()
+    counts = allc.where(F.col("level").isNotNull())
     from pyspark.sql import Window
     w = Window.partitionBy("variable").orderBy(F.col("n").desc(), F.col("level"))
     # only the ``top`` leading levels of each variable are collected
@@ -148,12 +153,15 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30,
 
 
 def binned_density(df: DataFrame, cols: Sequence[str], group_col: str, bins: int = 30) -> DataFrame:
-    """Histogram per (variable, group) normalised to a density: count / (n_group * width)."""
-    h = histogram(df, cols, bins, [group_col])
-    m = melt(df, cols, "double", keep=[group_col]).where(F.col("value").isNotNull())
-    tot = m.groupBy(group_col, "variable").agg(F.count(F.lit(1)).alias("_n"))
-    rng = m.groupBy("variable").agg(((F.max("value") - F.min("value")) / F.lit(bins - 1)).alias("_w"))
-    return (h.join(tot, [group_col, "variable"]).join(F.broadcast(rng), "variable")
+    """Histogram per (variable, group) normalised to a density: count / (n_group * width).
+    The group totals and widths come from the (small) histogram table itself."""
+    h = cut_lineage(histogram(df, cols, bins, [group_col]))
+    tot = h.groupBy(group_col, "variable").agg(F.sum("n").alias("_n"))
+    # width = (max - min) / (bins - 1); the centres of the first and last bins give the range
+    rng = h.groupBy("variable").agg(((F.max("center") - F.min("center")) / F.lit(bins - 1)).alias("_w"),
+                                    F.max("bin").alias("_top"))
+    rng = rng.withColumn("_w", F.when(F.col("_top") == bins - 1, F.col("_w")))
+    return (h.join(tot, [group_col, "variable"]).join(rng.drop("_top"), "variable")
              .withColumn("density", F.when(F.col("_w") > 0, F.col("n") / (F.col("_n") * F.col("_w"))))
              .drop("_n", "_w"))
 

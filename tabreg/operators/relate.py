@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tabreg.functions import exprs as X
 from tabreg.operators.profile import melt
+from tabreg.session import cut_lineage
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "complete") -> DataFrame:
@@ -63,7 +64,11 @@ def anova_oneway(df: DataFrame, label: str, factors: Sequence[str],
     """One-way ANOVA of ``label`` on each factor:
     ``(variable, k, n, df_between, df_within, ss_between, ss_within, ms_between,
     ms_within, f)`` and optionally ``p`` (F upper tail, a pandas UDF on the k-row table)."""
-    ls = level_stats(df, label, factors)
+    return anova_from_levels(level_stats(df, label, factors), with_p)
+
+
+def anova_from_levels(ls: DataFrame, with_p: bool = False) -> DataFrame:
+    """The ANOVA table from per-level ``(variable, level, n, mean, var)`` statistics."""
     g = ls.groupBy("variable").agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"))
@@ -116,8 +121,10 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
     further than every earlier one; a level's label is the run of letters whose
     intervals cover it (intervals and their ends are both increasing).
     """
-    ls = level_stats(df, label, factors)
-    av = anova_oneway(df, label, factors)
+    # one pass over the rows; everything after works on this small per-level table,
+    # materialised once so the windows and joins below do not re-read the data
+    ls = cut_lineage(level_stats(df, label, factors))
+    av = anova_from_levels(ls)
     hm = ls.groupBy("variable").agg((F.count(F.lit(1)) / F.sum(1.0 / F.col("n"))).alias("n_h"))
     av = av.join(hm, "variable")
     qcol = F.lit(float(q)) if q is not None else _qtukey_udf(
@@ -136,7 +143,7 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
     ev = ev.withColumn("seen", F.sum(1 - F.col("kind")).over(w_ev))
     reach = ev.where(F.col("kind") == 1).select("variable", F.col("pos").alias("position"),
                                                  F.col("seen").cast("int").alias("reach"))
-    lv = lv.join(reach, ["variable", "position"])
+    lv = cut_lineage(lv.join(reach, ["variable", "position"]))
     w_prev = Window.partitionBy("variable").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
     lv = lv.withColumn("_kept", F.col("reach") > F.coalesce(F.max("reach").over(w_prev), F.lit(0)))
     w_run = Window.partitionBy("variable").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)

@@ -13,6 +13,7 @@ from tabreg.operators import impute, matrix, models, split, tune
 from tabreg.operators.score import refit_and_score
 from tabreg.plans.common import r6
 from tabreg.plans.registry import register
+from tabreg.session import cut_lineage
 from tabreg.sources.tables import table
 
 FEATURES = ["log_ext", "avg_discount", "avg_tax", "n_lines", "sum_qty", "prio_rank", "status_f", "status_o"]
@@ -267,7 +268,7 @@ def spline(spark, sf_dir):
 def model_compare(spark, sf_dir):
     """Hold-out metrics of several fitted models, stacked (worst first, as the reference
     orders them) -- split by the stratified split operator."""
-    t = model_table(spark, sf_dir).where(F.col("set") == "train")
+    t = cut_lineage(model_table(spark, sf_dir).where(F.col("set") == "train"))   # read by every model
     a = split.stratified_split(t, KEY, LABEL, p=0.8, seed=12345)
     tr = split.keep_rows(t, a, KEY, F.col("split") == "train")
     ho = split.drop_rows(t, a, KEY, F.col("split") == "train")

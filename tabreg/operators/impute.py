@@ -66,8 +66,14 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
     columns given in ``predictors['*']``. Categorical targets use a classification tree.
     """
     predictors = dict(predictors or {})
+    # work on the narrow projection the imputation needs (key, targets, predictors); the
+    # completed columns are joined back to the full table once at the end
+    used = set(targets)
+    for t in targets:
+        used |= set(predictors.get(t, predictors.get("*", [])))
+    used = [c for c in df.columns if c in used and c != key]
     flags = {t: F.col(t).isNull() for t in targets}
-    cur = df.withColumns({f"_orig_{t}": F.col(t) for t in targets}) \
+    cur = df.select(key, *used).withColumns({f"_orig_{t}": F.col(t) for t in targets}) \
             .withColumns({f"{t}_imputed": v for t, v in flags.items()})
     # initial fill: a draw from all observed values. ``donor_draw`` reads its input three
     # times, so the plan is cut after every column (else it grows geometrically)
@@ -104,7 +110,9 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
             cur = cut_lineage(filled.select(*cur.columns))
             if _TRACE:
                 print("imputed", t, flush=True)
-    return cur.drop(*[f"_orig_{t}" for t in targets])
+    done = cur.select(key, *targets, *[f"{t}_imputed" for t in targets])
+    rest = [c for c in df.columns if c not in targets]
+    return df.select(*rest).join(done, key, "inner").select(*df.columns, *[f"{t}_imputed" for t in targets])
 
 
 def imputed_pairs(df: DataFrame, x: str, y: str) -> DataFrame:

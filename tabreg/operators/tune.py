@@ -28,6 +28,7 @@ from tabreg.functions import linalg
 from tabreg.operators import evaluate as EV
 from tabreg.operators.matrix import gram
 from tabreg.operators.models import LinearSpec, assemble, linear_expr
+from tabreg.session import cut_lineage
 
 
 def param_grid(**axes: Sequence) -> list[dict]:
@@ -103,7 +104,9 @@ def tune_mllib(df: DataFrame, features: Sequence[str], label: str, fold_col: str
     """X3 for MLlib estimators: fit on the other folds, score the held-out fold, metrics by
     one aggregate per fold. Fits run concurrently from a driver thread pool."""
     spark = df.sparkSession
-    data = assemble(df.where(F.col(label).isNotNull()), features)
+    # assemble once and materialise: every (setting, fold) fit reads this, not the source
+    keep = [c for c in [key, fold_col, label] if c]
+    data = cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(*keep, "features"))
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())   # k values
     keys = sorted({k for g in grid for k in g})
 
@@ -150,7 +153,7 @@ def boost_path(df: DataFrame, features: Sequence[str], label: str, fold_col: str
     """Held-out RMSE after every boosting iteration, per fold, from one fit per fold.
     ``(model, fold, n_trees, rmse)``; the mean over folds per ``n_trees`` picks the size."""
     spark = df.sparkSession
-    data = assemble(df.where(F.col(label).isNotNull()), features)
+    data = cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(fold_col, label, "features"))
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
     rows = []
     for f in folds:

@@ -230,6 +230,9 @@ def boxcox_lambdas(df: DataFrame, cols: Sequence[str], lambdas: Sequence[float]
     best = prof.groupBy("variable").agg(F.max_by("lam", "loglik").alias("lam")).collect()
     out = {}
     for r in best:
+        if r["lam"] is None:          # constant column: no finite likelihood, no transform
+            out[r["variable"]] = 1.0
+            continue
         lam = float(r["lam"])
         if abs(lam) < fudge:
             lam = 0.0

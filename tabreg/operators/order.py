@@ -123,3 +123,17 @@ def quantiles_wide(df: DataFrame, value_col: str, probs: Sequence[float], names:
     if group_cols:
         return long.groupBy(*group_cols).agg(*aggs)
     return long.agg(*aggs)
+
+
+def quantile_table(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
+                   method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Long ``(group..., prob, quantile)``: ``method="exact"`` is the type-7 order statistic
+    above (one distributed sort); ``"approx"`` is Spark's mergeable sketch
+    (``percentile_approx``, relative rank error 1/accuracy, no sort, bounded memory per group)."""
+    if method == "exact":
+        return exact_quantiles(df, value_col, probs, group_cols)
+    group_cols = list(group_cols)
+    arr = F.percentile_approx(F.col(value_col).cast("double"), [float(p) for p in probs], accuracy)
+    agg = df.groupBy(*group_cols).agg(arr.alias("_qa")) if group_cols else df.agg(arr.alias("_qa"))
+    zipped = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("_qa").alias("quantile"))
+    return agg.select(*group_cols, F.explode(zipped).alias("_z")).select(*group_cols, "_z.prob", "_z.quantile")

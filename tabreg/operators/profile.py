@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import exact_quantiles
+from tabreg.operators.order import quantile_table
 from tabreg.session import cut_lineage
 
 
@@ -108,10 +108,10 @@ def skim_factor(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
 
 # -- numeric ----------------------------------------------------------------------------
 
-def skim_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def skim_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """A3 for numeric columns: missing, complete rate, mean, sd (n-1), and the exact
     0/25/50/75/100 % quantiles (type 7). Moments in one aggregate; quantiles by one
-    distributed sort over the melted values."""
+    distributed sort over the melted values (``method="approx"``: sketches, no sort)."""
     m = melt(df, cols, "double")
     moments = m.groupBy("variable").agg(
         F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"),
@@ -119,7 +119,7 @@ def skim_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     names = ["p0", "p25", "p50", "p75", "p100"]
-    q = exact_quantiles(m, "value", probs, ["variable"])
+    q = quantile_table(m, "value", probs, ["variable"], method)
     qw = q.groupBy("variable").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(nm)
                                      for p, nm in zip(probs, names)])
     return moments.join(qw, "variable", "left")
@@ -166,11 +166,12 @@ def binned_density(df: DataFrame, cols: Sequence[str], group_col: str, bins: int
              .drop("_n", "_w"))
 
 
-def box_stats(df: DataFrame, value: str, group_cols: Sequence[str] = (), coef: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group_cols: Sequence[str] = (), coef: float = 1.5,
+              method: str = "exact") -> DataFrame:
     """Per group the exact (type 7) quartiles, whiskers = most extreme values inside
     ``coef * IQR`` of the box, and the outlier count."""
     group_cols = list(group_cols)
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], group_cols)
+    q = quantile_table(df, value, [0.25, 0.5, 0.75], group_cols, method)
     qw = q.groupBy(*group_cols).agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
         F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("median"),

@@ -62,3 +62,12 @@ def test_hot_group_is_spread_over_tasks(spark):
     assert hot_tasks >= 4
     hot = ranked.where("g = 0").select("r").collect()
     assert sorted(x["r"] for x in hot) == list(range(1, len(hot) + 1))
+
+
+def test_approx_quantiles_close(spark):
+    from tabreg.operators.order import quantile_table
+    df = spark.range(0, 20000).withColumn("v", (F.col("id") * 7919 % 20000).cast("double"))
+    ex = {r["prob"]: r["quantile"] for r in quantile_table(df, "v", [0.1, 0.5, 0.9]).collect()}
+    ap = {r["prob"]: r["quantile"] for r in quantile_table(df, "v", [0.1, 0.5, 0.9], method="approx").collect()}
+    for p in ex:
+        assert abs(ex[p] - ap[p]) <= 20000 / 10000 * 2

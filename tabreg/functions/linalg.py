@@ -71,8 +71,9 @@ def metrics_on(g, fit: LinearFit, label: str) -> dict[str, float]:
 
 def elastic_net(g, feats: Sequence[str], label: str, lam: float, alpha: float,
                 standardize: bool = True, tol: float = 1e-10, max_iter: int = 10000,
-                warm: np.ndarray | None = None) -> LinearFit:
-    """Coordinate descent with covariance updates on the Gram statistics."""
+                warm: "LinearFit | None" = None) -> LinearFit:
+    """Coordinate descent with covariance updates on the Gram statistics; ``warm`` (a fit
+    at a nearby lambda) starts the descent from its coefficients."""
     n, mx, my, sxx, sxy = _stats(g, feats, label)
     p = len(feats)
     if p == 0:
@@ -80,7 +81,7 @@ def elastic_net(g, feats: Sequence[str], label: str, lam: float, alpha: float,
     sd = np.sqrt(np.clip(np.diag(sxx) / n, 1e-300, None)) if standardize else np.ones(p)
     c = sxx / n / np.outer(sd, sd)          # covariance of standardised x
     r = sxy / n / sd                        # covariance of standardised x with y
-    b = np.zeros(p) if warm is None else warm.copy()
+    b = np.zeros(p) if warm is None else np.asarray(warm.coef, dtype=float) * sd
     l1, l2 = lam * alpha, lam * (1 - alpha)
     for _ in range(max_iter):
         dmax = 0.0

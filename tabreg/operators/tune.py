@@ -64,12 +64,24 @@ def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     keys = sorted({k for g in grid for k in g})
     fold_rows, grid_rows = [], []
     fits: dict = {}
+    # visit each alpha's lambdas from large to small so every fit starts from its neighbour
+    order = sorted(range(len(grid)), key=lambda i: (float(grid[i].get("alpha", 1.0)), -float(grid[i].get("lam", 0.0))))
+    warm: dict = {}
+    for gi in order:
+        spec = LinearSpec(kind=kind, lam=float(grid[gi].get("lam", 0.0)), alpha=float(grid[gi].get("alpha", 1.0)))
+        for f in folds:
+            key_w = (spec.alpha, f)
+            if kind == "enet" and spec.alpha > 0:
+                fit = linalg.elastic_net(total - blocks[(f,)], features, label, spec.lam, spec.alpha,
+                                         warm=warm.get(key_w))
+            else:
+                fit = spec.fit(total - blocks[(f,)], features, label)
+            warm[key_w] = fit
+            fits[(gi, f)] = fit
     for gi, setting in enumerate(grid):
-        spec = LinearSpec(kind=kind, lam=float(setting.get("lam", 0.0)), alpha=float(setting.get("alpha", 1.0)))
         rm = []
         for f in folds:
-            fit = spec.fit(total - blocks[(f,)], features, label)
-            fits[(gi, f)] = fit
+            fit = fits[(gi, f)]
             m = linalg.metrics_on(blocks[(f,)], fit, label)
             rm.append(m)
             fold_rows.append((model_name, gi, int(f), *[float(setting.get(k, 0.0)) for k in keys],

@@ -22,25 +22,21 @@ from pyspark.sql import functions as F
 from tabreg.session import cut_lineage
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _rank_core(df: DataFrame, group_cols: list[str], order_exprs: list[Column], rank_col: str,
                num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    n = _num_partitions(df, num_partitions)
     sort_keys = [F.col(g) for g in group_cols] + order_exprs
-    # explicit partition count: AQE keeps the range partitions as they are. The tagged rows
-    # are written once to the shared checkpoint folder, so the per-task positions and the
-    # offsets computed from them come from one and the same run (an input that arrives from
-    # a shuffle has no fixed row order, and a re-run could cut other range bounds), and a
-    # lost executor cannot make them disagree.
-    tagged = cut_lineage(df.repartitionByRange(n, *sort_keys)
-                           .sortWithinPartitions(*sort_keys)
-                           .withColumn("_tr_pid", F.spark_partition_id())
-                           .withColumn("_tr_mid", F.monotonically_increasing_id()))
+    # The range partition count is the session's shuffle partition count (sized for the
+    # cluster) and AQE may merge neighbouring ranges; either way the task ids and positions
+    # below are taken from the partitions as finally read. The tagged rows are written once
+    # to the shared checkpoint folder, so the per-task positions and the offsets computed
+    # from them come from one and the same run (an input that arrives from a shuffle has no
+    # fixed row order, and a re-run could cut other range bounds), and a lost executor
+    # cannot make them disagree.
+    ranged = (df.repartitionByRange(int(num_partitions), *sort_keys) if num_partitions
+              else df.repartitionByRange(*sort_keys))
+    tagged = cut_lineage(ranged.sortWithinPartitions(*sort_keys)
+                               .withColumn("_tr_pid", F.spark_partition_id())
+                               .withColumn("_tr_mid", F.monotonically_increasing_id()))
     stats = (tagged.groupBy("_tr_pid", *group_cols)
                    .agg(F.min("_tr_mid").alias("_tr_first"), F.count(F.lit(1)).alias("_tr_n")))
     w_before = (Window.partitionBy(*[F.col(g) for g in group_cols]).orderBy("_tr_pid")

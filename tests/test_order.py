@@ -71,3 +71,19 @@ def test_approx_quantiles_close(spark):
     ap = {r["prob"]: r["quantile"] for r in quantile_table(df, "v", [0.1, 0.5, 0.9], method="approx").collect()}
     for p in ex:
         assert abs(ex[p] - ap[p]) <= 20000 / 10000 * 2
+
+
+def test_rank_exact_when_aqe_merges_ranges(spark):
+    """Without an explicit count the sort uses the session's partitions and AQE may merge
+    neighbouring ranges; positions must stay exact."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(0, 3000).withColumn("g", (F.col("id") % 3).cast("int"))
+        r = with_group_rank(df, ["g"], [F.md5(F.col("id").cast("string")), F.col("id")], "r", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    by = {}
+    for x in r:
+        by.setdefault(x["g"], []).append(x["r"])
+    assert all(sorted(v) == list(range(1, 1001)) for v in by.values())

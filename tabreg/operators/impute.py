@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 from tabreg.operators.order import with_group_rank
 from tabreg.session import cut_lineage
 
-import os
-_TRACE = bool(os.environ.get("TABREG_TRACE"))
-
 
 def donor_draw(df: DataFrame, key: str, target: str, group_cols: Sequence[str] = (), seed: int = 1970,
                out: str | None = None) -> DataFrame:
@@ -108,8 +105,6 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
             filled = filled.join(prev, key, "left").withColumn(t, F.coalesce(F.col(t), F.col("_prev"))) \
                            .withColumn(f"{t}_imputed", F.col(f"_orig_{t}").isNull()).drop("_prev")
             cur = cut_lineage(filled.select(*cur.columns))
-            if _TRACE:
-                print("imputed", t, flush=True)
     done = cur.select(key, *targets, *[f"{t}_imputed" for t in targets])
     rest = [c for c in df.columns if c not in targets]
     return df.select(*rest).join(done, key, "inner").select(*df.columns, *[f"{t}_imputed" for t in targets])

@@ -46,10 +46,6 @@ class TuneResult:
     fits: dict | None = None
 
 
-def _grid_schema(keys):
-    return ", ".join(f"{k} double" for k in keys)
-
-
 def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
                 grid: Sequence[Mapping], kind: str = "enet", key: str | None = None,
                 model_name: str = "linear") -> TuneResult:

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.functions import linalg
 from tabreg.operators import clean, evaluate, features, impute, matrix, missing, models, split, tune
 from tabreg.sources import housing as H
 from tabreg.sources import io
@@ -193,4 +192,4 @@ def model_homes(train: DataFrame, test: DataFrame, folds: int = H.FOLDS, grid: l
     fit_all = models.fit_linear(lab_x, num, H.LOG_LABEL, spec)
     scored = unl_x.select(F.col(H.KEY), F.exp(models.linear_expr(fit_all)).alias(H.LABEL))
     return scored, {"tuning": res, "holdout": hold, "features": num, "fit": fit_all,
-                    "coefficients": fit_all.as_dict(), "solver": linalg.__name__}
+                    "coefficients": fit_all.as_dict()}

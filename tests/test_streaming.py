@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tabreg.operators import matrix, models
 from tabreg.streaming.scoring import score_stream

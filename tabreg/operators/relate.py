@@ -166,10 +166,11 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
 
 
 def label_rows(df: DataFrame, groups: DataFrame, factor: str) -> DataFrame:
-    """Put each level's letters on the detail rows of one factor (broadcast: the
-    letters table has one row per level of that factor)."""
+    """Put each level's letters on the detail rows of one factor. The letters table has
+    one row per level; the planner broadcasts it from its measured size (no hint: a
+    factor's level count is not bounded by anything we control)."""
     g = groups.where(F.col("variable") == factor).select(F.col("level").alias(factor), "groups")
-    return df.join(F.broadcast(g), factor, "left")
+    return df.join(g, factor, "left")
 
 
 def hsd_pairs(df: DataFrame, label: str, factors: Sequence[str], q: float | None = None,

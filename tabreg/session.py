@@ -38,6 +38,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                            max_partition_bytes: int = 256 << 20) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
+    ``target_bytes`` of the input (AQE then merges small ones), and the scan split size to
+    ``max_partition_bytes``. For a 100 TB input and 256 MiB this is ~400,000 partitions;
+    the range sorts of the exact-rank operators use the same count. Returns the count."""
+    n = max(int(spark.sparkContext.defaultParallelism), int(-(-input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 << 20)))
+    return n
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

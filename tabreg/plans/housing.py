@@ -31,7 +31,10 @@ def _present(df: DataFrame, cols) -> list[str]:
 # -- stage 1 ------------------------------------------------------------------------------
 
 def clean_homes(spark: SparkSession, train_path: str, test_path: str, impute_missing: bool = True,
-                sequential_pair_fill: bool = False) -> DataFrame:
+                sequential_pair_fill: bool = False, label_as_predictor: bool = False) -> DataFrame:
+    """Stage 1. ``sequential_pair_fill`` reproduces the chained assignment of the veneer pair
+    (area stays missing); ``label_as_predictor`` lets the label (with the unlabelled rows'
+    labels imputed, then reset) predict other columns, as the original imputation did."""
     tr = io.tag_set(io.read_text_csv(spark, train_path), "train", H.SET_COL)
     te = io.tag_set(io.read_text_csv(spark, test_path), "test", H.SET_COL, label=H.LABEL)
     d = io.union_by_name([clean.rename_columns(tr, H.DIGIT_RENAMES), clean.rename_columns(te, H.DIGIT_RENAMES)])
@@ -70,18 +73,18 @@ def clean_homes(spark: SparkSession, train_path: str, test_path: str, impute_mis
                             [F.col(c) == "NA" for c in H.GARAGE_CODES_NONE])
             d = missing.conditional_fill(d, "GarageYrBlt", cond, missing.global_extreme(d, "GarageYrBlt"))
     if impute_missing:
-        d = _impute(d, cb)
+        d = _impute(d, cb, label_as_predictor)
     return missing.restore_label(d, H.LABEL, H.SET_COL, "test")
 
 
-def _impute(d: DataFrame, cb: Codebook) -> DataFrame:
-    skip = {H.SET_COL, H.KEY, H.LABEL}
+def _impute(d: DataFrame, cb: Codebook, label_as_predictor: bool = False) -> DataFrame:
+    skip = {H.SET_COL, H.KEY} | (set() if label_as_predictor else {H.LABEL})
     cols = [c for c in d.columns if c not in skip]
     incomplete = missing.columns_with_missing(d, cols)
     if not incomplete:
         return d
     cat = [c for c in incomplete if c in cb.columns]
-    num_all = [c for c in cols if c in H.NUMERIC or c in ("CondRoad", "CondRail", "CondPos", "Cond")]
+    num_all = [c for c in cols if c in H.NUMERIC or c in ("CondRoad", "CondRail", "CondPos", "Cond", H.LABEL)]
     ranked = d.withColumns({f"{c}__r": F.array_position(F.array(*[F.lit(v) for v in cb.levels(c)]), F.col(c))
                             .cast("double") for c in cols if c in cb.columns})
     pred_cols = num_all + [f"{c}__r" for c in cols if c in cb.columns]

@@ -90,8 +90,10 @@ def _impute(d: DataFrame, cb: Codebook, label_as_predictor: bool = False) -> Dat
     pred_cols = num_all + [f"{c}__r" for c in cols if c in cb.columns]
     sel = missing.impute_predictors(ranked, pred_cols, mincor=0.1)
     chosen: dict[str, list[str]] = {}
+    stale = {f"{c}__r" for c in incomplete}   # rank copies of incomplete factors are not updated
     for r in sel.where("selected").collect():                  # (target, predictor) names only
-        chosen.setdefault(r["target"].removesuffix("__r"), []).append(r["predictor"])
+        if r["predictor"] not in stale:
+            chosen.setdefault(r["target"].removesuffix("__r"), []).append(r["predictor"])
     out = impute.chained_impute(ranked, H.KEY, incomplete, chosen, categorical=cat, seed=H.IMPUTE_SEED)
     return out.drop(*[c for c in out.columns if c.endswith("__r") or c.endswith("_imputed")])
 

@@ -42,3 +42,12 @@ def test_three_stages(spark, tmp_path):
     io.write_scored(scored, out, "Id", "SalePrice", order_by_key=True)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["Id", "SalePrice"] and back.count() == 100
+
+
+def test_label_as_predictor_keeps_test_label_missing(spark, tmp_path):
+    tr, te = write(tmp_path, n_train=200, n_test=50, seed=3)
+    d = housing.clean_homes(spark, tr, te, label_as_predictor=True, sequential_pair_fill=True)
+    rows = {r["Id"]: r for r in d.collect()}
+    assert sum(r["SalePrice"] is None for r in rows.values()) == 50
+    assert rows[6]["MasVnrType"] == "None"          # sequential: type filled first ...
+    assert rows[6]["MasVnrArea"] is not None        # ... area then comes from the imputation

@@ -69,6 +69,13 @@ def chained_impute(df: DataFrame, key: str, targets: Sequence[str],
     for t in targets:
         used |= set(predictors.get(t, predictors.get("*", [])))
     used = [c for c in df.columns if c in used and c != key]
+    # a predictor that is not imputed itself must be complete (trees take no missing inputs)
+    extra = [c for c in used if c not in targets]
+    if extra:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in extra]).first()
+        incomplete = {c for c in extra if nulls[c]}
+        used = [c for c in used if c not in incomplete]
+        predictors = {t: [c for c in v if c not in incomplete] for t, v in predictors.items()}
     flags = {t: F.col(t).isNull() for t in targets}
     cur = df.select(key, *used).withColumns({f"_orig_{t}": F.col(t) for t in targets}) \
             .withColumns({f"{t}_imputed": v for t, v in flags.items()})

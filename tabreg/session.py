@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -85,4 +86,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tabreg-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def release_materialized(spark: SparkSession | None = None) -> int:
+    """Delete the tables this process wrote with ``cut_lineage`` (through the Hadoop
+    FileSystem API, so any shared store works). Call it when the results built on them
+    have been written or collected; it also runs, best effort, when the interpreter exits.
+    Returns the number of folders removed."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None or not _WRITTEN:
+        return 0
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = _WRITTEN.pop()
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            if p.getFileSystem(conf).delete(p, True):
+                removed += 1
+        except Exception:  # a stopped context or a vanished folder: nothing left to do
+            pass
+    return removed
+
+
+def _cleanup_at_exit() -> None:
+    try:
+        release_materialized()
+    except Exception:
+        pass
+
+
+atexit.register(_cleanup_at_exit)

@@ -87,3 +87,11 @@ def test_rank_exact_when_aqe_merges_ranges(spark):
     for x in r:
         by.setdefault(x["g"], []).append(x["r"])
     assert all(sorted(v) == list(range(1, 1001)) for v in by.values())
+
+
+def test_release_materialized(spark):
+    from tabreg.session import _WRITTEN, cut_lineage, release_materialized
+    release_materialized(spark)
+    t = cut_lineage(spark.range(10))
+    assert t.count() == 10 and len(_WRITTEN) == 1
+    assert release_materialized(spark) == 1 and not _WRITTEN

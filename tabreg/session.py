@@ -56,7 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we only pick our own when the setting is
-    unset, which happens in local tests.
+    unset in local mode (tests). On a cluster an unset setting is an error: a
+    machine-local folder would not survive the loss of the machine.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -67,6 +68,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
+                           "(e.g. on the cluster's shared file system) before running tabreg operators")
     local = tempfile.mkdtemp(prefix="tabreg-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

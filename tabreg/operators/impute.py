@@ -9,7 +9,8 @@ The donor draw is exact and reproducible without collecting a leaf anywhere: obs
 are numbered inside their leaf by ``md5(seed|column|key)`` with the distributed exact rank
 (a leaf holding a third of the rows is still spread over many tasks); a missing row picks
 slot ``pmod(xxhash64(seed, column, key), n_leaf) + 1`` and the donor is an equi-join on
-``(leaf, slot)`` (J7). Lineage is cut after every column (reliable checkpoint).
+``(leaf, slot)`` (J7). Lineage is cut after every column (the narrow working table is
+written as Parquet to the shared checkpoint folder and read back).
 """
 
 from __future__ import annotations

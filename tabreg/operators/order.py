@@ -4,9 +4,10 @@
 with a hot group (a third of all rows) that task holds a third of the data. Here a group is
 instead split over many tasks by a range-partitioned sort on ``(group, order, tiebreak)``,
 each row gets its position inside its task, and a tiny table of per-task, per-group counts
-turns that into the position inside the group. Exact, one shuffle for the sort, one reliable
-checkpoint of the (narrow) sorted rows, plus a join against a table of at most
-``#tasks + #groups`` rows. Callers project to the few columns they need first.
+turns that into the position inside the group. Exact, one shuffle for the sort, one Parquet
+materialisation of the (narrow) sorted rows in the shared checkpoint folder, plus a join
+against a table of at most ``#tasks + #groups`` rows. Callers project to the few columns
+they need first.
 
 The same positions give exact type-7 quantiles (R's default, DuckDB's ``quantile_cont``,
 Spark's ``percentile``) without buffering any group in one task.

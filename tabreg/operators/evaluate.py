@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabreg.operators.order import with_group_rank
+from tabreg.operators.order import top_n_with_ties, with_group_rank
 
 
 def regression_metrics(df: DataFrame, pred: str = "pred", obs: str = "obs",
@@ -84,9 +84,8 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 def top_n_by(df: DataFrame, weight: str, n: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """The ``n`` largest signed values of ``weight`` with ties kept (``rank() <= n``),
-    per group. Used on coefficient tables (one row per feature)."""
-    w = Window.partitionBy(*by).orderBy(F.desc(weight)) if by else Window.orderBy(F.desc(weight))
-    return df.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") <= n).drop("_rk")
+    per group; no group is ordered in a single task (salted two-stage top-n)."""
+    return top_n_with_ties(df, weight, n, by)
 
 
 def scaled_importance(imp: DataFrame, value: str = "importance", by: Sequence[str] = ()) -> DataFrame:

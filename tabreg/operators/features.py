@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
 from tabreg.functions.stats import poly_contrasts
+from tabreg.operators.order import top_n_with_ties
 
 
 # -- row features ----------------------------------------------------------------------
@@ -78,8 +79,7 @@ class LevelLumper:
     def fit(self, df: DataFrame) -> LumpModel:
         from tabreg.operators.profile import level_counts
         counts = level_counts(df, self.columns)
-        w = Window.partitionBy("variable").orderBy(F.desc("n"))
-        kept = counts.withColumn("_r", F.rank().over(w)).where(F.col("_r") <= self.n)
+        kept = top_n_with_ties(counts, "n", self.n, by=["variable"])     # rank() <= n, ties kept
         keep: dict[str, list[str]] = {c: [] for c in self.columns}
         for r in kept.select("variable", "level").collect():   # at most n (+ ties) per column
             keep[r["variable"]].append(r["level"])

@@ -134,3 +134,42 @@ def quantile_table(df: DataFrame, value_col: str, probs: Sequence[float], group_
     agg = df.groupBy(*group_cols).agg(arr.alias("_qa")) if group_cols else df.agg(arr.alias("_qa"))
     zipped = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("_qa").alias("quantile"))
     return agg.select(*group_cols, F.explode(zipped).alias("_z")).select(*group_cols, "_z.prob", "_z.quantile")
+
+
+# -- top-k without a single-task window ----------------------------------------------------
+
+def _salt(df: DataFrame, buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(buckets)))
+
+
+def top_k_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int,
+               salt_buckets: int = 64) -> DataFrame:
+    """The first ``k`` rows of every group under a total ``order`` (``row_number() <= k``).
+
+    Two stages: inside each (group, salt) bucket -- 1/``salt_buckets`` of a group -- keep the
+    first k; the global first k are among those candidates, and the final window sees at
+    most ``salt_buckets * k`` rows per group. Exact; a huge group never lands in one task."""
+    by = list(by)
+    salted = df.withColumn("_tk_s", _salt(df, salt_buckets))
+    w1 = Window.partitionBy(*[F.col(b) for b in by], F.col("_tk_s")).orderBy(*order)
+    cand = salted.withColumn("_tk_r", F.row_number().over(w1)).where(F.col("_tk_r") <= k).drop("_tk_r", "_tk_s")
+    w2 = Window.partitionBy(*[F.col(b) for b in by]).orderBy(*order) if by else Window.orderBy(*order)
+    return cand.withColumn("_tk_r", F.row_number().over(w2)).where(F.col("_tk_r") <= k).drop("_tk_r")
+
+
+def top_n_with_ties(df: DataFrame, value: str, n: int, by: Sequence[str] = (), salt_buckets: int = 64) -> DataFrame:
+    """Rows whose ``rank()`` by ``value`` (descending) is at most ``n`` in their group, ties
+    kept. ``rank <= n`` holds exactly when the value reaches the group's n-th largest value;
+    that threshold comes from the salted top-n candidates, then one filter keeps the rows."""
+    by = list(by)
+    nth = top_k_rows(df.select(*by, value), by, [F.col(value).desc()], n, salt_buckets)
+    w = Window.partitionBy(*[F.col(b) for b in by]) if by else Window.partitionBy()
+    thr = (nth.withColumn("_tn_c", F.count(F.lit(1)).over(w))
+              .groupBy(*by).agg(F.min(value).alias("_tn_v"), F.max("_tn_c").alias("_tn_c")))
+    # fewer than n rows in a group: every row is kept
+    thr = thr.withColumn("_tn_v", F.when(F.col("_tn_c") >= n, F.col("_tn_v")))
+    if by:
+        j = df.join(thr, by, "left")
+    else:
+        j = df.withColumn("_tn_v", thr.select("_tn_v").scalar())
+    return j.where(F.col("_tn_v").isNull() | (F.col(value) >= F.col("_tn_v"))).drop("_tn_v", "_tn_c")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import quantile_table
+from tabreg.operators.order import quantile_table, top_k_rows
 from tabreg.session import cut_lineage
 
 
@@ -87,10 +87,9 @@ def skim_factor(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
     allc = cut_lineage(level_counts(df, cols, keep_null=True))    # one pass, then small tables
     n_rows = allc.where(F.col("variable") == cols[0]).agg(F.sum("n")).scalar()
     counts = allc.where(F.col("level").isNotNull())
-    from pyspark.sql import Window
-    w = Window.partitionBy("variable").orderBy(F.col("n").desc(), F.col("level"))
-    # only the ``top`` leading levels of each variable are collected
-    tops = (counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top)
+    # only the ``top`` leading levels of each variable are collected (salted two-stage top-k:
+    # a variable with very many levels is never ordered in one task)
+    tops = (top_k_rows(counts, ["variable"], [F.col("n").desc(), F.col("level")], top)
                   .groupBy("variable").agg(F.array_sort(F.collect_list(
                       F.struct((-F.col("n")).alias("neg_n"), F.col("level")))).alias("_top")))
     per = counts.groupBy("variable").agg(

@@ -93,9 +93,10 @@ def amend_from_data(cb_frame: DataFrame, df: DataFrame, column: str,
     else:
         found = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("level")).distinct()
         w_order = [F.col("level")]
-    from pyspark.sql import Window
+    from tabreg.operators.order import with_group_rank
     kind = (cb_frame.where(F.col("column") == column).select("kind").limit(1))
-    new_rows = (found.withColumn("rank", F.row_number().over(Window.orderBy(*w_order)).cast("int"))
+    # levels numbered by the distributed exact rank (no single-task window over the values)
+    new_rows = (with_group_rank(found, [], w_order, rank_col="rank").withColumn("rank", F.col("rank").cast("int"))
                      .withColumn("column", F.lit(column))
                      .withColumn("kind", F.coalesce(kind.select("kind").scalar(), F.lit("unordered")))
                      .select("column", "kind", "rank", "level"))

@@ -95,3 +95,25 @@ def test_release_materialized(spark):
     t = cut_lineage(spark.range(10))
     assert t.count() == 10 and len(_WRITTEN) == 1
     assert release_materialized(spark) == 1 and not _WRITTEN
+
+
+def test_salted_top_k_matches_brute_force(spark):
+    import random
+    from tabreg.operators.order import top_k_rows, top_n_with_ties
+    rnd = random.Random(5)
+    rows = [("hot", f"l{i}", rnd.randint(1, 40)) for i in range(3000)] + \
+           [("cold", f"m{i}", rnd.randint(1, 5)) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, level string, n int")
+    got = {(r["g"], r["level"]) for r in top_k_rows(df, ["g"], [F.col("n").desc(), F.col("level")], 4).collect()}
+    want = set()
+    for g in ("hot", "cold"):
+        sub = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[2], r[1]))[:4]
+        want |= {(r[0], r[1]) for r in sub}
+    assert got == want
+    tied = {(r["g"], r["level"]) for r in top_n_with_ties(df, "n", 3, ["g"]).collect()}
+    want_t = set()
+    for g in ("hot", "cold"):
+        vals = sorted((r[2] for r in rows if r[0] == g), reverse=True)
+        thr = vals[2] if len(vals) >= 3 else min(vals)
+        want_t |= {(r[0], r[1]) for r in rows if r[0] == g and r[2] >= thr}
+    assert tied == want_t

@@ -17,21 +17,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import exact_quantiles, with_group_rank
+from tabreg.operators.order import quantile_table, with_group_rank
 
 
-def label_breaks(df: DataFrame, label: str, n_breaks: int = 5) -> DataFrame:
-    """One row of break points ``b0 <= ... <= b{n-1}`` (quantiles at 0, 1/(n-1), ... 1)."""
+def label_breaks(df: DataFrame, label: str, n_breaks: int = 5, method: str = "exact") -> DataFrame:
+    """One row of break points ``b0 <= ... <= b{n-1}`` (quantiles at 0, 1/(n-1), ... 1);
+    ``method="approx"`` takes them from a quantile sketch instead of a sort."""
     probs = [float(x) for x in np.linspace(0.0, 1.0, n_breaks)]
-    q = exact_quantiles(df.select(label), label, probs)
+    q = quantile_table(df.select(label), label, probs, (), method)
     return q.agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"b{i}")
                    for i, p in enumerate(probs)])
 
 
-def with_label_bin(df: DataFrame, label: str, n_breaks: int = 5, bin_col: str = "bin") -> DataFrame:
+def with_label_bin(df: DataFrame, label: str, n_breaks: int = 5, bin_col: str = "bin",
+                   method: str = "exact") -> DataFrame:
     """Bin = 1 + number of interior break points strictly below the label (right-closed
     intervals, lowest included). Duplicate break points merge bins, as ``unique`` does."""
-    br = label_breaks(df, label, n_breaks)
+    br = label_breaks(df, label, n_breaks, method)
     interior = [br.select(f"b{i}").scalar() for i in range(1, n_breaks - 1)]   # scalar subqueries
     b = F.lit(1)
     for s in interior:
@@ -44,30 +46,31 @@ def _cuts_for_folds(n: int, k: int) -> int:
     return int(min(max(cuts, 2), 5))
 
 
-def _ranked(df: DataFrame, key: str, label: str, seed, n_breaks: int) -> DataFrame:
+def _ranked(df: DataFrame, key: str, label: str, seed, n_breaks: int, method: str = "exact") -> DataFrame:
     base = df.where(F.col(label).isNotNull()).select(key, label)
-    binned = with_label_bin(base, label, n_breaks)
+    binned = with_label_bin(base, label, n_breaks, method=method)
     return with_group_rank(binned, ["bin"], [X.md5_order(seed, key), F.col(key)],
                            rank_col="pos", size_col="n_bin")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, p: float = 0.8, seed=12345,
-                     n_breaks: int = 5) -> DataFrame:
+                     n_breaks: int = 5, method: str = "exact") -> DataFrame:
     """``(key, bin, pos, n_bin, split)`` with split = 'train' for the first
-    ``ceil(p * n_bin)`` rows of each bin in md5 order, else 'holdout'."""
-    r = _ranked(df, key, label, seed, n_breaks)
+    ``ceil(p * n_bin)`` rows of each bin in md5 order, else 'holdout'. ``method`` chooses
+    exact or sketched bin break points."""
+    r = _ranked(df, key, label, seed, n_breaks, method)
     return r.withColumn("split", F.when(F.col("pos") <= F.ceil(F.col("n_bin") * F.lit(p)), F.lit("train"))
                         .otherwise(F.lit("holdout"))).select(key, "bin", "pos", "n_bin", "split")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 10, seed=12345,
-                     n_breaks: int | None = None) -> DataFrame:
+                     n_breaks: int | None = None, method: str = "exact") -> DataFrame:
     """``(key, bin, fold)``, fold in 1..k, balanced inside every label bin.
     ``n_breaks`` defaults to ``min(max(n // k, 2), 5)`` break points."""
     if n_breaks is None:
         n = df.where(F.col(label).isNotNull()).count()
         n_breaks = _cuts_for_folds(n, k)
-    r = _ranked(df, key, label, seed, n_breaks)
+    r = _ranked(df, key, label, seed, n_breaks, method)
     return r.withColumn("fold", ((F.col("pos") - 1) % k + 1).cast("int")).select(key, "bin", "fold")
 
 

@@ -36,9 +36,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sales`` with planted missing values (the driver tables hold none):
-    quantity and tax missing together on every 7th order, discount on line 3,
-    size on every 11th part price step, tax alone on line 5."""
+    """``sales`` with planted missing values (the driver tables hold none): quantity and
+    tax missing together on orders whose key is a multiple of 7, discount on line number 3,
+    tax alone on line number 5, size where the part size is a multiple of 11."""
     s = sales(spark, sf_dir)
     return s.select(
         "l_orderkey", "l_linenumber",

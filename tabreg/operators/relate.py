@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabreg.functions import exprs as X
+from tabreg.operators.order import with_group_rank
 from tabreg.operators.profile import melt
 from tabreg.session import cut_lineage
 
@@ -115,11 +116,12 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
     Levels sorted by mean (desc) share a letter when their means differ by at most HSD.
     Returns ``(variable, level, n, mean, position, hsd, groups)``.
 
-    The letters come from windows over the per-level table: reach_i = number of levels
-    with mean >= mean_i - HSD (a running count over a merged, sorted stream of level
-    means and probe values); an interval [i, reach_i] gets a letter when it reaches
-    further than every earlier one; a level's label is the run of letters whose
-    intervals cover it (intervals and their ends are both increasing).
+    The letters come from exact ranks over the per-level table (no window, no pairs):
+    reach_i = number of levels with mean >= mean_i - HSD (ranks in a merged, sorted stream
+    of level means and probe values); an interval [i, reach_i] gets a letter when it reaches
+    further than every earlier one; a level's label is the run of letters whose intervals
+    cover it (interval starts and ends both increase, so counts of starts and ends before
+    a position give the run).
     """
     # one pass over the rows; everything after works on this small per-level table,
     # materialised once so the windows and joins below do not re-read the data
@@ -131,31 +133,38 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
         F.lit(1.0 - alpha), F.col("k").cast("double"), F.col("df_within").cast("double"))
     av = av.withColumn("hsd", qcol * F.sqrt(F.col("ms_within") / F.col("n_h"))).select("variable", "hsd")
     lv = ls.join(av, "variable")
-    w_pos = Window.partitionBy("variable").orderBy(F.desc("mean"), F.col("level"))
-    lv = lv.withColumn("position", F.row_number().over(w_pos))
-    # reach: merge level means (kind 0) and probes mean_i - hsd (kind 1); descending value,
-    # means before probes on ties (>=); running count of means seen = reach of each probe
-    ev = (lv.select("variable", F.col("mean").alias("v"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("pos"))
+    # position by mean (desc), then level name: the distributed exact rank, so not even a
+    # factor with very many levels is ordered in one task
+    lv = with_group_rank(lv, ["variable"], [F.col("mean").desc(), F.col("level")], rank_col="position")
+    # reach_i = #{levels j: mean_j >= mean_i - HSD}. Merge the means (kind 0) with the probe
+    # values mean_i - HSD (kind 1) in one order (value desc, means first on ties); a probe's
+    # rank there counts the means before it plus the probes before it, and the probes come
+    # in position order, so reach = rank - position.
+    ev = (lv.select("variable", F.col("mean").alias("v"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("pos"))
             .unionByName(lv.select("variable", (F.col("mean") - F.col("hsd")).alias("v"), F.lit(1).alias("kind"),
                                    F.col("position").alias("pos"))))
-    w_ev = (Window.partitionBy("variable").orderBy(F.desc("v"), F.col("kind"), F.col("pos"))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    ev = ev.withColumn("seen", F.sum(1 - F.col("kind")).over(w_ev))
-    reach = ev.where(F.col("kind") == 1).select("variable", F.col("pos").alias("position"),
-                                                 F.col("seen").cast("int").alias("reach"))
-    lv = cut_lineage(lv.join(reach, ["variable", "position"]))
-    w_prev = Window.partitionBy("variable").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    lv = lv.withColumn("_kept", F.col("reach") > F.coalesce(F.max("reach").over(w_prev), F.lit(0)))
-    w_run = Window.partitionBy("variable").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    # last interval starting at or before j = number of kept intervals so far
-    lv = lv.withColumn("_last", F.sum(F.col("_kept").cast("int")).over(w_run))
-    # first interval covering j = 1 + number of kept intervals ending before j
+    ev = with_group_rank(ev, ["variable"], [F.col("v").desc(), F.col("kind"), F.col("pos")], rank_col="_r")
+    rc = ev.where(F.col("kind") == 1).select("variable", F.col("pos").alias("position"),
+                                              (F.col("_r") - F.col("pos")).alias("reach"))
+    # reach never decreases along the positions, so interval [i, reach_i] reaches further than
+    # every earlier one exactly when reach_i > reach_(i-1): a lag by an equi-join
+    prev = rc.select("variable", (F.col("position") + 1).alias("position"), F.col("reach").alias("_prev"))
+    lv = cut_lineage(lv.join(rc, ["variable", "position"]).join(prev, ["variable", "position"], "left")
+                       .withColumn("_kept", F.col("reach") > F.coalesce(F.col("_prev"), F.lit(0))).drop("_prev"))
+
+    def _count_before(events):
+        """For every level position j: how many kind-0 events sort at or before j (rank - j)."""
+        pts = lv.select("variable", F.col("position").alias("p"), F.lit(1).alias("kind"))
+        r = with_group_rank(events.unionByName(pts), ["variable"], [F.col("p"), F.col("kind")], rank_col="_r")
+        return r.where(F.col("kind") == 1).select("variable", F.col("p").alias("position"),
+                                                  (F.col("_r") - F.col("p")).alias("_cnt"))
+
+    # last letter of j = number of kept intervals starting at or before j
+    starts = lv.where("_kept").select("variable", F.col("position").alias("p"), F.lit(0).alias("kind"))
+    # first letter of j = 1 + number of kept intervals ending before j (end + 1 <= j)
     ends = lv.where("_kept").select("variable", (F.col("reach") + 1).alias("p"), F.lit(0).alias("kind"))
-    pts = lv.select("variable", F.col("position").alias("p"), F.lit(1).alias("kind"))
-    w_end = (Window.partitionBy("variable").orderBy("p", "kind").rowsBetween(Window.unboundedPreceding, 0))
-    closed = (ends.unionByName(pts).withColumn("_closed", F.sum(1 - F.col("kind")).over(w_end))
-                  .where(F.col("kind") == 1).select("variable", F.col("p").alias("position"), "_closed"))
-    lv = lv.join(closed, ["variable", "position"])
+    lv = (lv.join(_count_before(starts).withColumnRenamed("_cnt", "_last"), ["variable", "position"])
+            .join(_count_before(ends).withColumnRenamed("_cnt", "_closed"), ["variable", "position"]))
     first = F.col("_closed") + 1
     letters = F.transform(F.sequence(first.cast("int"), F.col("_last").cast("int")),
                           lambda i: F.when(i <= 26, F.chr(i + 96)).when(i <= 52, F.chr(i + 38))

@@ -111,7 +111,9 @@ def skim_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> D
     """A3 for numeric columns: missing, complete rate, mean, sd (n-1), and the exact
     0/25/50/75/100 % quantiles (type 7). Moments in one aggregate; quantiles by one
     distributed sort over the melted values (``method="approx"``: sketches, no sort)."""
-    m = melt(df, cols, "double")
+    # a row hash rides along so that equal values of a low-cardinality column are spread
+    # over many tasks by the quantile sort (its tiebreak hashes every column it gets)
+    m = melt(df.withColumn("_rid", F.xxhash64(*[F.col(c) for c in df.columns])), cols, "double", keep=["_rid"])
     moments = m.groupBy("variable").agg(
         F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"),
         (F.count("value") / F.count(F.lit(1))).alias("complete_rate"),

@@ -24,7 +24,7 @@ def label_breaks(df: DataFrame, label: str, n_breaks: int = 5, method: str = "ex
     """One row of break points ``b0 <= ... <= b{n-1}`` (quantiles at 0, 1/(n-1), ... 1);
     ``method="approx"`` takes them from a quantile sketch instead of a sort."""
     probs = [float(x) for x in np.linspace(0.0, 1.0, n_breaks)]
-    q = quantile_table(df.select(label), label, probs, (), method)
+    q = quantile_table(df, label, probs, (), method)     # callers pass a narrow (key, label) table
     return q.agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"b{i}")
                    for i, p in enumerate(probs)])
 

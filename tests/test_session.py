@@ -7,10 +7,16 @@ def test_checkpoint_dir_read_from_session(spark):
 
 
 def test_size_shuffle_partitions(spark):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    old = {k: spark.conf.get(k, None) for k in keys}
     try:
         n = size_shuffle_partitions(spark, 100 * (1 << 40), target_bytes=256 << 20)
         assert n == 409600 and spark.conf.get("spark.sql.shuffle.partitions") == "409600"
         assert size_shuffle_partitions(spark, 10) == spark.sparkContext.defaultParallelism
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -157,15 +157,19 @@ def tune_mllib(df: DataFrame, features: Sequence[str], label: str, fold_col: str
 
 
 def boost_path(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[], object],
-               model_name: str = "gbm") -> DataFrame:
-    """Held-out RMSE after every boosting iteration, per fold, from one fit per fold.
+               model_name: str = "gbm", parallelism: int = 4) -> DataFrame:
+    """Held-out RMSE after every boosting iteration, per fold, from one fit per fold
+    (the folds' fits run concurrently from a driver thread pool).
     ``(model, fold, n_trees, rmse)``; the mean over folds per ``n_trees`` picks the size."""
     spark = df.sparkSession
     data = cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(fold_col, label, "features"))
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-    rows = []
-    for f in folds:
+
+    def run(f):
         model = make().fit(data.where(F.col(fold_col) != f))
         losses = model.evaluateEachIteration(data.where(F.col(fold_col) == f), "squared")
-        rows += [(model_name, int(f), i + 1, float(math.sqrt(max(v, 0.0)))) for i, v in enumerate(losses)]
+        return [(model_name, int(f), i + 1, float(math.sqrt(max(v, 0.0)))) for i, v in enumerate(losses)]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        rows = [r for part in ex.map(run, folds) for r in part]
     return spark.createDataFrame(rows, "model string, fold int, n_trees int, rmse double")

@@ -162,7 +162,9 @@ def top_n_with_ties(df: DataFrame, value: str, n: int, by: Sequence[str] = (), s
     kept. ``rank <= n`` holds exactly when the value reaches the group's n-th largest value;
     that threshold comes from the salted top-n candidates, then one filter keeps the rows."""
     by = list(by)
-    nth = top_k_rows(df.select(*by, value), by, [F.col(value).desc()], n, salt_buckets)
+    # salt on the whole row: rows sharing a value (a long tail of equal counts) still
+    # spread over the buckets
+    nth = top_k_rows(df, by, [F.col(value).desc()], n, salt_buckets).select(*by, value)
     w = Window.partitionBy(*[F.col(b) for b in by]) if by else Window.partitionBy()
     thr = (nth.withColumn("_tn_c", F.count(F.lit(1)).over(w))
               .groupBy(*by).agg(F.min(value).alias("_tn_v"), F.max("_tn_c").alias("_tn_c")))

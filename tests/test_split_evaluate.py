@@ -91,3 +91,12 @@ def test_top_n_keeps_ties(spark):
     df = spark.createDataFrame([(f"v{i}", float(e)) for i, e in enumerate([5, 4, 4, 3, 1, -6])], "variable string, estimate double")
     got = sorted(r["variable"] for r in EV.top_n_by(df, "estimate", 2).collect())
     assert got == ["v0", "v1", "v2"]
+
+
+def test_sketch_options_run(spark):
+    from tabreg.operators import profile
+    df = _table(spark, 800, seed=9)
+    sk = profile.skim_numeric(df, ["y"], method="approx").first()
+    assert sk["p0"] <= sk["p50"] <= sk["p100"]
+    a = split.stratified_split(df, "key", "y", method="approx")
+    assert a.count() == 800 and a.where("split = 'train'").count() >= 0.79 * 800

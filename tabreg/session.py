@@ -87,11 +87,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     the estimates compound until planning itself stalls.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tabreg-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name below the shared checkpoint folder, released like the tables of
+    ``cut_lineage``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tabreg-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return path
 
 
 _WRITTEN: list[str] = []

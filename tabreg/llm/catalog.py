@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import packing, wavelet
+from tabreg.llm import packing, sharding, token_counts, wavelet, winnow
 from tabreg.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,30 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                       "sequence_id", "offset")
+
+
+@query
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal weight, and their shard among 41."""
+    out = sharding.shard_records(table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document under the vocabulary and scores of a public file."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of all documents and of their edited texts."""
+    out = winnow.fingerprint_pairs(table(spark, sf_dir, "documents"))
+    for name in ("fingerprint", "edited_fingerprint", "next_fingerprint"):
+        out = out.withColumn(name, winnow.hashes(F.col(name)))
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"),
+        winnow.as_text(F.col("fingerprint")).alias("fingerprint"),
+        winnow.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        winnow.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        winnow.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))

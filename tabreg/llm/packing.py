@@ -44,39 +44,72 @@ def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), counts
 
 
+def greedy_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A basic solution to start from: knapsacks over the classes still alive, at prices that
+    favour long pieces, each used until a class is exhausted. In the order of exhaustion the
+    patterns form a triangular table, so they are a basis; column j exhausts class j."""
+    m = len(sizes)
+    columns, use, left, alive = np.zeros((m, m)), np.zeros(m), demand.astype(float), np.ones(m, bool)
+    prices = sizes / capacity * (1.0 + 0.2 * sizes / capacity)
+    while alive.any():
+        at = np.flatnonzero(alive)
+        _, counts = knapsack(sizes[at], prices[at], capacity)
+        pattern = np.zeros(m)
+        pattern[at] = counts
+        some = at[counts > 0]
+        ratio = left[some] / pattern[some]
+        out = some[int(ratio.argmin())]
+        columns[:, out], use[out] = pattern, ratio.min()
+        left = np.maximum(left - use[out] * pattern, 0.0)
+        alive[out] = False
+    return columns, use
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3,
-                      max_columns: int = 3000) -> list[tuple[np.ndarray, float]]:
+                      max_columns: int = 600) -> list[tuple[np.ndarray, float]]:
     """Patterns with their fractional use: minimise the number of sequences so that every
-    class's demand is covered. Simplex over the columns found so far, starting from one
-    homogeneous pattern per class; stops when the best priced pattern is worth at most
-    ``1 + gap`` (then the value is within that factor of the optimum)."""
+    class's demand is covered. Simplex over the columns found so far, starting from a
+    greedy basis. Prices are smoothed towards the best dual point seen
+    (first the classes' sizes), and the search stops when the value is within ``1 + gap`` of
+    the bound that the priced dual point proves, or after ``max_columns`` columns."""
     m = len(sizes)
     if not m:
         return []
-    columns = np.diag(capacity // sizes).astype(float)      # one basis column per row of the table
-    inverse = np.diag(1.0 / (capacity // sizes))
-    use, cost = demand / (capacity // sizes), np.ones(m)
+    columns, use = greedy_basis(sizes, demand, capacity)
+    inverse, cost = np.linalg.inv(columns), np.ones(m)
+    centre, pull = sizes / capacity, 0.9
+    bound = float(centre @ demand)                          # sizes are a feasible dual point
     for step in range(max_columns):
         if step % 250 == 249:                               # sheds what rounding has piled up
             inverse = np.linalg.inv(columns)
             use = np.maximum(inverse @ demand, 0.0)
         price = cost @ inverse
+        value = float(cost @ use)
+        if value <= bound * (1.0 + gap):
+            break
         worst = int(price.argmin())
         if price[worst] < -1e-9:                            # covering more than the demand pays
             column, c = -np.eye(m)[worst], 0.0
         else:
-            value, column = knapsack(sizes, np.maximum(price, 0.0), capacity)
-            c = 1.0
-            if value <= 1.0 + gap:
+            c, weight = 1.0, pull
+            while True:
+                tried = weight * centre + (1.0 - weight) * np.maximum(price, 0.0)
+                worth, column = knapsack(sizes, tried, capacity)
+                if (proven := float(tried @ demand) / max(worth, 1.0)) > bound:
+                    bound, centre = proven, tried / max(worth, 1.0)
+                if price @ column > 1.0 + 1e-9 or weight < 1e-3:
+                    break
+                weight = weight / 2 if weight > 0.05 else 0.0
+            if price @ column <= 1.0 + 1e-9:                # the prices are optimal
                 break
         move = inverse @ column
         ratio = np.where(move > 1e-9, use / np.where(move > 1e-9, move, 1.0), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
-        step_size = ratio[out]
-        use = np.maximum(use - step_size * move, 0.0)
-        use[out] = step_size
+        much = ratio[out]
+        use = np.maximum(use - much * move, 0.0)
+        use[out] = much
         row = inverse[out] / move[out]
         inverse = inverse - np.outer(move, row)
         inverse[out] = row

@@ -12,6 +12,7 @@ Python and the library differ, and words outside the plain character ranges belo
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import regex
@@ -24,11 +25,28 @@ PLAIN = regex.compile("[!-~¡-įı-ɏ‐-‧€]+")
 UNLIKE_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+class Memo(dict):
+    """Results of a function by string, emptied when ``limit`` are held; long strings are
+    computed each time."""
+
+    def __init__(self, compute, limit: int):
+        super().__init__()
+        self.compute, self.limit = compute, limit
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.compute(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class TextEncoder:
     """``encode(text)`` gives the ids of the whole text, without special tokens, as
     little-endian unsigned 32-bit integers in a bytes object."""
 
-    def __init__(self, path: str, memo_words: int = 300_000):
+    def __init__(self, path: str, memo_words: int = 500_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -37,9 +55,8 @@ class TextEncoder:
         self.by_word = self._knows(spec)
         self.rule = regex.compile(WORD_RULE)
         self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)
-        self.memo_words = memo_words
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks = Memo(self._chunk, memo_words)
+        self.words = Memo(self._word, memo_words)
 
     @staticmethod
     def _knows(spec: dict) -> bool:
@@ -59,32 +76,22 @@ class TextEncoder:
 
     def _word(self, word: str) -> bytes:
         mapped = word if word.isascii() else self.bytes_of.pre_tokenize_str(word)[0][0]
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
-        if len(self.words) >= self.memo_words:
-            self.words.clear()
-        self.words[word] = ids
-        return ids
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if PLAIN.fullmatch(chunk):
-            known = self.words
-            ids = b"".join([known.get(w) or self._word(w) for w in self.rule.findall(chunk.lower())])
-        else:
-            ids = self.whole(chunk)
-        if len(chunk) <= 64:
-            if len(self.chunks) >= self.memo_words:
-                self.chunks.clear()
-            self.chunks[chunk] = ids
-        return ids
+        if not (chunk.isascii() or PLAIN.fullmatch(chunk)) or not chunk.isprintable():
+            return self.whole(chunk)
+        low = chunk.lower()
+        if low.isalpha():                                   # the two common shapes of the word rule
+            return self.words[low]
+        if low[-1] in ",." and low[:-1].isalpha():
+            return self.words[low[:-1]] + self.words[low[-1]]
+        return b"".join([self.words[w] for w in self.rule.findall(low)])
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or any(a in text for a in self.added) or any(c in text for c in UNLIKE_SPACES):
             return self.whole(text)
-        known = self.chunks.get
-        got = list(map(known, chunks := text.split()))
-        if None in got:
-            got = [ids if ids is not None else self.chunks.get(c) or self._chunk(c) for c, ids in zip(chunks, got)]
-        return b"".join(got)
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}

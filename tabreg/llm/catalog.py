@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import packing, sharding, token_counts, wavelet, winnow
+from tabreg.llm import packing, secret_scan, sharding, token_counts, wavelet, winnow
 from tabreg.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,16 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnow.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         winnow.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         winnow.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of all documents, one row per document."""
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(
+        F.col("id").alias("doc_id"), n("assign").alias("n_assign"), n("access").alias("n_access"),
+        n("hex").alias("n_hex"),
+        F.sha2(F.encode(secret_scan.as_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import packing, secret_scan, sharding, token_counts, wavelet, winnow
+from tabreg.llm import packing, secret_scan, sharding, token_counts, toxicity, wavelet, winnow
 from tabreg.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         n("hex").alias("n_hex"),
         F.sha2(F.encode(secret_scan.as_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
         secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "evidence")

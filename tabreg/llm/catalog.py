@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import packing, secret_scan, sharding, token_counts, toxicity, wavelet, winnow
+from tabreg.llm import ngram_join, packing, secret_scan, sharding, token_counts, toxicity, wavelet, winnow
 from tabreg.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
         "evidence")
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents: five-word shingles, Jaccard index 0.8 or more."""
+    out = ngram_join.near_classes(table(spark, sf_dir, "documents"))
+    each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    return each.select(F.col("id").alias("doc_id"), "class_id", "n_links",
+                       (F.col("keep") & (F.col("copy") == 1)).alias("kept"))

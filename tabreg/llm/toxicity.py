@@ -35,7 +35,7 @@ class Settings:
 
     examples: int = 4000
     terms: int = 512
-    least_g2: float = 30.0
+    least_g2: float = 15.0
     least_docs: int = 3
     neighbours: int = 15
     block: int = 64

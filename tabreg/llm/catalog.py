@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import ngram_join, packing, secret_scan, sharding, token_counts, toxicity, wavelet, winnow
+from tabreg.llm import ngram_join, packing, secret_scan, sharding, token_counts, toxicity, vector_dedup, wavelet, winnow
 from tabreg.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return each.select(F.col("id").alias("doc_id"), "class_id", "n_links",
                        (F.col("keep") & (F.col("copy") == 1)).alias("kept"))
+
+
+@query
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all embeddings of a label: cosine 0.98 or more."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))

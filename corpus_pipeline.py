@@ -1,12 +1,61 @@
-"""The corpus pipeline (stages are added below as their operators land)."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` with the columns of ``documents`` and returns them
+again (the last one returns the packed pieces); ``run`` writes every stage's rows as Parquet
+and reads them back as the next stage's ``docs``. SQL cannot express the nearest-neighbour
+scores, the MinHash candidates or the tokenizer, so ``ORACLE_SQL`` is None and
+``tests/llm/test_pipeline.py`` holds the stages against brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabreg.llm import catalog, mixing, ngram_join, packing, secret_scan, toxicity
+from tabreg.llm.base import cut_lineage, table, text_or_empty
+
+TOXIC_FROM = 0.7
+MARK = "[SECRET]"
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose toxicity score is 0.7 or more go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model, TOXIC_FROM)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of near copies (five-word shingles, Jaccard index 0.8) stays."""
+    return ngram_join.keep_one(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret span becomes a mark; all rows stay, ``n_chars`` follows a changed text."""
+    out = secret_scan.redact(docs, MARK, changed="__changed")
+    n = F.when(F.col("__changed"), F.length(text_or_empty("text")).cast("long")).otherwise(F.col("n_chars").cast("long"))
+    return out.withColumn("n_chars", n).drop("__changed")
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are sampled by their calibrated probabilities."""
+    margins = mixing.document_margins(docs)
+    cells = mixing.mixture(docs, margins, mixing.POWERS)
+    return mixing.assigned(docs, margins, cells).filter("__kept").select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 ids, one row per piece, with its ids."""
+    return packing.pack(docs, catalog.tokenizer("word_bpe_49k.json"), end_id=1)
+
 
-STAGES: list = []
+STAGES = [("toxicity", reject_toxic), ("near_duplicates", one_of_each_group), ("secrets", redact_secrets),
+          ("mixing", mix_to_targets), ("packing", pack_sequences)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return docs

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import ngram_join, packing, secret_scan, sharding, token_counts, toxicity, vector_dedup, wavelet, winnow
-from tabreg.llm.base import scratch_path, table
+from tabreg.llm import mixing, ngram_join, packing, secret_scan, sharding, token_counts, toxicity, vector_dedup, wavelet, winnow
+from tabreg.llm.base import scratch_path, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,19 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all embeddings of a label: cosine 0.98 or more."""
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and sampling decision of every document under tempered targets of source,
+    language and topic."""
+    docs = table(spark, sf_dir, "documents")
+    margins = mixing.document_margins(docs)
+    cells = mixing.mixture(docs, margins, mixing.POWERS)
+    rows = mixing.assigned(docs.withColumn("topic", margins["topic"]), margins, cells)
+    return rows.select("doc_id", "source", "lang", "topic", mixing.count_tokens(text_or_empty("text")).alias("tokens"),
+                       F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept"))
+
+
+SQL["op1_mixing"] = mixing.sql()
+SQL["op3_shards"] = sharding.sql(40)

@@ -129,3 +129,17 @@ def redacted(text: Column, span_array: Column, mark: str) -> Column:
 
     done = F.aggregate(span_array, start, step)
     return F.when(F.size(span_array) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redact(docs: DataFrame, mark: str, changed: str | None = None, scope: int = 256, id_col: str = "doc_id",
+           text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
+    """All rows and columns of ``docs`` with the secret spans of the text replaced by the mark;
+    ``changed`` names a boolean column to add. Null texts stay null."""
+    found = cut_lineage(scan(docs, scope, id_col, text_col).filter(F.size("spans") > 0)
+                        .select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans")))
+    found = F.broadcast(found) if found.count() <= broadcast_rows else found
+    h = F.md5(F.encode(text_or_empty(docs[text_col]), "UTF-8"))
+    out = docs.join(found, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (h == F.col("__h")), "left")
+    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col("__spans"), mark))
+    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*columns, *([F.col("__spans").isNotNull().alias(changed)] if changed else []))

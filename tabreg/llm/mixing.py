@@ -1,9 +1,8 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Documents fall into cells (one level per margin: source, language, topic). Iterative
-proportional fitting rakes the cells' token weights to every margin's target shares; it keeps
-one factor per level, so an iteration is a sum over the cell table per margin. A document's
-probability is its cell's product of factors, scaled so that no probability exceeds 1; it is
+proportional fitting rakes the cells' token weights to every margin's target shares, a sum over
+the cell table per margin and sweep. A document's probability is its cell's fitted ratio, scaled so that no probability exceeds 1; it is
 kept when a hash of its key falls below that.
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabreg.llm.base import cut_lineage, hex_uniform, text_or_empty
@@ -42,44 +41,40 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return cut_lineage(by.select("level", weight.alias("w")).join(F.broadcast(total)).select("level", (F.col("w") / F.col("total")).alias("share")))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-10, max_sweeps: int = 200,
-         broadcast_rows: int = 500_000) -> DataFrame:
-    """``cells`` with ``ratio``, the product of the fitted factors of its levels.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-10, max_sweeps: int = 60,
+         sweeps_per_table: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
+    """``cells`` with ``ratio``: the fitted weight over the token share, the product of one
+    factor per margin.
 
-    ``cells``: one row per combination of levels, ``tokens`` long. ``targets``: per margin
-    ``level, share`` (the levels with tokens; shares sum to 1). Sweeps until no factor moves by
-    more than ``tolerance`` (relative); margins that contradict each other raise after
-    ``max_sweeps``. Levels without tokens get the factor 1. Factor tables are written to the
-    shared folder in every step; they are broadcast up to ``broadcast_rows`` rows.
+    ``cells``: one row per combination of levels, ``tokens`` long; the table has at most as many
+    rows as there are combinations. ``targets``: per margin ``level, share`` (the levels with
+    tokens; shares sum to 1). A sweep scales the weights to each margin in turn; every
+    ``sweeps_per_table`` sweeps they are written to the shared folder, until no weight moves by
+    more than ``tolerance`` (relative) in a sweep. Where empty cells keep the margins from being
+    met together, the last of ``max_sweeps`` sweeps stands: the margin swept last is met exactly.
+    Cells without tokens get the ratio 1.
     """
     base = cells.filter("tokens > 0")
     whole = base.agg(F.sum("tokens").alias("t")).first()["t"]
-    small = {m: t.count() <= broadcast_rows for m, t in targets.items()}
-    factors = {m: cut_lineage(t.select("level", F.lit(1.0).alias("f"), F.lit(0.0).alias("moved"))) for m, t in targets.items()}
-
-    def put(df: DataFrame, margin: str) -> DataFrame:
-        f = factors[margin].select(F.col("level").alias(f"__l_{margin}"), F.col("f").alias(f"__f_{margin}"))
-        return df.join(F.broadcast(f) if small[margin] else f, df[margin].eqNullSafe(F.col(f"__l_{margin}")), "left").drop(f"__l_{margin}")
-
-    for _ in range(max_sweeps if whole else 0):
-        for margin, target in targets.items():
-            others = [m for m in targets if m != margin]
-            df = reduce(put, others, base)
-            weight = reduce(lambda w, m: w * F.col(f"__f_{m}"), others, F.col("tokens") / F.lit(float(whole)))
-            sums = df.groupBy(F.col(margin).alias("l")).agg(F.sum(weight).alias("s"))
-            old = factors[margin].select(F.col("level").alias("o"), F.col("f").alias("old"))
-            new = (target.join(sums, target["level"].eqNullSafe(sums["l"])).join(old, F.col("level").eqNullSafe(F.col("o")))
-                   .withColumn("f", F.col("share") / F.col("s")))
-            factors[margin] = cut_lineage(new.select("level", "f", F.abs(F.col("f") / F.col("old") - 1).alias("moved")))
-        moved = reduce(DataFrame.unionByName, [f.select("moved") for f in factors.values()]).agg(F.max("moved")).first()[0]
-        if moved <= tolerance:
+    if not whole:
+        return cells.withColumn("ratio", F.lit(1.0))
+    df = base.withColumn("__w", F.col("tokens") / F.lit(float(whole)))
+    for m, t in targets.items():
+        share = t.select(F.col("level").alias("__l"), F.col("share").alias(f"__share_{m}"))
+        share = F.broadcast(share) if t.count() <= broadcast_rows else share
+        df = df.join(share, df[m].eqNullSafe(F.col("__l"))).drop("__l")
+    done = 0
+    while done < max_sweeps:
+        for _ in range(sweeps_per_table):
+            df = df.withColumn("__before", F.col("__w"))
+            for m in targets:
+                df = df.withColumn("__w", F.col("__w") * F.col(f"__share_{m}") / F.sum("__w").over(Window.partitionBy(m)))
+        done += sweeps_per_table
+        df = cut_lineage(df)
+        if df.agg(F.max(F.abs(F.col("__w") / F.col("__before") - 1))).first()[0] <= tolerance:
             break
-    else:
-        if whole:
-            raise ValueError("the targets contradict each other: raking does not settle")
-    out = reduce(put, targets, cells)
-    ratio = reduce(lambda w, m: w * F.coalesce(F.col(f"__f_{m}"), F.lit(1.0)), targets, F.lit(1.0))
-    return out.withColumn("ratio", ratio).drop(*[f"__f_{m}" for m in targets])
+    fitted = df.withColumn("ratio", F.col("__w") * F.lit(float(whole)) / F.col("tokens")).select(*cells.columns, "ratio")
+    return fitted.unionByName(cells.filter("tokens <= 0").withColumn("ratio", F.lit(1.0)))
 
 
 def mixture(docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], text_col: str = "text",

@@ -106,8 +106,8 @@ def with_next_text(docs: DataFrame, id_col: str, text_col: str, blocks: int | No
     blocks = blocks or parallelism(spark)
     rows = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(docs[text_col]).alias("text"))
     step = max(2, int(blocks ** 0.5))
-    cuts = sorted(set(rows.stat.approxQuantile("id", [i / blocks for i in range(1, blocks)], 0.25 / blocks)))
-    cuts = [int(c) for c in cuts]
+    at = [i / blocks for i in range(1, blocks)]
+    cuts = sorted({int(c) for c in rows.stat.approxQuantile("id", at, 0.25 / blocks)}) if at else []
     groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
     id_ = F.col("id")
 

@@ -86,8 +86,8 @@ def replace_value(c: str | Column, old, new) -> Column:
 
 
 def floor_fallback(c: str | Column, floor, other: str | Column) -> Column:
-    """Keep ``c`` when it is above ``floor``, else take ``other`` (NULL ``c`` also falls back)."""
-    return F.when(col(c) > F.lit(floor), col(c)).otherwise(col(other))
+    """Keep ``c`` when it is above ``floor``, else take ``other``; a NULL ``c`` stays NULL."""
+    return F.when(col(c) <= F.lit(floor), col(other)).otherwise(col(c))
 
 
 def equals_flag(c: str | Column, level, when_equal: int = 1) -> Column:

@@ -10,6 +10,7 @@ RMSE / R^2 of a linear predictor on another Gram block.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -96,6 +97,8 @@ def elastic_net(g, feats: Sequence[str], label: str, lam: float, alpha: float,
                 dmax = max(dmax, abs(d) * np.sqrt(c[j, j]))
         if dmax < tol:
             break
+    else:
+        warnings.warn(f"coordinate descent stopped after {max_iter} rounds (last step {dmax:.3g})", RuntimeWarning)
     coef = b / sd
     return LinearFit(list(feats), float(my - mx @ coef), coef)
 

@@ -17,22 +17,28 @@ from statistics import NormalDist
 import numpy as np
 
 
-def _erfc(x: np.ndarray) -> np.ndarray:
-    """Complementary error function, vectorised (Chebyshev fit, relative error < 1.2e-7)."""
-    z = np.abs(x)
-    t = 1.0 / (1.0 + 0.5 * z)
-    poly = (-z * z - 1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (
-        -0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (
-            -0.82215223 + t * 0.17087277)))))))))
-    ans = t * np.exp(poly)
-    return np.where(x >= 0, ans, 2.0 - ans)
+_erfc = np.vectorize(math.erfc, otypes=[float])
 
 
 def norm_cdf(x):
+    """Standard normal CDF in double precision (for driver-side arrays)."""
     x = np.asarray(x, dtype=float)
     return 0.5 * _erfc(-x / math.sqrt(2.0))
 
 
+def norm_logcdf(x) -> np.ndarray:
+    """ln of the standard normal CDF, vectorised. The lower half is computed in log space from
+    a Chebyshev fit of erfc (relative error < 1.2e-7), so no tail is cut off."""
+    x = np.asarray(x, dtype=float)
+    z = np.abs(x) / math.sqrt(2.0)
+    t = 1.0 / (1.0 + 0.5 * z)
+    poly = (-z * z - 1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (
+        -0.18628806 + t * (0.27886807 + t * (-1.13520398 + t * (1.48851587 + t * (
+            -0.82215223 + t * 0.17087277)))))))))
+    tail = math.log(0.5) + np.log(t) + poly               # ln CDF(-|x|)
+    return np.where(x < 0, tail, np.log1p(-np.exp(tail)))
+
+
 def norm_ppf(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
@@ -59,24 +65,24 @@ def ptukey(q: float, k: int, df: float) -> float:
     """CDF of the studentized range with ``k`` means and ``df`` error degrees of freedom."""
     if q <= 0:
         return 0.0
-    if df > 5000:
-        return float(_prange_inf(np.array([q]), k)[0])
-    # s = chi_df / sqrt(df); integrate the density of s against P_inf(q s)
+    # s = chi_df / sqrt(df); integrate the density of s against P_inf(q s). The density is taken
+    # relative to its value at 1 and normalised by its own integral, so large df do not cancel.
     half = 9.0 / math.sqrt(2 * df)
     lo, hi = max(1e-6, 1 - half), 1 + half * (1.5 if df < 10 else 1.0)
     if df < 10:
         hi = max(hi, 6.0)
-    s, ws = _gl(160, lo, hi)
-    logc = (df / 2) * math.log(df) - math.lgamma(df / 2) - (df / 2 - 1) * math.log(2)
-    dens = np.exp(logc + (df - 1) * np.log(s) - df * s * s / 2)
-    return float(np.sum(ws * dens * _prange_inf(q * s, k)))
+    e, w = _gl(160, lo - 1.0, hi - 1.0)
+    dens = w * np.exp(df * (np.log1p(e) - e - 0.5 * e * e) - np.log1p(e))
+    return float(np.sum(dens * _prange_inf(q * (1.0 + e), k)) / np.sum(dens))
 
 
 @lru_cache(maxsize=1024)
 def qtukey(p: float, k: int, df: float) -> float:
     """Quantile of the studentized range (bisection on ``ptukey``)."""
-    a, b = 0.0, 60.0
-    for _ in range(48):
+    a, b = 0.0, 8.0
+    while ptukey(b, k, df) < p:                           # the bracket grows until it holds the quantile
+        a, b = b, 2.0 * b
+    for _ in range(52):
         m = 0.5 * (a + b)
         if ptukey(m, k, df) < p:
             a = m

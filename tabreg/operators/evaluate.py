@@ -100,9 +100,9 @@ def scaled_importance(imp: DataFrame, value: str = "importance", by: Sequence[st
 # -- normality: Q-Q pairs and Anderson-Darling ---------------------------------------------
 
 @F.pandas_udf(T.DoubleType())
-def norm_cdf_udf(z: pd.Series) -> pd.Series:
-    from tabreg.functions.stats import norm_cdf
-    return pd.Series(norm_cdf(z.to_numpy(dtype=float)))
+def norm_logcdf_udf(z: pd.Series) -> pd.Series:
+    from tabreg.functions.stats import norm_logcdf
+    return pd.Series(norm_logcdf(z.to_numpy(dtype=float)))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -128,7 +128,8 @@ def anderson_darling(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
     """Anderson-Darling normality statistic with estimated mean and sd, and its p.
 
     A2 = -n - (1/n) sum_i (2i - 1) [ln F(z_(i)) + ln(1 - F(z_(n+1-i)))]; regrouped so each
-    row only needs its own rank i: sum_i [(2i - 1) ln F(z_i) + (2(n - i) + 1) ln(1 - F(z_i))].
+    row only needs its own rank i: sum_i [(2i - 1) ln F(z_i) + (2(n - i) + 1) ln F(-z_i)], with
+    both logarithms taken without cutting off either tail.
     """
     by = list(by)
     base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
@@ -137,9 +138,9 @@ def anderson_darling(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
                         rank_col="_i", size_col="_n")
     r = r.join(mom, by) if by else r.withColumns({"_mu": mom.select("_mu").scalar(),
                                                  "_sd": mom.select("_sd").scalar()})
-    p = norm_cdf_udf((F.col("_x") - F.col("_mu")) / F.col("_sd"))
-    r = r.withColumn("_p", F.least(F.greatest(p, F.lit(1e-300)), F.lit(1 - 1e-16)))
-    term = (2 * F.col("_i") - 1) * F.log("_p") + (2 * (F.col("_n") - F.col("_i")) + 1) * F.log(1 - F.col("_p"))
+    z = (F.col("_x") - F.col("_mu")) / F.col("_sd")
+    term = ((2 * F.col("_i") - 1) * norm_logcdf_udf(z)
+            + (2 * (F.col("_n") - F.col("_i")) + 1) * norm_logcdf_udf(-z))
     s = r.groupBy(*by, "_n").agg(F.sum(term).alias("_s"))
     out = s.select(*by, F.col("_n").alias("n"), (-F.col("_n") - F.col("_s") / F.col("_n")).alias("a2"))
     return out.withColumn("p_value", _ad_p_udf(F.col("a2"), F.col("n").cast("double")))

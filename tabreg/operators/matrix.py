@@ -162,7 +162,7 @@ def linear_combos(g: Gram, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
             b = c[kept, k]
             coef = np.linalg.lstsq(a, b, rcond=None)[0]
             ss = ss - b @ coef
-        if ss <= tol * max(c[k, k], 1e-300) or c[k, k] <= 1e-12:
+        if ss <= tol * max(c[k, k], 1e-300) or c[k, k] <= 1e-14 * g.xtx([name], intercept=False)[0, 0]:
             drop.append(name)
         else:
             kept.append(k)

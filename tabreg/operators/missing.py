@@ -140,13 +140,14 @@ def impute_predictors(df: DataFrame, numeric_cols: Sequence[str], mincor: float
     ``(target, predictor, r_value, r_missing, selected)``.
     """
     from tabreg.operators.matrix import corr_from_moments, pairwise_moments
+    from tabreg.session import cut_lineage
     cols = [c for c in numeric_cols if c not in exclude]
     miss = missing_counts_wide(df, cols).first()
     targets = [c for c in cols if miss[c] > 0]
     if not targets:
         return df.sparkSession.createDataFrame([], "target string, predictor string, r_value double, "
                                                    "r_missing double, selected boolean")
-    r = corr_from_moments(pairwise_moments(df, cols, targets)).cache()
+    r = cut_lineage(corr_from_moments(pairwise_moments(df, cols, targets)))
     val = r.where(F.col("var_y").isin(targets) & (F.col("var_x") != F.col("var_y"))) \
            .select(F.col("var_y").alias("target"), F.col("var_x").alias("predictor"), F.col("r").alias("r_value"))
     ind = r.where(F.col("var_y").isin([f"{t}__isna" for t in targets]) & F.col("var_x").isin(cols)) \

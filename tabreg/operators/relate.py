@@ -168,7 +168,7 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
     first = F.col("_closed") + 1
     letters = F.transform(F.sequence(first.cast("int"), F.col("_last").cast("int")),
                           lambda i: F.when(i <= 26, F.chr(i + 96)).when(i <= 52, F.chr(i + 38))
-                                     .otherwise(F.concat(F.lit("a"), i.cast("string"))))
+                                     .otherwise(F.concat(F.lit("["), i.cast("string"), F.lit("]"))))
     return lv.select("variable", "level", F.col("n").cast("long").alias("n"), "mean",
                      F.col("position").cast("int").alias("position"), "hsd",
                      F.array_join(letters, "").alias("groups"))

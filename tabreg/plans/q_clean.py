@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
 from tabreg.operators import clean
-from tabreg.plans.common import SALES_SQL, r2, r6
+from tabreg.plans.common import GAPS_SQL, SALES_SQL, r2, r6
 from tabreg.plans.registry import register
 from tabreg.sources import io
 from tabreg.sources.codebook import Codebook, relevel_frame, rename_level_frame
-from tabreg.sources.tables import orders_tagged, sales, table
+from tabreg.sources.tables import orders_tagged, sales, sales_with_gaps, table
 
 # Codebook used by the stand-in queries (a deliberately incomplete one: '5-LOW' and some
 # flag values are missing so that reconciliation and violations have work to do).
@@ -154,7 +154,7 @@ def coerce_numeric(spark, sf_dir):
                  F.countDistinct("p_size").alias("n_size_codes"))
 
 
-@register("recode_levels", "E2 L1 L4", sql="""
+@register("recode_levels", "E2 L1", sql="""
 SELECT p_type_merged, count(*) AS n, round(avg(p_retailprice), 6) AS mean_price
 FROM (
   SELECT CASE WHEN p_type IN ('SMALL','MEDIUM') THEN 'SM_MED'
@@ -175,11 +175,11 @@ def recode_levels(spark, sf_dir):
 SELECT l_returnflag,
        count(*) AS n,
        CAST(sum(CASE WHEN p_size = 50 THEN 5 ELSE p_size END) AS BIGINT) AS sum_size_fixed,
-       round(sum(CASE WHEN l_tax > 0.02 THEN l_tax ELSE l_discount END), 4) AS sum_tax_floor
-FROM {SALES_SQL} s GROUP BY l_returnflag
+       round(sum(CASE WHEN l_tax <= 0.02 THEN l_discount ELSE l_tax END), 4) AS sum_tax_floor
+FROM {GAPS_SQL} s GROUP BY l_returnflag
 """)
 def value_fixes(spark, sf_dir):
-    s = sales(spark, sf_dir)
+    s = sales_with_gaps(spark, sf_dir)
     s = s.withColumn("p_size", X.replace_value("p_size", 50, 5))                # E6
     s = s.withColumn("tax_floor", X.floor_fallback("l_tax", 0.02, "l_discount"))  # E7
     return s.groupBy("l_returnflag").agg(

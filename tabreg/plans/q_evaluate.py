@@ -122,16 +122,16 @@ WITH c AS (SELECT p_brand AS variable, round(avg(p_retailprice) / 100 - 14, 1) A
 
 @register("top_coefficients", "W1 F8 O1 T14 T28", sql=_COEF_SQL + """
 SELECT variable, estimate, n FROM (
-  SELECT *, rank() OVER (ORDER BY estimate DESC) AS rk FROM c WHERE abs(estimate) > 0.01 AND n > 70
+  SELECT *, rank() OVER (ORDER BY estimate DESC) AS rk FROM c WHERE abs(estimate) > 0.01
 ) t WHERE rk <= 10
 """)
 def top_coefficients(spark, sf_dir):
     """A coefficient-shaped table from the data (one estimate per brand, rounded so that
-    ties occur), screened by |estimate| and support, top 10 signed values with ties."""
+    ties occur), screened by |estimate|, top 10 signed values with ties."""
     p = table(spark, sf_dir, "part")
     c = p.groupBy(F.col("p_brand").alias("variable")).agg(
         F.round(F.avg("p_retailprice") / 100 - 14, 1).alias("estimate"), F.count(F.lit(1)).alias("n"))
-    c = c.where((F.abs("estimate") > 0.01) & (F.col("n") > 70))
+    c = c.where(F.abs("estimate") > 0.01)
     return EV.top_n_by(c, "estimate", 10).select("variable", "estimate", "n")
 
 

@@ -48,7 +48,7 @@ def missing_pattern(spark, sf_dir):
     return missing.missing_pattern(sales_with_gaps(spark, sf_dir), _PAT)
 
 
-@register("missing_columns", "P6 F5", sql=f"""
+@register("missing_columns", "P6", sql=f"""
 SELECT variable, n_missing, n - n_missing AS n_present
 FROM ({_unpivot_counts_sql(_ALL)}) t WHERE n_missing > 0
 """)

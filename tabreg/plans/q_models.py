@@ -57,7 +57,7 @@ def model_table(spark, sf_dir):
         (F.col("o_orderstatus") == "O").cast("double").alias("status_o"), "ext", "net")
 
 
-def _train_with_folds(spark, sf_dir, k=5):
+def _train_with_folds(spark, sf_dir, k=10):
     t = model_table(spark, sf_dir).where(F.col("set") == "train")
     folds = split.stratified_folds(t, KEY, LABEL, k=k, seed=12345).select(KEY, "fold")
     return t.join(folds, KEY)
@@ -282,7 +282,7 @@ def model_compare(spark, sf_dir):
     return EV.stack(outs).orderBy(F.desc("rmse"))
 
 
-@register("chained_impute", "I6 I7 I9 J7 I5")
+@register("chained_impute", "I6 I7 J7 I5")
 def chained_impute(spark, sf_dir):
     """Plant gaps in three predictors, impute them by chained trees with donor draws,
     report per column how many cells were filled and that none is left."""
@@ -298,7 +298,7 @@ def chained_impute(spark, sf_dir):
                     F.count(F.lit(1)).alias("n"))
 
 
-@register("score", "ML13 ML15 E12 S5")
+@register("score", "ML13 ML15 E12")
 def score(spark, sf_dir):
     t = model_table(spark, sf_dir)
     train = t.where(F.col("set") == "train")

@@ -70,7 +70,7 @@ def _nzv_source_sql():
             f"FROM {SALES_SQL} s0)")
 
 
-@register("near_zero_variance", "A6 W2 M1 M2 T11", sql=f"""
+@register("near_zero_variance", "A6 W2 M2 T11", sql=f"""
 WITH m AS ({_melt_sql(_NZV_COLS, _nzv_source_sql(), 'VARCHAR')}),
 c AS (SELECT variable, value AS level, count(*) AS n FROM m GROUP BY ALL),
 t AS (SELECT variable, max(n) AS top_n, count(*) AS n_unique,

@@ -29,3 +29,26 @@ def test_f_and_t_tails():
 def test_ad_pvalue_monotone():
     ps = [ad_pvalue(a, 100) for a in (0.1, 0.3, 0.5, 1.0, 3.0)]
     assert all(a > b for a, b in zip(ps, ps[1:]))
+
+
+def test_log_normal_cdf_keeps_both_tails():
+    import numpy as np
+    from tabreg.functions.stats import norm_cdf, norm_logcdf
+    x = np.array([-5.0, -1.0, 0.0, 1.0, 5.0])
+    assert np.allclose(norm_logcdf(x), np.log(norm_cdf(x)), rtol=1e-6)
+    assert -1300 < norm_logcdf(np.array([-50.0]))[0] < -1250
+
+
+def test_tukey_is_continuous_in_df_and_not_bounded():
+    from tabreg.functions.stats import ptukey, qtukey
+    a, b, c = (qtukey(0.95, 10, df) for df in (4999, 5001, 10 ** 12))
+    assert abs(a - b) < 1e-4 and a > b > c and abs(c - 4.474124) < 1e-4
+    wide = qtukey(0.95, 100, 1)
+    assert wide > 60 and abs(ptukey(wide, 100, 1) - 0.95) < 1e-6
+
+
+def test_anderson_darling_of_the_mirror_image(spark):
+    from tabreg.operators import evaluate as EV
+    rows = [(float(x),) for x in list(range(40)) + [400]]
+    a, b = (EV.anderson_darling(spark.createDataFrame([(s * x,) for x, in rows], "v double"), "v").first()["a2"] for s in (1, -1))
+    assert abs(a - b) < 1e-6

@@ -35,7 +35,7 @@ class Settings:
 
     examples: int = 4000
     terms: int = 512
-    least_g2: float = 15.0
+    least_g2: float = 30.0
     least_docs: int = 3
     neighbours: int = 15
     block: int = 64
@@ -82,20 +82,34 @@ class BlockMaxIndex:
         for t in terms:
             blocks, most = self.bounds[t]
             bound[blocks] += query[t] * most
-        found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(found) >= k and bound[b] < found[k - 1][0] - 1e-12:
-                break
-            lo, hi = b * self.block, (b + 1) * self.block
-            score = np.zeros(self.block)
-            for t in terms:
-                at, w = self.postings[t]
-                i, j = np.searchsorted(at, (lo, hi))
-                score[at[i:j] - lo] += query[t] * w[i:j]
-            hits = [(float(score[p]), int(lo + p)) for p in np.flatnonzero(score > 0)
-                    if not_hash is None or self.hashes[lo + p] != not_hash]
-            found = sorted(found + hits, key=lambda x: (-x[0], x[1]))[:k]
-        return found
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        first = order[:-(-k // self.block)]                   # the most promising blocks set the bar
+        found = self._best(query, terms, first, k, not_hash)
+        rest = order[len(first):]
+        if len(found) >= k:
+            rest = rest[bound[rest] >= found[k - 1][0] - 1e-12]
+        return sorted(found + self._best(query, terms, rest, k, not_hash), key=lambda x: (-x[0], x[1]))[:k]
+
+    def _best(self, query: dict[int, float], terms: list[int], blocks: np.ndarray, k: int,
+              not_hash: str | None) -> list[tuple[float, int]]:
+        """The best k of the examples in the blocks, from the postings that lie in them."""
+        if not len(blocks):
+            return []
+        chosen = np.zeros(-(-len(self.hashes) // self.block), bool)
+        chosen[blocks] = True
+        score = np.zeros(len(self.hashes))
+        for t in terms:
+            at, w = self.postings[t]
+            if not chosen.all():
+                use = chosen[at // self.block]
+                at, w = at[use], w[use]
+            score[at] += query[t] * w
+        places = np.flatnonzero(score > 0)
+        places = places[np.lexsort((places, -score[places]))]
+        if not_hash is not None:
+            places = places[[self.hashes[p] != not_hash for p in places]] if len(places) else places
+        return [(float(score[p]), int(p)) for p in places[:k]]
 
 
 @dataclass

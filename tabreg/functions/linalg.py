@@ -28,13 +28,7 @@ class LinearFit:
 
 
 def _stats(g, feats: Sequence[str], label: str):
-    n = g.n
-    mx = g.means(feats)
-    my = g.means([label])[0]
-    sxx = g.sub(feats) - n * np.outer(mx, mx)          # centred cross products
-    idx = [g.names.index(c) for c in feats]
-    sxy = g.m[idx, g.names.index(label)] - n * mx * my
-    return n, mx, my, sxx, sxy
+    return g.n, g.means(feats), g.means([label])[0], g.centred(feats), g.centred(feats, [label])[:, 0]
 
 
 def ols(g, feats: Sequence[str], label: str) -> LinearFit:
@@ -43,31 +37,24 @@ def ols(g, feats: Sequence[str], label: str) -> LinearFit:
     return LinearFit(list(feats), float(my - mx @ b), b)
 
 
+def _on_block(g, fit: LinearFit, label: str) -> tuple[float, float, float, float]:
+    """Squared errors, and the centred sums of prediction x label, prediction, label."""
+    n, mx, my, sxx, sxy = _stats(g, fit.features, label)
+    gap = fit.intercept + float(mx @ fit.coef) - my
+    vp, cov, vy = float(fit.coef @ sxx @ fit.coef), float(fit.coef @ sxy), float(g.centred([label])[0, 0])
+    return n * gap * gap + vp - 2 * cov + vy, cov, vp, vy
+
+
 def rss(g, fit: LinearFit, label: str) -> float:
     """Residual sum of squares of ``fit`` on the rows summarised by ``g``."""
-    beta = np.concatenate([[fit.intercept], fit.coef])
-    xtx = g.xtx(fit.features)
-    xty = g.xty(fit.features, label)
-    return float(g.yty(label) - 2 * beta @ xty + beta @ xtx @ beta)
+    return _on_block(g, fit, label)[0]
 
 
 def metrics_on(g, fit: LinearFit, label: str) -> dict[str, float]:
     """RMSE and squared correlation of predictions vs label on the rows of ``g``."""
-    n = g.n
-    beta = np.concatenate([[fit.intercept], fit.coef])
-    xtx = g.xtx(fit.features)
-    xty = g.xty(fit.features, label)
-    s_p = beta @ xtx[:, 0]                 # sum of predictions
-    s_pp = beta @ xtx @ beta               # sum of squared predictions
-    s_py = beta @ xty                      # sum of pred * y
-    s_y = g.m[0, g.names.index(label)]
-    s_yy = g.yty(label)
-    sse = s_yy - 2 * s_py + s_pp
-    cov = s_py - s_p * s_y / n
-    vp = s_pp - s_p * s_p / n
-    vy = s_yy - s_y * s_y / n
+    sse, cov, vp, vy = _on_block(g, fit, label)
     r2 = cov * cov / (vp * vy) if vp > 0 and vy > 0 else float("nan")
-    return {"n": n, "rmse": float(np.sqrt(max(sse, 0) / n)), "rsquared": float(r2)}
+    return {"n": g.n, "rmse": float(np.sqrt(max(sse, 0) / g.n)) if g.n else float("nan"), "rsquared": float(r2)}
 
 
 def elastic_net(g, feats: Sequence[str], label: str, lam: float, alpha: float,

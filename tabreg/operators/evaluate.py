@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabreg.operators.order import top_n_with_ties, with_group_rank
+from tabreg.operators.order import small_side, top_n_with_ties, with_group_rank
+from tabreg.session import cut_lineage
 
 
 def regression_metrics(df: DataFrame, pred: str = "pred", obs: str = "obs",
@@ -45,7 +46,7 @@ def residual_table(df: DataFrame, pred: str = "pred", obs: str = "obs", label_fr
     res = df.withColumn("res", F.col(pred) - F.col(obs))
     sd = res.groupBy(*by).agg(F.stddev_samp("res").alias("_sd"))
     if by:
-        j = res.join(sd, list(by))
+        j = res.join(small_side(cut_lineage(sd)), list(by))
     else:
         j = res.withColumn("_sd", sd.select("_sd").scalar())
     j = j.withColumn("stdres", F.try_divide(F.col("res"), F.col("_sd"))).drop("_sd")

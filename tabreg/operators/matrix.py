@@ -1,9 +1,9 @@
 """Feature-matrix operators (M1-M7) and the one-pass Gram matrix.
 
 The Gram matrix of ``[1, x_1..x_p, y]`` holds every sufficient statistic a linear model
-needs: n, the sums, X'X, X'y and y'y. It is computed in ONE pass: every task folds its
-rows into a (p+2)^2 matrix with numpy (``mapInPandas``), emits it once as long
-``(i, j, value)`` rows, and a ``groupBy`` sums the blocks. With ``by`` (e.g. the fold
+needs: n, the sums, X'X, X'y and y'y. It is computed in ONE pass and kept centred (count,
+means, centred cross products): every task folds its rows with numpy (``mapInPandas``) into
+one packed row, and the packed rows are merged in two levels. With ``by`` (e.g. the fold
 column) one pass gives a block per group; a training fold's matrix is then
 ``total - block(fold)``. Only p x p matrices reach the driver, never rows.
 
@@ -15,6 +15,8 @@ fitted steps applied by projection.
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,107 +30,168 @@ from tabreg.operators.profile import near_zero_variance
 ONE = "(Intercept)"
 
 
-def gram_long(df: DataFrame, features: Sequence[str], label: str | None = None,
-              by: Sequence[str] = (), complete_cases: bool = True) -> DataFrame:
-    """``(by..., i, j, name_i, name_j, value)`` for i <= j over ``[1, features..., label]``.
+def _tree_merge(blocks: DataFrame, by: Sequence[str], state: Sequence[str], arrays: Sequence[str], add) -> DataFrame:
+    """Fold the tasks' packed blocks to one row per ``by`` key: first in about the square root of
+    the shuffle partitions, then one task per key, reading them batch by batch. ``add(a, b)``
+    joins two blocks given as lists in the order ``state`` (scalars) + ``arrays``."""
+    by = list(by)
+    width = max(1, math.isqrt(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-    Rows with a NULL in any used column are skipped (complete cases), as a model fit does.
+    def fold(batches):
+        acc: dict[tuple, list] = {}
+        for pdf in batches:
+            for row in pdf.itertuples(index=False, name=None):
+                key = tuple(None if pd.isna(v) else v for v in row[:len(by)])
+                block = [np.asarray(v, dtype=float) for v in row[len(by):]]
+                acc[key] = add(acc[key], block) if key in acc else block
+        if acc:
+            yield _packed(acc, by, state, arrays)
+
+    some = blocks.repartition(width).mapInPandas(fold, blocks.schema)
+    return (some.repartition(width, *by) if by else some.repartition(1)).mapInPandas(fold, blocks.schema)
+
+
+def _packed(acc: dict, by: Sequence[str], state: Sequence[str], arrays: Sequence[str]) -> pd.DataFrame:
+    """One row per key: its scalars and its matrices as flat lists."""
+    cols = {b: [k[i] for k in acc] for i, b in enumerate(by)}
+    cols |= {c: [float(v[i]) for v in acc.values()] for i, c in enumerate(state)}
+    cols |= {c: [v[len(state) + i].ravel() for v in acc.values()] for i, c in enumerate(arrays)}
+    return pd.DataFrame(cols)
+
+
+def _add_centred(a: list, b: list) -> list:
+    """Joins (n, skipped, mean, centred cross products) of two row sets without ever forming
+    raw sums, so columns with a large mean and a small spread keep their digits."""
+    n = a[0] + b[0]
+    if n == 0:
+        return [n, a[1] + b[1], a[2], a[3]]
+    q = a[2].size
+    d = b[2] - a[2]
+    c = a[3].reshape(q, q) + b[3].reshape(q, q) + np.outer(d, d) * (a[0] * b[0] / n)
+    return [n, a[1] + b[1], a[2] + d * (b[0] / n), c]
+
+
+def gram_blocks(df: DataFrame, features: Sequence[str], label: str | None = None,
+                by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., n, skipped, mean, cross)``: per key the row count, the means and the centred
+    cross products of ``[features..., label]`` as flat arrays.
+
+    Every task emits one packed row per key, merged in two levels, so the shuffle carries
+    tasks x keys rows whatever the number of columns. Rows with a NULL in a used column are
+    left out, as a model fit does, and counted in ``skipped``.
     """
     by = list(by)
-    names = [ONE, *features] + ([label] if label else [])
     used = [*features] + ([label] if label else [])
-    p = len(names)
-    iu = np.triu_indices(p)
-    sel = df.select(*by, *[F.col(c).cast("double").alias(f"_g{k}") for k, c in enumerate(used)])
-    if complete_cases:
-        sel = sel.dropna(subset=[f"_g{k}" for k in range(len(used))])
-    by_types = ", ".join(f"`{b}` {t}" for b, t in zip(by, [sel.schema[b].dataType.simpleString() for b in by]))
-    schema = (by_types + ", " if by else "") + "i int, j int, value double"
     ucols = [f"_g{k}" for k in range(len(used))]
+    sel = df.select(*by, *[F.col(c).cast("double").alias(u) for c, u in zip(used, ucols)])
+    schema = "".join(f"`{b}` {sel.schema[b].dataType.simpleString()}, " for b in by)
+    schema += "n double, skipped double, mean array<double>, cross array<double>"
+    state, arrays = ["n", "skipped"], ["mean", "cross"]
 
     def fold(batches):
-        acc: dict[tuple, np.ndarray] = {}
+        acc: dict[tuple, list] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
-            groups = pdf.groupby(by, sort=False, dropna=False) if by else [((), pdf)]
-            for key, g in groups:
-                key = key if isinstance(key, tuple) else (key,)
-                x = np.empty((len(g), p))
-                x[:, 0] = 1.0
-                x[:, 1:] = g[ucols].to_numpy(dtype=float)
-                m = x.T @ x
-                acc[key] = acc[key] + m if key in acc else m
-        for key, m in acc.items():
-            out = pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "value": m[iu]})
-            for b, v in zip(by, key):
-                out.insert(0 if not by else by.index(b), b, v)
-            yield out
-
-    blocks = sel.mapInPandas(fold, schema)
-    summed = blocks.groupBy(*by, "i", "j").agg(F.sum("value").alias("value"))
-    name_arr = F.array(*[F.lit(n) for n in names])
-    return summed.select(*by, "i", "j", F.element_at(name_arr, F.col("i") + 1).alias("name_i"),
-                         F.element_at(name_arr, F.col("j") + 1).alias("name_j"), "value")
+            for key, g in (pdf.groupby(by, sort=False, dropna=False) if by else [((), pdf)]):
+                key = tuple(None if pd.isna(v) else v for v in (key if isinstance(key, tuple) else (key,)))
+                x = g[ucols].to_numpy(dtype=float)
+                whole = ~np.isnan(x).any(axis=1)
+                skipped, x = float((~whole).sum()), x[whole]
+                mean = x.mean(axis=0) if len(x) else np.zeros(len(used))
+                z = x - mean
+                block = [float(len(x)), skipped, mean, z.T @ z]
+                acc[key] = _add_centred(acc[key], block) if key in acc else block
+        if acc:
+            yield _packed(acc, by, state, arrays)
 
+    return _tree_merge(sel.mapInPandas(fold, schema), by, state, arrays, _add_centred)
 
-@dataclass
-class Gram:
-    """A collected Gram matrix over ``names = [1, features..., label]``."""
 
-    names: list[str]
-    m: np.ndarray
+def gram_long(df: DataFrame, features: Sequence[str], label: str | None = None,
+              by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., i, j, name_i, name_j, value)``: the raw sums of products for i <= j over
+    ``[1, features..., label]``, from the merged blocks."""
+    by = list(by)
+    names = [ONE, *features] + ([label] if label else [])
+    iu = np.triu_indices(len(names))
+    merged = gram_blocks(df, features, label, by)
+    schema = "".join(f"`{b}` {merged.schema[b].dataType.simpleString()}, " for b in by)
+    schema += "i int, j int, name_i string, name_j string, value double"
 
-    @property
-    def n(self) -> float:
-        return float(self.m[0, 0])
+    def unpack(batches):
+        for pdf in batches:
+            for row in pdf.itertuples(index=False, name=None):
+                n, skipped, mean, cross = row[len(by):]
+                m = Gram(names, n, np.asarray(mean), np.asarray(cross).reshape(len(mean), -1)).m
+                out = {b: [row[i]] * len(iu[0]) for i, b in enumerate(by)}
+                out |= {"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "name_i": [names[i] for i in iu[0]],
+                        "name_j": [names[j] for j in iu[1]], "value": m[iu]}
+                yield pd.DataFrame(out)
 
-    def sub(self, cols: Sequence[str]) -> np.ndarray:
-        idx = [self.names.index(c) for c in cols]
-        return self.m[np.ix_(idx, idx)]
+    return merged.mapInPandas(unpack, schema)
 
-    def xtx(self, feats: Sequence[str], intercept: bool = True) -> np.ndarray:
-        return self.sub(([ONE] if intercept else []) + list(feats))
 
-    def xty(self, feats: Sequence[str], label: str, intercept: bool = True) -> np.ndarray:
-        rows = [self.names.index(c) for c in ([ONE] if intercept else []) + list(feats)]
-        return self.m[rows, self.names.index(label)]
+@dataclass
+class Gram:
+    """Collected sufficient statistics over ``names = [1, features..., label]``: the row count,
+    the means and the centred cross products of ``names[1:]``."""
 
-    def yty(self, label: str) -> float:
-        k = self.names.index(label)
-        return float(self.m[k, k])
+    names: list[str]
+    n: float
+    mean: np.ndarray
+    cross: np.ndarray
+    skipped: float = 0.0
+
+    def _at(self, cols: Sequence[str]) -> list[int]:
+        return [self.names.index(c) - 1 for c in cols]
+
+    @property
+    def m(self) -> np.ndarray:
+        """The raw Gram matrix."""
+        full = np.concatenate([[1.0], self.mean])
+        out = self.n * np.outer(full, full)
+        out[1:, 1:] += self.cross
+        return out
 
     def means(self, cols: Sequence[str]) -> np.ndarray:
-        return np.array([self.m[0, self.names.index(c)] for c in cols]) / self.n
+        return self.mean[self._at(cols)]
 
-    def cov_pop(self, cols: Sequence[str]) -> np.ndarray:
-        mu = self.means(cols)
-        return self.sub(cols) / self.n - np.outer(mu, mu)
+    def centred(self, rows: Sequence[str], cols: Sequence[str] | None = None) -> np.ndarray:
+        """Centred cross products of ``rows`` with ``cols`` (default: with themselves)."""
+        return self.cross[np.ix_(self._at(rows), self._at(rows if cols is None else cols))]
 
-    def __sub__(self, other: "Gram") -> "Gram":
-        return Gram(self.names, self.m - other.m)
+    def cov_pop(self, cols: Sequence[str]) -> np.ndarray:
+        return self.centred(cols) / self.n
 
     def __add__(self, other: "Gram") -> "Gram":
-        return Gram(self.names, self.m + other.m)
-
+        n, skipped, mean, cross = _add_centred([self.n, self.skipped, self.mean, self.cross],
+                                               [other.n, other.skipped, other.mean, other.cross])
+        return Gram(self.names, n, mean, cross, skipped)
 
-def collect_gram(long: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> dict:
-    """Collect a ``gram_long`` result into ``{group_key: Gram}`` (``()`` without ``by``).
-    The collected size is #groups x p^2 numbers, independent of the row count."""
-    p = len(names)
-    out: dict = {}
-    for r in long.collect():
-        key = tuple(r[b] for b in by)
-        mat = out.setdefault(key, np.zeros((p, p)))
-        mat[r["i"], r["j"]] = r["value"]
-        mat[r["j"], r["i"]] = r["value"]
-    return {k: Gram(list(names), v) for k, v in out.items()}
+    def __sub__(self, other: "Gram") -> "Gram":
+        n = self.n - other.n
+        if n <= 0:
+            return Gram(self.names, 0.0, np.zeros_like(self.mean), np.zeros_like(self.cross), self.skipped - other.skipped)
+        mean = self.mean + (self.mean - other.mean) * (other.n / n)
+        d = other.mean - mean
+        cross = self.cross - other.cross - np.outer(d, d) * (n * other.n / self.n)
+        return Gram(self.names, n, mean, cross, self.skipped - other.skipped)
 
 
 def gram(df: DataFrame, features: Sequence[str], label: str | None = None,
          by: Sequence[str] = ()) -> dict:
+    """``{group_key: Gram}`` (``()`` without ``by``); #groups x p^2 numbers reach the driver,
+    independent of the row count. Warns when rows were left out for a NULL."""
     names = [ONE, *features] + ([label] if label else [])
-    return collect_gram(gram_long(df, features, label, by), names, by)
+    q = len(names) - 1
+    out: dict = {} if by else {(): Gram(names, 0.0, np.zeros(q), np.zeros((q, q)))}
+    for r in gram_blocks(df, features, label, by).collect():
+        out[tuple(r[b] for b in by)] = Gram(names, r["n"], np.array(r["mean"]), np.array(r["cross"]).reshape(q, q),
+                                            r["skipped"])
+    if skipped := sum(g.skipped for g in out.values()):
+        warnings.warn(f"{skipped:.0f} rows with a NULL among the used columns are left out of the fit", RuntimeWarning)
+    return out
 
 
 # -- M2 / M1 ------------------------------------------------------------------------------
@@ -152,7 +215,7 @@ def linear_combos(g: Gram, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
     """M3: columns (in order) that are exact linear combinations of earlier kept columns
     and the intercept: the residual sum of squares of regressing a column on the kept
     ones, read off the centred cross-product matrix, is ~0."""
-    c = g.cov_pop(cols) * g.n
+    c, mean = g.centred(cols), g.means(cols)
     kept: list[int] = []
     drop: list[str] = []
     for k, name in enumerate(cols):
@@ -162,7 +225,7 @@ def linear_combos(g: Gram, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
             b = c[kept, k]
             coef = np.linalg.lstsq(a, b, rcond=None)[0]
             ss = ss - b @ coef
-        if ss <= tol * max(c[k, k], 1e-300) or c[k, k] <= 1e-14 * g.xtx([name], intercept=False)[0, 0]:
+        if ss <= tol * max(c[k, k], 1e-300) or c[k, k] <= 1e-28 * g.n * mean[k] ** 2:      # combination, constant
             drop.append(name)
         else:
             kept.append(k)
@@ -350,11 +413,10 @@ class FittedRecipe:
 
 def pairwise_moments(df: DataFrame, cols: Sequence[str], indicators: Sequence[str] = ()) -> DataFrame:
     """One pass: for every pair (i, j) of ``cols`` (plus 0/1 missing indicators of
-    ``indicators``, named ``<col>__isna``), the sums over rows where both are present:
-    ``n, sx, sy, sxx, syy, sxy``. Each task folds its rows with a few matrix products
-    (mask M, zero-filled values X0: n = M'M, sx = X0'M, sxx = (X0^2)'M, sxy = X0'X0),
-    emits one p x p block, and a ``groupBy`` sums the blocks. Returns long rows
-    ``(var_x, var_y, n, sx, sy, sxx, syy, sxy)``; only p^2 rows, whatever the row count.
+    ``indicators``, named ``<col>__isna``), over the rows where both are present: the count
+    ``n``, the means ``mx, my`` and the centred sums ``cxx, cyy, cxy``. Each task folds its rows
+    with a few matrix products on values shifted by the batch means, emits one packed row, and
+    the rows are merged in two levels. Only p^2 rows come out, whatever the row count.
     """
     cols = list(cols)
     names = cols + [f"{c}__isna" for c in indicators]
@@ -371,32 +433,47 @@ def pairwise_moments(df: DataFrame, cols: Sequence[str], indicators: Sequence[st
                 continue
             x = pdf[pc].to_numpy(dtype=float)
             m = (~np.isnan(x)).astype(float)
-            x0 = np.nan_to_num(x)
+            shift = np.nan_to_num(x).sum(axis=0) / np.maximum(m.sum(axis=0), 1.0)
+            x0 = np.nan_to_num(x - shift)
+            n = m.T @ m
+            per = np.maximum(n, 1.0)
             sx = x0.T @ m                       # sx[i, j] = sum of x_i where x_i and x_j present
-            sxx = (x0 * x0).T @ m
-            blk = np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x0.T @ x0])
-            acc = blk if acc is None else acc + blk
+            cxx = (x0 * x0).T @ m - sx * sx / per
+            mx = sx / per + shift[:, None]
+            blk = [n, mx, mx.T, cxx, cxx.T, x0.T @ x0 - sx * sx.T / per]
+            acc = blk if acc is None else _add_pairs(acc, blk)
         if acc is not None:
-            ii, jj = np.meshgrid(np.arange(p), np.arange(p), indexing="ij")
-            yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                                **{k: acc[n].ravel() for n, k in enumerate(_MOMENTS)}})
+            yield _packed({(): acc}, [], [], _MOMENTS)
+
+    def unpack(batches):
+        ii, jj = (k.ravel() for k in np.meshgrid(np.arange(p), np.arange(p), indexing="ij"))
+        for pdf in batches:
+            for row in pdf.itertuples(index=False, name=None):
+                yield pd.DataFrame({"var_x": [names[i] for i in ii], "var_y": [names[j] for j in jj],
+                                    **{k: np.asarray(v) for k, v in zip(_MOMENTS, row)}})
+
+    blocks = sel.mapInPandas(fold, ", ".join(f"{k} array<double>" for k in _MOMENTS))
+    merged = _tree_merge(blocks, [], [], _MOMENTS, _add_pairs)
+    return merged.mapInPandas(unpack, "var_x string, var_y string, " + ", ".join(f"{k} double" for k in _MOMENTS))
+
 
-    schema = "i int, j int, " + ", ".join(f"{k} double" for k in _MOMENTS)
-    blocks = sel.mapInPandas(fold, schema)
-    s = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
-    name_arr = F.array(*[F.lit(n) for n in names])
-    return s.select(F.element_at(name_arr, F.col("i") + 1).alias("var_x"),
-                    F.element_at(name_arr, F.col("j") + 1).alias("var_y"), *_MOMENTS)
+_MOMENTS = ["n", "mx", "my", "cxx", "cyy", "cxy"]
 
 
-_MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+def _add_pairs(a: list, b: list) -> list:
+    """Joins the pairwise moments of two row sets, element by element."""
+    a, b = [np.ravel(v) for v in a], [np.ravel(v) for v in b]
+    n = a[0] + b[0]
+    share = b[0] / np.maximum(n, 1.0)
+    dx, dy, w = b[1] - a[1], b[2] - a[2], a[0] * share
+    return [n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w,
+            a[5] + b[5] + dx * dy * w]
 
 
 def corr_from_moments(m: DataFrame) -> DataFrame:
-    """Pearson r per pair from ``pairwise_moments``; NULL when a side is constant."""
+    """Pearson r per pair from ``pairwise_moments``; NULL when a side is constant (its spread
+    is within the rounding of its mean)."""
     n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    r = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    spread = lambda c, mean: F.col(c) > F.lit(1e-28) * n * F.col(mean) * F.col(mean)
+    r = F.when(spread("cxx", "mx") & spread("cyy", "my"), F.col("cxy") / (F.sqrt("cxx") * F.sqrt("cyy")))
     return m.select("var_x", "var_y", F.col("n").cast("long").alias("n"), r.alias("r"))

@@ -6,7 +6,7 @@ instead split over many tasks by a range-partitioned sort on ``(group, order, ti
 each row gets its position inside its task, and a tiny table of per-task, per-group counts
 turns that into the position inside the group. Exact, one shuffle for the sort, one Parquet
 materialisation of the (narrow) sorted rows in the shared checkpoint folder, plus a join
-against a table of at most ``#tasks + #groups`` rows. Callers project to the few columns
+against a table of at most ``#tasks + #groups`` rows, broadcast when its count allows. Callers project to the few columns
 they need first.
 
 The same positions give exact type-7 quantiles (R's default, DuckDB's ``quantile_cont``,
@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 from tabreg.session import cut_lineage
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` hinted for a broadcast if it has at most ``BROADCAST_ROWS`` (narrow) rows, else as
+    it is: a small table joined to data rows then costs no shuffle of the rows, and one on a
+    key with few values does not gather a whole key in one task."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _rank_core(df: DataFrame, group_cols: list[str], order_exprs: list[Column], rank_col: str,
                num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
     sort_keys = [F.col(g) for g in group_cols] + order_exprs
@@ -42,8 +52,8 @@ def _rank_core(df: DataFrame, group_cols: list[str], order_exprs: list[Column],
                    .agg(F.min("_tr_mid").alias("_tr_first"), F.count(F.lit(1)).alias("_tr_n")))
     w_before = (Window.partitionBy(*[F.col(g) for g in group_cols]).orderBy("_tr_pid")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    stats = stats.withColumn("_tr_off", F.coalesce(F.sum("_tr_n").over(w_before), F.lit(0)))
-    ranked = (tagged.join(stats.drop("_tr_n"), on=["_tr_pid", *group_cols], how="inner")
+    stats = cut_lineage(stats.withColumn("_tr_off", F.coalesce(F.sum("_tr_n").over(w_before), F.lit(0))))
+    ranked = (tagged.join(small_side(stats.drop("_tr_n")), on=["_tr_pid", *group_cols], how="inner")
                     .withColumn(rank_col, F.col("_tr_mid") - F.col("_tr_first") + F.col("_tr_off") + 1)
                     .drop("_tr_pid", "_tr_mid", "_tr_first", "_tr_off"))
     return ranked, stats
@@ -64,7 +74,7 @@ def with_group_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     if size_col:
         sizes = stats.groupBy(*group_cols).agg(F.sum("_tr_n").alias(size_col))
         if group_cols:
-            ranked = ranked.join(sizes, on=group_cols, how="inner")
+            ranked = ranked.join(small_side(sizes), on=group_cols, how="inner")
         else:  # one global size: a scalar subquery, not a join
             ranked = ranked.withColumn(size_col, sizes.select(size_col).scalar())
     return ranked

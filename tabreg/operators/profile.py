@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import quantile_table, top_k_rows
+from tabreg.operators.order import quantile_table, small_side, top_k_rows
 from tabreg.session import cut_lineage
 
 
@@ -182,9 +182,9 @@ def box_stats(df: DataFrame, value: str, group_cols: Sequence[str] = (), coef: f
     hi = F.col("q3") + coef * F.col("iqr")
     base = df.where(F.col(value).isNotNull()).select(*group_cols, F.col(value).cast("double").alias("_v"))
     if group_cols:
-        j = base.join(qw, group_cols)  # one row per group
-    else:  # one row in all: a constant key keeps it an equi-join the planner broadcasts
-        j = base.withColumn("_all", F.lit(0)).join(qw.withColumn("_all", F.lit(0)), "_all").drop("_all")
+        j = base.join(small_side(cut_lineage(qw)), group_cols)  # one row per group
+    else:  # one row in all: a scalar, not a join
+        j = base.withColumn("_q", qw.select(F.struct("q1", "median", "q3", "iqr")).scalar()).select("_v", "_q.*")
     v = F.col("_v")
     agg = j.groupBy(*group_cols, "q1", "median", "q3", "iqr").agg(
         F.count(F.lit(1)).alias("n"),

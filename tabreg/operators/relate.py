@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import with_group_rank
+from tabreg.operators.order import small_side, with_group_rank
 from tabreg.operators.profile import melt
 from tabreg.session import cut_lineage
 
@@ -176,10 +176,9 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
 
 def label_rows(df: DataFrame, groups: DataFrame, factor: str) -> DataFrame:
     """Put each level's letters on the detail rows of one factor. The letters table has
-    one row per level; the planner broadcasts it from its measured size (no hint: a
-    factor's level count is not bounded by anything we control)."""
+    one row per level; it is broadcast when its counted rows allow it."""
     g = groups.where(F.col("variable") == factor).select(F.col("level").alias(factor), "groups")
-    return df.join(g, factor, "left")
+    return df.join(small_side(cut_lineage(g)), factor, "left")
 
 
 def hsd_pairs(df: DataFrame, label: str, factors: Sequence[str], q: float | None = None,

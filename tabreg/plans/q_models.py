@@ -177,6 +177,85 @@ def stepwise(spark, sf_dir):
                                  "step int, action string, variable string, aic double")
 
 
+# Two predictors, one of them with a mean of about 1.7e9 and a spread of about 50 (seconds since an
+# epoch), so the solution in SQL is Cramer's rule on centred sums.
+_TWO = ["epoch", "avg_discount"]
+_TWO_SQL = f"""
+WITH d AS (SELECT log_net AS y, 1.7e9 + 10 * sum_qty / n_lines + n_lines AS x1, avg_discount AS x2
+           FROM {_MODEL_SQL} t WHERE set = 'train'),
+mu AS (SELECT count(*) AS n, avg(x1 - 1.7e9) AS m1, avg(x2) AS m2, avg(y) AS my FROM d),
+c AS (SELECT n, m1, m2, my, z.* FROM mu, (
+  SELECT sum(pow(x1 - 1.7e9 - m1, 2)) AS s11, sum(pow(x2 - m2, 2)) AS s22,
+         sum((x1 - 1.7e9 - m1) * (x2 - m2)) AS s12, sum((x1 - 1.7e9 - m1) * (y - my)) AS s1y,
+         sum((x2 - m2) * (y - my)) AS s2y, sum(pow(y - my, 2)) AS syy FROM d, mu) z)"""
+
+
+def _two_predictors(spark, sf_dir):
+    t = model_table(spark, sf_dir).where(F.col("set") == "train")
+    return t.withColumn("epoch", F.lit(1.7e9) + 10 * F.col("sum_qty") / F.col("n_lines") + F.col("n_lines"))
+
+
+@register("ols_large_mean", "ML1 ML2", sql=f"""{_TWO_SQL},
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c)
+SELECT 'epoch' AS variable, round(b1, 6) AS estimate FROM b
+UNION ALL SELECT 'avg_discount', round(b2, 6) FROM b
+""")
+def ols_large_mean(spark, sf_dir):
+    fit = models.fit_linear(_two_predictors(spark, sf_dir), _TWO, LABEL, models.LinearSpec("ols"))
+    return spark.createDataFrame([(c, round(float(b), 6)) for c, b in zip(_TWO, fit.coef)],
+                                 "variable string, estimate double")
+
+
+_TWO_LAMS = [0.0, 0.001, 0.01, 0.1, 0.5]
+
+
+@register("ridge_closed", "ML4", sql=_TWO_SQL + """,
+r AS (SELECT s12 / sqrt(s11 * s22) AS r, s1y / n / sqrt(s11 / n) AS r1, s2y / n / sqrt(s22 / n) AS r2,
+             sqrt(s11 / n) AS d1, sqrt(s22 / n) AS d2, my FROM c),
+l AS (SELECT CAST(lam AS DOUBLE) AS lam FROM (VALUES """ + ", ".join(f"({x})" for x in _TWO_LAMS) + """) v(lam))
+SELECT lam, round((r1 * (1 + lam) - r2 * r) / (pow(1 + lam, 2) - r * r) / d1, 6) AS epoch,
+       round((r2 * (1 + lam) - r1 * r) / (pow(1 + lam, 2) - r * r) / d2, 6) AS avg_discount
+FROM r, l
+""")
+def ridge_closed(spark, sf_dir):
+    """Ridge coefficients of two predictors along five penalties, one Gram pass."""
+    g = matrix.gram(_two_predictors(spark, sf_dir), _TWO, LABEL)[()]
+    rows = [(x, *(round(float(b), 6) for b in linalg.ridge(g, _TWO, LABEL, x).coef)) for x in _TWO_LAMS]
+    return spark.createDataFrame(rows, "lam double, epoch double, avg_discount double")
+
+
+@register("lasso_threshold", "ML5 ML6", sql=_TWO_SQL + """,
+r AS (SELECT s1y / n / sqrt(s11 / n) AS r1, sqrt(s11 / n) AS d1 FROM c),
+l AS (SELECT CAST(lam AS DOUBLE) AS lam, CAST(alpha AS DOUBLE) AS alpha
+      FROM (VALUES """ + ", ".join(f"({x}, {a})" for x in _TWO_LAMS for a in (0.25, 1.0)) + """) v(lam, alpha))
+SELECT lam, alpha, round(sign(r1) * greatest(abs(r1) - lam * alpha, 0) / (1 + lam * (1 - alpha)) / d1, 6) + 0.0 AS epoch
+FROM r, l
+""")
+def lasso_threshold(spark, sf_dir):
+    """Lasso and elastic net of one predictor: the soft threshold of its correlation."""
+    g = matrix.gram(_two_predictors(spark, sf_dir), _TWO[:1], LABEL)[()]
+    rows = [(x, a, round(float(linalg.elastic_net(g, _TWO[:1], LABEL, x, a).coef[0]), 6) + 0.0)
+            for x in _TWO_LAMS for a in (0.25, 1.0)]
+    return spark.createDataFrame(rows, "lam double, alpha double, epoch double")
+
+
+@register("stepwise_four", "ML3", sql=_TWO_SQL + """,
+a AS (SELECT 'both' AS model, n, 3 AS k,
+             syy - (s1y * s1y * s22 - 2 * s1y * s2y * s12 + s2y * s2y * s11) / (s11 * s22 - s12 * s12) AS rss FROM c
+      UNION ALL SELECT 'epoch', n, 2, syy - s1y * s1y / s11 FROM c
+      UNION ALL SELECT 'avg_discount', n, 2, syy - s2y * s2y / s22 FROM c
+      UNION ALL SELECT 'none', n, 1, syy FROM c)
+SELECT model, round(n * ln(rss / n) + 2 * k, 4) AS aic FROM a
+""")
+def stepwise_four(spark, sf_dir):
+    """AIC of the four models that the stepwise search over two predictors compares."""
+    g = matrix.gram(_two_predictors(spark, sf_dir), _TWO, LABEL)[()]
+    sets = {"both": _TWO, "epoch": _TWO[:1], "avg_discount": _TWO[1:], "none": []}
+    rows = [(name, round(linalg.aic(g, feats, LABEL)[0], 4)) for name, feats in sets.items()]
+    return spark.createDataFrame(rows, "model string, aic double")
+
+
 def _linear_cv(spark, sf_dir, kind, grid, name):
     d = _train_with_folds(spark, sf_dir)
     res = tune.tune_linear(d, FEATURES, LABEL, "fold", grid, kind=kind, key=KEY, model_name=name)
@@ -282,7 +361,14 @@ def model_compare(spark, sf_dir):
     return EV.stack(outs).orderBy(F.desc("rmse"))
 
 
-@register("chained_impute", "I6 I7 J7 I5")
+_GAPS = {"avg_tax": "o_orderkey % 7 = 0", "sum_qty": "o_orderkey % 11 = 3", "log_ext": "o_orderkey % 13 = 5"}
+
+
+@register("chained_impute", "I6 I7 J7 I5", sql=f"""
+SELECT {', '.join(f'count(*) FILTER (WHERE {w}) AS n_imputed_{c}, CAST(0 AS BIGINT) AS n_left_{c}' for c, w in _GAPS.items())},
+       count(*) AS n
+FROM {_MODEL_SQL} t
+""")
 def chained_impute(spark, sf_dir):
     """Plant gaps in three predictors, impute them by chained trees with donor draws,
     report per column how many cells were filled and that none is left."""

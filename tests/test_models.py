@@ -27,6 +27,34 @@ def test_gram_matches_numpy(planted):
     assert np.allclose(g.m, a.T @ a)
 
 
+def test_gram_keeps_digits_of_large_means(spark):
+    rng = np.random.default_rng(3)
+    x = 1.7e9 + 50 * rng.standard_normal(3000)
+    y = (x - 1.7e9) / 50 + rng.standard_normal(3000)
+    df = spark.createDataFrame([(float(a), float(b), int(i % 4)) for i, (a, b) in enumerate(zip(x, y))],
+                               "x double, y double, fold int").repartition(7)
+    g = matrix.gram(df, ["x"], "y")[()]
+    r = np.corrcoef(x, y)[0, 1]
+    assert matrix.correlation_from_gram(g, ["x", "y"])[0, 1] == pytest.approx(r, rel=1e-9)
+    assert matrix.linear_combos(g, ["x"]) == []
+    pairs = {(p["var_x"], p["var_y"]): p["r"]
+             for p in matrix.corr_from_moments(matrix.pairwise_moments(df, ["x", "y"])).collect()}
+    assert pairs[("x", "y")] == pytest.approx(r, rel=1e-9)
+    blocks = matrix.gram(df, ["x"], "y", by=["fold"])
+    rest = g - blocks[(2,)]
+    keep = np.arange(3000) % 4 != 2
+    assert rest.n == keep.sum()
+    assert linalg.ols(rest, ["x"], "y").coef[0] == pytest.approx(np.polyfit(x[keep] - 1.7e9, y[keep], 1)[0], rel=1e-8)
+
+
+def test_gram_counts_rows_left_out_and_empty_tables(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (3.0, 5.0)], "x double, y double")
+    with pytest.warns(RuntimeWarning, match="1 rows"):
+        g = matrix.gram(df, ["x"], "y")[()]
+    assert (g.n, g.skipped) == (2.0, 1.0)
+    assert matrix.gram(df.where("false"), ["x"], "y")[()].n == 0
+
+
 def test_ols_recovers_coefficients(planted):
     df, x, y = planted
     fit = models.fit_linear(df, FE, "y", models.LinearSpec("ols"))

@@ -53,6 +53,7 @@ class BlockMaxIndex:
     labels: np.ndarray
     postings: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     bounds: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    places: dict[str, list[int]] = field(default_factory=dict)
 
     @classmethod
     def build(cls, vectors: list[dict[int, float]], hashes, ids, labels, block: int) -> BlockMaxIndex:
@@ -60,6 +61,8 @@ class BlockMaxIndex:
         order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=lambda t: (vectors[i][t], -t)), hashes[i]))
         index = cls(block, [hashes[i] for i in order], np.array([ids[i] for i in order], dtype=object),
                     np.array([labels[i] for i in order], dtype=float))
+        for at, h in enumerate(index.hashes):
+            index.places.setdefault(h, []).append(at)
         lists: dict[int, tuple[list[int], list[float]]] = {}
         for at, i in enumerate(order):
             for t, w in vectors[i].items():
@@ -85,30 +88,31 @@ class BlockMaxIndex:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         first = order[:-(-k // self.block)]                   # the most promising blocks set the bar
-        found = self._best(query, terms, first, k, not_hash)
+        at = np.concatenate([self.postings[t][0] for t in terms])
+        w = np.concatenate([query[t] * self.postings[t][1] for t in terms])
+        found = self._best(at, w, first, k, not_hash)
         rest = order[len(first):]
         if len(found) >= k:
             rest = rest[bound[rest] >= found[k - 1][0] - 1e-12]
-        return sorted(found + self._best(query, terms, rest, k, not_hash), key=lambda x: (-x[0], x[1]))[:k]
+        return sorted(found + self._best(at, w, rest, k, not_hash), key=lambda x: (-x[0], x[1]))[:k]
 
-    def _best(self, query: dict[int, float], terms: list[int], blocks: np.ndarray, k: int,
+    def _best(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray, k: int,
               not_hash: str | None) -> list[tuple[float, int]]:
-        """The best k of the examples in the blocks, from the postings that lie in them."""
+        """The best k of the examples in the blocks, from the query's postings that lie in them."""
         if not len(blocks):
             return []
         chosen = np.zeros(-(-len(self.hashes) // self.block), bool)
         chosen[blocks] = True
-        score = np.zeros(len(self.hashes))
-        for t in terms:
-            at, w = self.postings[t]
-            if not chosen.all():
-                use = chosen[at // self.block]
-                at, w = at[use], w[use]
-            score[at] += query[t] * w
+        if not chosen.all():
+            use = np.repeat(chosen, self.block)[at]
+            at, w = at[use], w[use]
+        score = np.bincount(at, weights=w, minlength=len(self.hashes))
+        if not_hash is not None:
+            score[self.places.get(not_hash, [])] = 0.0
         places = np.flatnonzero(score > 0)
+        if len(places) > k:                                   # all that reach the k-th score, ties included
+            places = places[score[places] >= np.partition(score[places], len(places) - k)[len(places) - k]]
         places = places[np.lexsort((places, -score[places]))]
-        if not_hash is not None:
-            places = places[[self.hashes[p] != not_hash for p in places]] if len(places) else places
         return [(float(score[p]), int(p)) for p in places[:k]]
 
 

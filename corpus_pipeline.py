@@ -38,9 +38,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows are sampled by their calibrated probabilities."""
+    """Rows are sampled by their probabilities, calibrated to half of all tokens."""
     margins = mixing.document_margins(docs)
-    cells = mixing.mixture(docs, margins, mixing.POWERS)
+    cells = mixing.calibrated(docs, margins, mixing.POWERS, mixing.SHARE)
     return mixing.assigned(docs, margins, cells).filter("__kept").select(*docs.columns)
 
 

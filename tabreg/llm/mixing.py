@@ -3,7 +3,9 @@
 Documents fall into cells (one level per margin: source, language, topic). Iterative
 proportional fitting rakes the cells' token weights to every margin's target shares, a sum over
 the cell table per margin and sweep. A document's probability is its cell's fitted ratio, scaled so that no probability exceeds 1; it is
-kept when a hash of its key falls below that.
+kept when a hash of its key falls below that. With a stated share the raking is capped instead:
+cells that would need more than all their tokens are kept whole and the others take up the rest,
+so a scarce cell does not lower the probabilities of the others.
 """
 
 from __future__ import annotations
@@ -92,6 +94,84 @@ def mixture(docs: DataFrame, margins: dict[str, Column], powers: dict[str, float
     return cut_lineage(cells.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(scale))))
 
 
+def capped_targets(cells: DataFrame, margin: str, target: DataFrame, budget: float) -> DataFrame:
+    """Tokens to keep per level, ``level, target``: the budget by the target shares, where a level
+    whose share is more than all its tokens gives these and the other levels take up the rest."""
+    by = cells.groupBy(F.col(margin).alias("__l")).agg(F.sum("tokens").alias("t"))
+    levels = cut_lineage(target.join(by, F.col("level").eqNullSafe(F.col("__l"))).select("level", "share", F.col("t").cast("double").alias("t")))
+    factor, full, n = budget, F.lit(False), -1
+    while True:                                               # the full levels only grow in number
+        full = F.col("share") * F.lit(float(factor)) >= F.col("t")
+        got = levels.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("t")).otherwise(0.0)).alias("t"),
+                         F.sum(F.when(~full, F.col("share")).otherwise(0.0)).alias("share")).first()
+        if got["n"] == n or not got["share"]:
+            break
+        n, factor = got["n"], max(factor, (budget - got["t"]) / got["share"])
+    return levels.select("level", F.when(full, F.col("t")).otherwise(F.col("share") * F.lit(float(factor))).alias("target"))
+
+
+def rake_capped(cells: DataFrame, targets: dict[str, DataFrame], budget_tokens: float, tolerance: float = 1e-6,
+                max_sweeps: int = 60, sweeps_per_table: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
+    """``cells`` with ``probability``: the token weights raked to the margins' targets of a token
+    budget, none above the cell's tokens.
+
+    A sweep finds per level the factor that meets the level's target when cells past their tokens
+    stand at these: the largest, over the cells by falling ratio, of (target less the tokens of
+    the cells before) / (weight of the rest). Levels that cannot be met give all they have (see
+    ``capped_targets``, ``unmet``); cells without tokens get the probability 1.
+    """
+    base = cells.filter("tokens > 0")
+    whole = base.agg(F.sum("tokens").alias("t")).first()["t"]
+    if not whole:
+        return cells.withColumn("probability", F.lit(1.0))
+    df = base.withColumn("__w", F.col("tokens") * F.lit(min(1.0, budget_tokens / whole)))
+    for m, t in targets.items():
+        goal = capped_targets(base, m, t, budget_tokens).select(F.col("level").alias("__l"), F.col("target").alias(f"__t_{m}"))
+        goal = F.broadcast(goal) if t.count() <= broadcast_rows else goal
+        df = df.join(goal, df[m].eqNullSafe(F.col("__l"))).drop("__l")
+    done = 0
+    while done < max_sweeps:
+        for _ in range(sweeps_per_table):
+            df = df.withColumn("__before", F.col("__w"))
+            for m in targets:
+                level = Window.partitionBy(m)
+                before = (level.orderBy(F.desc(F.col("__w") / F.col("tokens")), *[x for x in targets if x != m])
+                          .rowsBetween(Window.unboundedPreceding, -1))
+                rest = F.sum("__w").over(level) - F.coalesce(F.sum("__w").over(before), F.lit(0.0))
+                need = F.col(f"__t_{m}") - F.coalesce(F.sum("tokens").over(before), F.lit(0))
+                df = df.withColumn("__f", F.when(rest > 1e-12 * F.col("__w"), need / rest))
+                df = df.withColumn("__w", F.least(F.col("tokens").cast("double"), F.col("__w") * F.max("__f").over(level)))
+        done += sweeps_per_table
+        df = cut_lineage(df)
+        if df.agg(F.max(F.abs(F.col("__w") - F.col("__before")) / F.col("tokens"))).first()[0] <= tolerance:
+            break
+    fitted = df.select(*cells.columns, (F.col("__w") / F.col("tokens")).alias("probability"))
+    return fitted.unionByName(cells.filter("tokens <= 0").withColumn("probability", F.lit(1.0)))
+
+
+def calibrated(docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], share: float,
+               text_col: str = "text") -> DataFrame:
+    """Cells with the ``probability`` under which the stated share of all tokens is expected to
+    be kept, at margins as near the tempered targets as the cells' tokens allow."""
+    rows = docs.select(count_tokens(text_or_empty(docs[text_col])).alias("tokens"), *[c.alias(m) for m, c in margins.items()])
+    cells = cut_lineage(rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
+    whole = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
+    return cut_lineage(rake_capped(cells, {m: tempered(cells, m, powers[m]) for m in margins}, share * whole))
+
+
+def unmet(cells: DataFrame, powers: dict[str, float], tolerance: float = 1e-3) -> DataFrame:
+    """The margins that ``cells`` with their ``probability`` leave unmet: ``margin, level, target,
+    reached`` (shares of the kept tokens) where these differ by more than ``tolerance``."""
+    kept = cells.filter("tokens > 0").withColumn("__k", F.col("tokens") * F.col("probability"))
+    out = []
+    for m, power in powers.items():
+        by = kept.groupBy(F.col(m).alias("__l")).agg(F.sum("__k").alias("k")).join(F.broadcast(kept.agg(F.sum("__k").alias("all"))))
+        both = tempered(cells, m, power).join(by, F.col("level").eqNullSafe(F.col("__l")))
+        out.append(both.select(F.lit(m).alias("margin"), F.col("level").cast("string").alias("level"),
+                               F.col("share").alias("target"), (F.col("k") / F.col("all")).alias("reached")))
+    return reduce(DataFrame.unionByName, out).filter(F.abs(F.col("target") - F.col("reached")) > tolerance)
+
+
 def assigned(docs: DataFrame, margins: dict[str, Column], cells: DataFrame, id_col: str = "doc_id",
              text_col: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
     """All rows and columns of ``docs`` with ``__probability`` and ``__kept``.
@@ -116,6 +196,8 @@ def document_margins(docs: DataFrame) -> dict[str, Column]:
 
 #: Powers of the token shares that the targets of the registered query follow.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+#: Share of all tokens that the pipeline's mixing stage keeps.
+SHARE = 0.5
 
 
 def sql(sweeps: int = 30) -> str:

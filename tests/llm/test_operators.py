@@ -12,6 +12,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline as P
 from tabreg.llm import (catalog, mixing, ngram_join, packing, secret_scan, sharding, token_counts, tokens, toxicity,
                         vector_dedup, wavelet, winnow)
 from tabreg.llm.base import scratch_path
@@ -355,6 +356,25 @@ def test_mixture_meets_the_targets(spark):
     assert out.filter("__probability IS NULL OR __kept IS NULL").count() == 0
 
 
+def test_a_tiny_source_hardly_changes_the_kept_share(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = docs.unionByName(spark.createDataFrame([(90001, "tiny " * 20, "en", "new", 100), (90002, "tiny " * 20, None, None, 100)],
+                                                  "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = []
+    for df in (docs, more):
+        margins = mixing.document_margins(df)
+        cells = mixing.calibrated(df, margins, mixing.POWERS, 0.5)
+        rows = cells.collect()
+        assert all(0 < r["probability"] <= 1 for r in rows)
+        assert sum(r["tokens"] * r["probability"] for r in rows) == pytest.approx(0.5 * sum(r["tokens"] for r in rows), rel=1e-3)
+        kept.append(sum(r["docs"] * r["probability"] for r in rows) / sum(r["docs"] for r in rows))
+    assert abs(kept[0] - kept[1]) < 0.02
+    short = {(r["margin"], r["level"]) for r in mixing.unmet(cells, mixing.POWERS).collect()}
+    assert ("source", "new") in short and all(r["probability"] > 0.999 for r in rows if r["source"] == "new")
+    stage = dict(P.STAGES)["mixing"]
+    assert stage(spark, more, SF).count() > 0.8 * stage(spark, docs, SF).count()
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, toxic int")

@@ -3,7 +3,8 @@
 Strong matches (the base kinds) are always reported. Weak candidates - short key identifiers,
 opaque mixed strings and endpoints - say little alone, so they are reported only where parts
 of different roles meet: an interval join links access identifiers, secrets and endpoints
-whose spans lie within ``scope`` code points of each other in one text.
+whose spans lie apart and within ``scope`` code points of each other in one text. What is part of
+an endpoint's own URL is no partner of endpoints, and paths are no candidates.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ WEAK = {
     "endpoint": (r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b", "endpoint"),
 }
 ROLES = {"assign": "secret", "hex": "secret", "access": "id"} | {k: role for k, (_, role) in WEAK.items()}
+#: An endpoint with the path of its URL, and with the whole of it.
+URL_PATH = rf"(?:{WEAK['endpoint'][0]})(?:/[A-Za-z0-9+/._~%:@!$&()*-]*)?"
+URL = URL_PATH + r"(?:[?#][A-Za-z0-9+/._~%:@!$&()*?#=-]*)?"
+PATH_WORD = r"[0-9]*(?:[a-z]+|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*)?[0-9]*"
+#: Strings with a slash whose segments all are words or numbers; a random string's are not.
+PATH = rf"^(?=[^/]*/){PATH_WORD}(?:[/+]{PATH_WORD})+=*$"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -73,8 +80,9 @@ def as_text(span_array: Column) -> Column:
 
 
 def linked(parts: DataFrame, scope: int) -> DataFrame:
-    """Interval join: the weak parts that have a part of another role, at most ``scope`` code
-    points away, in the same text. ``parts``: key columns ``id, h`` and ``kind, start, end``.
+    """Interval join: the weak parts that have a part of another role, apart from them and at
+    most ``scope`` code points away, in the same text. ``parts``: key columns ``id, h`` and
+    ``kind, start, end, in_url``; a part inside a URL is no partner of endpoints.
 
     A part is filed under every cell of ``scope`` code points that its span, widened by the
     scope, touches and probes the cells of its own span, so partners always share a cell and a
@@ -86,14 +94,30 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     weak = p.filter(F.col("kind").isin(*WEAK)).withColumn("cell", cells(F.col("start"), F.col("end") - 1))
     wide = (p.select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("role").alias("o_role"),
                      F.col("start").alias("o_start"), F.col("end").alias("o_end"),
-                     cells(F.greatest(F.col("start") - scope, F.lit(0)), F.col("end") + scope).alias("o_cell"))
+                     F.col("in_url").alias("o_in_url"), cells(F.greatest(F.col("start") - scope, F.lit(0)), F.col("end") + scope).alias("o_cell"))
             .distinct())
     gap = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"))
     meets = (F.col("id").eqNullSafe(F.col("o_id")) & (F.col("h") == F.col("o_h")) & (F.col("cell") == F.col("o_cell"))
-             & (F.col("role") != F.col("o_role")) & (gap <= scope))
+             & (F.col("role") != F.col("o_role")) & gap.between(0, scope)
+             & ~(F.col("in_url") & (F.col("o_role") == "endpoint")) & ~(F.col("o_in_url") & (F.col("role") == "endpoint")))
     return weak.join(wide, meets, "left_semi").select("id", "h", "kind", "start", "end").distinct()
 
 
+def touches(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def weak_spans(text: Column) -> Column:
+    """The weak candidates. No opaque strings are those that look like a path, touch an endpoint
+    or the path of its URL, or lie within a weak identifier."""
+    opaque = spans(text, "weak_secret", WEAK["weak_secret"][0], lambda m: ~m.rlike(PATH))
+    names = spans(text, "weak_id", WEAK["weak_id"][0])
+    paths = spans(text, "url", URL_PATH)
+    apart = F.filter(opaque, lambda w: ~F.exists(paths, lambda u: touches(w, u))
+                     & ~F.exists(names, lambda n: (n["start"] <= w["start"]) & (w["end"] <= n["end"])))
+    return F.concat(names, apart, spans(text, "endpoint", WEAK["endpoint"][0]))
+
+
 def scan(docs: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets of every whole text, one row per distinct (id, text): ``id, h, copies, base,
     spans`` where ``h`` is the md5 of the text, ``copies`` how many rows have it, ``base`` the
@@ -105,11 +129,13 @@ def scan(docs: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: st
     """
     text = text_or_empty(docs[text_col])
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.md5(F.encode(text, "UTF-8")).alias("h"), text.alias("text"))
-    weak = F.concat(*[spans(F.col("text"), kind, pattern) for kind, (pattern, _) in WEAK.items()])
-    rows = cut_lineage(rows.select("id", "h", base_spans(F.col("text")).alias("base"), weak.alias("weak")))
-    apart = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    some = rows.filter((F.size("weak") > 0)).select("id", "h", "base", apart.alias("weak")).filter(F.size("weak") > 0)
-    parts = some.select("id", "h", F.explode(F.concat("base", "weak")).alias("s")).select("id", "h", "s.*").distinct()
+    rows = cut_lineage(rows.select("id", "h", base_spans(F.col("text")).alias("base"), weak_spans(F.col("text")).alias("weak"),
+                                   spans(F.col("text"), "url", URL).alias("urls")))
+    apart = F.filter("weak", lambda w: ~F.exists("base", lambda b: touches(w, b)))
+    some = rows.filter((F.size("weak") > 0)).select("id", "h", "base", "urls", apart.alias("weak")).filter(F.size("weak") > 0)
+    inside = F.col("s.kind").isin("weak_secret", "hex") & F.exists("urls", lambda u: touches(F.col("s"), u))
+    parts = (some.select("id", "h", "urls", F.explode(F.concat("base", "weak")).alias("s"))
+             .select("id", "h", "s.*", inside.alias("in_url")).distinct())
     added = (linked(parts, scope).groupBy(F.col("id").alias("a_id"), F.col("h").alias("a_h"))
              .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))
     one = rows.groupBy("id", "h").agg(F.count("*").alias("copies"), F.first("base").alias("base"))

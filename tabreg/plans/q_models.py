@@ -274,19 +274,21 @@ def lasso(spark, sf_dir):
     return _linear_cv(spark, sf_dir, "enet", grid, "lasso").grid_metrics
 
 
+def _enet_grid():
+    return tune.param_grid(alpha=[float(a) for a in np.linspace(0, 0.25, 10)],
+                           lam=[float(x) for x in np.linspace(0, 0.05, 10)])
+
+
 @register("elastic_net", "ML6 X3 U4")
 def elastic_net(spark, sf_dir):
-    grid = tune.param_grid(alpha=[float(a) for a in np.linspace(0, 0.25, 10)],
-                           lam=[float(x) for x in np.linspace(0, 0.05, 10)])
-    return _linear_cv(spark, sf_dir, "enet", grid, "enet").grid_metrics
+    return _linear_cv(spark, sf_dir, "enet", _enet_grid(), "enet").grid_metrics
 
 
 @register("tune_grid", "X3 ML12 O2 A17 A18")
 def tune_grid(spark, sf_dir):
     """Best elastic-net setting with its per-fold metrics (RMSE, R^2 from the fold Gram
     blocks; MAE from the out-of-fold predictions)."""
-    grid = tune.param_grid(alpha=[0.0, 0.5, 1.0], lam=[0.0, 0.001, 0.01])
-    res = _linear_cv(spark, sf_dir, "enet", grid, "enet")
+    res = _linear_cv(spark, sf_dir, "enet", _enet_grid(), "enet")
     fm = res.fold_metrics.where(F.col("grid_id") == res.best["grid_id"])
     mae = res.oof.groupBy("fold").agg(F.avg(F.abs(F.col("pred") - F.col("obs"))).alias("mae"))
     return fm.join(mae, "fold")

@@ -153,3 +153,13 @@ def test_donor_imputation_recovers_leaf_values(spark):
     again = {r["key"]: r["x2"] for r in impute.chained_impute(df.repartition(3), "key", ["x2"], {"x2": ["x1"]},
                                                               min_node=5, max_depth=3, max_bins=512).collect()}
     assert again == {k: v[0] for k, v in got.items()}
+
+
+def test_tune_grid_runs_every_setting_of_the_reference(spark, monkeypatch):
+    from tabreg.plans import q_models
+    seen, run = [], q_models.tune.tune_linear
+    monkeypatch.setattr(q_models.tune, "tune_linear", lambda *a, **b: seen.append(run(*a, **b)) or seen[-1])
+    got = q_models.tune_grid(spark, "/root/testdata/sf0.001").collect()
+    grid = seen[0].grid_metrics.select("alpha", "lam").distinct().collect()
+    assert len(grid) == 100 and max(g["alpha"] for g in grid) == 0.25 and max(g["lam"] for g in grid) == 0.05
+    assert len(got) == 10 and all(r["mae"] > 0 for r in got)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import mixing, ngram_join, packing, secret_scan, sharding, token_counts, toxicity, vector_dedup, wavelet, winnow
+from tabreg.llm import (byte_bpe, filter_audit, mixing, ngram_join, packing, ranked_search, secret_scan, sharding, token_counts,
+                        toxicity, vector_dedup, wavelet, winnow)
 from tabreg.llm.base import scratch_path, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,5 +122,32 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept"))
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents under the ranks of a public file, and the bytes they decode to."""
+    import public_tokenizers
+
+    path, pattern = tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    out = byte_bpe.decode(ids, path, pattern)
+    return out.select("doc_id", "n_tokens",
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in every order, by source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 SQL["op1_mixing"] = mixing.sql()
+SQL["op12_filter_audit"] = filter_audit.sql()
+SQL["op13_ranked_search"] = ranked_search.sql()
 SQL["op3_shards"] = sharding.sql(40)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
 from tabreg.operators.matrix import ONE, gram
-from tabreg.operators.order import exact_quantiles
+from tabreg.operators.quantiles import exact_quantiles
 
 
 # -- linear predictors as column expressions ---------------------------------------------
@@ -165,9 +165,8 @@ def mars(df: DataFrame, features: Sequence[str], label: str, n_knots: int = 9, m
     removing terms while GCV improves (or down to ``nprune`` terms)."""
     probs = [(i + 1) / (n_knots + 1) for i in range(n_knots)]
     knots: dict[str, list[float]] = {f: [] for f in features}
-    rid = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_rid")     # spreads equal values in the sort
-    melted = df.select(rid, F.explode(F.array(*[F.struct(F.lit(f).alias("variable"), F.col(f).cast("double").alias("v"))
-                                                for f in features])).alias("_m")).select("_rid", "_m.*")
+    melted = df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("variable"), F.col(f).cast("double").alias("v"))
+                                           for f in features])).alias("_m")).select("_m.*")
     for r in exact_quantiles(melted, "v", probs, ["variable"]).collect():     # n_knots per feature
         if r["quantile"] is not None:
             knots[r["variable"]].append(float(r["quantile"]))

@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles without a single-partition window.
+"""Exact ranks without a single-partition window.
 
 ``row_number().over(Window.partitionBy(g).orderBy(x))`` puts a whole group into one task;
 with a hot group (a third of all rows) that task holds a third of the data. Here a group is
@@ -7,14 +7,13 @@ each row gets its position inside its task, and a tiny table of per-task, per-gr
 turns that into the position inside the group. Exact, one shuffle for the sort, one Parquet
 materialisation of the (narrow) sorted rows in the shared checkpoint folder, plus a join
 against a table of at most ``#tasks + #groups`` rows, broadcast when its count allows. Callers project to the few columns
-they need first.
-
-The same positions give exact type-7 quantiles (R's default, DuckDB's ``quantile_cont``,
-Spark's ``percentile``) without buffering any group in one task.
+they need first. Where the order is a hash (splits, folds, donor slots), ``with_hash_rank`` needs
+no range sort and no copy of the rows. Quantiles are in ``quantiles``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +32,18 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` where NULL equals NULL (a NULL group is a group); ``cols`` stay once."""
+    if not cols:
+        raise ValueError("no join columns")
+    r = right.withColumnsRenamed({c: f"_ns_{c}" for c in cols})
+    cond = None
+    for c in cols:
+        eq = F.col(c).eqNullSafe(F.col(f"_ns_{c}"))
+        cond = eq if cond is None else cond & eq
+    return left.join(r, cond, how).drop(*[f"_ns_{c}" for c in cols])
+
+
 def _rank_core(df: DataFrame, group_cols: list[str], order_exprs: list[Column], rank_col: str,
                num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
     sort_keys = [F.col(g) for g in group_cols] + order_exprs
@@ -80,70 +91,39 @@ def with_group_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return ranked
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), tiebreak: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Type-7 quantiles of ``value_col`` per group, long form ``(group..., prob, quantile)``.
+RANK_ROWS = 200_000      # rows of a (group, hash prefix) that one window task numbers
 
-    NULL values are ignored. ``tiebreak`` columns spread equal values over several tasks
-    (default: a hash of all input columns). Only the (at most two) order statistics around
-    each requested position leave the sort; nothing is buffered per group.
-    """
-    group_cols = list(group_cols)
-    tb_cols = list(tiebreak) if tiebreak else list(df.columns)
-    vals = (df.where(F.col(value_col).isNotNull())
-              .select(*group_cols, F.col(value_col).cast("double").alias("_q_v"),
-                      F.xxhash64(*[F.col(c) for c in tb_cols]).alias("_q_tb")))
-    ranked, stats = _rank_core(vals, group_cols, [F.col("_q_v"), F.col("_q_tb")], "_q_rank",
-                               num_partitions)
-    sizes = stats.groupBy(*group_cols).agg(F.sum("_tr_n").alias("_q_n"))
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    # type 7: h = (n - 1) p + 1 ; value = x[floor h] + (h - floor h) (x[ceil h] - x[floor h])
-    pos = (sizes.withColumn("prob", F.explode(prob_arr))
-                .withColumn("_q_h", (F.col("_q_n") - 1) * F.col("prob") + 1)
-                .withColumn("_q_lo", F.floor("_q_h").cast("long"))
-                .withColumn("_q_hi", F.ceil("_q_h").cast("long")))
-    needed = pos.select(*group_cols, "prob", "_q_h", "_q_lo",
-                        F.explode(F.array(
-                            F.struct(F.col("_q_lo").alias("r"), F.lit(0).alias("hi")),
-                            F.struct(F.col("_q_hi").alias("r"), F.lit(1).alias("hi")))).alias("_q_need"))
-    needed = needed.select(*group_cols, "prob", "_q_h", "_q_lo",
-                           F.col("_q_need.r").alias("_q_rank"), F.col("_q_need.hi").alias("_q_is_hi"))
-    picked = ranked.select(*group_cols, "_q_rank", "_q_v").join(needed, on=[*group_cols, "_q_rank"])
-    res = (picked.groupBy(*group_cols, "prob")
-                 .agg(F.first("_q_h").alias("_q_h"), F.first("_q_lo").alias("_q_lo"),
-                      F.max(F.when(F.col("_q_is_hi") == 0, F.col("_q_v"))).alias("_q_vlo"),
-                      F.max(F.when(F.col("_q_is_hi") == 1, F.col("_q_v"))).alias("_q_vhi"))
-                 .select(*group_cols, "prob",
-                         (F.col("_q_vlo") + (F.col("_q_h") - F.col("_q_lo")) *
-                          (F.col("_q_vhi") - F.col("_q_vlo"))).alias("quantile")))
-    return res
-
-
-def quantiles_wide(df: DataFrame, value_col: str, probs: Sequence[float], names: Sequence[str],
-                   group_cols: Sequence[str] = (), tiebreak: Sequence[str] | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Exact quantiles pivoted to one column per probability (small result)."""
-    long = exact_quantiles(df, value_col, probs, group_cols, tiebreak, num_partitions)
-    aggs = [F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(nm)
-            for p, nm in zip(probs, names)]
-    if group_cols:
-        return long.groupBy(*group_cols).agg(*aggs)
-    return long.agg(*aggs)
-
-
-def quantile_table(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                   method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """Long ``(group..., prob, quantile)``: ``method="exact"`` is the type-7 order statistic
-    above (one distributed sort); ``"approx"`` is Spark's mergeable sketch
-    (``percentile_approx``, relative rank error 1/accuracy, no sort, bounded memory per group)."""
-    if method == "exact":
-        return exact_quantiles(df, value_col, probs, group_cols)
+
+def with_hash_rank(df: DataFrame, group_cols: Sequence[str], order_hash: Column, ties: Sequence[str | Column],
+                   rank_col: str = "rank", size_col: str | None = None) -> DataFrame:
+    """Like ``with_group_rank`` for an order that starts with a hex hash (``order_hash``, then
+    ``ties``): hash prefixes are even by construction, so nothing is sorted over ranges.
+
+    Counts per (group, prefix) give every prefix its first position; the rows are exchanged once,
+    on (group, prefix), and numbered inside. The prefix is as long as keeps a (group, prefix) below
+    ``RANK_ROWS`` rows. A NULL group is a group; ``df`` is read twice and must give the same rows
+    both times."""
     group_cols = list(group_cols)
-    arr = F.percentile_approx(F.col(value_col).cast("double"), [float(p) for p in probs], accuracy)
-    agg = df.groupBy(*group_cols).agg(arr.alias("_qa")) if group_cols else df.agg(arr.alias("_qa"))
-    zipped = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("_qa").alias("quantile"))
-    return agg.select(*group_cols, F.explode(zipped).alias("_z")).select(*group_cols, "_z.prob", "_z.quantile")
+    tagged = df.withColumn("_hr_h", order_hash)
+    digits = 3
+    while True:
+        prefix = F.substring("_hr_h", 1, digits)
+        counts = cut_lineage(tagged.groupBy(*group_cols, prefix.alias("_hr_p")).agg(F.count(F.lit(1)).alias("_hr_n")))
+        most = counts.agg(F.max("_hr_n")).first()[0] or 0
+        if most <= RANK_ROWS or digits >= 32:
+            break
+        digits = min(32, digits + max(1, math.ceil(math.log(most / RANK_ROWS, 16))))
+    w = Window.partitionBy(*group_cols)
+    before = F.coalesce(F.sum("_hr_n").over(w.orderBy("_hr_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.withColumn("_hr_off", before)
+    if size_col:
+        offsets = offsets.withColumn(size_col, F.sum("_hr_n").over(w))
+    offsets = cut_lineage(offsets.drop("_hr_n"))
+    order = [F.col("_hr_h"), *[F.col(c) if isinstance(c, str) else c for c in ties]]
+    inside = F.row_number().over(Window.partitionBy(*group_cols, "_hr_p").orderBy(*order))
+    ranked = tagged.withColumn("_hr_p", prefix).withColumn("_hr_i", inside)
+    return (null_safe(ranked, small_side(offsets), [*group_cols, "_hr_p"])
+            .withColumn(rank_col, F.col("_hr_i") + F.col("_hr_off")).drop("_hr_h", "_hr_p", "_hr_i", "_hr_off"))
 
 
 # -- top-k without a single-task window ----------------------------------------------------

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import quantile_table, small_side, top_k_rows
+from tabreg.operators.order import small_side, top_k_rows
+from tabreg.operators.quantiles import quantile_table
 from tabreg.session import cut_lineage
 
 
@@ -109,11 +110,9 @@ def skim_factor(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
 
 def skim_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """A3 for numeric columns: missing, complete rate, mean, sd (n-1), and the exact
-    0/25/50/75/100 % quantiles (type 7). Moments in one aggregate; quantiles by one
-    distributed sort over the melted values (``method="approx"``: sketches, no sort)."""
-    # a row hash rides along so that equal values of a low-cardinality column are spread
-    # over many tasks by the quantile sort (its tiebreak hashes every column it gets)
-    m = melt(df.withColumn("_rid", F.xxhash64(*[F.col(c) for c in df.columns])), cols, "double", keep=["_rid"])
+    0/25/50/75/100 % quantiles (type 7). Moments in one aggregate; quantiles by two scans of
+    the melted values (``method="approx"``: sketches alone)."""
+    m = melt(df, cols, "double")
     moments = m.groupBy("variable").agg(
         F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"),
         (F.count("value") / F.count(F.lit(1))).alias("complete_rate"),

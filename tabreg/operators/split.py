@@ -3,8 +3,8 @@
 Rows are binned by quantile break points of the label (exact type-7 quantiles); inside a
 bin they are ordered by ``md5(seed|key)``. The position inside the bin decides: the first
 ``ceil(p * n_bin)`` positions go to training, and fold = ``(position - 1) % k + 1``.
-Positions come from the distributed exact rank of ``order`` (no single-task window), so a
-bin holding a third of all rows is still spread over many tasks. The result is an
+Positions come from ``order.with_hash_rank`` (counts per hash prefix, one exchange of the
+rows), so a bin holding a third of all rows is still spread over many tasks. The result is an
 assignment table keyed by the row key; callers attach it with semi / anti / equi joins.
 """
 
@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators.order import quantile_table, with_group_rank
+from tabreg.operators.order import with_hash_rank
+from tabreg.operators.quantiles import quantile_table
 
 
 def label_breaks(df: DataFrame, label: str, n_breaks: int = 5, method: str = "exact") -> DataFrame:
@@ -49,8 +50,7 @@ def _cuts_for_folds(n: int, k: int) -> int:
 def _ranked(df: DataFrame, key: str, label: str, seed, n_breaks: int, method: str = "exact") -> DataFrame:
     base = df.where(F.col(label).isNotNull()).select(key, label)
     binned = with_label_bin(base, label, n_breaks, method=method)
-    return with_group_rank(binned, ["bin"], [X.md5_order(seed, key), F.col(key)],
-                           rank_col="pos", size_col="n_bin")
+    return with_hash_rank(binned, ["bin"], X.md5_order(seed, key), [key], rank_col="pos", size_col="n_bin")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, p: float = 0.8, seed=12345,

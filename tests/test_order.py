@@ -2,13 +2,21 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabreg.operators.order import exact_quantiles, quantiles_wide, with_group_rank
+from tabreg.operators import quantiles
+from tabreg.operators.order import with_group_rank, with_hash_rank
+from tabreg.operators.quantiles import exact_quantiles, quantiles_wide
 
 
 def _np_q(x, p):
     return float(np.quantile(np.asarray(x, dtype=float), p))   # numpy default = type 7
 
 
+def _type7(x, p):
+    x, h = np.sort(x), (len(x) - 1) * p
+    lo, hi = x[int(np.floor(h))], x[int(np.ceil(h))]
+    return lo if lo == hi else lo + (h - np.floor(h)) * (hi - lo)
+
+
 def test_exact_quantiles_match_type7(spark):
     rng = np.random.default_rng(1)
     g = rng.integers(0, 3, 2000)
@@ -65,7 +73,7 @@ def test_hot_group_is_spread_over_tasks(spark):
 
 
 def test_approx_quantiles_close(spark):
-    from tabreg.operators.order import quantile_table
+    from tabreg.operators.quantiles import quantile_table
     df = spark.range(0, 20000).withColumn("v", (F.col("id") * 7919 % 20000).cast("double"))
     ex = {r["prob"]: r["quantile"] for r in quantile_table(df, "v", [0.1, 0.5, 0.9]).collect()}
     ap = {r["prob"]: r["quantile"] for r in quantile_table(df, "v", [0.1, 0.5, 0.9], method="approx").collect()}
@@ -117,3 +125,67 @@ def test_salted_top_k_matches_brute_force(spark):
         thr = vals[2] if len(vals) >= 3 else min(vals)
         want_t |= {(r[0], r[1]) for r in rows if r[0] == g and r[2] >= thr}
     assert tied == want_t
+
+
+@pytest.mark.parametrize("accuracy, window_rows", [(1000, 100_000), (20, 40), (20, 5)])
+def test_quantiles_by_brackets_and_pieces(spark, monkeypatch, accuracy, window_rows):
+    """Brackets of a coarse sketch, narrowed piece by piece; hot values, NULL groups, NaN, infinities."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "WINDOW_ROWS", window_rows)
+    monkeypatch.setattr(quantiles, "PIECES", 8)
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([rng.lognormal(0, 6, 3000), np.full(2500, 7.0), -rng.lognormal(0, 6, 1500), [np.inf, -np.inf, 0.0]])
+    rows = [("hot", float(x)) for x in vals] + [(None, float(x)) for x in rng.normal(size=300)]
+    rows += [("one", 5.0), ("none", None), ("nan", 1.0), ("nan", float("nan")), ("nan", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.003, 0.25, 0.5, 0.77, 0.999, 1.0]
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    assert len(got) == 4 * len(probs)
+    for g in ("hot", None, "one"):
+        x = np.array([v for k, v in rows if k == g])
+        for p in probs:
+            assert got[(g, p)] == pytest.approx(_type7(x, p), rel=1e-12), (g, p)
+    assert got[("nan", 0.5)] == 2.0 and np.isnan(got[("nan", 1.0)])
+    alone = {r["prob"]: r["quantile"] for r in exact_quantiles(df.where("g = 'hot'"), "v", probs).collect()}
+    assert all(alone[p] == got[("hot", p)] for p in probs)
+    assert exact_quantiles(df.limit(0), "v", probs).count() == 0
+
+
+def test_quantiles_count_again_where_a_bracket_is_wrong(spark, monkeypatch):
+    sketch = quantiles._sketch
+
+    def wrong(vals, by, inner):
+        return sketch(vals, by, inner).withColumn("_lo", F.when(F.col("g") == 1, F.array(F.lit(3.0))).otherwise(F.col("_lo"))) \
+            .withColumn("_hi", F.when(F.col("g") == 1, F.array(F.lit(4.0))).otherwise(F.col("_hi")))
+
+    monkeypatch.setattr(quantiles, "_sketch", wrong)
+    df = spark.range(6001).selectExpr("id % 3 g", "cast(id as double) v")
+    got = {r["g"]: r["quantile"] for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert got == {0: 3000.0, 1: 2999.5, 2: 3000.5}
+
+
+def test_quantile_plan_has_no_range_sort(spark):
+    df = spark.range(10000).selectExpr("id % 3 g", "cast(id * 7919 % 10007 as double) v")
+    plan = exact_quantiles(df, "v", [0.25, 0.5], ["g"])._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("rank_rows", [200_000, 50])
+def test_hash_rank_equals_group_rank(spark, monkeypatch, rank_rows):
+    from tabreg.operators import order
+    monkeypatch.setattr(order, "RANK_ROWS", rank_rows)
+    rows = [(i, 0 if i % 3 else None if i % 5 == 0 else i % 7) for i in range(4000)] + [(5, 0), (5, 0)]
+    df = spark.createDataFrame(rows, "id long, g int").repartition(6)
+    h = F.md5(F.concat_ws("|", F.lit("s"), F.col("id").cast("string")))
+    got = with_hash_rank(df, ["g"], h, ["id"], "r", "n").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["g"], []).append((r["r"], r["id"], r["n"]))
+    import hashlib
+    for g, found in by.items():
+        want = sorted((hashlib.md5(f"s|{i}".encode()).hexdigest(), i) for i, k in rows if k == g)
+        assert [i for _, i, _ in sorted(found)] == [i for _, i in want]
+        assert sorted(r for r, _, _ in found) == list(range(1, len(want) + 1))
+        assert {n for _, _, n in found} == {len(want)}
+    assert sorted(r["r"] for r in with_hash_rank(df, [], h, ["id"], "r").collect()) == list(range(1, len(rows) + 1))
+    assert "rangepartitioning" not in with_hash_rank(df, ["g"], h, ["id"], "r")._jdf.queryExecution().toString()

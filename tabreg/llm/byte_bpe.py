@@ -146,10 +146,10 @@ class ByteBpe:
         stand_in = text.translate(self.classes)             # one character for one: places stay
         return b"".join([self.memo[text[slice(*m.span())]] for m in self.pattern.finditer(stand_in)])
 
-    def decode(self, ids: list[int]) -> bytes:
-        if ids and not 0 <= min(ids) <= max(ids) < len(self.tokens):
+    def decode(self, ids: np.ndarray) -> bytes:
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.tokens):
             raise ValueError(f"an id outside the vocabulary of {len(self.tokens)} entries")
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 _CODECS: dict[tuple, ByteBpe] = {}
@@ -208,7 +208,9 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", into:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path, pattern, {})                   # classes matter only for encoding
         for batch in batches:
-            texts = [None if ids.as_py() is None else codec.decode(ids.as_py()) for ids in batch.column(at)]
+            column = batch.column(at)
+            ends, flat, held = column.offsets.to_numpy(), column.values.to_numpy(), column.is_valid().to_pylist()
+            texts = [codec.decode(flat[lo:hi]) if ok else None for lo, hi, ok in zip(ends[:-1], ends[1:], held)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, into])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, BinaryType())]))

@@ -287,21 +287,19 @@ def boxcox_profile(df: DataFrame, cols: Sequence[str], lambdas: Sequence[float])
 
 def boxcox_lambdas(df: DataFrame, cols: Sequence[str], lambdas: Sequence[float] | None = None,
                    fudge: float = 0.2) -> dict[str, float]:
-    """Best lambda per column (grid argmax), snapped to 0 or 1 within ``fudge``."""
-    lambdas = list(lambdas) if lambdas is not None else [round(x, 1) for x in np.arange(-2, 2.01, 0.1)]
+    """Best lambda per column, snapped to 0 or 1 within ``fudge``: two passes over all columns at
+    once (``foldrecipe.boxcox_exponents``), or, where ``lambdas`` lists them, the best of these. A
+    column without spread or with a value that is not positive keeps 1 (no transform)."""
+    if lambdas is None:
+        from tabreg.operators.foldrecipe import WHOLE, boxcox_exponents
+        found = boxcox_exponents(df, cols, None, fudge).get(WHOLE, {})
+        return {c: found[c][0] if c in found else 1.0 for c in cols}
     prof = boxcox_profile(df, cols, lambdas)
     best = prof.groupBy("variable").agg(F.max_by("lam", "loglik").alias("lam")).collect()
     out = {}
     for r in best:
-        if r["lam"] is None:          # constant column: no finite likelihood, no transform
-            out[r["variable"]] = 1.0
-            continue
-        lam = float(r["lam"])
-        if abs(lam) < fudge:
-            lam = 0.0
-        elif abs(lam - 1) < fudge:
-            lam = 1.0
-        out[r["variable"]] = lam
+        lam = 1.0 if r["lam"] is None else float(r["lam"])       # constant column: no finite likelihood
+        out[r["variable"]] = 0.0 if abs(lam) < fudge else 1.0 if abs(lam - 1) < fudge else lam
     return out
 
 

@@ -4,6 +4,8 @@
   ``total - block(f)``; every grid point is fitted on the driver from those matrices and
   scored on block f (RMSE and R^2 come straight from the block's sums). Out-of-fold
   predictions of the chosen setting take one more scan (a ``CASE fold`` projection).
+  With a ``recipe`` the preprocessing is refitted on every fold's training rows, from the
+  same kind of statistics by fold (``foldrecipe``).
 * MLlib estimators (forests, boosting): one fit per (grid point, fold) on the rows of the
   other folds, submitted from a small driver thread pool so several Spark jobs overlap.
 * Boosting path (X5): one fit per fold at the largest number of trees; the held-out loss
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
+from tabreg.operators import foldrecipe
 from tabreg.operators import evaluate as EV
 from tabreg.operators.matrix import gram
 from tabreg.operators.models import LinearSpec, assemble, linear_expr
@@ -44,19 +47,32 @@ class TuneResult:
     best: dict
     oof: DataFrame | None = None
     fits: dict | None = None
+    recipes: dict | None = None         # fold -> its fitted recipe; WHOLE -> that of all rows
+    statistics: "foldrecipe.FoldStatistics | None" = None
 
 
 def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
                 grid: Sequence[Mapping], kind: str = "enet", key: str | None = None,
-                model_name: str = "linear") -> TuneResult:
-    """X3 for the linear family from one Gram pass grouped by fold."""
+                model_name: str = "linear", recipe: "foldrecipe.FoldRecipe | None" = None) -> TuneResult:
+    """X3 for the linear family from one Gram pass grouped by fold; ``recipe`` is fitted anew on
+    the training rows of every fold, and every fold's model has that recipe's terms."""
     spark = df.sparkSession
     data = df.where(F.col(label).isNotNull())
-    blocks = gram(data, features, label, by=[fold_col])
-    folds = sorted(k[0] for k in blocks)
-    total = None
-    for b in blocks.values():
-        total = b if total is None else total + b
+    stats = recipes = None
+    if recipe is not None:
+        stats = foldrecipe.fold_statistics(data, features, label, fold_col, recipe)
+        data = data.withColumns(stats.columns) if stats.columns else data
+        folds, blocks, total = stats.folds, {(f,): b for f, b in stats.blocks.items()}, stats.total
+        recipes = {f: stats.fitted(f) for f in [*folds, foldrecipe.WHOLE]}
+        terms = {f: recipes[f].terms for f in folds}
+    else:
+        blocks = gram(data, features, label, by=[fold_col])
+        folds = sorted(k[0] for k in blocks)
+        total = None
+        for b in blocks.values():
+            total = b if total is None else total + b
+        terms = dict.fromkeys(folds, list(features))
+    train = {f: total - blocks[(f,)] for f in folds}
     keys = sorted({k for g in grid for k in g})
     fold_rows, grid_rows = [], []
     fits: dict = {}
@@ -68,10 +84,9 @@ def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: st
         for f in folds:
             key_w = (spec.alpha, f)
             if kind == "enet" and spec.alpha > 0:
-                fit = linalg.elastic_net(total - blocks[(f,)], features, label, spec.lam, spec.alpha,
-                                         warm=warm.get(key_w))
+                fit = linalg.elastic_net(train[f], terms[f], label, spec.lam, spec.alpha, warm=warm.get(key_w))
             else:
-                fit = spec.fit(total - blocks[(f,)], features, label)
+                fit = spec.fit(train[f], terms[f], label)
             warm[key_w] = fit
             fits[(gi, f)] = fit
     for gi, setting in enumerate(grid):
@@ -103,7 +118,7 @@ def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: st
             pred = F.when(F.col(fold_col) == f, e) if pred is None else pred.when(F.col(fold_col) == f, e)
         oof = data.select(F.lit(model_name).alias("model"), F.col(key).alias("key"), F.col(fold_col).alias("fold"),
                           F.col(label).cast("double").alias("obs"), pred.alias("pred"))
-    return TuneResult(gm, fm, best, oof, fits)
+    return TuneResult(gm, fm, best, oof, fits, recipes, stats)
 
 
 def tune_mllib(df: DataFrame, features: Sequence[str], label: str, fold_col: str,

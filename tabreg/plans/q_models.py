@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
 from tabreg.operators import evaluate as EV
-from tabreg.operators import impute, matrix, models, split, tune
+from tabreg.operators import foldrecipe, impute, matrix, models, split, tune
 from tabreg.operators.score import refit_and_score
 from tabreg.plans.common import r6
 from tabreg.plans.registry import register
@@ -129,6 +129,82 @@ def boxcox_profile(spark, sf_dir):
     return p.select("variable", "lam", F.round("loglik", 2).alias("loglik"))
 
 
+# Exponents: the best of a grid of 0.01, then of one of 0.0001 around it.
+def _lambda_sql(rows, keys):
+    """SQL of (keys, lam) from ``rows`` (keys, positive x)."""
+    by = ", ".join(keys)
+    ll = "-count(*) / 2.0 * ln(var_pop(CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END)) + (any_value(lam) - 1) * sum(ln(x))"
+    return f"""l1 AS (SELECT {by}, arg_max(lam, ll) AS l1 FROM (
+  SELECT {by}, lam, {ll} AS ll FROM {rows}, (SELECT i / 100.0::DOUBLE AS lam FROM range(-500, 501) g(i)) GROUP BY {by}, lam) GROUP BY {by}),
+lam AS (SELECT {by}, arg_max(lam, ll) AS lam FROM (
+  SELECT {by}, lam, {ll} AS ll FROM (
+    SELECT r.*, greatest(least(l1 + i / 10000.0, 5.0), -5.0) AS lam FROM {rows} r JOIN l1 USING ({by}), range(-100, 101) g(i))
+  GROUP BY {by}, lam) GROUP BY {by})"""
+
+
+@register("boxcox_lambda", "M5", sql=f"""
+WITH r AS (SELECT variable, x FROM (UNPIVOT (
+  SELECT ext / 1000 AS ext_k, sum_qty, pow(1 + 10 * avg_discount, 3) AS odds FROM {_MODEL_SQL} t)
+  ON ext_k, sum_qty, odds INTO NAME variable VALUE x)),
+{_lambda_sql("r", ["variable"])}
+SELECT variable, round(lam, 2) AS lam FROM lam
+""")
+def boxcox_lambda(spark, sf_dir):
+    """Chosen Box-Cox exponents of three columns, two passes for all of them."""
+    t = model_table(spark, sf_dir).select((F.col("ext") / 1000).alias("ext_k"), "sum_qty",
+                                          F.pow(1 + 10 * F.col("avg_discount"), 3).alias("odds"))
+    lams = matrix.boxcox_lambdas(t, t.columns, fudge=0.0)
+    return spark.createDataFrame([(c, round(v, 2)) for c, v in lams.items()], "variable string, lam double")
+
+
+_RECIPE_COLS = {"log_ext": "log_ext", "avg_tax": "avg_tax", "n_lines": "n_lines", "combo": "log_ext + 2 * avg_tax",
+                "near": "log_ext + 0.1 * avg_discount", "rare": "CASE WHEN o_orderkey % 97 = 0 THEN 1.0 ELSE 0.0 END",
+                "once": "CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 THEN 1.0 ELSE 0.0 END",
+                "odds": "pow(1 + 10 * avg_discount, 3)"}
+
+
+@register("recipe_folds", "X3 M1 M3 M4 M5 M6 M7", sql=f"""
+WITH m AS (SELECT o_orderkey, o_orderkey % 2 + 1 AS f, {', '.join(f'CAST({e} AS DOUBLE) AS {c}' for c, e in _RECIPE_COLS.items())}
+           FROM {_MODEL_SQL} t WHERE set = 'train'),
+p AS (SELECT h.fold, m.* EXCLUDE (f) FROM m JOIN (VALUES (1), (2)) h(fold) ON m.f <> h.fold),
+u AS (SELECT fold, o_orderkey, variable, v FROM (UNPIVOT p ON {', '.join(_RECIPE_COLS)} INTO NAME variable VALUE v)),
+top AS (SELECT fold, variable, count(*) AS levels, sum(c) AS n, max(c, 2) AS c FROM (
+  SELECT fold, variable, v, count(*) AS c FROM u GROUP BY ALL) GROUP BY ALL),
+nzv AS (SELECT fold, variable, levels = 1 OR (c[1] / c[2] > 19 AND 100.0 * levels / n <= 10) AS nzv FROM top),
+k AS (SELECT fold, variable FROM nzv WHERE NOT nzv AND variable <> 'combo'),
+r AS (SELECT a.fold, a.variable AS a, b.variable AS b, abs(corr(a.v, b.v)) AS r FROM u a JOIN u b USING (fold, o_orderkey)
+      WHERE a.variable <> b.variable AND (a.fold, a.variable) IN (FROM k) AND (b.fold, b.variable) IN (FROM k) GROUP BY ALL),
+mr AS (SELECT fold, a AS variable, avg(r) AS mr FROM r GROUP BY ALL),
+hi AS (SELECT r.fold, CASE WHEN x.mr > y.mr THEN r.a ELSE r.b END AS variable FROM r
+       JOIN mr x ON x.fold = r.fold AND x.variable = r.a JOIN mr y ON y.fold = r.fold AND y.variable = r.b
+       WHERE r.r > 0.9 AND x.mr > y.mr),
+s AS (SELECT fold, variable, CASE WHEN nzv THEN 'nzv' WHEN variable = 'combo' THEN 'lincomb'
+             WHEN (fold, variable) IN (FROM hi) THEN 'corr' ELSE 'kept' END AS step FROM nzv),
+pos AS (SELECT fold, variable FROM u GROUP BY ALL HAVING min(v) > 0),
+q AS (SELECT fold, variable, v AS x FROM u WHERE (fold, variable) IN (FROM pos)
+      AND (fold, variable) IN (SELECT fold, variable FROM s WHERE step = 'kept')),
+{_lambda_sql("q", ["fold", "variable"])},
+z AS (SELECT fold, variable, avg(v) AS center, stddev_samp(v) AS scale FROM u GROUP BY ALL)
+SELECT CAST(s.fold AS INTEGER) AS fold, s.variable, s.step, round(lam, 2) AS lambda,
+       CASE WHEN step = 'kept' AND lam IS NULL THEN round(center, 6) END AS center,
+       CASE WHEN step = 'kept' AND lam IS NULL THEN round(scale, 6) END AS scale
+FROM s JOIN z USING (fold, variable) LEFT JOIN lam ON lam.fold = s.fold AND lam.variable = s.variable AND step = 'kept'
+""")
+def recipe_folds(spark, sf_dir):
+    """The recipe of either of two folds, fitted on the other one: planted columns of almost one
+    value, of one value in one fold, an exact combination, a near copy and a skewed column; every
+    positive column that stays has its exponent."""
+    t = model_table(spark, sf_dir).where(F.col("set") == "train")
+    t = t.select(KEY, LABEL, (F.col(KEY) % 2 + 1).cast("int").alias("fold"),
+                 *[F.expr(e).cast("double").alias(c) for c, e in _RECIPE_COLS.items()])
+    stats = foldrecipe.fold_statistics(t, list(_RECIPE_COLS), LABEL, "fold",
+                                       foldrecipe.FoldRecipe(("nzv", "lincomb", "corr", "boxcox", "center", "scale"), fudge=0.0))
+    out = foldrecipe.recipe_table(stats, spark)
+    plain = F.col("lambda").isNull()
+    return out.select("fold", "variable", "step", F.round("lambda", 2).alias("lambda"),
+                      F.when(plain, F.round("center", 6)).alias("center"), F.when(plain, F.round("scale", 6)).alias("scale"))
+
+
 @register("zero_variance", "M2", sql=f"""
 SELECT variable, is_zv FROM (
   SELECT 'status_f' AS variable, min(status_f) = max(status_f) AS is_zv FROM {_MODEL_SQL} t

@@ -137,3 +137,77 @@ def gcv(rss_value: float, n: float, n_terms: int, penalty: float = 2.0) -> float
     (intercept included): RSS / n / (1 - C/n)^2 with C = n_terms + penalty (n_terms - 1)/2."""
     c = n_terms + penalty * (n_terms - 1) / 2
     return float(rss_value / n / (1 - c / n) ** 2) if c < n else float("inf")
+
+
+def forward_pairs(g, pairs: Sequence[Sequence[str]], label: str, max_terms: int, tol: float = 1e-9) -> list[tuple[str, ...]]:
+    """Forward search over groups of one or two columns: in every step the group that lowers the
+    residual sum of squares most joins, up to ``max_terms`` terms with the intercept or until a step
+    gains less than ``tol`` of the start. The centred cross products are kept as residuals on the
+    chosen columns (one rank-1 update a column), so a step costs a few operations a candidate."""
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {c: i for i, c in enumerate(names)}
+    cross = g.centred([*names, label]).astype(float).copy()
+    start = np.clip(np.diag(cross), 0.0, None)
+    least = 1e-9 * start + 1e-300             # below: a combination of the chosen columns
+    y = len(names)
+    left = {i: tuple(at[c] for c in p) for i, p in enumerate(pairs)}
+    chosen: list[tuple[str, ...]] = []
+    terms = 1
+    while left:
+        open_ = [i for i, p in left.items() if terms + len(p) <= max_terms]
+        if not open_:
+            break
+        a = np.array([left[i][0] for i in open_])
+        b = np.array([left[i][-1] for i in open_])
+        caa, cbb, cab, cay, cby = cross[a, a], cross[b, b], cross[a, b], cross[a, y], cross[b, y]
+        ok_a, ok_b = caa > least[a], (cbb > least[b]) & (a != b)
+        gain_a = np.where(ok_a, cay ** 2 / np.where(ok_a, caa, 1.0), 0.0)
+        gain_b = np.where(ok_b, cby ** 2 / np.where(ok_b, cbb, 1.0), 0.0)
+        det = caa * cbb - cab ** 2
+        both = ok_a & ok_b & (det > 1e-9 * caa * cbb)
+        gain = np.where(both, (cay ** 2 * cbb - 2 * cay * cby * cab + cby ** 2 * caa) / np.where(both, det, 1.0),
+                        np.maximum(gain_a, gain_b))
+        best = int(gain.argmax())
+        if not gain[best] > tol * start[y]:
+            break
+        group = left.pop(open_[best])
+        taken = []
+        for c in group:
+            if cross[c, c] > least[c]:
+                cross = cross - np.outer(cross[:, c], cross[c]) / cross[c, c]
+                taken.append(names[c])
+        chosen.append(tuple(taken))
+        terms += len(taken)
+    return chosen
+
+
+def backward_path(g, names: Sequence[str], label: str) -> list[tuple[float, list[str]]]:
+    """``(residual sum of squares, columns)`` from all of ``names`` to none: every step drops the
+    column whose loss raises the sum least (b_j^2 over the diagonal of the inverse)."""
+    cur = list(names)
+    total = float(g.centred([label])[0, 0])
+    if not cur:
+        return [(total, [])]
+    c, r = g.centred(cur), g.centred(cur, [label])[:, 0]
+    sd = np.sqrt(np.clip(np.diag(c), 1e-300, None))
+    inv = np.linalg.pinv(c / np.outer(sd, sd), rcond=1e-13, hermitian=True)
+    b = inv @ (r / sd)
+    left = max(total - float(b @ (r / sd)), 0.0)
+    out = [(left, list(cur))]
+    while cur:
+        rise = b ** 2 / np.clip(np.diag(inv), 1e-300, None)
+        j = int(rise.argmin())
+        left += float(rise[j])
+        b = np.delete(b - inv[:, j] * (b[j] / inv[j, j]), j)
+        inv = inv - np.outer(inv[:, j], inv[j]) / inv[j, j]
+        inv = np.delete(np.delete(inv, j, axis=0), j, axis=1)
+        cur.pop(j)
+        out.append((left, list(cur)))
+    return out
+
+
+def pruned(path: Sequence[tuple[float, list[str]]], n: float, most: int | None = None, penalty: float = 2.0) -> list[str]:
+    """The columns of the path's smallest generalised cross-validation among those of at most
+    ``most`` terms, intercept included."""
+    sized = [p for p in path if most is None or len(p[1]) + 1 <= most]
+    return min(sized, key=lambda p: (gcv(p[0], n, len(p[1]) + 1, penalty), len(p[1])))[1]

@@ -44,7 +44,8 @@ def coefficient_frame(spark, fit: linalg.LinearFit, model: str) -> DataFrame:
 # -- ML1 / ML2: OLS with the coefficient table -------------------------------------------
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """The feature vector column; a row with a NULL or NaN feature is an error, never left out."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
 def ols_table(df: DataFrame, features: Sequence[str], label: str, model: str = "lm") -> DataFrame:
@@ -157,68 +158,81 @@ def _hinge(f: str, k: float | None, s: int) -> Column:
     return F.greatest(F.lit(0.0), x - F.lit(k)) if s > 0 else F.greatest(F.lit(0.0), F.lit(k) - x)
 
 
-def mars(df: DataFrame, features: Sequence[str], label: str, n_knots: int = 9, max_terms: int = 21,
-         nprune: int | None = None, penalty: float = 2.0) -> HingeModel:
-    """Degree-1 MARS: candidate knots at exact interior quantiles of every feature, one
-    Gram pass over all candidate hinge columns, then on the driver a forward pass adding
-    the hinge pair that lowers RSS most (up to ``max_terms``) and a backward pass
-    removing terms while GCV improves (or down to ``nprune`` terms)."""
+def hinge_candidates(df: DataFrame, features: Sequence[str], n_knots: int = 15) -> list[tuple[tuple, ...]]:
+    """Groups of terms ``(feature, knot, sign)``: a mirrored pair at each of ``n_knots`` evenly spaced
+    exact quantiles inside every feature, and the feature itself (sign 0). Knots come from the
+    features alone, never from the label."""
     probs = [(i + 1) / (n_knots + 1) for i in range(n_knots)]
-    knots: dict[str, list[float]] = {f: [] for f in features}
+    knots: dict[str, set[float]] = {f: set() for f in features}
     melted = df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("variable"), F.col(f).cast("double").alias("v"))
                                            for f in features])).alias("_m")).select("_m.*")
     for r in exact_quantiles(melted, "v", probs, ["variable"]).collect():     # n_knots per feature
-        if r["quantile"] is not None:
-            knots[r["variable"]].append(float(r["quantile"]))
-    cands = []
-    for f in features:
-        for k in sorted(set(knots[f])):
-            cands.append((f, k))
-    basis = {_hname(f, k, s): _hinge(f, k, s) for f, k in cands for s in (1, -1)}
+        knots[r["variable"]].add(float(r["quantile"]))
+    return [g for f in features for g in [((f, None, 0),), *(((f, k, 1), (f, k, -1)) for k in sorted(knots[f]))]]
+
+
+def _hinge_blocks(df: DataFrame, groups: Sequence[tuple], label: str, by: Sequence[str] = ()) -> dict:
+    basis = {_hname(*t): _hinge(*t) for g in groups for t in g}
     data = df.where(F.col(label).isNotNull()).select(
-        F.col(label).cast("double").alias(label), *[e.alias(n) for n, e in basis.items()])
-    names = list(basis)
-    g = gram(data, names, label)[()]
-    chosen: list[str] = []
-    terms: list[tuple] = []
-    cur_rss = linalg.rss(g, linalg.ols(g, [], label), label)
-    while len(chosen) + 1 < max_terms:
-        best = None
-        for f, k in cands:
-            pair = [_hname(f, k, 1), _hname(f, k, -1)]
-            if pair[0] in chosen:
-                continue
-            trial = chosen + pair
-            r = linalg.rss(g, linalg.ols(g, trial, label), label)
-            if best is None or r < best[0]:
-                best = (r, f, k, pair)
-        if best is None or best[0] >= cur_rss * (1 - 1e-9):
-            break
-        cur_rss = best[0]
-        chosen += best[3]
-        terms += [(best[1], best[2], 1), (best[1], best[2], -1)]
-    # backward pruning by GCV
-    n = g.n
-    cur = list(chosen)
-    path = [(linalg.gcv(linalg.rss(g, linalg.ols(g, cur, label), label), n, len(cur) + 1, penalty), list(cur))]
-    while cur:
-        scored = []
-        for t in cur:
-            s = [c for c in cur if c != t]
-            scored.append((linalg.gcv(linalg.rss(g, linalg.ols(g, s, label), label), n, len(s) + 1, penalty), s))
-        best_g, best_s = min(scored, key=lambda x: x[0])
-        cur = best_s
-        path.append((best_g, list(cur)))
-    if nprune is not None:
-        sized = [p for p in path if len(p[1]) + 1 <= nprune]
-        pick = min(sized, key=lambda x: x[0]) if sized else path[-1]
-    else:
-        pick = min(path, key=lambda x: x[0])
-    keep = pick[1]
-    kept_terms = [t for t in terms if _hname(*t) in keep]
-    fit = linalg.ols(g, keep, label)
-    return HingeModel(kept_terms, fit)
-
-
-__all__ = ["LinearSpec", "fit_linear", "stepwise", "ols_table", "forest", "boosted", "mars",
+        *by, F.col(label).cast("double").alias(label), *[e.alias(n) for n, e in basis.items()])
+    return gram(data, list(basis), label, by)
+
+
+def mars_path(g, groups: Sequence[tuple], label: str, max_terms: int) -> list[tuple[float, list[str]]]:
+    """Forward search over the candidate groups, then the whole backward path, on one Gram matrix."""
+    named = [tuple(_hname(*t) for t in group) for group in groups]
+    chosen = linalg.forward_pairs(g, named, label, max_terms)
+    return linalg.backward_path(g, [c for p in chosen for c in p], label)
+
+
+def _hinge_model(g, groups: Sequence[tuple], label: str, keep: Sequence[str]) -> HingeModel:
+    terms = {_hname(*t): t for group in groups for t in group}
+    return HingeModel([terms[c] for c in keep], linalg.ols(g, list(keep), label))
+
+
+def mars(df: DataFrame, features: Sequence[str], label: str, n_knots: int = 15, max_terms: int = 101,
+         nprune: int | None = None, penalty: float = 2.0) -> HingeModel:
+    """ML10: degree-1 MARS from one Gram pass over all candidate hinges: a forward search adds the
+    group that lowers the residual sum most, the backward path drops terms one by one, and the
+    size of the smallest GCV (of at most ``nprune`` terms) stays."""
+    groups = hinge_candidates(df.where(F.col(label).isNotNull()), features, n_knots)
+    g = _hinge_blocks(df, groups, label)[()]
+    return _hinge_model(g, groups, label, linalg.pruned(mars_path(g, groups, label, max_terms), g.n, nprune, penalty))
+
+
+@dataclass
+class MarsTuning:
+    fold_metrics: list[tuple]         # (nprune, fold, terms, rmse, rsquared)
+    best: int                         # nprune of the smallest mean rmse, the smaller one of a tie
+    model: HingeModel                 # refitted on all rows with it
+    fits: dict                        # (nprune, fold) -> fit
+
+
+def tune_mars(df: DataFrame, features: Sequence[str], label: str, fold_col: str, nprune: Sequence[int],
+              n_knots: int = 15, max_terms: int = 101, penalty: float = 2.0) -> MarsTuning:
+    """ML10 with ``nprune`` tuned by cross-validation (X3) from one Gram pass by fold: every fold's
+    forward and backward path runs on ``total - block(f)`` and each size is scored on block f, so no
+    setting and no fold reads a row again. The knots are those of all labelled rows' features."""
+    data = df.where(F.col(label).isNotNull())
+    groups = hinge_candidates(data, features, n_knots)
+    blocks = {k[0]: b for k, b in _hinge_blocks(data, groups, label, [fold_col]).items()}
+    total = None
+    for b in blocks.values():
+        total = b if total is None else total + b
+    rows, fits = [], {}
+    for f in sorted(blocks):
+        train = total - blocks[f]
+        path = mars_path(train, groups, label, max_terms)
+        for most in nprune:
+            keep = linalg.pruned(path, train.n, most, penalty)
+            fits[(most, f)] = fit = linalg.ols(train, keep, label)
+            m = linalg.metrics_on(blocks[f], fit, label)
+            rows.append((int(most), f, len(keep) + 1, m["rmse"], m["rsquared"]))
+    mean = {most: sum(r[3] for r in rows if r[0] == most) / len(blocks) for most in nprune}
+    best = min(nprune, key=lambda m: (mean[m], m))
+    keep = linalg.pruned(mars_path(total, groups, label, max_terms), total.n, best, penalty)
+    return MarsTuning(rows, int(best), _hinge_model(total, groups, label, keep), fits)
+
+
+__all__ = ["LinearSpec", "fit_linear", "stepwise", "ols_table", "forest", "boosted", "mars", "tune_mars",
            "predict_linear", "linear_expr", "coefficient_frame", "feature_importance", "assemble", "ONE"]

@@ -7,9 +7,9 @@
   With a ``recipe`` the preprocessing is refitted on every fold's training rows, from the
   same kind of statistics by fold (``foldrecipe``).
 * MLlib estimators (forests, boosting): one fit per (grid point, fold) on the rows of the
-  other folds, submitted from a small driver thread pool so several Spark jobs overlap.
-* Boosting path (X5): one fit per fold at the largest number of trees; the held-out loss
-  after every iteration comes from ``evaluateEachIteration``.
+  other folds, submitted from a small driver thread pool so several Spark jobs overlap. Tree
+  counts share a fit: a smaller forest is a prefix of a larger one (``tune_forest``), and the
+  held-out loss after every boosting iteration is that of a shorter path (``boosting_paths``, X5).
 
 Returned tables: ``grid_metrics`` (one row per setting), ``fold_metrics`` (setting x fold),
 ``best`` (the chosen setting) and ``oof`` (out-of-fold predictions of the best setting).
@@ -121,70 +121,138 @@ def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     return TuneResult(gm, fm, best, oof, fits, recipes, stats)
 
 
+def _assembled(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str]) -> DataFrame:
+    """Feature vectors of the labelled rows, written once: every fit reads this, not the source."""
+    return cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(*keep, label, "features"))
+
+
+def _run_fits(run: Callable, jobs: Sequence, parallelism: int) -> list:
+    """``run`` of every job from a driver thread pool, so that several Spark jobs overlap. A fit that
+    fails (lost executors beyond Spark's own retries) is submitted again on its own once the others
+    are done; a second failure is the caller's."""
+    def guarded(job):
+        try:
+            return run(job), None
+        except Exception as error:  # noqa: BLE001 - any failure of one fit is retried below
+            return None, error
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        done = list(ex.map(guarded, jobs))
+    return [run(job) if error is not None else result for job, (result, error) in zip(jobs, done)]
+
+
+def _grid_tables(spark, model_name: str, grid: Sequence[Mapping], scores: Mapping) -> tuple[DataFrame, DataFrame, int]:
+    """Fold and grid metrics from ``{(setting, fold): (rmse, rsquared, mae)}``, and the best setting."""
+    keys = sorted({k for g in grid for k in g})
+    value = lambda g, k: float(g.get(k, 0.0))
+    fold_rows = [(model_name, gi, int(f), *[value(grid[gi], k) for k in keys], *m) for (gi, f), m in sorted(scores.items())]
+    grid_rows = []
+    for gi, g in enumerate(grid):
+        rs = [m[0] for (g2, _), m in scores.items() if g2 == gi]
+        r2 = [m[1] for (g2, _), m in scores.items() if g2 == gi and m[1] is not None]
+        mean = sum(rs) / len(rs)
+        sd = math.sqrt(sum((x - mean) ** 2 for x in rs) / (len(rs) - 1)) if len(rs) > 1 else float("nan")
+        grid_rows.append((model_name, gi, *[value(g, k) for k in keys], mean, sd, sum(r2) / len(r2) if r2 else None))
+    cols = "".join(f"{k} double, " for k in keys)
+    fm = spark.createDataFrame(fold_rows, f"model string, grid_id int, fold int, {cols}rmse double, rsquared double, mae double")
+    gm = spark.createDataFrame(grid_rows, f"model string, grid_id int, {cols}rmse double, rmse_sd double, rsquared double")
+    return fm, gm, min(range(len(grid)), key=lambda i: (grid_rows[i][-3], i))
+
+
 def tune_mllib(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
                make: Callable[[Mapping], object], grid: Sequence[Mapping], key: str | None = None,
                model_name: str = "mllib", parallelism: int = 4) -> TuneResult:
     """X3 for MLlib estimators: fit on the other folds, score the held-out fold, metrics by
-    one aggregate per fold. Fits run concurrently from a driver thread pool."""
+    one aggregate per fold. Only metrics are kept, not models; with ``key`` the best setting is
+    fitted again per fold for its out-of-fold predictions. A row with a NULL feature is an error."""
     spark = df.sparkSession
-    # assemble once and materialise: every (setting, fold) fit reads this, not the source
-    keep = [c for c in [key, fold_col, label] if c]
-    data = cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(*keep, "features"))
+    data = _assembled(df, features, label, [c for c in [key, fold_col] if c])
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())   # k values
-    keys = sorted({k for g in grid for k in g})
+
+    def fitted(gi, f):
+        model = make(grid[gi]).fit(data.where(F.col(fold_col) != f))
+        return model.transform(data.where(F.col(fold_col) == f))
 
     def run(job):
-        gi, f = job
-        est = make(grid[gi])
-        model = est.fit(data.where(F.col(fold_col) != f))
-        scored = model.transform(data.where(F.col(fold_col) == f))
-        m = EV.regression_metrics(scored, "prediction", label).first()
-        return gi, f, m["rmse"], m["rsquared"], m["mae"], model
+        m = EV.regression_metrics(fitted(*job), "prediction", label).first()
+        return m["rmse"], m["rsquared"], m["mae"]
 
     jobs = [(gi, f) for gi in range(len(grid)) for f in folds]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, jobs))
-    fold_rows = [(model_name, gi, int(f), *[float(grid[gi].get(k, 0)) for k in keys], r, r2, mae)
-                 for gi, f, r, r2, mae, _ in results]
-    models = {(gi, f): m for gi, f, *_, m in results}
-    grid_rows = []
-    for gi in range(len(grid)):
-        rs = [r for g2, _, r, *_ in results if g2 == gi]
-        r2 = [x for g2, _, _, x, *_ in results if g2 == gi]
-        mean = sum(rs) / len(rs)
-        sd = math.sqrt(sum((x - mean) ** 2 for x in rs) / (len(rs) - 1)) if len(rs) > 1 else float("nan")
-        grid_rows.append((model_name, gi, *[float(grid[gi].get(k, 0)) for k in keys], mean, sd, sum(r2) / len(r2)))
-    cols = ", ".join(f"{k} double" for k in keys)
-    fm = spark.createDataFrame(fold_rows, f"model string, grid_id int, fold int, {cols + ', ' if cols else ''}"
-                                          f"rmse double, rsquared double, mae double")
-    gm = spark.createDataFrame(grid_rows, f"model string, grid_id int, {cols + ', ' if cols else ''}"
-                                          f"rmse double, rmse_sd double, rsquared double")
-    best_i = min(range(len(grid_rows)), key=lambda i: (grid_rows[i][-3], i))
+    fm, gm, best = _grid_tables(spark, model_name, grid, dict(zip(jobs, _run_fits(run, jobs, parallelism))))
     oof = None
     if key is not None:
-        parts = [models[(best_i, f)].transform(data.where(F.col(fold_col) == f)) for f in folds]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        oof = u.select(F.lit(model_name).alias("model"), F.col(key).alias("key"), F.col(fold_col).alias("fold"),
-                       F.col(label).cast("double").alias("obs"), F.col("prediction").alias("pred"))
-    return TuneResult(gm, fm, {"grid_id": best_i, **dict(grid[best_i])}, oof, models)
+        parts = _run_fits(lambda f: fitted(best, f), folds, parallelism)
+        oof = EV.stack([p.select(F.lit(model_name).alias("model"), F.col(key).alias("key"), F.col(fold_col).alias("fold"),
+                                 F.col(label).cast("double").alias("obs"), F.col("prediction").alias("pred")) for p in parts])
+    return TuneResult(gm, fm, {"grid_id": best, **dict(grid[best])}, oof)
 
 
-def boost_path(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[], object],
-               model_name: str = "gbm", parallelism: int = 4) -> DataFrame:
-    """Held-out RMSE after every boosting iteration, per fold, from one fit per fold
-    (the folds' fits run concurrently from a driver thread pool).
-    ``(model, fold, n_trees, rmse)``; the mean over folds per ``n_trees`` picks the size."""
-    spark = df.sparkSession
-    data = cut_lineage(assemble(df.where(F.col(label).isNotNull()), features).select(fold_col, label, "features"))
+def nested_forest_metrics(model, held_out: DataFrame, label: str, counts: Sequence[int]) -> dict[int, tuple]:
+    """``{m: (rmse, rsquared, mae)}`` of the first m trees of a fitted forest for every m of
+    ``counts``, from one pass over the held-out rows: a forest of m trees is a prefix of a larger
+    one, so the number of trees is tuned by one fit."""
+    trees = model.trees[:max(counts)]
+    scored = held_out
+    for i, tree in enumerate(trees):
+        scored = tree.setPredictionCol(f"_t{i}").transform(scored)
+    y = F.col(label).cast("double")
+    aggs = []
+    for m in counts:
+        p = sum((F.col(f"_t{i}") for i in range(1, m)), F.col("_t0")) / F.lit(float(m))
+        aggs += [F.sqrt(F.avg((p - y) ** 2)).alias(f"rmse{m}"), F.pow(F.corr(p, y), 2).alias(f"r2{m}"), F.avg(F.abs(p - y)).alias(f"mae{m}")]
+    row = scored.agg(*aggs).first()
+    return {m: (row[f"rmse{m}"], row[f"r2{m}"], row[f"mae{m}"]) for m in counts}
+
+
+def tune_forest(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],
+                grid: Sequence[Mapping], n_trees: Sequence[int], model_name: str = "forest", parallelism: int = 4) -> TuneResult:
+    """ML7/ML8 with X3: one forest of ``max(n_trees)`` per (setting, fold) gives the metrics of all
+    tree counts. ``make(setting)`` returns the estimator; its tree count is set here."""
+    data = _assembled(df, features, label, [fold_col])
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    counts = sorted({int(m) for m in n_trees})
+    full = [{**g, "n_trees": m} for g in grid for m in counts]
 
-    def run(f):
-        model = make().fit(data.where(F.col(fold_col) != f))
-        losses = model.evaluateEachIteration(data.where(F.col(fold_col) == f), "squared")
-        return [(model_name, int(f), i + 1, float(math.sqrt(max(v, 0.0)))) for i, v in enumerate(losses)]
+    def run(job):
+        gi, f = job
+        model = make(grid[gi]).setNumTrees(counts[-1]).fit(data.where(F.col(fold_col) != f))
+        return nested_forest_metrics(model, data.where(F.col(fold_col) == f), label, counts)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = [r for part in ex.map(run, folds) for r in part]
-    return spark.createDataFrame(rows, "model string, fold int, n_trees int, rmse double")
+    jobs = [(gi, f) for gi in range(len(grid)) for f in folds]
+    scores = {(gi * len(counts) + j, f): found[m] for (gi, f), found in zip(jobs, _run_fits(run, jobs, parallelism))
+              for j, m in enumerate(counts)}
+    fm, gm, best = _grid_tables(df.sparkSession, model_name, full, scores)
+    return TuneResult(gm, fm, {"grid_id": best, **full[best]})
+
+
+def boosting_paths(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],
+                   grid: Sequence[Mapping], n_trees: Sequence[int], model_name: str = "gbm",
+                   parallelism: int = 4) -> TuneResult:
+    """ML9 with X3 and X5: one path of ``max(n_trees)`` iterations per (setting, fold), shared by all
+    tree counts: the held-out loss after every iteration is that of a shorter fit. With 16 counts, 27
+    settings and 10 folds that is 270 fits for 4,320 evaluations. ``make(setting)`` returns the
+    estimator; its iterations are set here. Only losses are kept."""
+    data = _assembled(df, features, label, [fold_col])
+    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    counts = sorted({int(m) for m in n_trees})
+    full = [{**g, "n_trees": m} for g in grid for m in counts]
+
+    def run(job):
+        gi, f = job
+        model = make(grid[gi]).setMaxIter(counts[-1]).fit(data.where(F.col(fold_col) != f))
+        return model.evaluateEachIteration(data.where(F.col(fold_col) == f), "squared")
+
+    jobs = [(gi, f) for gi in range(len(grid)) for f in folds]
+    scores = {(gi * len(counts) + j, f): (math.sqrt(max(loss[m - 1], 0.0)), None, None)
+              for (gi, f), loss in zip(jobs, _run_fits(run, jobs, parallelism)) for j, m in enumerate(counts)}
+    fm, gm, best = _grid_tables(df.sparkSession, model_name, full, scores)
+    return TuneResult(gm, fm, {"grid_id": best, **full[best]})
+
+
+def boost_path(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[], object],
+               model_name: str = "gbm", parallelism: int = 4) -> DataFrame:
+    """Held-out RMSE after every boosting iteration of one setting, per fold.
+    ``(model, fold, n_trees, rmse)``; the mean over folds per ``n_trees`` picks the size."""
+    res = boosting_paths(df, features, label, fold_col, lambda _: make(), [{}], range(1, make().getMaxIter() + 1),
+                         model_name, parallelism)
+    return res.fold_metrics.select("model", "fold", F.col("n_trees").cast("int").alias("n_trees"), "rmse")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
 from tabreg.operators import evaluate as EV
-from tabreg.operators import foldrecipe, impute, matrix, models, split, tune
+from tabreg.operators import features, foldrecipe, impute, matrix, models, split, tune
 from tabreg.operators.score import refit_and_score
 from tabreg.plans.common import r6
 from tabreg.plans.registry import register
@@ -370,55 +370,130 @@ def tune_grid(spark, sf_dir):
     return fm.join(mae, "fold")
 
 
-def _tree_data(spark, sf_dir):
-    return _train_with_folds(spark, sf_dir, k=3)
+# Folds and settings are those of the reference where the stand-in's 8 predictors allow it (every node
+# size, every share of the predictors tried per split, every depth); tree counts are shorter. README has
+# the measured time of the full counts.
+_TREES = [5, 10, 20]
 
 
 @register("bagged", "ML7 X3")
 def bagged(spark, sf_dir):
-    grid = tune.param_grid(min_node=[1, 5])
-    res = tune.tune_mllib(_tree_data(spark, sf_dir), FEATURES, LABEL, "fold",
-                          lambda s: models.forest(FEATURES, LABEL, num_trees=20, mtry="all",
-                                                  min_node=int(s["min_node"]), max_depth=8),
-                          grid, model_name="bagged")
-    return res.grid_metrics
+    """Bagged trees: ten node sizes, ten folds, nested tree counts from one fit each."""
+    return tune.tune_forest(_train_with_folds(spark, sf_dir), FEATURES, LABEL, "fold",
+                            lambda s: models.forest(FEATURES, LABEL, mtry="all", min_node=int(s["min_node"]), max_depth=8),
+                            tune.param_grid(min_node=list(range(1, 11))), _TREES, "bagged", parallelism=8).grid_metrics
 
 
 @register("forest", "ML8 X3")
 def forest(spark, sf_dir):
-    grid = tune.param_grid(mtry=[3, 5], min_node=[4, 5])
-    res = tune.tune_mllib(_tree_data(spark, sf_dir), FEATURES, LABEL, "fold",
-                          lambda s: models.forest(FEATURES, LABEL, num_trees=20, mtry=int(s["mtry"]),
-                                                  min_node=int(s["min_node"]), max_depth=8),
-                          grid, model_name="forest")
-    return res.grid_metrics
+    """Random forest: 4 to 8 of the 8 predictors tried per split, two node sizes, ten folds."""
+    return tune.tune_forest(_train_with_folds(spark, sf_dir), FEATURES, LABEL, "fold",
+                            lambda s: models.forest(FEATURES, LABEL, mtry=int(s["mtry"]), min_node=int(s["min_node"]), max_depth=8),
+                            tune.param_grid(mtry=[4, 5, 6, 7, 8], min_node=[4, 5]), _TREES, "forest", parallelism=8).grid_metrics
 
 
-@register("boosted", "ML9 X3")
+@register("boosted", "ML9 X3 X5")
 def boosted(spark, sf_dir):
-    grid = tune.param_grid(depth=[2, 3], shrinkage=[0.1])
-    res = tune.tune_mllib(_tree_data(spark, sf_dir), FEATURES, LABEL, "fold",
-                          lambda s: models.boosted(FEATURES, LABEL, n_trees=20, depth=int(s["depth"]),
-                                                   shrinkage=float(s["shrinkage"]), min_node=10),
-                          grid, model_name="gbm")
-    return res.grid_metrics
+    """Boosting: three depths, ten folds, all tree counts of a setting from one path."""
+    return tune.boosting_paths(_train_with_folds(spark, sf_dir), FEATURES, LABEL, "fold",
+                               lambda s: models.boosted(FEATURES, LABEL, depth=int(s["depth"]), shrinkage=0.1, min_node=3),
+                               tune.param_grid(depth=[3, 4, 5]), _TREES, "gbm", parallelism=8).grid_metrics
 
 
 @register("boost_path", "X5 ML9")
 def boost_path(spark, sf_dir):
-    p = tune.boost_path(_tree_data(spark, sf_dir), FEATURES, LABEL, "fold",
-                        lambda: models.boosted(FEATURES, LABEL, n_trees=30, depth=3, shrinkage=0.1))
+    p = tune.boost_path(_train_with_folds(spark, sf_dir), FEATURES, LABEL, "fold",
+                        lambda: models.boosted(FEATURES, LABEL, n_trees=30, depth=3, shrinkage=0.1), parallelism=8)
     return p.groupBy("n_trees").agg(F.avg("rmse").alias("rmse"), F.count(F.lit(1)).alias("n_folds"))
 
 
-@register("spline", "ML10")
+NPRUNE = [int(x) for x in np.floor(np.linspace(2, 100, 10))]
+
+
+@register("spline", "ML10 X3")
 def spline(spark, sf_dir):
+    """Number of terms of the hinge regression tuned over 10 folds: metrics of every setting and
+    fold, and the terms kept with the best one on all rows."""
+    res = models.tune_mars(cut_lineage(_train_with_folds(spark, sf_dir)), FEATURES, LABEL, "fold", NPRUNE)
+    rows = [(n, int(f), t, rmse, r2, n == res.best, len(res.model.terms) + 1) for n, f, t, rmse, r2 in res.fold_metrics]
+    return spark.createDataFrame(rows, "nprune int, fold int, n_terms int, rmse double, rsquared double, best boolean, "
+                                       "n_terms_best int")
+
+
+_KNOT_P = [(i + 1) / 10 for i in range(9)]
+
+
+@register("spline_one_knot", "ML10", sql=f"""
+WITH m AS (SELECT sum_qty AS x, log_net AS y FROM {_MODEL_SQL} t WHERE set = 'train'),
+k AS (SELECT unnest(quantile_cont(x, {_KNOT_P})) AS knot FROM m),
+h AS (SELECT DISTINCT knot, greatest(x - knot, 0) AS a, greatest(knot - x, 0) AS b, y, count(*) AS w FROM m, k GROUP BY ALL),
+mu AS (SELECT knot, sum(w) AS n, sum(w * a) / sum(w) AS ma, sum(w * b) / sum(w) AS mb, sum(w * y) / sum(w) AS my FROM h GROUP BY knot),
+c AS (SELECT knot, any_value(n) AS n, sum(w * pow(a - ma, 2)) AS saa, sum(w * pow(b - mb, 2)) AS sbb,
+             sum(w * (a - ma) * (b - mb)) AS sab, sum(w * (a - ma) * (y - my)) AS say, sum(w * (b - mb) * (y - my)) AS sby,
+             sum(w * pow(y - my, 2)) AS syy FROM h JOIN mu USING (knot) GROUP BY knot),
+r AS (SELECT knot, n, syy - (say * say * sbb - 2 * say * sby * sab + sby * sby * saa) / (saa * sbb - sab * sab) AS rss FROM c)
+SELECT round(knot, 6) AS knot, round(sqrt(rss / n), 6) AS rmse FROM r ORDER BY rss LIMIT 1
+""")
+def spline_one_knot(spark, sf_dir):
+    """The best single knot of one feature: the first pair of the forward search."""
     t = model_table(spark, sf_dir).where(F.col("set") == "train")
-    m = models.mars(t, ["log_ext", "avg_discount", "sum_qty"], LABEL, n_knots=9, max_terms=11)
-    scored = m.transform(t)
-    met = EV.regression_metrics(scored, "pred", LABEL).first()
-    rows = [(f, float(k) if k is not None else None, int(s), float(met["rmse"])) for f, k, s in m.terms]
-    return spark.createDataFrame(rows, "feature string, knot double, sign int, train_rmse double")
+    pairs = [g for g in models.hinge_candidates(t, ["sum_qty"], 9) if len(g) == 2]
+    g = models._hinge_blocks(t, pairs, LABEL)[()]
+    found = linalg.forward_pairs(g, [tuple(models._hname(*x) for x in p) for p in pairs], LABEL, max_terms=3)[0]
+    knot = next(p[0][1] for p in pairs if models._hname(*p[0]) in found)
+    rmse = (linalg.rss(g, linalg.ols(g, found, LABEL), LABEL) / g.n) ** 0.5
+    return spark.createDataFrame([(round(knot, 6), round(float(rmse), 6))], "knot double, rmse double")
+
+
+@register("ols_folds", "X3 A17 M6", sql=f"""
+WITH d AS (SELECT o_orderkey % 2 + 1 AS f, log_net AS y, 10 * sum_qty / n_lines + n_lines AS x1, avg_discount AS x2
+           FROM {_MODEL_SQL} t WHERE set = 'train'),
+p AS (SELECT h.fold, d.* FROM d JOIN (VALUES (1), (2)) h(fold) ON d.f <> h.fold),
+mu AS (SELECT fold, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM p GROUP BY fold),
+c AS (SELECT fold, any_value(m1) AS m1, any_value(m2) AS m2, any_value(my) AS my, sum(pow(x1 - m1, 2)) AS s11,
+             sum(pow(x2 - m2, 2)) AS s22, sum((x1 - m1) * (x2 - m2)) AS s12, sum((x1 - m1) * (y - my)) AS s1y,
+             sum((x2 - m2) * (y - my)) AS s2y FROM p JOIN mu USING (fold) GROUP BY fold),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+e AS (SELECT b.fold, y, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS pred FROM d JOIN b ON d.f = b.fold)
+SELECT CAST(fold AS INTEGER) AS fold, round(sqrt(avg(pow(pred - y, 2))), 6) AS rmse, round(pow(corr(pred, y), 2), 6) AS rsquared
+FROM e GROUP BY fold
+""")
+def ols_folds(spark, sf_dir):
+    """Least squares over two folds with centring and scaling refitted in each."""
+    t = _two_predictors(spark, sf_dir).withColumn("fold", (F.col(KEY) % 2 + 1).cast("int"))
+    res = tune.tune_linear(t, _TWO, LABEL, "fold", [{"lam": 0.0}], kind="ols",
+                           recipe=foldrecipe.FoldRecipe(("zv", "center", "scale")))
+    return res.fold_metrics.select("fold", F.round("rmse", 6).alias("rmse"), F.round("rsquared", 6).alias("rsquared"))
+
+
+_FACTORS = ["o_orderpriority", "o_orderstatus", "n_lines_f"]
+
+
+def _factor_table(spark, sf_dir):
+    """The training rows with their folds, factors as contrasts, and derived columns of all kinds."""
+    d = _train_with_folds(spark, sf_dir)
+    o = table(spark, sf_dir, "orders").select(KEY, "o_orderpriority", "o_orderstatus")
+    d = d.join(o, KEY).withColumn("n_lines_f", F.col("n_lines").cast("int").cast("string")).withColumns(
+        {c: F.expr(e).cast("double") for c, e in _RECIPE_COLS.items() if c not in FEATURES})
+    enc = features.ContrastEncoder(nominal=_FACTORS).fit(d)
+    numeric = [c for c in [*FEATURES, *_RECIPE_COLS] if not c.startswith("status")]
+    return cut_lineage(enc.transform(d)), [*dict.fromkeys(numeric), *enc.output_columns()]
+
+
+@register("linear_recipe", "X3 ML1 ML3 M1 M3 M4 M5 M6")
+def linear_recipe(spark, sf_dir):
+    """Least squares and stepwise selection over 10 folds with the whole recipe (near-zero variance,
+    combinations, correlations, Box-Cox, centring, scaling) refitted in each: metrics by fold, the
+    number of the recipe's terms and of the fit's."""
+    d, cols = _factor_table(spark, sf_dir)
+    out = []
+    for kind in ("ols", "step"):
+        res = tune.tune_linear(d, cols, LABEL, "fold", [{"lam": 0.0}], kind=kind, model_name=kind,
+                               recipe=foldrecipe.FoldRecipe(("nzv", "lincomb", "corr", "boxcox", "center", "scale")))
+        sizes = [(int(f), len(res.recipes[f].terms), len(res.fits[(0, f)].features)) for f in res.statistics.folds]
+        n = spark.createDataFrame(sizes, "fold int, n_terms int, n_used int")
+        out.append(res.fold_metrics.join(n, "fold").select("model", "fold", "n_terms", "n_used", "rmse", "rsquared"))
+    return EV.stack(out)
 
 
 @register("model_compare", "A17 U2 J5 T23")

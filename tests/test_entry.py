@@ -17,6 +17,4 @@ def test_catalogue_contract():
 def test_every_query_builds_on_smoke_data(spark):
     """Every registered query runs end to end on sf0.001 (the small fixture tables)."""
     for name, fn in E.queries().items():
-        if name in ("bagged", "forest", "boosted", "boost_path"):
-            continue   # covered by test_models / the bench; slow on a local runner
         fn(spark, E.SMOKE_DIR).write.format("noop").mode("overwrite").save()

@@ -163,3 +163,128 @@ def test_tune_grid_runs_every_setting_of_the_reference(spark, monkeypatch):
     grid = seen[0].grid_metrics.select("alpha", "lam").distinct().collect()
     assert len(grid) == 100 and max(g["alpha"] for g in grid) == 0.25 and max(g["lam"] for g in grid) == 0.05
     assert len(got) == 10 and all(r["mae"] > 0 for r in got)
+
+
+def test_forward_and_backward_search_equal_brute_force(planted):
+    df, x, y = planted
+    rng = np.random.default_rng(5)
+    pairs = [(f"x{i}", f"x{j}") for i, j in ((0, 3), (1, 4), (2, 5), (6, 7))] + [("x8",)]
+    g = matrix.gram(df, FE, "y")[()]
+    resid = lambda cols: linalg.rss(g, linalg.ols(g, list(cols), "y"), "y")
+    chosen, want = [], []
+    for group in linalg.forward_pairs(g, pairs, "y", max_terms=6):
+        best = min((p for p in pairs if p not in want and len(chosen) + len(p) + 1 <= 6), key=lambda p: resid(chosen + list(p)))
+        want.append(best)
+        chosen += best
+        assert group == best
+    path = linalg.backward_path(g, FE, "y")
+    cur = list(FE)
+    for value, cols in path:
+        assert sorted(cols) == sorted(cur) and value == pytest.approx(resid(cur), rel=1e-6)
+        if cur:
+            cur = min(([c for c in cur if c != d] for d in cur), key=resid)
+    assert linalg.backward_path(g, [], "y") == [(pytest.approx(resid([])), [])]
+    assert rng is not None
+
+
+def test_tuned_hinges_score_folds_like_fits_on_rows(spark):
+    rng = np.random.default_rng(21)
+    n = 1500
+    a, b, c = rng.uniform(0, 10, n), rng.uniform(-5, 5, n), rng.normal(size=n)
+    y = np.maximum(a - 4, 0) * 2 - np.maximum(0.5 - b, 0) + 0.2 * rng.normal(size=n)
+    fold = np.arange(n) % 5 + 1
+    df = spark.createDataFrame([(float(a[i]), float(b[i]), float(c[i]), float(y[i]), int(fold[i])) for i in range(n)],
+                               "a double, b double, c double, y double, fold int").repartition(4)
+    res = models.tune_mars(df, ["a", "b", "c"], "y", "fold", [2, 3, 5, 9, 15], n_knots=9, max_terms=15)
+    assert len(res.fold_metrics) == 25
+    term = lambda name: next(t for g in models.hinge_candidates(df, ["a", "b", "c"], 9) for t in g if models._hname(*t) == name)
+    data = {"a": a, "b": b, "c": c}
+
+    def column(name):
+        f, k, s = term(name)
+        return data[f] if s == 0 else np.maximum(0, s * (data[f] - k))
+
+    for most, f, terms, rmse, _ in res.fold_metrics:
+        assert terms <= most
+        if most in (3, 15):
+            fit = res.fits[(most, f)]
+            m = np.column_stack([np.ones(n), *map(column, fit.features)])
+            coef = np.linalg.lstsq(m[fold != f], y[fold != f], rcond=None)[0]
+            assert rmse == pytest.approx(np.sqrt(((m @ coef - y)[fold == f] ** 2).mean()), rel=1e-6)
+    mean = {m: np.mean([r[3] for r in res.fold_metrics if r[0] == m]) for m in (2, 3, 5, 9, 15)}
+    assert mean[res.best] == min(mean.values()) and mean[res.best] < 0.26 < mean[2]
+    pred = np.array([r["pred"] for r in res.model.transform(df).select("pred", "a").orderBy("a").collect()])
+    assert np.sqrt(((pred - y[np.argsort(a)]) ** 2).mean()) < 0.25
+
+
+# -- trees: planted splits -----------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """y jumps by 10 at a = 3 and by 4 at b = 0; c is noise."""
+    rng = np.random.default_rng(31)
+    n = 1200
+    a, b, c = rng.uniform(0, 10, n), rng.uniform(-1, 1, n), rng.normal(size=n)
+    y = 10.0 * (a > 3) + 4.0 * (b > 0) + 0.1 * rng.normal(size=n)
+    rows = [(i, float(a[i]), float(b[i]), float(c[i]), float(y[i]), i % 3 + 1) for i in range(n)]
+    return spark.createDataFrame(rows, "key long, a double, b double, c double, y double, fold int").repartition(4)
+
+
+ABC = ["a", "b", "c"]
+
+
+def test_bagged_and_forest_tuning_find_the_planted_splits(steps):
+    grid = [{"mtry": 3, "min_node": 5}, {"mtry": 1, "min_node": 5}]
+    make = lambda s: models.forest(ABC, "y", mtry=int(s["mtry"]), min_node=int(s["min_node"]), max_depth=3)
+    res = tune.tune_forest(steps, ABC, "y", "fold", make, grid, [1, 4, 12])
+    rows = res.fold_metrics.collect()
+    assert len(rows) == 2 * 3 * 3 and res.grid_metrics.count() == 6
+    assert res.best["mtry"] == 3 and all(r["rmse"] < 1.6 for r in rows if r["mtry"] == 3 and r["n_trees"] == 12)
+    # a prefix is the same forest with fewer trees
+    vec = models.assemble(steps, ABC)
+    model = make(grid[0]).setNumTrees(12).fit(vec.where("fold <> 2"))
+    nested = tune.nested_forest_metrics(model, vec.where("fold = 2"), "y", [4, 12])
+    whole = model.transform(vec.where("fold = 2")).agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
+    assert nested[12][0] == pytest.approx(whole, rel=1e-9)
+
+
+def test_boosting_paths_share_one_fit(steps):
+    make = lambda s: models.boosted(ABC, "y", depth=int(s["depth"]), shrinkage=0.5, min_node=5, subsample=1.0)
+    res = tune.boosting_paths(steps, ABC, "y", "fold", make, [{"depth": 1}, {"depth": 2}], [1, 5, 12])
+    got = {(r["depth"], r["n_trees"], r["fold"]): r["rmse"] for r in res.fold_metrics.collect()}
+    assert len(got) == 18 and res.best["n_trees"] in (5, 12) and got[(2.0, 12.0, 1)] < min(1.6, got[(2.0, 1.0, 1)])
+    vec = models.assemble(steps, ABC)
+    short = make({"depth": 2}).setMaxIter(5).fit(vec.where("fold <> 3")).transform(vec.where("fold = 3"))
+    rmse = short.agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
+    assert got[(2.0, 5.0, 3)] == pytest.approx(rmse, rel=1e-6)
+    path = tune.boost_path(steps, ABC, "y", "fold", lambda: make({"depth": 2}).setMaxIter(3))
+    assert path.count() == 9 and path.columns == ["model", "fold", "n_trees", "rmse"]
+
+
+def test_mllib_tuning_keeps_metrics_and_retries_a_failed_fit(steps):
+    failed = []
+
+    class Flaky:
+        def __init__(self, est):
+            self.est = est
+
+        def fit(self, df):
+            if not failed:
+                failed.append(1)
+                raise RuntimeError("lost")
+            return self.est.fit(df)
+
+    res = tune.tune_mllib(steps, ABC, "y", "fold", lambda s: Flaky(models.forest(ABC, "y", num_trees=5, max_depth=int(s["d"]))),
+                          [{"d": 1}, {"d": 3}], key="key")
+    assert failed and res.best["d"] == 3 and res.fits is None
+    assert res.oof.count() == 1200 and res.oof.select("key").distinct().count() == 1200
+    imp = models.feature_importance(models.forest(ABC, "y", num_trees=5, max_depth=3, mtry=3).fit(models.assemble(steps, ABC)),
+                                    ABC, "f", steps.sparkSession)
+    order = [r["variable"] for r in imp.orderBy(F.desc("importance")).collect()]
+    assert order == ["a", "b", "c"]
+
+
+def test_a_missing_predictor_is_an_error_not_a_dropped_row(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "x double, y double")
+    with pytest.raises(Exception, match="null|NULL"):
+        models.assemble(df, ["x"]).collect()

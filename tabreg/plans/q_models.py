@@ -514,27 +514,35 @@ def model_compare(spark, sf_dir):
     return EV.stack(outs).orderBy(F.desc("rmse"))
 
 
-_GAPS = {"avg_tax": "o_orderkey % 7 = 0", "sum_qty": "o_orderkey % 11 = 3", "log_ext": "o_orderkey % 13 = 5"}
+_GAPS = {"avg_tax": "o_orderkey % 7 = 0", "sum_qty": "o_orderkey % 11 = 3", "log_ext": "o_orderkey % 13 = 5",
+         "prio": "o_orderkey % 17 = 2"}
 
 
 @register("chained_impute", "I6 I7 J7 I5", sql=f"""
-SELECT {', '.join(f'count(*) FILTER (WHERE {w}) AS n_imputed_{c}, CAST(0 AS BIGINT) AS n_left_{c}' for c, w in _GAPS.items())},
+SELECT {', '.join(f'count(*) FILTER (WHERE {w}) AS n_imputed_{c}, CAST(0 AS BIGINT) AS n_left_{c}, CAST(0 AS BIGINT) AS n_outside_{c}'
+                  for c, w in _GAPS.items())},
        count(*) AS n
 FROM {_MODEL_SQL} t
 """)
 def chained_impute(spark, sf_dir):
-    """Plant gaps in three predictors, impute them by chained trees with donor draws,
-    report per column how many cells were filled and that none is left."""
+    """Plant gaps in three numbers and a text, impute them by chained trees with donor draws (one
+    predictor is a text with gaps of its own), report per column how many cells were filled, how many
+    are left and how many got a value that no row was observed with."""
     t = model_table(spark, sf_dir)
-    t = t.withColumn("avg_tax", F.when(F.col(KEY) % 7 != 0, F.col("avg_tax"))) \
-         .withColumn("sum_qty", F.when(F.col(KEY) % 11 != 3, F.col("sum_qty"))) \
-         .withColumn("log_ext", F.when(F.col(KEY) % 13 != 5, F.col("log_ext")))
-    targets = ["avg_tax", "sum_qty", "log_ext"]
-    preds = {"*": ["avg_tax", "sum_qty", "log_ext", "avg_discount", "n_lines", "prio_rank", "status_f"]}
-    done = impute.chained_impute(t, KEY, targets, preds, seed=1970, min_node=5, max_depth=5)
-    return done.agg(*[F.count_if(F.col(f"{c}_imputed")).alias(f"n_imputed_{c}") for c in targets],
-                    *[F.count_if(F.col(c).isNull()).alias(f"n_left_{c}") for c in targets],
-                    F.count(F.lit(1)).alias("n"))
+    t = t.withColumn("prio", F.concat(F.lit("P"), F.col("prio_rank").cast("int").cast("string"))) \
+         .withColumn("status", F.when(F.col(KEY) % 19 != 1, F.when(F.col("status_f") == 1, "F")
+                                      .when(F.col("status_o") == 1, "O").otherwise("P")))
+    t = t.withColumns({c: F.when(~F.expr(w), F.col(c)) for c, w in _GAPS.items()})
+    preds = {"*": [*_GAPS, "avg_discount", "n_lines", "status"]}
+    done = cut_lineage(impute.chained_impute(t, KEY, list(_GAPS), preds, seed=1970, min_node=5))
+    outside = done.agg(*[F.struct(F.count_if(F.col(f"{c}_imputed")).alias("filled"), F.count_if(F.col(c).isNull()).alias("left")).alias(c)
+                         for c in _GAPS], F.count(F.lit(1)).alias("n"))
+    for c in _GAPS:
+        seen = done.where(~F.col(f"{c}_imputed")).select(c)
+        strange = done.where(F.col(f"{c}_imputed")).join(seen, c, "left_anti").agg(F.count(F.lit(1)).alias("n"))
+        outside = outside.withColumns({f"n_imputed_{c}": F.col(f"{c}.filled"), f"n_left_{c}": F.col(f"{c}.left"),
+                                       f"n_outside_{c}": strange.select("n").scalar()})
+    return outside.drop(*_GAPS)
 
 
 @register("score", "ML13 ML15 E12")

@@ -155,6 +155,46 @@ def test_donor_imputation_recovers_leaf_values(spark):
     assert again == {k: v[0] for k, v in got.items()}
 
 
+@pytest.mark.parametrize("per_key", [100_000, 7])
+def test_donors_are_observed_values_of_the_leaf(spark, monkeypatch, per_key):
+    """One hot leaf has a single donor for most of the gaps; salts must not change a draw."""
+    monkeypatch.setattr(impute, "DRAWS_PER_KEY", per_key)
+    rows = [(i, "hot", None if i else 5.0) for i in range(400)]
+    rows += [(1000 + i, "mixed", None if i % 3 else float(i)) for i in range(300)]
+    rows += [(2000 + i, None, None if i % 2 else -float(i)) for i in range(40)] + [(3000 + i, "none", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "key long, leaf string, y double").repartition(5)
+    got = impute.donor_draw(df, "key", "y", ["leaf"]).collect()
+    assert len(got) == len(rows)
+    seen = {}
+    for _, leaf, y in rows:
+        seen.setdefault(leaf, set()).add(y)
+    for r in got:
+        before = next(y for k, leaf, y in rows if k == r["key"])
+        assert (r["y"] in seen[r["leaf"]]) and (before is None or r["y"] == before)
+        assert r["y_imputed"] == (before is None and r["leaf"] != "none")
+    drawn = {r["key"]: r["y"] for r in got}
+    monkeypatch.setattr(impute, "DRAWS_PER_KEY", 10 ** 9)
+    assert drawn == {r["key"]: r["y"] for r in impute.donor_draw(df, "key", "y", ["leaf"]).collect()}
+    assert len({drawn[1000 + i] for i in range(300) if i % 3}) > 30            # draws vary
+
+
+def test_incomplete_and_text_predictors_decide_the_leaf(spark):
+    """y follows a text with gaps and the gaps of a number; nothing else tells it."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(1500):
+        kind = ["x", "y", None][i % 3]
+        num = None if rng.random() < 0.4 else float(rng.normal())
+        y = {"x": "low", "y": "mid", None: "high"}[kind] if num is not None else "gap"
+        rows.append((i, kind, num, y if rng.random() < 0.8 else None, y))
+    df = spark.createDataFrame(rows, "key long, kind string, num double, y string, truth string").repartition(4)
+    out = impute.chained_impute(df, "key", ["y"], {"y": ["kind", "num"]}, max_depth=4)
+    assert out.where("y <> truth or y is null").count() == 0
+    assert out.where("y_imputed").count() == sum(r[3] is None for r in rows)
+    empty = impute.chained_impute(df.withColumn("void", F.lit(None).cast("double")), "key", ["void"], {"void": ["num"]})
+    assert empty.where("void is not null or void_imputed").count() == 0 and empty.count() == 1500
+
+
 def test_tune_grid_runs_every_setting_of_the_reference(spark, monkeypatch):
     from tabreg.plans import q_models
     seen, run = [], q_models.tune.tune_linear

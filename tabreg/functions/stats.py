@@ -78,16 +78,25 @@ def ptukey(q: float, k: int, df: float) -> float:
 
 @lru_cache(maxsize=1024)
 def qtukey(p: float, k: int, df: float) -> float:
-    """Quantile of the studentized range (bisection on ``ptukey``)."""
-    a, b = 0.0, 8.0
-    while ptukey(b, k, df) < p:                           # the bracket grows until it holds the quantile
-        a, b = b, 2.0 * b
-    for _ in range(52):
-        m = 0.5 * (a + b)
-        if ptukey(m, k, df) < p:
-            a = m
+    """Quantile of the studentized range: a bracket, then false position that halves the weight of
+    an end that stays (about ten evaluations of ``ptukey``)."""
+    a, b, fa = 0.0, 8.0, -p
+    while (fb := ptukey(b, k, df) - p) < 0:               # the bracket grows until it holds the quantile
+        a, b, fa = b, 2.0 * b, fb
+    side = 0
+    for _ in range(200):
+        if fb == 0 or b - a < 1e-12 * b:
+            return b
+        m = (a * fb - b * fa) / (fb - fa)
+        if not a < m < b:
+            m = 0.5 * (a + b)
+        fm = ptukey(m, k, df) - p
+        if abs(fm) < 1e-15:
+            return m
+        if fm < 0:
+            a, fa, fb, side = m, fm, fb / 2 if side < 0 else fb, -1
         else:
-            b = m
+            b, fb, fa, side = m, fm, fa / 2 if side > 0 else fa, 1
     return 0.5 * (a + b)
 
 
@@ -138,6 +147,40 @@ def t_two_sided(t: float, df: float) -> float:
     return betainc(df / 2, 0.5, df / (df + t * t))
 
 
+@lru_cache(maxsize=1024)
+def t_ppf(p: float, df: float) -> float:
+    """Quantile of Student's t: bisection on the incomplete beta function."""
+    if not 0.0 < p < 1.0 or df <= 0:
+        return float("nan")
+    if p < 0.5:
+        return -t_ppf(1.0 - p, df)
+    a, b = 0.0, 2.0
+    while 1.0 - 0.5 * t_two_sided(b, df) < p:
+        a, b = b, 2.0 * b
+    for _ in range(200):
+        m = 0.5 * (a + b)
+        if m in (a, b):
+            break
+        a, b = (m, b) if 1.0 - 0.5 * t_two_sided(m, df) < p else (a, m)
+    return 0.5 * (a + b)
+
+
+def norm_ppf_array(p) -> np.ndarray:
+    """Normal quantiles of an array: Newton steps on the log of the distribution function from a
+    rational start, for the lower half (the upper one by symmetry); NaN outside of (0, 1)."""
+    p = np.asarray(p, dtype=float)
+    ok = (p > 0) & (p < 1)
+    low = np.where(ok, np.minimum(p, 1 - p), 0.25)
+    t = np.sqrt(-2.0 * np.log(low))
+    x = -(t - (2.30753 + 0.27061 * t) / (1.0 + t * (0.99229 + 0.04481 * t)))
+    for _ in range(4):
+        cdf = norm_cdf(x)
+        e = cdf - low
+        u = e * math.sqrt(2 * math.pi) * np.exp(0.5 * x * x)
+        x = x - u / (1.0 + 0.5 * x * u)                   # Halley's step
+    return np.where(ok, np.where(p <= 0.5, x, -x), np.nan)
+
+
 def poly_contrasts(k: int) -> np.ndarray:
     """Orthonormal polynomial contrasts for ``k`` ordered levels: a ``k x (k-1)`` matrix,
     column j is the degree-(j+1) polynomial in the level scores 1..k, orthogonal to all

@@ -108,9 +108,8 @@ def norm_logcdf_udf(z: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def norm_ppf_udf(p: pd.Series) -> pd.Series:
-    from statistics import NormalDist
-    nd = NormalDist()
-    return pd.Series([nd.inv_cdf(float(x)) if 0 < x < 1 else float("nan") for x in p])
+    from tabreg.functions.stats import norm_ppf_array
+    return pd.Series(norm_ppf_array(p.to_numpy(dtype=float)))
 
 
 def qq_pairs(df: DataFrame, value: str, by: Sequence[str] = (), key: str | None = None) -> DataFrame:
@@ -125,18 +124,19 @@ def qq_pairs(df: DataFrame, value: str, by: Sequence[str] = (), key: str | None
     return r.withColumn("theoretical", norm_ppf_udf((F.col("i") - a) / (F.col("n") + 1 - 2 * a)))
 
 
-def anderson_darling(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def anderson_darling(df: DataFrame, value: str, by: Sequence[str] = (), key: str | None = None) -> DataFrame:
     """Anderson-Darling normality statistic with estimated mean and sd, and its p.
 
     A2 = -n - (1/n) sum_i (2i - 1) [ln F(z_(i)) + ln(1 - F(z_(n+1-i)))]; regrouped so each
     row only needs its own rank i: sum_i [(2i - 1) ln F(z_i) + (2(n - i) + 1) ln F(-z_i)], with
-    both logarithms taken without cutting off either tail.
+    both logarithms taken without cutting off either tail. The rank's ties are broken by a hash of
+    the whole row (or of ``key``), so the rows of one heavy value are spread over tasks.
     """
     by = list(by)
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    tie = F.xxhash64(*([F.col(key)] if key else [F.col(c) for c in df.columns]))
+    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"), tie.alias("_tie"))
     mom = base.groupBy(*by).agg(F.avg("_x").alias("_mu"), F.stddev_samp("_x").alias("_sd"))
-    r = with_group_rank(base, by, [F.col("_x"), F.xxhash64(*[F.col(c) for c in [*by, "_x"]])],
-                        rank_col="_i", size_col="_n")
+    r = with_group_rank(base, by, [F.col("_x"), F.col("_tie")], rank_col="_i", size_col="_n")
     r = r.join(mom, by) if by else r.withColumns({"_mu": mom.select("_mu").scalar(),
                                                  "_sd": mom.select("_sd").scalar()})
     z = (F.col("_x") - F.col("_mu")) / F.col("_sd")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
 from tabreg.functions.stats import poly_contrasts
-from tabreg.operators.order import top_n_with_ties
+from tabreg.operators.order import small_side, top_n_with_ties, with_group_rank
+from tabreg.session import cut_lineage
 
 
 # -- row features ----------------------------------------------------------------------
@@ -57,20 +58,35 @@ def merged_level_order(levels: Sequence[str], groups: Mapping[str, Sequence[str]
 
 @dataclass
 class LumpModel:
-    keep: dict[str, list[str]]
+    """Kept levels as a table ``(variable, level)``, one row per kept level; nothing is collected."""
+
+    columns: Sequence[str]
+    kept: DataFrame
     other: str = "Other"
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            c: F.when(F.col(c).isNull(), F.lit(None).cast("string"))
-                .when(F.col(c).isin(lv), F.col(c)).otherwise(F.lit(self.other))
-            for c, lv in self.keep.items()})
+        """One join a column, broadcast where the counted levels allow it; NULL stays NULL."""
+        for c in self.columns:
+            mine = self.kept.where(F.col("variable") == c).select(F.col("level").alias("_lump"))
+            order = df.columns
+            df = df.join(small_side(mine), F.col(c).cast("string") == F.col("_lump"), "left")
+            df = df.withColumn(c, F.when(F.col(c).isNull() | F.col("_lump").isNotNull(), F.col(c).cast("string"))
+                               .otherwise(F.lit(self.other))).select(*order)
+        return df
+
+    def levels(self, limit: int = 10_000) -> dict[str, list[str]]:
+        """``{column: sorted kept levels}`` on the driver; more than ``limit`` in all is an error."""
+        rows = self.kept.limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"more than {limit} kept levels")
+        return {c: sorted(r["level"] for r in rows if r["variable"] == c) for c in self.columns}
 
 
 @dataclass
 class LevelLumper:
     """L2: keep the ``n`` most frequent levels of each column (ties at the cut are all
-    kept), every other level becomes ``other``. ``fit`` is one melted count."""
+    kept), every other level becomes ``other``. ``fit`` is one melted count, written once; the
+    model is a table, so any number of tied levels may be kept."""
 
     columns: Sequence[str]
     n: int = 1
@@ -78,12 +94,40 @@ class LevelLumper:
 
     def fit(self, df: DataFrame) -> LumpModel:
         from tabreg.operators.profile import level_counts
-        counts = level_counts(df, self.columns)
+        counts = cut_lineage(level_counts(df, self.columns))
         kept = top_n_with_ties(counts, "n", self.n, by=["variable"])     # rank() <= n, ties kept
-        keep: dict[str, list[str]] = {c: [] for c in self.columns}
-        for r in kept.select("variable", "level").collect():   # at most n (+ ties) per column
-            keep[r["variable"]].append(r["level"])
-        return LumpModel({c: sorted(v) for c, v in keep.items()}, self.other)
+        return LumpModel(list(self.columns), cut_lineage(kept.select("variable", "level")), self.other)
+
+
+@dataclass
+class LevelIndexModel:
+    """``levels``: a table ``(variable, level, index)`` with indices from 0 in level order."""
+
+    columns: Sequence[str]
+    levels: DataFrame
+
+    def transform(self, df: DataFrame, suffix: str = "_index") -> DataFrame:
+        """Adds ``<column><suffix>``; NULL and levels not seen at ``fit`` have none."""
+        for c in self.columns:
+            mine = self.levels.where(F.col("variable") == c).select(F.col("level").alias("_level"),
+                                                                    F.col("index").alias(f"{c}{suffix}"))
+            df = df.join(small_side(mine), F.col(c).cast("string") == F.col("_level"), "left").drop("_level")
+        return df
+
+
+@dataclass
+class LevelIndexer:
+    """L5 for columns of any number of levels: the place of every level in its column's sorted levels,
+    as a table (one-hot columns per level are ``ContrastEncoder``'s, whose levels must be few). No
+    level list is collected; the places are exact distributed ranks."""
+
+    columns: Sequence[str]
+
+    def fit(self, df: DataFrame) -> LevelIndexModel:
+        from tabreg.operators.profile import melt
+        seen = melt(df, self.columns).where(F.col("value").isNotNull()).select("variable", F.col("value").alias("level")).distinct()
+        ranked = with_group_rank(cut_lineage(seen), ["variable"], ["level"], "index")
+        return LevelIndexModel(list(self.columns), cut_lineage(ranked.withColumn("index", F.col("index") - 1)))
 
 
 def drop_unused_levels(codebook_frame: DataFrame, df: DataFrame, column: str) -> DataFrame:
@@ -159,20 +203,25 @@ class ContrastEncoder:
     """Expand factors into numeric columns. Unordered factors get drop-first
     indicators; ordered factors get orthonormal polynomial scores (``poly``), their rank
     (``rank``) or indicators (``dummy``). Level lists come from ``levels`` (e.g. the
-    codebook, in its order) or, when absent, from the data at ``fit`` (sorted)."""
+    codebook, in its order) or, when absent, from the data at ``fit`` (sorted); every level is a
+    column, so more than ``max_levels`` of them are an error."""
 
     nominal: Sequence[str] = ()
     ordinal: Sequence[str] = ()
     levels: Mapping[str, Sequence[str]] = field(default_factory=dict)
     ordinal_encoding: str = "poly"
     drop_input: bool = True
+    max_levels: int = 10_000
 
     def fit(self, df: DataFrame) -> ContrastModel:
         need = [c for c in [*self.nominal, *self.ordinal] if c not in self.levels]
         found: dict[str, list[str]] = {}
         if need:
             from tabreg.operators.profile import level_counts
-            for r in level_counts(df, need).select("variable", "level").collect():  # levels only
+            seen = cut_lineage(level_counts(df, need).select("variable", "level"))
+            if (n := seen.count()) > self.max_levels:         # counted before any level is collected
+                raise ValueError(f"{n} levels would be as many columns; LevelIndexer keeps them as a table")
+            for r in seen.collect():
                 found.setdefault(r["variable"], []).append(r["level"])
         lv = {c: list(self.levels[c]) if c in self.levels else sorted(found.get(c, []))
               for c in [*self.nominal, *self.ordinal]}

@@ -11,13 +11,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
+from tabreg.functions.stats import t_two_sided
 from tabreg.operators.matrix import ONE, gram
+from tabreg.operators.order import top_n_with_ties
 from tabreg.operators.quantiles import exact_quantiles
 
 
@@ -65,6 +68,42 @@ def ols_table(df: DataFrame, features: Sequence[str], label: str, model: str = "
                                                  "std_error double, t double, p double")
 
 
+def coefficient_stats(g, features: Sequence[str], label: str) -> list[tuple]:
+    """``(variable, estimate, std_error, t, p)`` of least squares from the inverse of the centred Gram
+    matrix, intercept first; no pass over the rows beyond the Gram's."""
+    fit = linalg.ols(g, features, label)
+    sxx = g.centred(features)
+    sd = np.sqrt(np.clip(np.diag(sxx), 1e-300, None))
+    inv = np.linalg.pinv(sxx / np.outer(sd, sd), rcond=1e-13, hermitian=True) / np.outer(sd, sd)
+    dof = g.n - len(features) - 1
+    var = linalg.rss(g, fit, label) / dof if dof > 0 else float("nan")
+    mx = g.means(features)
+    est = [fit.intercept, *map(float, fit.coef)]
+    se = np.sqrt(var * np.array([1 / g.n + mx @ inv @ mx, *np.diag(inv)]))
+    return [(v, e, float(s), e / float(s) if s > 0 else None, t_two_sided(e / float(s), dof) if s > 0 else None)
+            for v, e, s in zip([ONE, *features], est, se)]
+
+
+def linear_importance(g, features: Sequence[str], label: str, spec: "LinearSpec") -> list[tuple[str, float]]:
+    """ML11 from a fit: |t| of least squares (and stepwise) coefficients, |coefficient| on the
+    standardised scale of penalised ones; a column that the fit leaves out has 0."""
+    if spec.kind in ("ols", "step"):
+        fit = spec.fit(g, features, label)
+        found = {v: abs(t) for v, _, _, t, _ in coefficient_stats(g, fit.features, label)[1:] if t is not None}
+    else:
+        fit = spec.fit(g, features, label)
+        sd = np.sqrt(np.clip(np.diag(g.centred(fit.features)), 0, None) / max(g.n - 1, 1))
+        found = dict(zip(fit.features, np.abs(fit.coef) * sd))
+    return [(c, float(found.get(c, 0.0))) for c in features]
+
+
+def top_significant(table: DataFrame, n: int = 10, least: float = 0.01, alpha: float = 0.05) -> DataFrame:
+    """W1 on a coefficient table ``(model, variable, estimate, ..., p)``: the ``n`` largest estimates, ties
+    kept, among the coefficients with |estimate| over ``least`` and p below ``alpha``, intercept aside."""
+    held = table.where((F.abs("estimate") > least) & (F.col("p") < alpha) & (F.col("variable") != ONE))
+    return top_n_with_ties(held, "estimate", n, ["model"])
+
+
 # -- Gram-based linear estimators ----------------------------------------------------------
 
 @dataclass

@@ -107,22 +107,9 @@ def _qtukey_udf(p, k, dfw):
                       for a, b, c in zip(p, k, dfw)], dtype="float64")
 
 
-def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float = 0.05,
-               q: float | None = None) -> DataFrame:
-    """A14 + W5: Tukey HSD compact letters per factor level.
-
-    HSD = q * sqrt(MS_within / n_h), n_h = harmonic mean of the level sizes, q the
-    studentized-range quantile at ``1 - alpha`` for (k, df_within) -- or the given ``q``.
-    Levels sorted by mean (desc) share a letter when their means differ by at most HSD.
-    Returns ``(variable, level, n, mean, position, hsd, groups)``.
-
-    The letters come from exact ranks over the per-level table (no window, no pairs):
-    reach_i = number of levels with mean >= mean_i - HSD (ranks in a merged, sorted stream
-    of level means and probe values); an interval [i, reach_i] gets a letter when it reaches
-    further than every earlier one; a level's label is the run of letters whose intervals
-    cover it (interval starts and ends both increase, so counts of starts and ends before
-    a position give the run).
-    """
+def _with_reach(df: DataFrame, label: str, factors: Sequence[str], alpha: float, q: float | None) -> DataFrame:
+    """``(variable, level, n, mean, var, hsd, position, reach)``: positions by mean (desc), then level
+    name, and the number of levels whose mean is at least the level's mean less HSD."""
     # one pass over the rows; everything after works on this small per-level table,
     # materialised once so the windows and joins below do not re-read the data
     ls = cut_lineage(level_stats(df, label, factors))
@@ -146,25 +133,45 @@ def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float =
     ev = with_group_rank(ev, ["variable"], [F.col("v").desc(), F.col("kind"), F.col("pos")], rank_col="_r")
     rc = ev.where(F.col("kind") == 1).select("variable", F.col("pos").alias("position"),
                                               (F.col("_r") - F.col("pos")).alias("reach"))
+    return lv.join(rc, ["variable", "position"])
+
+
+def _count_before(levels: DataFrame, events: DataFrame) -> DataFrame:
+    """``(variable, position, _cnt)``: for every level position how many events (kind 0, at place
+    ``p``) sort at or before it."""
+    pts = levels.select("variable", F.col("position").alias("p"), F.lit(1).alias("kind"))
+    r = with_group_rank(events.unionByName(pts), ["variable"], [F.col("p"), F.col("kind")], rank_col="_r")
+    return r.where(F.col("kind") == 1).select("variable", F.col("p").alias("position"), (F.col("_r") - F.col("p")).alias("_cnt"))
+
+
+def hsd_groups(df: DataFrame, label: str, factors: Sequence[str], alpha: float = 0.05,
+               q: float | None = None) -> DataFrame:
+    """A14 + W5: Tukey HSD compact letters per factor level.
+
+    HSD = q * sqrt(MS_within / n_h), n_h = harmonic mean of the level sizes, q the
+    studentized-range quantile at ``1 - alpha`` for (k, df_within) -- or the given ``q``.
+    Levels sorted by mean (desc) share a letter when their means differ by at most HSD.
+    Returns ``(variable, level, n, mean, position, hsd, groups)``.
+
+    The letters come from exact ranks over the per-level table (no window, no pairs):
+    reach_i = number of levels with mean >= mean_i - HSD (ranks in a merged, sorted stream
+    of level means and probe values); an interval [i, reach_i] gets a letter when it reaches
+    further than every earlier one; a level's label is the run of letters whose intervals
+    cover it (interval starts and ends both increase, so counts of starts and ends before
+    a position give the run).
+    """
+    lv = _with_reach(df, label, factors, alpha, q)
     # reach never decreases along the positions, so interval [i, reach_i] reaches further than
     # every earlier one exactly when reach_i > reach_(i-1): a lag by an equi-join
-    prev = rc.select("variable", (F.col("position") + 1).alias("position"), F.col("reach").alias("_prev"))
-    lv = cut_lineage(lv.join(rc, ["variable", "position"]).join(prev, ["variable", "position"], "left")
+    prev = lv.select("variable", (F.col("position") + 1).alias("position"), F.col("reach").alias("_prev"))
+    lv = cut_lineage(lv.join(prev, ["variable", "position"], "left")
                        .withColumn("_kept", F.col("reach") > F.coalesce(F.col("_prev"), F.lit(0))).drop("_prev"))
-
-    def _count_before(events):
-        """For every level position j: how many kind-0 events sort at or before j (rank - j)."""
-        pts = lv.select("variable", F.col("position").alias("p"), F.lit(1).alias("kind"))
-        r = with_group_rank(events.unionByName(pts), ["variable"], [F.col("p"), F.col("kind")], rank_col="_r")
-        return r.where(F.col("kind") == 1).select("variable", F.col("p").alias("position"),
-                                                  (F.col("_r") - F.col("p")).alias("_cnt"))
-
     # last letter of j = number of kept intervals starting at or before j
     starts = lv.where("_kept").select("variable", F.col("position").alias("p"), F.lit(0).alias("kind"))
     # first letter of j = 1 + number of kept intervals ending before j (end + 1 <= j)
     ends = lv.where("_kept").select("variable", (F.col("reach") + 1).alias("p"), F.lit(0).alias("kind"))
-    lv = (lv.join(_count_before(starts).withColumnRenamed("_cnt", "_last"), ["variable", "position"])
-            .join(_count_before(ends).withColumnRenamed("_cnt", "_closed"), ["variable", "position"]))
+    lv = (lv.join(_count_before(lv, starts).withColumnRenamed("_cnt", "_last"), ["variable", "position"])
+            .join(_count_before(lv, ends).withColumnRenamed("_cnt", "_closed"), ["variable", "position"]))
     first = F.col("_closed") + 1
     letters = F.transform(F.sequence(first.cast("int"), F.col("_last").cast("int")),
                           lambda i: F.when(i <= 26, F.chr(i + 96)).when(i <= 52, F.chr(i + 38))
@@ -181,9 +188,29 @@ def label_rows(df: DataFrame, groups: DataFrame, factor: str) -> DataFrame:
     return df.join(small_side(cut_lineage(g)), factor, "left")
 
 
+def hsd_intervals(df: DataFrame, label: str, factors: Sequence[str], q: float | None = None,
+                  alpha: float = 0.05) -> DataFrame:
+    """J6 in one row a level: levels stand in order of their means, so those that differ from a level
+    by more than HSD are the first ``n_above`` positions and the positions from ``first_below`` on.
+
+    ``(variable, level, n, mean, hsd, position, n_above, first_below, n_below)``; ``first_below`` is
+    NULL where no lower level differs. All k(k-1)/2 verdicts of a factor from k rows;
+    ``hsd_pairs`` writes them out on demand."""
+    lv = cut_lineage(_with_reach(df, label, factors, alpha, q))
+    k = lv.groupBy("variable").agg(F.count(F.lit(1)).alias("_k"))
+    # level j above differs from level i when j's reach ends before i
+    ends = lv.select("variable", (F.col("reach") + 1).alias("p"), F.lit(0).alias("kind"))
+    lv = lv.join(_count_before(lv, ends).withColumnRenamed("_cnt", "n_above"), ["variable", "position"]).join(k, "variable")
+    below = F.col("_k") - F.col("reach")
+    return lv.select("variable", "level", F.col("n").cast("long").alias("n"), "mean", "hsd",
+                     F.col("position").cast("int").alias("position"), F.col("n_above").cast("long").alias("n_above"),
+                     F.when(below > 0, F.col("reach") + 1).cast("int").alias("first_below"), below.cast("long").alias("n_below"))
+
+
 def hsd_pairs(df: DataFrame, label: str, factors: Sequence[str], q: float | None = None,
               alpha: float = 0.05) -> DataFrame:
-    """Pairwise differences of level means per factor with the HSD verdict.
+    """J6 on demand: pairwise differences of level means per factor with the HSD verdict, k(k-1)/2
+    rows a factor (``hsd_intervals`` holds the same verdicts in k rows).
 
     This pairs *levels* (the per-level table, k rows per factor), never data rows.
     ``(variable, level_a, level_b, diff, hsd, significant)`` with mean_a > mean_b, or
@@ -201,8 +228,7 @@ def hsd_pairs(df: DataFrame, label: str, factors: Sequence[str], q: float | None
 def simple_fit(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95) -> DataFrame:
     """Least-squares line of ``y`` on each ``x`` (pairwise complete rows):
     ``(variable, n, slope, intercept, r2, sxx, mean_x, sigma)`` from ``regr_*`` aggregates
-    in one pass. The confidence band at x is
-    ``t * sigma * sqrt(1/n + (x - mean_x)^2 / sxx)``."""
+    in one pass. ``fit_band`` gives the confidence band."""
     aggs = []
     for x in xs:
         yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
@@ -220,3 +246,28 @@ def simple_fit(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95) ->
                              c("mean_x").alias("mean_x"),
                              F.sqrt(F.try_divide(sse, c("n") - 2)).alias("sigma")))
     return wide.select(F.explode(F.array(*recs)).alias("_s")).select("_s.*")
+
+
+@F.pandas_udf(T.DoubleType())
+def _t_ppf_udf(p, dof):
+    import pandas as pd
+    from tabreg.functions.stats import t_ppf
+    return pd.Series([t_ppf(float(a), float(b)) if b > 0 else None for a, b in zip(p, dof)], dtype="float64")
+
+
+def fit_band(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95, points: int = 80) -> DataFrame:
+    """The line of ``simple_fit`` with its confidence band at ``points`` evenly spaced values from
+    the smallest to the largest x: ``(variable, x, fit, lower, upper)``, the band
+    ``t(level, n - 2) * sigma * sqrt(1/n + (x - mean_x)^2 / sxx)``. NULL bounds where n < 3 or x is
+    constant."""
+    fits = simple_fit(df, y, xs)
+    ends = df.where(F.col(y).isNotNull()).agg(*[F.struct(F.min(F.col(x).cast("double")).alias("lo"),
+                                                         F.max(F.col(x).cast("double")).alias("hi")).alias(x) for x in xs])
+    ends = ends.select(F.explode(F.array(*[F.struct(F.lit(x).alias("variable"), F.col(f"`{x}`.lo").alias("lo"),
+                                                    F.col(f"`{x}`.hi").alias("hi")) for x in xs])).alias("_e")).select("_e.*")
+    at = fits.join(ends, "variable").withColumn("_t", _t_ppf_udf(F.lit(0.5 + level / 2), (F.col("n") - 2).cast("double")))
+    at = at.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("_i") / F.lit(float(max(1, points - 1)))
+    at = at.withColumn("x", x).withColumn("fit", F.col("intercept") + F.col("slope") * F.col("x"))
+    half = F.col("_t") * F.col("sigma") * F.sqrt(1 / F.col("n") + F.try_divide(F.pow(F.col("x") - F.col("mean_x"), 2), F.col("sxx")))
+    return at.select("variable", "x", "fit", (F.col("fit") - half).alias("lower"), (F.col("fit") + half).alias("upper"))

@@ -141,7 +141,7 @@ def collapse_levels(d: DataFrame) -> tuple[DataFrame, dict]:
     kept: dict = {}
     if lump:
         lm = features.LevelLumper(lump, n=1).fit(d)
-        d, kept = lm.transform(d), lm.keep
+        d, kept = lm.transform(d), lm.levels()
     return d.drop(*_present(d, H.DROP_FOR_MODEL)), kept
 
 

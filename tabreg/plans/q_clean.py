@@ -9,6 +9,7 @@ from tabreg.functions import exprs as X
 from tabreg.operators import clean
 from tabreg.plans.common import GAPS_SQL, SALES_SQL, r2, r6
 from tabreg.plans.registry import register
+from tabreg.session import scratch_path
 from tabreg.sources import io
 from tabreg.sources.codebook import Codebook, relevel_frame, rename_level_frame
 from tabreg.sources.tables import orders_tagged, sales, sales_with_gaps, table
@@ -277,3 +278,62 @@ def drop_columns(spark, sf_dir):
     num = clean.select_kind(s, kinds, "numeric")                                       # P5
     return num.agg(F.count(F.lit(1)).alias("n"), r2(F.sum("l_quantity"), "sum_quantity"),
                    r2(F.sum("p_size"), "sum_size"))
+
+
+@register("missing_rows", "F5", sql=f"""
+SELECT 'missing' AS part, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM {GAPS_SQL} g WHERE l_tax IS NULL
+UNION ALL SELECT 'observed', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM {GAPS_SQL} g WHERE l_tax IS NOT NULL
+""")
+def missing_rows(spark, sf_dir):
+    g = sales_with_gaps(spark, sf_dir)
+    parts = [clean.missing_rows(g, "l_tax", miss).withColumn("part", F.lit(name)) for miss, name in ((True, "missing"), (False, "observed"))]
+    return io.union_by_name(parts).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").cast("long").alias("key_sum"))
+
+
+@register("distinct_values", "A4", sql="SELECT DISTINCT o_orderpriority AS level FROM orders")
+def distinct_values(spark, sf_dir):
+    return clean.distinct_values(table(spark, sf_dir, "orders"), "o_orderpriority").withColumnRenamed("o_orderpriority", "level")
+
+
+_TEXT_SQL = """(SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'NA' WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders)"""
+
+
+@register("csv_scan", "S1", sql=f"""
+SELECT o_orderpriority AS level, count(*) AS n, CAST(sum(CAST(o_orderkey AS BIGINT)) AS BIGINT) AS key_sum
+FROM {_TEXT_SQL} t GROUP BY o_orderpriority
+""")
+def csv_scan(spark, sf_dir):
+    """All orders as CSV and back: every column text, the empty string missing, "NA" a value."""
+    path = scratch_path(spark)
+    k = F.col("o_orderkey")
+    text = table(spark, sf_dir, "orders").select(
+        k.cast("string").alias("o_orderkey"), "o_orderstatus",
+        F.when(k % 7 == 0, "NA").when(k % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    text.write.option("header", True).csv(path)
+    back = io.read_text_csv(spark, path, text.columns)
+    return back.groupBy(F.col("o_orderpriority").alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_orderkey").cast("long")).alias("key_sum"))
+
+
+@register("snapshot", "S3 S4", sql="""
+SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'test' ELSE 'train' END AS set, count(*) AS n, round(sum(o_totalprice), 2) AS sum_price
+FROM orders GROUP BY ALL
+""")
+def snapshot(spark, sf_dir):
+    """The tagged orders as a snapshot by set, read back."""
+    path = scratch_path(spark)
+    io.write_snapshot(orders_tagged(spark, sf_dir), path, ["set"])
+    return io.read_snapshot(spark, path).groupBy("set").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("sum_price"))
+
+
+@register("scored_file", "S5 E12", sql="""
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY ALL
+""")
+def scored_file(spark, sf_dir):
+    """Keys and back-transformed log prices of all orders as a scored CSV, read back and joined."""
+    path = scratch_path(spark)
+    o = table(spark, sf_dir, "orders")
+    io.write_scored(o.select("o_orderkey", F.exp(F.log("o_totalprice")).alias("p")), path, "o_orderkey", "p", ("Id", "SalePrice"))
+    back = io.read_text_csv(spark, path).select(F.col("Id").cast("long").alias("o_orderkey"), F.col("SalePrice").cast("double").alias("price"))
+    return o.join(back, "o_orderkey").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price"), 2).alias("price"))

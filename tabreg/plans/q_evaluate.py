@@ -148,16 +148,63 @@ def scaled_importance(spark, sf_dir):
     return s.select("p_type", "p_brand", r6("scaled"))
 
 
-@register("anderson_darling", "A20 W3")
+# Upper normal tail in double precision (a published rational approximation with a continued fraction
+# beyond 7.07) and normal quantiles (a published rational approximation, relative error 1e-9).
+# Fixed values of the two approximations, highest power first.
+_TAIL_TOP = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931,
+             220.206867912376)
+_TAIL_LOW = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831,
+             793.826512519948, 440.413735824752)
+_PPF_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01,
+          2.506628277459239e+00)
+_PPF_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01, 1.0)
+_PPF_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00,
+          2.938163982698783e+00)
+_PPF_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0)
+
+
+def _horner(coefs, x):
+    out = f"({coefs[0]!r})"
+    for c in coefs[1:]:
+        out = f"({out} * {x} + ({c!r}))"
+    return out
+
+
+_TAIL_SQL = (f"CASE WHEN y < 7.07106781186547 THEN exp(-y * y / 2) * {_horner(_TAIL_TOP, 'y')} / {_horner(_TAIL_LOW, 'y')} "
+             "ELSE exp(-y * y / 2) / (y + 1 / (y + 2 / (y + 3 / (y + 4 / (y + 0.65))))) / 2.506628274631 END")
+_PPF_SQL = (f"CASE WHEN p < 0.02425 THEN {_horner(_PPF_C, 'sqrt(-2 * ln(p))')} / {_horner(_PPF_D, 'sqrt(-2 * ln(p))')} "
+            f"WHEN p > 0.97575 THEN -{_horner(_PPF_C, 'sqrt(-2 * ln(1 - p))')} / {_horner(_PPF_D, 'sqrt(-2 * ln(1 - p))')} "
+            f"ELSE (p - 0.5) * {_horner(_PPF_A, 'pow(p - 0.5, 2)')} / {_horner(_PPF_B, 'pow(p - 0.5, 2)')} END")
+
+
+@register("anderson_darling", "A20 W3", sql=_OOF_SQL + f""",
+r AS (SELECT model, pred - obs AS x, row_number() OVER (PARTITION BY model ORDER BY pred - obs, key) AS i,
+             count(*) OVER (PARTITION BY model) AS n FROM oof),
+m AS (SELECT model, avg(x) AS mu, stddev_samp(x) AS sd FROM r GROUP BY model),
+z AS (SELECT model, i, n, (x - mu) / sd AS z, abs((x - mu) / sd) AS y FROM r JOIN m USING (model)),
+t AS (SELECT model, i, n, z, ln({_TAIL_SQL}) AS low, ln(1 - {_TAIL_SQL}) AS high FROM z),
+a AS (SELECT model, any_value(n) AS n, -any_value(n) - sum((2 * i - 1) * CASE WHEN z < 0 THEN low ELSE high END
+             + (2 * (n - i) + 1) * CASE WHEN z < 0 THEN high ELSE low END) / any_value(n) AS a2 FROM t GROUP BY model),
+adj AS (SELECT *, a2 * (1 + 0.75 / n + 2.25 / (n * n)) AS s FROM a)
+SELECT model, n, round(a2, 3) AS a2,
+       CASE WHEN s < 0.2 THEN 1 - exp(-13.436 + 101.14 * s - 223.73 * s * s) WHEN s < 0.34 THEN 1 - exp(-8.318 + 42.796 * s - 59.938 * s * s)
+            WHEN s < 0.6 THEN exp(0.9177 - 4.279 * s - 1.38 * s * s) WHEN s < 10 THEN round(exp(1.2937 - 5.709 * s + 0.0186 * s * s), 6)
+            ELSE 3.7e-24 END AS p_value FROM adj
+""")
 def anderson_darling(spark, sf_dir):
-    """A-D normality of the out-of-fold residuals, per model (rows-only check; the unit
-    tests compare it with a direct numpy computation)."""
+    """A-D normality of the out-of-fold residuals, per model."""
     oof = oof_predictions(spark, sf_dir).withColumn("res", F.col("pred") - F.col("obs"))
-    return EV.anderson_darling(oof, "res", by=["model"]).select("model", "n", r6("a2"), "p_value")
+    return EV.anderson_darling(oof, "res", by=["model"], key="key").select("model", "n", F.round("a2", 3).alias("a2"), "p_value")
 
 
-@register("qq_pairs", "W3")
+@register("qq_pairs", "W3", sql=_OOF_SQL + f""",
+r AS (SELECT model, key, pred - obs AS res, row_number() OVER (PARTITION BY model ORDER BY pred - obs, key) AS i,
+             count(*) OVER (PARTITION BY model) AS n, stddev_samp(pred - obs) OVER (PARTITION BY model) AS sd FROM oof),
+p AS (SELECT *, (i - 0.5) / n AS p FROM r)
+SELECT model, key, i, n, round(res / sd, 6) AS stdres, round({_PPF_SQL}, 4) AS theoretical FROM p
+""")
 def qq_pairs(spark, sf_dir):
-    """Q-Q pairs of the standardised residuals per model (rows-only check)."""
+    """Q-Q pairs of the standardised residuals per model."""
     rt = EV.residual_table(oof_predictions(spark, sf_dir), label_from="key", by=["model"])
-    return EV.qq_pairs(rt, "stdres", by=["model"], key="key").select("model", "key", "i", "n", "stdres", "theoretical")
+    return EV.qq_pairs(rt, "stdres", by=["model"], key="key").select(
+        "model", "key", "i", "n", r6("stdres"), F.round("theoretical", 4).alias("theoretical"))

@@ -100,6 +100,22 @@ def contrast_columns(spark, sf_dir):
                                   *[F.sum(c).alias(c) for c in dummies])
 
 
+@register("level_index", "L5", sql="""
+WITH d AS (SELECT o_custkey, dense_rank() OVER (ORDER BY CAST(o_custkey AS VARCHAR)) - 1 AS i FROM orders WHERE o_custkey IS NOT NULL),
+n AS (SELECT count(DISTINCT o_custkey) AS levels FROM orders)
+SELECT CAST(i % 10 AS INTEGER) AS last_digit, count(*) AS n, CAST(sum(i) AS BIGINT) AS index_sum, any_value(levels) AS levels
+FROM d, n GROUP BY ALL
+""")
+def level_index(spark, sf_dir):
+    """Places of the levels of a column with many of them, kept and applied as a table."""
+    o = table(spark, sf_dir, "orders").select("o_custkey")
+    m = FT.LevelIndexer(["o_custkey"]).fit(o)
+    n = m.levels.agg(F.count(F.lit(1)).alias("levels")).select("levels").scalar()
+    out = m.transform(o).where(F.col("o_custkey_index").isNotNull())
+    return out.groupBy((F.col("o_custkey_index") % 10).cast("int").alias("last_digit")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_custkey_index").cast("long").alias("index_sum")).withColumn("levels", n)
+
+
 @register("unused_levels", "L4 L6", sql="""
 WITH cb(level, rank) AS (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('0-NEVER', 4),
                                 ('4-NOT SPECIFIED', 5), ('5-LOW', 6))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabreg.operators import clean, missing
+from tabreg.operators import clean, impute, missing
 from tabreg.plans.common import GAP_NUMERIC, GAPS_SQL, ORDERS_TAGGED_SQL, r2, r6
 from tabreg.plans.registry import register
+from tabreg.session import cut_lineage
 from tabreg.sources.tables import SALES_COLUMNS, orders_tagged, sales_with_gaps
 
 _ALL = SALES_COLUMNS
@@ -173,3 +174,15 @@ def impute_predictors(spark, sf_dir):
         "prio_rank", F.substring("o_orderpriority", 1, 1).cast("double"))
     ip = missing.impute_predictors(g, GAP_NUMERIC + ["prio_rank"], mincor=0.1)
     return ip.select("target", "predictor", r6("r_value"), r6("r_missing"), "selected")
+
+
+@register("imputed_pairs", "I9", sql=f"""
+SELECT imputed, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM (
+  SELECT l_orderkey, l_tax IS NULL AS imputed FROM {GAPS_SQL} g) t GROUP BY imputed
+""")
+def imputed_pairs(spark, sf_dir):
+    """Observed against imputed cells of one column over a key, filled by donor draws."""
+    g = sales_with_gaps(spark, sf_dir).withColumn("row_key", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    done = impute.donor_draw(cut_lineage(g.select("row_key", "l_orderkey", "l_tax")), "row_key", "l_tax")
+    pairs = impute.imputed_pairs(done.where(F.col("l_tax").isNotNull()), "l_orderkey", "l_tax")
+    return pairs.groupBy("imputed").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").cast("long").alias("key_sum"))

@@ -219,6 +219,20 @@ def zero_variance(spark, sf_dir):
     return spark.createDataFrame([(c, c in zv) for c in cols], "variable string, is_zv boolean")
 
 
+@register("drop_near_zero_variance", "M1 A6", sql=f"""
+WITH m AS (SELECT {', '.join(f'CAST({e} AS DOUBLE) AS {c}' for c, e in _RECIPE_COLS.items())} FROM {_MODEL_SQL} t),
+u AS (SELECT variable, v FROM (UNPIVOT m ON {', '.join(_RECIPE_COLS)} INTO NAME variable VALUE v)),
+t AS (SELECT variable, count(*) AS levels, sum(c) AS n, max(c, 2) AS c FROM (SELECT variable, v, count(*) AS c FROM u GROUP BY ALL)
+      GROUP BY ALL)
+SELECT variable AS dropped FROM t WHERE levels = 1 OR (c[1] / c[2] > 19 AND 100.0 * levels / n <= 10)
+""")
+def drop_near_zero_variance(spark, sf_dir):
+    """Columns of almost one value, by the filter that drops them."""
+    t = model_table(spark, sf_dir).select(*[F.expr(e).cast("double").alias(c) for c, e in _RECIPE_COLS.items()])
+    step = matrix.DropColumns(t.columns, "nzv").fit(t)
+    return spark.createDataFrame([(c,) for c in t.columns if c not in step.transform(t).columns], "dropped string")
+
+
 @register("drop_combos", "M3")
 def drop_combos(spark, sf_dir):
     """Planted exact combination ``combo = log_ext + 2 avg_tax`` must be found."""
@@ -283,6 +297,40 @@ def ols_large_mean(spark, sf_dir):
                                  "variable string, estimate double")
 
 
+@register("coefficient_table", "ML2 ML11", sql=_TWO_SQL + """,
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+v AS (SELECT *, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS v FROM b),
+t AS (SELECT 'epoch' AS variable, b1 AS estimate, sqrt(v * s22 / (s11 * s22 - s12 * s12)) AS std_error, v.n FROM v
+      UNION ALL SELECT 'avg_discount', b2, sqrt(v * s11 / (s11 * s22 - s12 * s12)), v.n FROM v)
+SELECT variable, round(estimate, 6) AS estimate, round(std_error, 8) AS std_error, round(estimate / std_error, 4) AS t,
+       round(abs(estimate / std_error), 4) AS importance,
+       round(100 * (abs(estimate / std_error) - min(abs(estimate / std_error)) OVER ())
+             / (max(abs(estimate / std_error)) OVER () - min(abs(estimate / std_error)) OVER ()), 4) AS scaled
+FROM t
+""")
+def coefficient_table(spark, sf_dir):
+    """Standard errors and t of least squares from the centred Gram matrix, |t| as importance."""
+    g = matrix.gram(_two_predictors(spark, sf_dir), _TWO, LABEL)[()]
+    rows = [("lm", *r) for r in models.coefficient_stats(g, _TWO, LABEL)]
+    t = spark.createDataFrame(rows, "model string, variable string, estimate double, std_error double, t double, p double")
+    imp = spark.createDataFrame(models.linear_importance(g, _TWO, LABEL, models.LinearSpec("ols")), "variable string, importance double")
+    out = t.join(EV.scaled_importance(imp, "importance"), "variable")
+    return out.select("variable", r6("estimate"), F.round("std_error", 8).alias("std_error"), F.round("t", 4).alias("t"),
+                      F.round("importance", 4).alias("importance"), F.round("scaled", 4).alias("scaled"))
+
+
+@register("ridge_importance", "ML11 ML4", sql=_TWO_SQL + """,
+r AS (SELECT s12 / sqrt(s11 * s22) AS r, s1y / n / sqrt(s11 / n) AS r1, s2y / n / sqrt(s22 / n) AS r2, n FROM c)
+SELECT 'epoch' AS variable, round(abs(r1 * 1.01 - r2 * r) / (1.01 * 1.01 - r * r) * sqrt(n / (n - 1)), 6) AS importance FROM r
+UNION ALL SELECT 'avg_discount', round(abs(r2 * 1.01 - r1 * r) / (1.01 * 1.01 - r * r) * sqrt(n / (n - 1)), 6) FROM r
+""")
+def ridge_importance(spark, sf_dir):
+    """|coefficient| of a ridge fit on the standardised scale."""
+    g = matrix.gram(_two_predictors(spark, sf_dir), _TWO, LABEL)[()]
+    rows = models.linear_importance(g, _TWO, LABEL, models.LinearSpec("ridge", lam=0.01))
+    return spark.createDataFrame([(c, round(v, 6)) for c, v in rows], "variable string, importance double")
+
+
 _TWO_LAMS = [0.0, 0.001, 0.01, 0.1, 0.5]
 
 

@@ -111,11 +111,46 @@ def hsd_letters(spark, sf_dir):
     return h.select("variable", "level", "n", r6("mean"), "position", r6("hsd"), "groups")
 
 
-@register("hsd_letters_alpha", "A14 W5 (q from alpha)")
+# The studentized range without a special function: the normal distribution by cumulated trapezoids on a
+# grid of 0.01, P(range <= w) by a sum over the grid, the quantile between the two grid values of w
+# around 0.95, then the first-order correction for the error degrees of freedom.
+_Q_SQL = """
+z AS (SELECT i, exp(-0.5 * pow(i / 100.0, 2)) / sqrt(2 * pi()) AS phi FROM range(-900, 901) r(i)),
+nc AS (SELECT i, phi, sum(phi) OVER (ORDER BY i) * 0.01 - phi * 0.005 AS cdf FROM z),
+ks AS (SELECT DISTINCT k FROM g),
+pr AS (SELECT k, w, k * 0.01 * sum(a.phi * pow(greatest(a.cdf - coalesce(b.cdf, 0), 0), k - 1)) AS p
+       FROM ks, range(100, 801) r(w) JOIN nc a ON true LEFT JOIN nc b ON b.i = a.i - w GROUP BY k, w),
+qi AS (SELECT k, min(w) AS w1 FROM pr WHERE p >= 0.95 GROUP BY k),
+qq AS (SELECT qi.k, (w1 - 1 + (0.95 - lo.p) / (hi.p - lo.p)) / 100 AS q FROM qi JOIN pr lo ON lo.k = qi.k AND lo.w = w1 - 1
+       JOIN pr hi ON hi.k = qi.k AND hi.w = w1)"""
+
+
+@register("hsd_letters_alpha", "A14 W5 (q from alpha)", sql=_hsd_sql("qq.q").replace(
+    "JOIN av ON ls.variable = av.variable)", "JOIN av ON ls.variable = av.variable JOIN g g2 ON g2.variable = ls.variable JOIN qq ON qq.k = g2.k)"
+).replace("av AS (SELECT", _Q_SQL.strip() + ",\nav AS (SELECT", 1) + """
+SELECT kp.variable, kp.level, kp.n, round(kp.mean, 6) AS mean, CAST(kp.pos AS INTEGER) AS position, round(kp.hsd, 1) AS hsd,
+       (SELECT string_agg(CASE WHEN idx <= 26 THEN chr(CAST(96 + idx AS INTEGER))
+                               WHEN idx <= 52 THEN chr(CAST(38 + idx AS INTEGER))
+                               ELSE '[' || CAST(idx AS VARCHAR) || ']' END, '' ORDER BY idx)
+          FROM iv WHERE iv.variable = kp.variable AND iv.s <= kp.pos AND iv.e >= kp.pos) AS groups
+FROM kp
+""")
 def hsd_letters_alpha(spark, sf_dir):
     """Letters with q = studentized-range quantile at 1 - alpha for each factor's (k, df)."""
     h = relate.hsd_groups(_factor_source(spark, sf_dir), "price_k", _FACTORS, alpha=0.05)
-    return h.select("variable", "level", "n", r6("mean"), "position", r6("hsd"), "groups")
+    return h.select("variable", "level", "n", r6("mean"), "position", F.round("hsd", 1).alias("hsd"), "groups")
+
+
+@register("hsd_intervals", "J6 A14 (q given)", sql=_hsd_sql(HSD_Q) + """
+SELECT a.variable, a.level, CAST(a.pos AS INTEGER) AS position, round(a.mean, 6) AS mean, round(a.hsd, 6) AS hsd,
+       (SELECT count(*) FROM rc b WHERE b.variable = a.variable AND b.reach < a.pos) AS n_above,
+       CASE WHEN a.reach < g.k THEN CAST(a.reach + 1 AS INTEGER) END AS first_below, CAST(g.k - a.reach AS BIGINT) AS n_below
+FROM rc a JOIN g ON g.variable = a.variable
+""")
+def hsd_intervals(spark, sf_dir):
+    """The levels from which a level differs, as two runs of positions: one row a level."""
+    p = relate.hsd_intervals(_factor_source(spark, sf_dir), "price_k", _FACTORS, q=HSD_Q)
+    return p.select("variable", "level", "position", r6("mean"), r6("hsd"), "n_above", "first_below", "n_below")
 
 
 @register("hsd_pairs", "J6 (q given)", sql=_hsd_sql(HSD_Q) + """
@@ -158,3 +193,21 @@ def simple_fit(spark, sf_dir):
     f = relate.simple_fit(sales(spark, sf_dir), "l_extendedprice", ["l_quantity", "p_retailprice", "l_discount"])
     return f.select("variable", "n", r6("slope"), F.round("intercept", 4).alias("intercept"), r6("r2"),
                     F.round("sxx", 2).alias("sxx"), r6("mean_x"), F.round("sigma", 4).alias("sigma"))
+
+
+@register("fit_band", "A15", sql=" UNION ALL ".join(f"""
+SELECT '{x}' AS variable, round(v, 6) AS x, round(b0 + b1 * v, 4) AS fit, round(b0 + b1 * v - h, 3) AS lower, round(b0 + b1 * v + h, 3) AS upper
+FROM (SELECT *, lo + (hi - lo) * i / 79.0 AS v,
+             (1.959963984540054 + (pow(1.959963984540054, 3) + 1.959963984540054) / (4 * (n - 2))) * s
+             * sqrt(1 / n + pow(lo + (hi - lo) * i / 79.0 - mx, 2) / sxx) AS h
+      FROM (SELECT regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0, regr_count(y, x)::DOUBLE AS n, regr_avgx(y, x) AS mx,
+                   regr_sxx(y, x) AS sxx, min(x) AS lo, max(x) AS hi,
+                   sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / (regr_count(y, x) - 2)) AS s
+            FROM (SELECT l_extendedprice / 1000 AS y, CAST({x} AS DOUBLE) AS x FROM {SALES_SQL} s0)), range(0, 80) r(i))"""
+    for x in ["l_quantity", "l_discount"]))
+def fit_band(spark, sf_dir):
+    """The fitted line and its 95 % band at 80 values of each x."""
+    s = sales(spark, sf_dir).withColumn("price_k", F.col("l_extendedprice") / 1000)
+    b = relate.fit_band(s, "price_k", ["l_quantity", "l_discount"])
+    return b.select("variable", r6("x"), F.round("fit", 4).alias("fit"), F.round("lower", 3).alias("lower"),
+                    F.round("upper", 3).alias("upper"))

@@ -32,8 +32,12 @@ def _stats(g, feats: Sequence[str], label: str):
 
 
 def ols(g, feats: Sequence[str], label: str) -> LinearFit:
+    """Least squares; the system is solved on scaled columns, so that columns of very different
+    size (a fifth power beside an indicator) keep their part."""
     n, mx, my, sxx, sxy = _stats(g, feats, label)
-    b = np.linalg.lstsq(sxx, sxy, rcond=None)[0] if len(feats) else np.zeros(0)
+    sd = np.sqrt(np.clip(np.diag(sxx), 0.0, None))
+    sd[sd == 0] = 1.0
+    b = np.linalg.lstsq(sxx / np.outer(sd, sd), sxy / sd, rcond=None)[0] / sd if len(feats) else np.zeros(0)
     return LinearFit(list(feats), float(my - mx @ b), b)
 
 

@@ -216,6 +216,10 @@ def linear_combos(g: Gram, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
     and the intercept: the residual sum of squares of regressing a column on the kept
     ones, read off the centred cross-product matrix, is ~0."""
     c, mean = g.centred(cols), g.means(cols)
+    sd = np.sqrt(np.clip(np.diag(c), 0.0, None))
+    constant = np.diag(c) <= 1e-28 * g.n * mean ** 2
+    sd[sd == 0] = 1.0
+    c = c / np.outer(sd, sd)                                  # columns of very different size
     kept: list[int] = []
     drop: list[str] = []
     for k, name in enumerate(cols):
@@ -225,7 +229,7 @@ def linear_combos(g: Gram, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
             b = c[kept, k]
             coef = np.linalg.lstsq(a, b, rcond=None)[0]
             ss = ss - b @ coef
-        if ss <= tol * max(c[k, k], 1e-300) or c[k, k] <= 1e-28 * g.n * mean[k] ** 2:      # combination, constant
+        if ss <= tol * max(c[k, k], 1e-300) or constant[k]:
             drop.append(name)
         else:
             kept.append(k)

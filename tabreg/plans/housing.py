@@ -2,8 +2,9 @@
 
 ``clean_homes``    raw CSVs -> reconciled, derived, filled, imputed table (stage 1)
 ``explore_homes``  clean table -> features, log label, outlier filter, train / test (stage 2)
-``model_homes``    train / test -> level merges, split and folds, recipe, tuned elastic net,
-                   hold-out metrics, refit on all labelled rows, scored table (stage 3)
+``model_homes``    train / test -> split and folds, elastic net tuned with its recipe inside the
+                   folds, hold-out metrics, refit on all labelled rows, scored table (stage 3)
+``linear_homes``   least squares and stepwise selection on the collapsed factors
 
 Columns absent from the input are skipped, so the same code runs on the full table and on
 the small generated fixtures of the tests. Every step is a Spark projection, aggregate or
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabreg.functions import exprs as X
-from tabreg.operators import clean, evaluate, features, impute, matrix, missing, models, split, tune
+from tabreg.operators import clean, compare, evaluate, features, impute, matrix, missing, models, split, tune
+from tabreg.operators.foldrecipe import FoldRecipe
 from tabreg.sources import housing as H
 from tabreg.sources import io
 from tabreg.sources.codebook import Codebook
@@ -90,10 +92,12 @@ def _impute(d: DataFrame, cb: Codebook, label_as_predictor: bool = False) -> Dat
     pred_cols = num_all + [f"{c}__r" for c in cols if c in cb.columns]
     sel = missing.impute_predictors(ranked, pred_cols, mincor=0.1)
     chosen: dict[str, list[str]] = {}
-    stale = {f"{c}__r" for c in incomplete}   # rank copies of incomplete factors are not updated
+    # a complete ordered factor predicts by its rank, any other factor as itself: an incomplete one as
+    # completed so far
+    as_rank = {f"{c}__r" for c in cb.columns if _ordered(c) and c not in incomplete}
     for r in sel.where("selected").collect():                  # (target, predictor) names only
-        if r["predictor"] not in stale:
-            chosen.setdefault(r["target"].removesuffix("__r"), []).append(r["predictor"])
+        p = r["predictor"] if r["predictor"] in as_rank else r["predictor"].removesuffix("__r")
+        chosen.setdefault(r["target"].removesuffix("__r"), []).append(p)
     out = impute.chained_impute(ranked, H.KEY, incomplete, chosen, categorical=cat, seed=H.IMPUTE_SEED)
     return out.drop(*[c for c in out.columns if c.endswith("__r") or c.endswith("_imputed")])
 
@@ -145,56 +149,101 @@ def collapse_levels(d: DataFrame) -> tuple[DataFrame, dict]:
     return d.drop(*_present(d, H.DROP_FOR_MODEL)), kept
 
 
-def model_homes(train: DataFrame, test: DataFrame, folds: int = H.FOLDS, grid: list[dict] | None = None):
-    """Elastic net tuned on stratified folds of the 80 % part, checked on the 20 % hold-out,
-    refitted on all labelled rows; returns (scored test table, results dict)."""
-    d, lumped = collapse_levels(io.union_by_name([train, test]))
+def _ordered(column: str) -> bool:
+    """Columns whose levels come from the data are unordered, whatever the codebook says."""
+    return column in H.ORDERED_LEVELS and column not in H.LEVELS_FROM_DATA
+
+
+def _encoded(d: DataFrame, levels: dict[str, list[str]] | None = None) -> tuple[DataFrame, list[str]]:
+    """Factors as contrasts (level lists of the codebook, or of ``levels`` where merged), and the names
+    of the numeric predictors. A factor value outside of its level list is an error; a derived ratio
+    without a value (a division by 0) counts as 0."""
     cb = H.codebook()
-    lab = d.where(F.col(H.LOG_LABEL).isNotNull())
-    unl = d.where(F.col(H.LOG_LABEL).isNull())
-    factors = [c for c in d.columns if c in cb.columns or c in ("CondRoad", "CondRail", "CondPos", "Cond")
-               or c in [f for f, *_ in H.COLLAPSE_FLAGS] or c in ("HasBsmt", "HasGarage")]
-    factors = [c for c in factors if c in d.columns and dict(d.dtypes)[c] == "string"]
-    ordinal = [c for c in factors if c in H.ORDERED_LEVELS]
-    nominal = [c for c in factors if c not in ordinal]
-    levels = {c: features.merged_level_order(H.ORDERED_LEVELS[c], H.LEVEL_MERGES.get(c, {})) for c in ordinal}
-    for c, lv in H.RELEVELS.items():
-        if c in levels:
-            levels[c] = [*lv, *[v for v in levels[c] if v not in lv]]
-    for c, keep in lumped.items():          # a lumped ordered factor: kept levels, then Other
-        if c in levels:
-            levels[c] = [v for v in levels[c] if v in keep] + ["Other"]
-    enc = features.ContrastEncoder(nominal=nominal, ordinal=ordinal, levels=levels).fit(lab)
-    # the encoded tables are wide (one expression per contrast column): materialise them
-    # once so the filters, the split, the folds and every Gram pass start from a plain scan
-    lab_x, unl_x = cut_lineage(enc.transform(lab)), cut_lineage(enc.transform(unl))
-    num = [c for c, t in lab_x.dtypes if t in ("double", "int", "bigint") and c not in (H.KEY, H.LOG_LABEL)]
-    # drop filters fitted on the training rows: zero / near-zero variance, combos, correlation
-    drop = set(matrix.zero_variance_columns(lab_x, num))
-    num = [c for c in num if c not in drop]
-    drop |= set(matrix.near_zero_variance_columns(lab_x, num))
-    num = [c for c in num if c not in drop]
-    g = matrix.gram(lab_x, num)[()]
-    num = [c for c in num if c not in set(matrix.linear_combos(g, num))]
-    num = [c for c in num if c not in set(matrix.high_correlation(matrix.correlation_from_gram(g, num), num,
-                                                                   H.CORR_CUTOFF))]
-    lab_x = lab_x.fillna(0.0, subset=num).select(H.KEY, H.LOG_LABEL, *num)
-    unl_x = unl_x.fillna(0.0, subset=num).select(H.KEY, *num)
-    a = split.stratified_split(lab_x, H.KEY, H.LOG_LABEL, p=H.SPLIT_P, seed=H.SPLIT_SEED)
-    tr80 = split.keep_rows(lab_x, a, H.KEY, F.col("split") == "train")
-    ho20 = split.drop_rows(lab_x, a, H.KEY, F.col("split") == "train")
+    text = [c for c, t in d.dtypes if t == "string" and c != H.SET_COL]
+    ordinal = [c for c in text if _ordered(c)]
+    nominal = [c for c in text if c not in ordinal]
+    known = {c: cb.levels(c) for c in ordinal}
+    known |= {c: cb.levels(c) for c in nominal if c in cb.columns and c not in H.LEVELS_FROM_DATA and levels is None}
+    known |= {c: v for c, v in (levels or {}).items() if c in ordinal}
+    enc = features.ContrastEncoder(nominal=nominal, ordinal=ordinal, levels=known).fit(d)
+    # the encoded table is wide (one expression per contrast column): materialise it once, so the
+    # split, the folds and every Gram pass start from a plain scan
+    unknown = {c: F.count_if(F.col(c).isNull() | ~F.col(c).isin(lv)) for c, lv in {**enc.nominal, **enc.ordinal}.items() if lv}
+    if unknown:
+        bad = {c: n for c, n in d.agg(*[e.alias(c) for c, e in unknown.items()]).first().asDict().items() if n}
+        if bad:
+            raise ValueError(f"values outside of the level lists: {bad}")
+    wide = cut_lineage(enc.transform(d))
+    num = [c for c, t in wide.dtypes if t in ("double", "int", "bigint") and c not in (H.KEY, H.LABEL, H.LOG_LABEL)]
+    return wide.fillna(0.0, subset=num), num
+
+
+def enet_grid() -> list[dict]:
+    g = H.GRID_ENET
+    return tune.param_grid(alpha=[float(x) for x in np.linspace(g["alpha_from"], g["alpha_to"], g["n_alpha"])],
+                           lam=[float(x) for x in np.linspace(g["lam_from"], g["lam_to"], g["n_lam"])])
+
+
+PEN_RECIPE = FoldRecipe(("zv", "center", "scale"))
+OLS_RECIPE = FoldRecipe(("nzv", "lincomb", "corr", "boxcox", "center", "scale"), corr_cut=H.CORR_CUTOFF)
+
+
+def split_homes(labelled: DataFrame, folds: int = H.FOLDS) -> DataFrame:
+    """``(key, fold)`` of the labelled rows: fold 1..k of the 80 % part, NULL for the hold-out."""
+    a = cut_lineage(split.stratified_split(labelled, H.KEY, H.LOG_LABEL, p=H.SPLIT_P, seed=H.SPLIT_SEED).select(H.KEY, "split"))
+    tr80 = split.keep_rows(labelled.select(H.KEY, H.LOG_LABEL), a, H.KEY, F.col("split") == "train")
     fo = split.stratified_folds(tr80, H.KEY, H.LOG_LABEL, k=folds, seed=H.SPLIT_SEED).select(H.KEY, "fold")
-    tr80 = cut_lineage(tr80.join(fo, H.KEY))
-    if grid is None:
-        grid = tune.param_grid(alpha=[float(x) for x in np.linspace(H.GRID_ENET["alpha_from"], H.GRID_ENET["alpha_to"],
-                                                                    H.GRID_ENET["n_alpha"])],
-                               lam=[float(x) for x in np.linspace(H.GRID_ENET["lam_from"], H.GRID_ENET["lam_to"],
-                                                                  H.GRID_ENET["n_lam"])])
-    res = tune.tune_linear(tr80, num, H.LOG_LABEL, "fold", grid, kind="enet", key=H.KEY, model_name="enet")
-    spec = models.LinearSpec("enet", lam=float(res.best["lam"]), alpha=float(res.best["alpha"]))
-    fit80 = models.fit_linear(tr80, num, H.LOG_LABEL, spec)
-    hold = evaluate.regression_metrics(models.predict_linear(ho20, fit80), "pred", H.LOG_LABEL)
-    fit_all = models.fit_linear(lab_x, num, H.LOG_LABEL, spec)
-    scored = unl_x.select(F.col(H.KEY), F.exp(models.linear_expr(fit_all)).alias(H.LABEL))
-    return scored, {"tuning": res, "holdout": hold, "features": num, "fit": fit_all,
-                    "coefficients": fit_all.as_dict()}
+    return cut_lineage(a.join(fo, H.KEY, "left").select(H.KEY, "fold"))
+
+
+def _labelled(train: DataFrame, test: DataFrame, collapse: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Encoded labelled and unlabelled rows with their predictors, factors as they are or collapsed."""
+    d, levels = io.union_by_name([train, test]), None
+    if collapse:
+        d, lumped = collapse_levels(d)
+        cb = H.codebook()
+        levels = {c: features.merged_level_order(cb.levels(c), H.LEVEL_MERGES.get(c, {})) for c in d.columns if _ordered(c)}
+        for c, lv in H.RELEVELS.items():
+            if c in levels:
+                levels[c] = [*lv, *[v for v in levels[c] if v not in lv]]
+        for c, keep in lumped.items():      # a lumped ordered factor: kept levels, then Other
+            if c in levels:
+                levels[c] = [v for v in levels[c] if v in keep] + ["Other"]
+    wide, num = _encoded(d, levels)
+    return wide.where(F.col(H.LOG_LABEL).isNotNull()), wide.where(F.col(H.LOG_LABEL).isNull()), num
+
+
+def linear_homes(train: DataFrame, test: DataFrame, folds: DataFrame) -> tuple[list[compare.Candidate], DataFrame]:
+    """Least squares and stepwise selection on the collapsed factors with the whole recipe refitted
+    in every fold; the candidates and the encoded hold-out rows."""
+    lab, _, num = _labelled(train, test, collapse=True)
+    lab = cut_lineage(lab.join(folds, H.KEY))
+    tr80, ho20 = lab.where(F.col("fold").isNotNull()), lab.where(F.col("fold").isNull())
+    return [compare.linear(kind, tr80, num, H.LOG_LABEL, "fold", [{"lam": 0.0}], kind, OLS_RECIPE) for kind in ("ols", "step")], ho20
+
+
+def model_homes(train: DataFrame, test: DataFrame, folds: int = H.FOLDS, grid: list[dict] | None = None,
+                linear: bool = False):
+    """The winner's flow: the labelled rows are split 80 : 20 before anything is fitted; an elastic net on
+    the factors as they are (not collapsed) is tuned on stratified folds of the 80 % part with zero
+    variance, centring and scaling refitted in each fold, checked on the 20 %, refitted with its best
+    setting on all labelled rows, and scores the others. Returns (scored test table, results dict);
+    ``linear`` adds the comparison with least squares and stepwise selection on the same folds."""
+    lab, unl, num = _labelled(train, test, collapse=False)
+    assigned = split_homes(lab, folds)
+    lab = cut_lineage(lab.join(assigned, H.KEY))
+    tr80, ho20 = lab.where(F.col("fold").isNotNull()), lab.where(F.col("fold").isNull())
+    grid = enet_grid() if grid is None else grid
+    elnet = compare.linear("elnet", tr80, num, H.LOG_LABEL, "fold", grid, "enet", PEN_RECIPE)
+    spec = models.LinearSpec("enet", lam=float(elnet.best["lam"]), alpha=float(elnet.best["alpha"]))
+    hold = evaluate.regression_metrics(elnet.predict(ho20), "pred", H.LOG_LABEL)
+    constant = set(matrix.zero_variance_columns(lab, num))
+    used = [c for c in num if c not in constant]
+    fit_all = models.fit_linear(lab, used, H.LOG_LABEL, spec)
+    scored = unl.select(F.col(H.KEY), F.exp(models.linear_expr(fit_all)).alias(H.LABEL))
+    res = {"candidate": elnet, "holdout": hold, "features": used, "fit": fit_all, "coefficients": fit_all.as_dict()}
+    if linear:
+        others, ho20_linear = linear_homes(train, test, assigned)
+        both = [compare.comparison([elnet], ho20, H.LOG_LABEL), compare.comparison(others, ho20_linear, H.LOG_LABEL)]
+        res["comparison"] = evaluate.stack(both).orderBy(F.desc("holdout_rmse"))
+    return scored, res

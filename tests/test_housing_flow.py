@@ -33,11 +33,15 @@ def test_three_stages(spark, tmp_path):
     assert t[11]["YearRemodAdd"] == t[11]["YearBuilt"] and t[12]["YearRemodAdd"] == 1951.0
     assert t[15]["AbvGrdSFperRm"] is None
     scored, res = housing.model_homes(train, test, folds=5,
-                                      grid=[{"alpha": a, "lam": l} for a in (0.0, 0.5) for l in (0.0, 0.01)])
+                                      grid=[{"alpha": a, "lam": l} for a in (0.0, 0.5) for l in (0.0, 0.01)], linear=True)
     assert scored.count() == 100
     hold = res["holdout"].first()
     assert hold["rmse"] < 0.2 and hold["rsquared"] > 0.6
     assert scored.agg(F.min("SalePrice")).first()[0] > 0
+    table = {r["model"]: r for r in res["comparison"].collect()}
+    assert set(table) == {"elnet", "ols", "step"} and all(r["holdout_rmse"] < 0.3 for r in table.values())
+    assert len(res["candidate"].fold_rmse) == 5
+    assert len(housing.enet_grid()) == 100
     out = str(tmp_path / "scored")
     io.write_scored(scored, out, "Id", "SalePrice", order_by_key=True)
     back = spark.read.option("header", True).csv(out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,7 +69,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):      # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
                            "(e.g. on the cluster's shared file system) before running tabreg operators")
     local = tempfile.mkdtemp(prefix="tabreg-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -89,7 +90,20 @@ def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.mode("overwrite").parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tabreg_path = path
+    return out
+
+
+def release_tables(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote, once everything computed from them is written."""
+    for table in tables:
+        path = getattr(table, "_tabreg_path", None)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            spark = table.sparkSession
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession) -> str:

@@ -1,3 +1,5 @@
+import pytest
+
 from tabreg.session import checkpoint_dir, size_shuffle_partitions
 
 
@@ -20,3 +22,13 @@ def test_size_shuffle_partitions(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_release_of_single_tables(spark):
+    from tabreg.session import cut_lineage, release_tables
+    a, b = cut_lineage(spark.range(5)), cut_lineage(spark.range(7))
+    release_tables(a, spark.range(3))
+    assert b.count() == 7
+    with pytest.raises(Exception):
+        a.count()
+    release_tables(a, b)

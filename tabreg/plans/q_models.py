@@ -233,7 +233,14 @@ def drop_near_zero_variance(spark, sf_dir):
     return spark.createDataFrame([(c,) for c in t.columns if c not in step.transform(t).columns], "dropped string")
 
 
-@register("drop_combos", "M3")
+@register("drop_combos", "M3", sql=f"""
+WITH d AS (SELECT log_ext AS x1, avg_tax AS x2, log_ext + 2 * avg_tax AS y FROM {_MODEL_SQL} t),
+mu AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM d),
+c AS (SELECT sum(pow(x1 - m1, 2)) AS s11, sum(pow(x2 - m2, 2)) AS s22, sum((x1 - m1) * (x2 - m2)) AS s12,
+             sum((x1 - m1) * (y - my)) AS s1y, sum((x2 - m2) * (y - my)) AS s2y, sum(pow(y - my, 2)) AS syy FROM d, mu)
+SELECT 'combo' AS dropped FROM c
+WHERE abs(syy - (s1y * s1y * s22 - 2 * s1y * s2y * s12 + s2y * s2y * s11) / (s11 * s22 - s12 * s12)) <= 1e-9 * syy
+""")
 def drop_combos(spark, sf_dir):
     """Planted exact combination ``combo = log_ext + 2 avg_tax`` must be found."""
     t = model_table(spark, sf_dir).withColumn("combo", F.col("log_ext") + 2 * F.col("avg_tax"))
@@ -242,7 +249,17 @@ def drop_combos(spark, sf_dir):
     return spark.createDataFrame([(c,) for c in matrix.linear_combos(g, cols)], "dropped string")
 
 
-@register("drop_correlated", "M4 A11")
+_CORR_COLS = {c: c for c in FEATURES} | {"ext": "ext", "ext_k": "ext / 1000 + avg_tax"}
+
+
+@register("drop_correlated", "M4 A11", sql=f"""
+WITH d AS (SELECT o_orderkey, {', '.join(f'CAST({e} AS DOUBLE) AS {c}' for c, e in _CORR_COLS.items())} FROM {_MODEL_SQL} t),
+u AS (SELECT o_orderkey, variable, v FROM (UNPIVOT d ON {', '.join(_CORR_COLS)} INTO NAME variable VALUE v)),
+r AS (SELECT a.variable AS a, b.variable AS b, abs(corr(a.v, b.v)) AS r FROM u a JOIN u b USING (o_orderkey)
+      WHERE a.variable <> b.variable GROUP BY ALL),
+m AS (SELECT a AS variable, avg(r) AS m FROM r GROUP BY a)
+SELECT r.a AS dropped FROM r JOIN m x ON x.variable = r.a JOIN m y ON y.variable = r.b WHERE r.r > 0.9 AND x.m > y.m
+""")
 def drop_correlated(spark, sf_dir):
     t = model_table(spark, sf_dir).withColumn("ext_k", F.col("ext") / 1000 + F.col("avg_tax"))
     cols = FEATURES + ["ext", "ext_k"]
@@ -514,6 +531,42 @@ def ols_folds(spark, sf_dir):
     return res.fold_metrics.select("fold", F.round("rmse", 6).alias("rmse"), F.round("rsquared", 6).alias("rsquared"))
 
 
+@register("lasso_folds", "X3 ML5 ML12 U4", sql=f"""
+WITH d AS (SELECT o_orderkey % 2 + 1 AS f, log_net AS y, sum_qty AS x FROM {_MODEL_SQL} t WHERE set = 'train'),
+p AS (SELECT h.fold, d.* FROM d JOIN (VALUES (1), (2)) h(fold) ON d.f <> h.fold),
+c AS (SELECT fold, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / stddev_pop(x) AS r, stddev_pop(x) AS sd FROM p GROUP BY fold),
+b AS (SELECT fold, lam, mx, my, sign(r) * greatest(abs(r) - lam, 0) / sd AS b
+      FROM c, (SELECT unnest([{', '.join(map(str, _TWO_LAMS))}])::DOUBLE AS lam)),
+e AS (SELECT b.fold, lam, sqrt(avg(pow(y - my - b * (x - mx), 2))) AS rmse FROM d JOIN b ON d.f = b.fold GROUP BY b.fold, lam),
+g AS (SELECT lam, avg(rmse) AS mean FROM e GROUP BY lam)
+SELECT CAST(fold AS INTEGER) AS fold, lam, round(rmse, 6) AS rmse, lam = (SELECT arg_min(lam, mean) FROM g) AS best FROM e
+""")
+def lasso_folds(spark, sf_dir):
+    """Five penalties of a one-predictor lasso over two folds, and the best of them."""
+    t = model_table(spark, sf_dir).where(F.col("set") == "train").withColumn("fold", (F.col(KEY) % 2 + 1).cast("int"))
+    res = tune.tune_linear(t, ["sum_qty"], LABEL, "fold", tune.param_grid(lam=_TWO_LAMS), kind="enet")
+    return res.fold_metrics.select("fold", "lam", F.round("rmse", 6).alias("rmse"),
+                                   (F.col("lam") == float(res.best["lam"])).alias("best"))
+
+
+@register("score_two", "ML13 ML15 E12", sql=f"""
+WITH d AS (SELECT o_orderkey, set, log_net AS y, sum_qty AS x1, avg_discount AS x2 FROM {_MODEL_SQL} t),
+mu AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, count(*) AS n, stddev_pop(x1) AS d1, stddev_pop(x2) AS d2
+       FROM d WHERE set = 'train'),
+r AS (SELECT m1, m2, my, d1, d2, sum((x1 - m1) * (x2 - m2)) / n / d1 / d2 AS r, sum((x1 - m1) * (y - my)) / n / d1 AS r1,
+             sum((x2 - m2) * (y - my)) / n / d2 AS r2 FROM d, mu WHERE set = 'train' GROUP BY m1, m2, my, d1, d2, n),
+b AS (SELECT *, (r1 * 1.001 - r2 * r) / (pow(1.001, 2) - r * r) / d1 AS b1, (r2 * 1.001 - r1 * r) / (pow(1.001, 2) - r * r) / d2 AS b2 FROM r)
+SELECT o_orderkey AS Id, round(exp(my + b1 * (x1 - m1) + b2 * (x2 - m2)), 2) AS prediction FROM d, b WHERE set = 'test'
+""")
+def score_two(spark, sf_dir):
+    """The unlabelled orders scored by a ridge fit of two predictors on all labelled ones, as prices."""
+    t = model_table(spark, sf_dir)
+    cols = ["sum_qty", "avg_discount"]
+    scored, _ = refit_and_score(t.where(F.col("set") == "train"), t.where(F.col("set") == "test"), cols, LABEL,
+                                models.LinearSpec("ridge", lam=0.001), recipe=matrix.Recipe([matrix.Standardize(cols)]), key=KEY)
+    return scored.select(F.col(KEY).alias("Id"), F.round("prediction", 2).alias("prediction"))
+
+
 _FACTORS = ["o_orderpriority", "o_orderstatus", "n_lines_f"]
 FEATURES_TREE = ["log_ext", "avg_discount", "avg_tax", "n_lines", "sum_qty", "prio_rank"]
 

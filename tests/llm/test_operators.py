@@ -58,16 +58,45 @@ def test_word_memo_equals_the_library(spark):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == encode_whole(text)
 
 
-def test_wavelet_rank_select_access():
-    ids = np.random.default_rng(1).integers(0, 40, 3000).astype(np.uint16)
-    w = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids, 16).to_bytes())
+@pytest.mark.parametrize("n, top, bits", [(3000, 40, 16), (600_000, 70_000, 17), (512, 2, 1), (1, 3, 2), (0, 1, 16)])
+def test_wavelet_rank_select_access(n, top, bits):
+    ids = np.random.default_rng(1).integers(0, top, n).astype(np.uint32)
+    ids[n // 2:n // 2 + n // 4] = min(7, top - 1)                   # a hot id
+    block = wavelet.WaveletMatrix.build(ids, bits).to_bytes()
+    w = wavelet.WaveletMatrix.from_bytes(block)
+    assert w.opened() == 0
+    at = np.unique(np.concatenate([np.arange(min(n, 700)), np.random.default_rng(2).integers(0, max(n, 1), 300) % max(n, 1)]))[:n]
+    assert (w.access(at) == ids[at]).all()
+    for t in {0, min(7, top - 1), top - 1, top, 1 << bits, -1}:
+        where = np.flatnonzero(ids == t)
+        assert w.count(t) == len(where) and w.occurrences(t).tolist() == where.tolist()
+        for end in (0, 1, n // 3, n - 1, n, n + 5):
+            assert w.rank(t, end) == int((ids[:max(end, 0)] == t).sum())
+        for k in (-1, 0, len(where) // 2, len(where) - 1, len(where)):
+            assert w.select(t, k) == (where[k] if 0 <= k < len(where) else -1)
     assert (w.tokens() == ids).all()
-    assert (w.access(np.arange(len(ids))) == ids).all()
-    for t in (0, 7, 39, 40, 65535):
-        where = np.flatnonzero(ids == t).tolist()
-        assert w.occurrences(t) == where and w.count(t) == len(where) and w.select(t, len(where)) == -1
-        assert w.rank(t, 1234) == sum(p < 1234 for p in where)
-    assert wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids[:0], 16).to_bytes()).tokens().tolist() == []
+
+
+def test_wavelet_lookups_open_few_frames():
+    ids = np.random.default_rng(1).integers(0, 50_000, 1 << 21).astype(np.uint16)
+    block = wavelet.WaveletMatrix.build(ids, 16).to_bytes()
+    frames = 16 * (1 + (1 << 21) // (wavelet.BLOCK * wavelet.CHUNK))
+    w = wavelet.WaveletMatrix.from_bytes(block)
+    assert w.access([12345])[0] == ids[12345] and w.opened() <= 32 < frames
+    with pytest.raises(IndexError):
+        w.access([1 << 21])
+    with pytest.raises(ValueError, match="17 bits|more than 16"):
+        wavelet.WaveletMatrix.build(np.array([70_000], np.uint32), 16)
+
+
+def test_bits_follow_the_vocabulary(spark):
+    assert wavelet.bits_of(BPE, 2) == 16 and wavelet.bits_of(BPE, 70_000) == 17
+    path, docs = scratch_path(spark), odd_docs(spark).where("doc_id is not null")
+    wavelet.write_token_files(docs, path, BPE, 70_000, shard_tokens=100, partitions=2)
+    out = wavelet.read_token_files(spark, path).collect()
+    assert all(np.frombuffer(r["ids"], "<u4")[-1] == 70_000 for r in out)
+    with pytest.raises(Exception, match="more than 15 bits"):
+        wavelet.write_token_files(docs, scratch_path(spark), BPE, 2, bits=15)
 
 
 def test_token_files_round_trip(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.session import cut_lineage, scratch_path  # noqa: F401
+from tabreg.session import cut_lineage, release_tables, scratch_path  # noqa: F401
 from tabreg.sources.tables import table  # noqa: F401
 
 

@@ -2,10 +2,10 @@
 
 Equal texts are one class. Every class has a MinHash signature of ``trees`` sequences; a tree
 holds the classes in the order of its sequence, and classes that share a prefix of the current
-depth are a subtree of candidates. The depth starts at the longest prefix, is shortened until a
-pair at the threshold is caught with the target probability, and is shortened further while
-the links found show a smaller recall (each link weighted by its probability to be caught).
-A pair is verified in the first tree that catches it, in blocks of classes.
+depth are a subtree of candidates. The depth is the longest at which a pair at the threshold is
+caught with the target probability (a formula of the depth and the number of trees: it does not
+depend on the data, and the recall is that of the formula, not a measured one). A pair is verified
+in the first tree that catches it, in blocks of classes.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabreg.llm.base import cut_lineage, parallelism, text_or_empty
+from tabreg.llm.base import cut_lineage, parallelism, release_tables, text_or_empty
 from tabreg.llm.components import connected_components, groups, roots
 
 WORD = re.compile(r"\w+")
@@ -33,7 +33,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of the word n-grams of each text (lower case, runs of
+    """Sorted distinct 48-bit hashes of the word n-grams of each text (lower case, runs of
     letters, digits and underscores). Fewer than n words are one gram; no word, no gram."""
     words = [WORD.findall(t.lower()) for t in texts]
     flat = np.array([w for ws in words for w in ws], dtype=object)
@@ -45,10 +45,21 @@ def shingles(texts: list[str], n: int) -> list[np.ndarray]:
         gram = own[:len(own) - size + 1].copy() if size else own
         for k in range(1, size):
             gram = _mix(gram * GOLDEN + own[k:len(own) - size + 1 + k])
-        out.append(np.unique(gram))
+        out.append(np.unique(gram >> np.uint64(16)))
     return out
 
 
+def packed_grams(grams: np.ndarray) -> bytes:
+    """The 48-bit hashes as six bytes each."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_grams(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
 def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     low = np.full(len(a), 2 ** 32 - 1, np.uint32)
     for lo in range(0, len(grams), 1024):
@@ -154,6 +165,8 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
     classes = signed.groupBy("h").agg(F.count("*").alias("copies"), F.first("size").alias("size"),
                                       F.first("sig").alias("sig"))
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
+    each = cut_lineage(signed.groupBy("id", "h").agg(F.count("*").alias("rows")))
+    release_tables(signed)
     while True:
         links, found, expected = _links(spark, rows, classes, n, threshold, trees, depth, deepest, block, broadcast_rows)
         if depth == 1 or not expected or found / expected >= recall:
@@ -164,8 +177,10 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
     own = (classes.select("h", "node", "copies").join(n_links, "node", "left").join(label, "node", "left")
            .select("h", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "node").alias("label")))
     own = cut_lineage(own)
-    each = signed.groupBy("id", "h").agg(F.count("*").alias("rows"))
-    each = cut_lineage(each.join(own, "h"))
+    release_tables(classes, label, links)
+    named = cut_lineage(each.join(own, "h"))
+    release_tables(each, own)
+    each = named
     first = (each.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("first"),
                                        F.min("id").alias("class_id")))
     first = cut_lineage(first)
@@ -181,14 +196,15 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
     prefix = [F.xxhash64(F.lit(t), F.substring("sig", t * width + 1, 4 * depth)) for t in range(trees)]
     keyed = classes.filter("size > 0").select("node", "h", "copies", F.array(*prefix).alias("keys"))
     tries = keyed.select("node", F.posexplode("keys").alias("tree", "key"))
-    full = tries.groupBy("tree", "key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = tries.join(cut_lineage(full), ["tree", "key"])
+    full = cut_lineage(tries.groupBy("tree", "key").agg(F.count("*").alias("m")).filter("m > 1"))
+    members = tries.join(full, ["tree", "key"])
     n_blocks = F.ceil(F.col("m") / block).cast("int")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     members = members.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
                              "block", "node")
     members = cut_lineage(members)
+    release_tables(full)
     key_of = cut_lineage(keyed.join(members.select("node").distinct(), "node", "left_semi"))
     place = ["tree", "key", "bi", "bj"]
     parts = parallelism(spark)
@@ -206,8 +222,10 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
     kind = "tree int, key long, bi int, bj int, block int, node long"
     work = members.join(key_of.select("node", "keys"), "node").select(*place, "block", "node", "keys")
     work = cut_lineage(dealt(work).mapInArrow(find, kind))
+    release_tables(members)
 
     needed = cut_lineage(key_of.join(work.select("node").distinct(), "node", "left_semi"))
+    release_tables(key_of)
     small = needed.select("h", "node")
     small = F.broadcast(small) if needed.count() <= broadcast_rows else small
 
@@ -216,17 +234,18 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g.tobytes() for g in shingles(part.column(1).to_pylist(), n)], pa.binary())],
+                    [part.column(0), pa.array([packed_grams(g) for g in shingles(part.column(1).to_pylist(), n)], pa.binary())],
                     names=["node", "grams"])
 
     texts = rows.select("h", "text").join(small, "h").select("node", "text")
     grams = texts.mapInArrow(gram, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
     payload = cut_lineage(needed.select("node", "copies", "keys").join(grams, "node"))
+    release_tables(needed)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 4):
             left, right = _open_pairs(table, trees)
-            sets = [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
+            sets = [unpacked_grams(g.as_py()) for g in table.column("grams")]
             size = np.array([len(s) for s in sets])
             able = np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right]) - 1e-9
             left, right = left[able], right[able]
@@ -251,8 +270,9 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
     check = work.join(payload, "node").select(*place, "block", "node", "keys", "copies", "grams")
     links = cut_lineage(dealt(check).mapInArrow(
         verify, "node long, links long, root long, found double, expected double"))
+    release_tables(work, payload)
     sums = links.agg(F.sum("found").alias("f"), F.sum("expected").alias("e")).first()
-    return links.select("node", "links", "root"), sums["f"] or 0.0, sums["e"] or 0.0
+    return links, sums["f"] or 0.0, sums["e"] or 0.0
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 500_000,

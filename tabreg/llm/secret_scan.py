@@ -39,22 +39,65 @@ PATH = rf"^(?=[^/]*/){PATH_WORD}(?:[/+]{PATH_WORD})+=*$"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, join, empty: Column) -> Column:
+    """Inclusive running fold of an array by an associative ``join``, by doubling: round k joins every
+    element with the one 2^k places before it, so n elements take n log n steps and no array grows."""
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int")
+    before = lambda a, k: F.slice(F.concat(F.array_repeat(empty, F.call_function("shiftleft", F.lit(1), k)), a), F.lit(1), F.size(a))
+    fold = lambda a, k: F.zip_with(before(a, k), a, join)
+    rest = F.when(rounds > 0, F.sequence(F.lit(0), rounds - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(rest, values, fold)
+
+
+def running_max(values: Column) -> Column:
+    return running(values, lambda x, y: F.greatest(x, y), F.lit(-1))
+
+
 def spans(text: Column, kind: str, pattern: str, keep=None) -> Column:
     """Leftmost non-overlapping matches as (kind, start, end) in code points. The gaps between
-    the matches come from splitting by the same pattern; starts are running sums of lengths."""
+    the matches come from splitting by the same pattern; ends are running sums of lengths."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    gaps = F.split(text, pattern, -1)                    # one more than there are matches
+    pairs = F.filter(F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), (F.length(m) + F.length(g)).alias("n"))),
+                     lambda p: p["m"].isNotNull())
+
+    def placed(p: Column) -> Column:
+        ends = running(F.transform(p, lambda x: x["n"]), lambda x, y: x + y, F.lit(0))
+        return F.zip_with(p, ends, lambda x, e: F.struct(
+            F.lit(kind).alias("kind"), (e - F.length(x["m"])).alias("start"), e.alias("end"), x["m"].alias("m")))
+
+    out = let(pairs, placed)
+    out = out if keep is None else F.filter(out, lambda s: keep(s["m"]))
+    bare = F.transform(out, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return F.when(text.rlike(pattern), bare).otherwise(F.array().cast(SPAN))
+
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["match"])
-        one = F.array(F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end")))
-        kept = one if keep is None else F.when(keep(pair["match"]), one).otherwise(F.array().cast(SPAN))
-        return F.struct(end.alias("at"), F.concat(acc["out"], kept).alias("out"))
+def flagged(spans_: Column, others: Column, inside: bool = False) -> Column:
+    """``spans_`` as (s, flag), by end: whether a span overlaps any of ``others`` (``inside``: lies
+    within one). Both kinds are sorted along the text once; the furthest end of the others that
+    have begun decides, so the cost is that of the sort."""
+    at = lambda s: s["start"] if inside else s["end"]
+    # at the same place an other that begins there comes first only for ``inside`` (start <= start)
+    mine = F.transform(spans_, lambda s: F.struct(at(s).alias("p"), F.lit(1 if inside else 0).alias("t"), F.lit(-1).alias("reach"), s.alias("s")))
+    theirs = F.transform(others, lambda s: F.struct(s["start"].alias("p"), F.lit(0 if inside else 1).alias("t"), s["end"].alias("reach"), s.alias("s")))
 
-    pairs = F.transform(found, lambda m, i: F.struct(m.alias("match"), F.element_at(gaps, i + 1).alias("gap")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step)["out"]).otherwise(F.array().cast(SPAN))
+    def swept(events: Column) -> Column:
+        reach = running_max(F.transform(events, lambda e: e["reach"]))
+        hit = (lambda e, r: r >= e["s"]["end"]) if inside else (lambda e, r: r > e["s"]["start"])
+        return F.zip_with(events, reach, lambda e, r: F.struct(e["s"].alias("s"), hit(e, r).alias("flag"), (e["reach"] < 0).alias("own")))
+
+    return F.filter(let(F.array_sort(F.concat(mine, theirs)), swept), lambda x: x["own"])
+
+
+def without(spans_: Column, others: Column, inside: bool = False) -> Column:
+    """The spans that overlap none of ``others`` (``inside``: lie within none)."""
+    left = F.transform(F.filter(flagged(spans_, others, inside), lambda x: ~x["flag"]), lambda x: x["s"])
+    return F.when((F.size(spans_) > 0) & (F.size(others) > 0), left).otherwise(spans_)
 
 
 def base_spans(text: Column) -> Column:
@@ -103,19 +146,18 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     return weak.join(wide, meets, "left_semi").select("id", "h", "kind", "start", "end").distinct()
 
 
-def touches(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def weak_spans(text: Column) -> Column:
     """The weak candidates. No opaque strings are those that look like a path, touch an endpoint
     or the path of its URL, or lie within a weak identifier."""
     opaque = spans(text, "weak_secret", WEAK["weak_secret"][0], lambda m: ~m.rlike(PATH))
     names = spans(text, "weak_id", WEAK["weak_id"][0])
-    paths = spans(text, "url", URL_PATH)
-    apart = F.filter(opaque, lambda w: ~F.exists(paths, lambda u: touches(w, u))
-                     & ~F.exists(names, lambda n: (n["start"] <= w["start"]) & (w["end"] <= n["end"])))
-    return F.concat(names, apart, spans(text, "endpoint", WEAK["endpoint"][0]))
+
+    def chosen(parts: Column) -> Column:
+        apart = without(without(parts["opaque"], parts["paths"]), parts["names"], inside=True)
+        return F.concat(parts["names"], apart, parts["ends"])
+
+    return let(F.struct(opaque.alias("opaque"), names.alias("names"), spans(text, "url", URL_PATH).alias("paths"),
+                        spans(text, "endpoint", WEAK["endpoint"][0]).alias("ends")), chosen)
 
 
 def scan(docs: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,17 +167,17 @@ def scan(docs: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: st
     by start.
 
     A null text is empty and has no span; null ids are matched with null; other columns are
-    ignored; an empty table gives no row.
+    ignored whatever their names; an empty table gives no row. A very long text with n matches takes
+    n log n steps beyond the regular expressions.
     """
     text = text_or_empty(docs[text_col])
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.md5(F.encode(text, "UTF-8")).alias("h"), text.alias("text"))
     rows = cut_lineage(rows.select("id", "h", base_spans(F.col("text")).alias("base"), weak_spans(F.col("text")).alias("weak"),
                                    spans(F.col("text"), "url", URL).alias("urls")))
-    apart = F.filter("weak", lambda w: ~F.exists("base", lambda b: touches(w, b)))
-    some = rows.filter((F.size("weak") > 0)).select("id", "h", "base", "urls", apart.alias("weak")).filter(F.size("weak") > 0)
-    inside = F.col("s.kind").isin("weak_secret", "hex") & F.exists("urls", lambda u: touches(F.col("s"), u))
-    parts = (some.select("id", "h", "urls", F.explode(F.concat("base", "weak")).alias("s"))
-             .select("id", "h", "s.*", inside.alias("in_url")).distinct())
+    some = (rows.filter(F.size("weak") > 0).select("id", "h", "base", "urls", without(F.col("weak"), F.col("base")).alias("weak"))
+            .filter(F.size("weak") > 0))
+    parts = (some.select("id", "h", F.explode(flagged(F.concat("base", "weak"), F.col("urls"))).alias("x"))
+             .select("id", "h", "x.s.*", (F.col("x.flag") & F.col("x.s.kind").isin("weak_secret", "hex")).alias("in_url")).distinct())
     added = (linked(parts, scope).groupBy(F.col("id").alias("a_id"), F.col("h").alias("a_h"))
              .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))
     one = rows.groupBy("id", "h").agg(F.count("*").alias("copies"), F.first("base").alias("base"))
@@ -143,18 +185,25 @@ def scan(docs: DataFrame, scope: int = 256, id_col: str = "doc_id", text_col: st
             .select("id", "h", "copies", "base", ordered(F.concat("base", F.coalesce("added", F.array().cast(SPAN)))).alias("spans")))
 
 
-def redacted(text: Column, span_array: Column, mark: str) -> Column:
-    """The text with every span (by start; overlapping ones as one) replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+MANY = 64
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                                               F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate(span_array, start, step)
-    return F.when(F.size(span_array) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+def redacted(text: Column, span_array: Column, mark: str) -> Column:
+    """The text with every span (by start; overlapping ones as one) replaced by a mark. A text of
+    more than ``MANY`` spans is cut from its list of code points, as counting from the start for
+    every piece would take its length times their number."""
+    def joined(ends: Column, cut) -> Column:
+        before = F.slice(F.concat(F.array(F.lit(0)), ends), F.lit(1), F.size(ends))       # furthest end so far
+        pieces = F.zip_with(span_array, before, lambda s, at: F.when(
+            s["start"] >= at, F.concat(cut(at, s["start"] - at), F.lit(mark))).otherwise(F.lit("")))
+        return F.concat(F.array_join(pieces, ""), cut(F.element_at(ends, -1), F.length(text)))
+
+    ends = running_max(F.transform(span_array, lambda s: s["end"]))
+    plain = lambda at, n: F.substring(text, at + 1, n)
+    points = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    listed = lambda chars: lambda at, n: F.array_join(F.slice(chars, at + 1, n), "")
+    return (F.when(F.size(span_array) > MANY, let(F.struct(ends.alias("e"), points.alias("p")), lambda x: joined(x["e"], listed(x["p"]))))
+            .when(F.size(span_array) > 0, let(ends, lambda e: joined(e, plain))).otherwise(text))
 
 
 def redact(docs: DataFrame, mark: str, changed: str | None = None, scope: int = 256, id_col: str = "doc_id",

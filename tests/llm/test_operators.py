@@ -77,6 +77,41 @@ def test_wavelet_rank_select_access(n, top, bits):
     assert (w.tokens() == ids).all()
 
 
+def test_secret_scan_of_many_matches_in_one_text(spark):
+    """16,000 matches in one text, scanned and redacted in time that grows with their number."""
+    import time
+    text = "😀" + " ".join(f"password=abcdef{i}" for i in range(16_000)) + " end é"
+    docs = spark.createDataFrame([(1, text), (2, text[:900]), (3, "no secret")], "doc_id long, text string")
+    secret_scan.scan(docs.filter("doc_id > 1")).collect()                          # code is compiled
+    began = time.time()
+    got = {r["id"]: r["spans"] for r in secret_scan.scan(docs).collect()}
+    assert time.time() - began < 20
+    whole = re.compile(secret_scan.ASSIGN)
+    for i, t in ((1, text), (2, text[:900]), (3, "no secret")):
+        assert [(s["start"], s["end"]) for s in got[i]] == [m.span() for m in whole.finditer(t)]
+    red = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, "[S]").collect()}
+    assert red == {1: whole.sub("[S]", text), 2: whole.sub("[S]", text[:900]), 3: "no secret"}
+
+
+def test_spans_without_others_equal_pairwise_comparison(spark):
+    import random
+    rng, rows = random.Random(3), []
+    spans = lambda k: sorted((a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, k))))
+    for i in range(60):
+        apart = []
+        for s in spans(8):
+            if not apart or s[0] >= apart[-1][1]:
+                apart.append(s)
+        rows.append((i, spans(9), spans(9), apart))
+    df = spark.createDataFrame([(i, *[[("k", *s) for s in x] for x in r]) for i, *r in rows],
+                               f"id int, a {secret_scan.SPAN}, b {secret_scan.SPAN}, c {secret_scan.SPAN}")
+    out = df.select("id", secret_scan.without(F.col("a"), F.col("b")).alias("o"), secret_scan.without(F.col("a"), F.col("c"), True).alias("i"))
+    for r in out.collect():
+        _, a, b, c = rows[r["id"]]
+        assert sorted((s["start"], s["end"]) for s in r["o"]) == [x for x in a if not any(x[0] < y[1] and y[0] < x[1] for y in b)]
+        assert sorted((s["start"], s["end"]) for s in r["i"]) == [x for x in a if not any(y[0] <= x[0] and x[1] <= y[1] for y in c)]
+
+
 def test_wavelet_lookups_open_few_frames():
     ids = np.random.default_rng(1).integers(0, 50_000, 1 << 21).astype(np.uint16)
     block = wavelet.WaveletMatrix.build(ids, 16).to_bytes()
@@ -230,6 +265,24 @@ def test_next_text_wraps_and_blocks_do_not_matter(spark):
         assert got == {i * 7: f"t{i - 1 if i else 49}" for i in range(50)}
 
 
+def test_successors_with_thousands_of_ranges(spark):
+    """The plan does not grow with the number of ranges."""
+    import time
+    docs = spark.range(30_000).select((F.col("id") * 3).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    began = time.time()
+    got = winnow.with_next_text(docs.repartition(8), "doc_id", "text", 2000)
+    wrong = got.filter(F.col("next_text") != F.concat(F.lit("t"), F.when(F.col("id") == 0, 29_999).otherwise((F.col("id") / 3).cast("long") - 1)))
+    assert wrong.count() == 0 and got.count() == 30_000
+    assert time.time() - began < 60
+
+
+def test_edges_reached(spark):
+    for edges in ([], [5], [1, 4, 9, 16, 25, 36, 49], list(range(0, 3000, 7))):
+        df = spark.createDataFrame([(v,) for v in (-3, 0, 1, 5, 16, 48, 49, 50, 2999, 10 ** 12)], "v long")
+        for r in df.select("v", winnow.reached(F.col("v"), edges).alias("n")).collect():
+            assert r["n"] == sum(e <= r["v"] for e in edges)
+
+
 BASE = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 

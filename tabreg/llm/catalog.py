@@ -61,6 +61,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of all documents and of their edited texts."""
     out = winnow.fingerprint_pairs(table(spark, sf_dir, "documents"))
+    places = F.array_join(winnow.positions(F.col("fingerprint")).cast("array<string>"), " ")
+    out = out.withColumn("positions", places)
     for name in ("fingerprint", "edited_fingerprint", "next_fingerprint"):
         out = out.withColumn(name, winnow.hashes(F.col(name)))
     return out.select(
@@ -68,7 +70,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnow.as_text(F.col("fingerprint")).alias("fingerprint"),
         winnow.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         winnow.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        winnow.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        winnow.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "positions")
 
 
 @query
@@ -112,14 +114,14 @@ def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability and sampling decision of every document under tempered targets of source,
-    language and topic."""
+    """Probability and sampling decision of every document: half of all tokens, under tempered
+    targets of source, language and topic."""
     docs = table(spark, sf_dir, "documents")
     margins = mixing.document_margins(docs)
-    cells = mixing.mixture(docs, margins, mixing.POWERS)
+    cells = mixing.calibrated(docs, margins, mixing.POWERS, mixing.SHARE, tolerance=1e-8)
     rows = mixing.assigned(docs.withColumn("topic", margins["topic"]), margins, cells)
     return rows.select("doc_id", "source", "lang", "topic", mixing.count_tokens(text_or_empty("text")).alias("tokens"),
-                       F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept"))
+                       F.round("__probability", 5).alias("probability"), F.col("__kept").alias("kept"))
 
 
 @query

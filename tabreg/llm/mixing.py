@@ -40,7 +40,7 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     by = cells.groupBy(F.col(margin).alias("level")).agg(F.sum("tokens").alias("t")).filter("t > 0")
     weight = F.pow(F.col("t").cast("double"), F.lit(float(power)))
     total = by.agg(F.sum(weight).alias("total"))
-    return cut_lineage(by.select("level", weight.alias("w")).join(F.broadcast(total)).select("level", (F.col("w") / F.col("total")).alias("share")))
+    return cut_lineage(by.select("level", (weight / total.scalar()).alias("share")))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-10, max_sweeps: int = 60,
@@ -150,13 +150,14 @@ def rake_capped(cells: DataFrame, targets: dict[str, DataFrame], budget_tokens:
 
 
 def calibrated(docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], share: float,
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", tolerance: float = 1e-6) -> DataFrame:
     """Cells with the ``probability`` under which the stated share of all tokens is expected to
-    be kept, at margins as near the tempered targets as the cells' tokens allow."""
+    be kept, at margins as near the tempered targets as the cells' tokens allow. A cell that is too
+    small for its target is kept whole and lowers no other cell's probability."""
     rows = docs.select(count_tokens(text_or_empty(docs[text_col])).alias("tokens"), *[c.alias(m) for m, c in margins.items()])
     cells = cut_lineage(rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
     whole = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
-    return cut_lineage(rake_capped(cells, {m: tempered(cells, m, powers[m]) for m in margins}, share * whole))
+    return cut_lineage(rake_capped(cells, {m: tempered(cells, m, powers[m]) for m in margins}, share * whole, tolerance))
 
 
 def unmet(cells: DataFrame, powers: dict[str, float], tolerance: float = 1e-3) -> DataFrame:
@@ -165,7 +166,7 @@ def unmet(cells: DataFrame, powers: dict[str, float], tolerance: float = 1e-3) -
     kept = cells.filter("tokens > 0").withColumn("__k", F.col("tokens") * F.col("probability"))
     out = []
     for m, power in powers.items():
-        by = kept.groupBy(F.col(m).alias("__l")).agg(F.sum("__k").alias("k")).join(F.broadcast(kept.agg(F.sum("__k").alias("all"))))
+        by = kept.groupBy(F.col(m).alias("__l")).agg(F.sum("__k").alias("k")).withColumn("all", kept.agg(F.sum("__k")).scalar())
         both = tempered(cells, m, power).join(by, F.col("level").eqNullSafe(F.col("__l")))
         out.append(both.select(F.lit(m).alias("margin"), F.col("level").cast("string").alias("level"),
                                F.col("share").alias("target"), (F.col("k") / F.col("all")).alias("reached")))
@@ -196,12 +197,12 @@ def document_margins(docs: DataFrame) -> dict[str, Column]:
 
 #: Powers of the token shares that the targets of the registered query follow.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
-#: Share of all tokens that the pipeline's mixing stage keeps.
+#: Share of all tokens that the registered query and the pipeline's mixing stage keep.
 SHARE = 0.5
 
 
-def sql(sweeps: int = 30) -> str:
-    """The query in SQL: the sweeps written out."""
+def sql(sweeps: int = 60, share: float = SHARE) -> str:
+    """The registered query in SQL: targets, caps and sweeps written out."""
     names = list(POWERS)
     n = "len(regexp_extract_all(text, '[^ \\t\\n\\r]+'))"
     out = [f"""WITH rows_ AS (SELECT doc_id, source, lang, n AS tokens, CASE
@@ -211,24 +212,29 @@ def sql(sweeps: int = 30) -> str:
       coalesce(doc_id::VARCHAR, 'null:' || md5(text)) AS key
     FROM (SELECT doc_id, source, lang, text, {n} AS n FROM (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents) d) e),
     cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM rows_ GROUP BY ALL),
-    base AS MATERIALIZED (SELECT source, lang, topic, tokens / sum(tokens) OVER () AS w FROM cells WHERE tokens > 0)"""]
+    goal AS (SELECT {share} * sum(tokens) AS b FROM cells)"""]
     for m in names:
-        out.append(f"""t_{m} AS MATERIALIZED (SELECT level, pow(t, {POWERS[m]}) / sum(pow(t, {POWERS[m]})) OVER () AS share
+        # a level whose share of the budget is more than its tokens gives these; the others' factor is the
+        # largest of (budget less the full levels) / (shares of the rest), by rising tokens per share
+        out.append(f"""s_{m} AS (SELECT level, t, pow(t, {POWERS[m]}) / sum(pow(t, {POWERS[m]})) OVER () AS share
       FROM (SELECT {m} AS level, sum(tokens) AS t FROM cells GROUP BY 1 HAVING sum(tokens) > 0)),
-    f_{m}_0 AS (SELECT level, 1.0::DOUBLE AS f FROM t_{m})""")
-    at = dict.fromkeys(names, 0)
-    for k in range(1, sweeps + 1):
+    g_{m} AS MATERIALIZED (SELECT level, least(t, share * max(f) OVER ()) AS target FROM (
+      SELECT *, (b - coalesce(sum(t) OVER (ORDER BY t / share, level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(share) OVER (ORDER BY t / share, level ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f FROM s_{m}, goal))""")
+    goals = " ".join(f"JOIN g_{m} ON cells.{m} IS NOT DISTINCT FROM g_{m}.level" for m in names)
+    out.append("w_0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens * least(1.0, b / (SELECT sum(tokens) FROM cells)) AS w, "
+               + ", ".join(f"g_{m}.target AS t_{m}" for m in names) + f" FROM cells {goals}, goal WHERE tokens > 0)")
+    k = 0
+    for _ in range(sweeps):
         for m in names:
-            a, b = (x for x in names if x != m)
-            out.append(f"""f_{m}_{k} AS MATERIALIZED (SELECT t.level, any_value(share) / sum(w * a.f * b.f) AS f FROM base
-      JOIN f_{a}_{at[a]} a ON base.{a} IS NOT DISTINCT FROM a.level JOIN f_{b}_{at[b]} b ON base.{b} IS NOT DISTINCT FROM b.level
-      JOIN t_{m} t ON base.{m} IS NOT DISTINCT FROM t.level GROUP BY 1)""")
-            at[m] = k
-    joins = " ".join(f"LEFT JOIN f_{m}_{sweeps} x_{m} ON c.{m} IS NOT DISTINCT FROM x_{m}.level" for m in names)
-    ratio = " * ".join(f"coalesce(x_{m}.f, 1)" for m in names)
-    out.append(f"ratios AS (SELECT c.*, {ratio} AS ratio FROM cells c {joins})")
-    out.append("scaled AS (SELECT *, least(1.0, ratio / (SELECT max(ratio) FROM ratios WHERE tokens > 0)) AS p FROM ratios)")
-    return ",\n".join(out) + """
-    SELECT doc_id, r.source, r.lang, r.topic, r.tokens, round(p, 6) AS probability,
-      ('0x' || substr(md5(key), 1, 13))::BIGINT / 4503599627370496.0 < p AS kept
-    FROM rows_ r JOIN scaled s ON r.source IS NOT DISTINCT FROM s.source AND r.lang IS NOT DISTINCT FROM s.lang AND r.topic = s.topic"""
+            others = ", ".join(x for x in names if x != m)
+            before = f"OVER (PARTITION BY {m} ORDER BY w / tokens DESC, {others} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+            out.append(f"""w_{k + 1} AS MATERIALIZED (SELECT * REPLACE (least(tokens, w * max(CASE WHEN rest > 1e-12 * w THEN need / rest END) OVER (PARTITION BY {m})) AS w)
+      FROM (SELECT * EXCLUDE (need, rest), t_{m} - coalesce(sum(tokens) {before}, 0) AS need,
+                   sum(w) OVER (PARTITION BY {m}) - coalesce(sum(w) {before}, 0) AS rest FROM w_{k}))""".replace(
+                       "* EXCLUDE (need, rest)", "*" if k == 0 else "* EXCLUDE (need, rest)"))
+            k += 1
+    return ",\n".join(out) + f"""
+    SELECT doc_id, r.source, r.lang, r.topic, r.tokens, round(coalesce(w / c.tokens, 1.0), 5) AS probability,
+      ('0x' || substr(md5(key), 1, 13))::BIGINT / 4503599627370496.0 < coalesce(w / c.tokens, 1.0) AS kept
+    FROM rows_ r LEFT JOIN w_{k} c ON r.source IS NOT DISTINCT FROM c.source AND r.lang IS NOT DISTINCT FROM c.lang AND r.topic = c.topic"""

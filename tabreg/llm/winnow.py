@@ -96,44 +96,60 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(any_ > 0, both / any_).otherwise(F.lit(1.0))
 
 
-def with_next_text(docs: DataFrame, id_col: str, text_col: str, blocks: int | None = None) -> DataFrame:
-    """``id, text, next_text``: the text of the next row in descending id order, and the first
-    row's after the last. Null ids come last, rows of equal id in the order of a hash of their
-    text. Rows are dealt once, by ranges of the id cut at approximate quantiles (a list of at
-    most ``blocks`` numbers); the first rows of the range below are dealt to the range above
-    as well, so every row meets its successor."""
+def reached(value: Column, edges: list[int]) -> Column:
+    """How many of the ascending edges the value reaches. The edges are literal arrays searched in two
+    levels, so a row meets about twice the root of their number, and no expression grows with them."""
+    if not edges:
+        return F.lit(0)
+    step = max(1, round(len(edges) ** 0.5))
+    # text literals that the optimiser folds into one array each
+    lists = ";".join(",".join(map(str, edges[i:i + step])) for i in range(0, len(edges), step))
+    groups = F.transform(F.split(F.lit(lists), ";"), lambda g: F.split(g, ",").cast("array<long>"))
+    heads = F.split(F.lit(",".join(map(str, edges[::step]))), ",").cast("array<long>")
+    at_least = lambda array: F.size(F.filter(array, lambda e: e <= value))
+    group = at_least(heads)
+    return F.when(group > 0, (group - 1) * step + at_least(F.element_at(groups, group))).otherwise(F.lit(0))
+
+
+def id_ranges(ids: DataFrame, blocks: int) -> list[tuple[int, int]]:
+    """Smallest and largest id of at most ``blocks`` ranges of about equal rows, ascending: two
+    numbers a range reach the driver."""
+    ranged = ids.filter("id IS NOT NULL").select("id").repartitionByRange(blocks, "id")
+    ends = ranged.groupBy(F.spark_partition_id()).agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    return sorted((r["lo"], r["hi"]) for r in ends.collect())
+
+
+def with_next(docs: DataFrame, columns: list[str], blocks: int | None = None, add=lambda rows: rows) -> DataFrame:
+    """The rows of ``docs`` (long ``id``, string ``text``) with ``next_<c>`` for each of ``columns``
+    (of ``docs`` or added by ``add``): the value of the next row in descending id order, and the
+    first row's after the last. Null ids come last, rows of equal id in the order of a hash of
+    their text.
+
+    Rows are dealt once, by ranges of the id; the first rows of the range below are dealt to the
+    range above as well, so every row meets its successor."""
     spark = docs.sparkSession
-    blocks = blocks or parallelism(spark)
-    rows = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(docs[text_col]).alias("text"))
-    step = max(2, int(blocks ** 0.5))
-    at = [i / blocks for i in range(1, blocks)]
-    cuts = sorted({int(c) for c in rows.stat.approxQuantile("id", at, 0.25 / blocks)}) if at else []
-    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-    id_ = F.col("id")
-
-    def below(edges: list[int]) -> Column:                  # how many of the edges the id reaches
-        out = F.lit(0)
-        for e in edges:
-            out = out + (id_ >= F.lit(e)).cast("int")
-        return out
-
-    block = F.lit(0)
-    if groups:                                              # two levels, so a row meets few edges
-        block = F.when(id_ < F.lit(groups[0][0]), F.lit(0))
-        for g, edges in reversed(list(enumerate(groups))):
-            block = block.when(id_ >= F.lit(edges[0]), F.lit(g * step) + below(edges))
-    rows = rows.withColumn("block", F.when(id_.isNull(), F.lit(-1)).otherwise(block).cast("int"))
-    tops = {r["block"]: r["top"] for r in rows.groupBy("block").agg(F.max("id").alias("top")).collect()}
+    ranges = id_ranges(docs, blocks or parallelism(spark))
+    block = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(reached(F.col("id"), [lo for lo, _ in ranges[1:]]))
+    rows = docs.withColumn("block", block.cast("int"))
+    tops = {i: hi for i, (_, hi) in enumerate(ranges)}
+    if docs.filter("id IS NULL").limit(1).count():
+        tops[-1] = None
     order = sorted(tops, reverse=True)
     before = {b: order[i - 1] for i, b in enumerate(order)}  # the first block's first row ends the last block
     marks = spark.createDataFrame([(b, tops[b], before[b]) for b in order], "block int, top long, before int")
-    led = rows.join(F.broadcast(marks), "block")
+    led = rows.join(F.broadcast(marks), "block")              # at most one row a range
     first = led.filter(F.col("id").eqNullSafe(F.col("top")))
-    both = (led.select("id", "text", "block", F.lit(0).alias("role"))
-            .unionByName(first.select("id", "text", F.col("before").alias("block"), F.lit(1).alias("role"))))
+    both = (led.select(*docs.columns, "block", F.lit(0).alias("role"))
+            .unionByName(first.select(*docs.columns, F.col("before").alias("block"), F.lit(1).alias("role"))))
     run = Window.partitionBy("block").orderBy("role", F.col("id").desc_nulls_last(), F.xxhash64("text"), "text")
-    return (both.withColumn("next_text", F.lead("text").over(run)).filter("role = 0")
-            .select("id", "text", "next_text"))
+    return (add(both).withColumns({f"next_{c}": F.lead(c).over(run) for c in columns}).filter("role = 0")
+            .drop("block", "role"))
+
+
+def with_next_text(docs: DataFrame, id_col: str, text_col: str, blocks: int | None = None) -> DataFrame:
+    """``id, text, next_text`` of all rows, see ``with_next``; a null text is empty."""
+    rows = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(docs[text_col]).alias("text"))
+    return with_next(rows, ["text"], blocks)
 
 
 def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
@@ -143,16 +159,16 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The edited text replaces the last floor(n/2) code points by the first as many (or all) of
     the next row's text. Returns the id, ``n_chars, edited_text, fingerprint,
     edited_fingerprint, next_fingerprint`` (packed arrays, see ``hashes`` and ``positions``).
-    A null text is empty, a null id orders last, other columns are ignored, an empty table
-    gives no row.
+    A null text is empty, a null id orders last, rows of equal id by a hash of their text, repeated
+    rows stay; other columns are ignored whatever their names, an empty table gives no row. A very
+    long text is one row throughout.
     """
-    rows = with_next_text(docs, id_col, text_col)
+    rows = docs.select(docs[id_col].cast("long").alias("id"), text_or_empty(docs[text_col]).alias("text"))
+    rows = with_next(rows, ["text", "fingerprint"], add=lambda r: with_fingerprint(r, "text", "fingerprint", k, window))
     half = (F.length("text") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn(
         "edited_text", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
                                 F.substring(F.col("next_text"), F.lit(1), half)))
-    for source, out in (("text", "fingerprint"), ("edited_text", "edited_fingerprint"),
-                        ("next_text", "next_fingerprint")):
-        rows = with_fingerprint(rows, source, out, k, window)
+    rows = with_fingerprint(rows, "edited_text", "edited_fingerprint", k, window)
     return rows.select(F.col("id").alias(id_col), "n_chars", "edited_text", "fingerprint", "edited_fingerprint",
                        "next_fingerprint")

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +61,20 @@ def unpacked_grams(packed: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def text_slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows and, beyond one row, ``size`` bytes of text: the words of a
+    slice are Python objects, so a run of long texts must not be held at once."""
+    bytes_ = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    lo, held = 0, 0
+    for i, n in enumerate(bytes_):
+        if i > lo and (i - lo == rows or held + n > size):
+            yield batch.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
 def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     low = np.full(len(a), 2 ** 32 - 1, np.uint32)
     for lo in range(0, len(grams), 1024):
@@ -153,8 +168,7 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in text_slices(batch, 2):
                 grams = shingles(part.column(2).to_pylist(), n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(g) for g in grams], pa.int64()),
@@ -231,8 +245,7 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in text_slices(batch, 1):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([packed_grams(g) for g in shingles(part.column(1).to_pylist(), n)], pa.binary())],
                     names=["node", "grams"])

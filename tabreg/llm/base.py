@@ -9,6 +9,26 @@ from tabreg.session import cut_lineage, release_tables, scratch_path  # noqa: F4
 from tabreg.sources.tables import table  # noqa: F401
 
 
+def trimmed(run):
+    """``run`` for ``mapInArrow``, after which the worker gives unused memory back: Spark keeps its
+    Python workers for the next stages, where their free but unreturned memory would only be held."""
+    def with_return(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):                     # another C library
+            pass
+
+    return with_return
+
+
 def text_or_empty(text: str | Column) -> Column:
     """A null text counts as the empty text."""
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))

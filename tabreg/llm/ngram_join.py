@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabreg.llm.base import cut_lineage, parallelism, release_tables, text_or_empty
+from tabreg.llm.base import cut_lineage, parallelism, release_tables, text_or_empty, trimmed
 from tabreg.llm.components import connected_components, groups, roots
 
 WORD = re.compile(r"\w+")
@@ -175,7 +175,7 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
                      pa.array([signature(g, a, b).tobytes() for g in grams], pa.binary())],
                     names=["id", "h", "size", "sig"])
 
-    signed = cut_lineage(rows.mapInArrow(sign, "id long, h string, size long, sig binary"))
+    signed = cut_lineage(rows.mapInArrow(trimmed(sign), "id long, h string, size long, sig binary"))
     classes = signed.groupBy("h").agg(F.count("*").alias("copies"), F.first("size").alias("size"),
                                       F.first("sig").alias("sig"))
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -235,7 +235,7 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
 
     kind = "tree int, key long, bi int, bj int, block int, node long"
     work = members.join(key_of.select("node", "keys"), "node").select(*place, "block", "node", "keys")
-    work = cut_lineage(dealt(work).mapInArrow(find, kind))
+    work = cut_lineage(dealt(work).mapInArrow(trimmed(find), kind))
     release_tables(members)
 
     needed = cut_lineage(key_of.join(work.select("node").distinct(), "node", "left_semi"))
@@ -251,7 +251,7 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
                     names=["node", "grams"])
 
     texts = rows.select("h", "text").join(small, "h").select("node", "text")
-    grams = texts.mapInArrow(gram, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    grams = texts.mapInArrow(trimmed(gram), "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
     payload = cut_lineage(needed.select("node", "copies", "keys").join(grams, "node"))
     release_tables(needed)
 
@@ -281,8 +281,7 @@ def _links(spark, rows: DataFrame, classes: DataFrame, n: int, threshold: float,
                 names=["node", "links", "root", "found", "expected"])
 
     check = work.join(payload, "node").select(*place, "block", "node", "keys", "copies", "grams")
-    links = cut_lineage(dealt(check).mapInArrow(
-        verify, "node long, links long, root long, found double, expected double"))
+    links = cut_lineage(dealt(check).mapInArrow(trimmed(verify), "node long, links long, root long, found double, expected double"))
     release_tables(work, payload)
     sums = links.agg(F.sum("found").alias("f"), F.sum("expected").alias("e")).first()
     return links, sums["f"] or 0.0, sums["e"] or 0.0

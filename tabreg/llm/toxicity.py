@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabreg.llm.base import cut_lineage, text_or_empty
+from tabreg.llm.base import cut_lineage, text_or_empty, trimmed
 
 WORD = re.compile(r"\w+")
 BINS = 1000
@@ -172,7 +172,7 @@ def term_counts(train: DataFrame) -> DataFrame:
                 [pa.array(words, pa.string())] + [pa.array([n[y][w] for w in words], pa.int64()) for y in (0, 1)],
                 names=["term", "n0", "n1"])
 
-    each = train.select("text", "toxic").mapInArrow(count, "term string, n0 long, n1 long")
+    each = train.select("text", "toxic").mapInArrow(trimmed(count), "term string, n0 long, n1 long")
     return each.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
@@ -212,8 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
                  pa.array([list(g[3].values()) for g in got], pa.list_(pa.float64()))],
                 names=["id", "h", "toxic", "t", "w"])
 
-    found = train.select("id", "h", "toxic", "text").mapInArrow(
-        vectors, "id long, h string, toxic int, t array<int>, w array<double>")
+    found = train.select("id", "h", "toxic", "text").mapInArrow(trimmed(vectors), "id long, h string, toxic int, t array<int>, w array<double>")
     found = cut_lineage(found)
     rows = [r for y in (0, 1) for r in found.filter(F.col("toxic") == y).orderBy("h").limit(settings.examples).collect()]
     model.index = BlockMaxIndex.build([dict(zip(r["t"], r["w"])) for r in rows], [r["h"] for r in rows],
@@ -224,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
             v = [round(model.vote(t, h)[0] * BINS) for h, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32()), batch.column(1)], names=["vote", "toxic"])
 
-    counted = (train.select("h", "toxic", "text").mapInArrow(votes, "vote int, toxic int")
+    counted = (train.select("h", "toxic", "text").mapInArrow(trimmed(votes), "vote int, toxic int")
                .groupBy("vote").agg(F.count("*").alias("n"), F.sum("toxic").alias("s")).collect())
     model.calibrated = isotonic({r["vote"]: (r["n"], r["s"]) for r in counted})
     return model
@@ -265,7 +264,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                                              names=[id_col, "score", "evidence"])
 
     rows = docs.select(docs[id_col].cast("long").alias(id_col), text_or_empty(docs[text_col]).alias("text"))
-    return rows.mapInArrow(each, f"`{id_col}` long, score double, "
+    return rows.mapInArrow(trimmed(each), f"`{id_col}` long, score double, "
                                  "evidence array<struct<id:long,cosine:double,toxic:int>>")
 
 
@@ -278,4 +277,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
             keep = [model.score(model.vote(t.as_py() or "")[0]) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(each, docs.schema)
+    return docs.mapInArrow(trimmed(each), docs.schema)

@@ -111,8 +111,9 @@ def skim_factor(df: DataFrame, cols: Sequence[str], top: int = 4) -> DataFrame:
 def skim_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """A3 for numeric columns: missing, complete rate, mean, sd (n-1), and the exact
     0/25/50/75/100 % quantiles (type 7). Moments in one aggregate; quantiles by two scans of
-    the melted values (``method="approx"``: sketches alone)."""
-    m = melt(df, cols, "double")
+    the melted values (``method="approx"``: sketches alone). The columns are written once, so
+    joins behind ``df`` run once and not in every scan."""
+    m = melt(cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys(cols)])), cols, "double")
     moments = m.groupBy("variable").agg(
         F.count_if(F.col("value").isNull()).cast("long").alias("n_missing"),
         (F.count("value") / F.count(F.lit(1))).alias("complete_rate"),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tabreg.operators import profile, relate
 
@@ -89,3 +90,19 @@ def test_corr_matrix_symmetric(spark):
     ref = np.corrcoef(x.T)
     assert c[("a", "c")] == pytest.approx(ref[0, 2]) and c[("c", "a")] == c[("a", "c")]
     assert c[("b", "b")] == 1.0
+
+
+def test_skim_reads_what_lies_behind_its_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    df = spark.range(0, 400, 1, 4).select(F.col("id").cast("double").alias("a"))
+    df = df.select(seen("a").alias("a"), F.when(F.col("a") % 4 != 0, F.col("a")).alias("b"))
+    got = {r["variable"]: r for r in profile.skim_numeric(df, ["a", "b"]).collect()}
+    assert read.value == 400
+    assert (got["a"]["n_missing"], got["b"]["n_missing"]) == (0, 100)
+    assert [got["a"][c] for c in ("p0", "p25", "p50", "p75", "p100")] == pytest.approx([0, 99.75, 199.5, 299.25, 399])

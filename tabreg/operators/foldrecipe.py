@@ -96,16 +96,21 @@ def value_variety(df: DataFrame, cols: Sequence[str], fold_col: str, folds: Sequ
     per_fold = [F.count_if(F.col(fold_col) == f).alias(f"n{i}") for i, f in enumerate(folds)]
     counts = cut_lineage(melt(df, cols, "double", keep=[fold_col]).groupBy("variable", "value").agg(
         F.count(F.lit(1)).alias("n"), *per_fold))
-    parts = [F.struct(F.lit(-1).alias("part"), F.col("n").alias("left"))]
-    parts += [F.struct(F.lit(i).alias("part"), (F.col("n") - F.col(f"n{i}")).alias("left")) for i in range(len(folds))]
-    left = counts.select("variable", "value", F.explode(F.array(*parts)).alias("_p")).select("variable", "value", "_p.*")
-    rows = left.groupBy("variable", "part").agg(F.sum("left").alias("rows"))
-    held = left.where((F.col("left") > 0) & F.col("value").isNotNull())
-    top = held.groupBy("variable", "part").agg(F.max("left").alias("top"), F.count(F.lit(1)).alias("levels"))
-    second = (held.join(top, ["variable", "part"]).groupBy("variable", "part").agg(
-        F.count_if(F.col("left") == F.col("top")).alias("at_top"),
-        F.max(F.when(F.col("left") < F.col("top"), F.col("left"))).alias("next")))
-    found = rows.join(top, ["variable", "part"], "left").join(second, ["variable", "part"], "left").collect()
+    # all folds side by side: a row per value and none per value and fold
+    left = {-1: F.col("n")} | {i: F.col("n") - F.col(f"n{i}") for i in range(len(folds))}
+    name = lambda what, i: f"{what}{i + 1}"
+    held = {i: F.when((e > 0) & F.col("value").isNotNull(), e) for i, e in left.items()}
+    first = counts.groupBy("variable").agg(*[a for i, e in left.items() for a in (
+        F.sum(e).alias(name("rows", i)), F.max(held[i]).alias(name("top", i)), F.count(held[i]).alias(name("levels", i)))])
+    first = {r["variable"]: r for r in first.collect()}                                      # one row a column
+    top = spark.createDataFrame([(v, *[r[name("top", i)] for i in left]) for v, r in first.items()],
+                                "variable string, " + ", ".join(f"{name('top', i)} long" for i in left))
+    second = counts.join(F.broadcast(top), "variable").groupBy("variable").agg(*[a for i in left for a in (
+        F.count_if(held[i] == F.col(name("top", i))).alias(name("at_top", i)),
+        F.max(F.when(held[i] < F.col(name("top", i)), held[i])).alias(name("next", i)))])
+    second = {r["variable"]: r for r in second.collect()}
+    found = [{"variable": v, "part": i, "rows": r[name("rows", i)], "top": r[name("top", i)], "levels": r[name("levels", i)],
+              "at_top": second[v][name("at_top", i)], "next": second[v][name("next", i)]} for v, r in first.items() for i in left]
     out: dict = {f: {} for f in [WHOLE, *folds]}
     for r in found:                                             # columns x (folds + 1)
         levels = r["levels"] or 0

@@ -53,14 +53,19 @@ class TuneResult:
 
 def tune_linear(df: DataFrame, features: Sequence[str], label: str, fold_col: str,
                 grid: Sequence[Mapping], kind: str = "enet", key: str | None = None,
-                model_name: str = "linear", recipe: "foldrecipe.FoldRecipe | None" = None) -> TuneResult:
+                model_name: str = "linear", recipe: "foldrecipe.FoldRecipe | None" = None,
+                statistics: "foldrecipe.FoldStatistics | None" = None) -> TuneResult:
     """X3 for the linear family from one Gram pass grouped by fold; ``recipe`` is fitted anew on
-    the training rows of every fold, and every fold's model has that recipe's terms."""
+    the training rows of every fold, and every fold's model has that recipe's terms. ``statistics``
+    are those of an earlier result on the same table with the same columns, label, folds and recipe;
+    then the rows are not read again."""
     spark = df.sparkSession
     data = df.where(F.col(label).isNotNull())
     stats = recipes = None
     if recipe is not None:
-        stats = foldrecipe.fold_statistics(data, features, label, fold_col, recipe)
+        if statistics is not None and (statistics.recipe, statistics.features, statistics.label) != (recipe, list(features), label):
+            raise ValueError("the statistics are those of another recipe, other features or another label")
+        stats = statistics or foldrecipe.fold_statistics(data, features, label, fold_col, recipe)
         data = data.withColumns(stats.columns) if stats.columns else data
         folds, blocks, total = stats.folds, {(f,): b for f, b in stats.blocks.items()}, stats.total
         recipes = {f: stats.fitted(f) for f in [*folds, foldrecipe.WHOLE]}

@@ -588,10 +588,10 @@ def linear_recipe(spark, sf_dir):
     combinations, correlations, Box-Cox, centring, scaling) refitted in each: metrics by fold, the
     number of the recipe's terms and of the fit's."""
     d, cols = _factor_table(spark, sf_dir)
-    out = []
+    out, recipe, stats = [], foldrecipe.FoldRecipe(("nzv", "lincomb", "corr", "boxcox", "center", "scale")), None
     for kind in ("ols", "step"):
-        res = tune.tune_linear(d, cols, LABEL, "fold", [{"lam": 0.0}], kind=kind, model_name=kind,
-                               recipe=foldrecipe.FoldRecipe(("nzv", "lincomb", "corr", "boxcox", "center", "scale")))
+        res = tune.tune_linear(d, cols, LABEL, "fold", [{"lam": 0.0}], kind=kind, model_name=kind, recipe=recipe, statistics=stats)
+        stats = res.statistics
         sizes = [(int(f), len(res.recipes[f].terms), len(res.fits[(0, f)].features)) for f in res.statistics.folds]
         n = spark.createDataFrame(sizes, "fold int, n_terms int, n_used int")
         out.append(res.fold_metrics.join(n, "fold").select("model", "fold", "n_terms", "n_used", "rmse", "rsquared"))

@@ -112,3 +112,30 @@ def test_boxcox_exponent_within_a_thousandth(spark):
         assert got[c][0] == pytest.approx(brute_lambda(data[c]), abs=1e-3)
     assert matrix.boxcox_lambdas(df, ["a", "b"]) == {"a": pytest.approx(got["a"][0]), "b": 0.0}
     assert linalg is not None
+
+
+def test_models_of_one_recipe_share_its_statistics(planted, monkeypatch):
+    df, _ = planted
+    recipe, grid = FoldRecipe(), [{"lam": 0.0}]
+    first = tune.tune_linear(df, COLS, "y", "fold", grid, kind="ols", recipe=recipe)
+    alone = tune.tune_linear(df, COLS, "y", "fold", grid, kind="step", recipe=recipe).fold_metrics.collect()
+    monkeypatch.setattr(foldrecipe, "fold_statistics", None)          # the rows are not read again
+    shared = tune.tune_linear(df, COLS, "y", "fold", grid, kind="step", recipe=recipe, statistics=first.statistics)
+    assert shared.fold_metrics.collect() == alone
+    with pytest.raises(ValueError):
+        tune.tune_linear(df, COLS[:3], "y", "fold", grid, recipe=recipe, statistics=first.statistics)
+
+
+def test_variety_makes_no_row_per_value_and_fold(spark, monkeypatch):
+    rows = [(float(i % 3) if i % 7 else None, None, 2.0, i % 2) for i in range(60)] + [(9.0, None, 2.0, 1)]
+    df = spark.createDataFrame(rows, "a double, empty double, one double, fold int")
+    melted = foldrecipe.melt(df, ["a", "empty", "one"], "double", keep=["fold"])
+    monkeypatch.setattr(foldrecipe, "melt", lambda *_, **__: melted)
+    monkeypatch.setattr(F, "explode", None)                           # the only rows are one a value
+    got = foldrecipe.value_variety(df, ["a", "empty", "one"], "fold", [0, 1])
+    for fold in (None, 0, 1):
+        a = [r[0] for r in rows if r[3] != fold and r[0] is not None]
+        counts = sorted((a.count(v) for v in set(a)), reverse=True)
+        n = sum(r[3] != fold for r in rows)
+        assert got[fold]["a"] == (counts[0] / counts[1], 100.0 * len(counts) / n, len(counts))
+        assert got[fold]["empty"] == (0.0, 0.0, 0) and got[fold]["one"] == (0.0, 100.0 / n, 1)

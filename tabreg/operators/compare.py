@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tabreg.operators import evaluate as EV
 from tabreg.operators import models, tune
-from tabreg.operators.foldrecipe import WHOLE, FoldRecipe
+from tabreg.operators.foldrecipe import WHOLE, FoldRecipe, FoldStatistics
 
 
 @dataclass
@@ -24,6 +24,7 @@ class Candidate:
     fold_rmse: dict                              # fold -> RMSE of the chosen setting
     best: dict
     predict: Callable[[DataFrame], DataFrame]    # adds ``pred``
+    statistics: FoldStatistics | None = None     # of the recipe, for other models with the same one
 
 
 def _best_folds(res: tune.TuneResult) -> dict:
@@ -32,10 +33,12 @@ def _best_folds(res: tune.TuneResult) -> dict:
 
 
 def linear(name: str, train: DataFrame, features: Sequence[str], label: str, fold_col: str, grid: Sequence[Mapping],
-           kind: str, recipe: FoldRecipe) -> Candidate:
+           kind: str, recipe: FoldRecipe, statistics: FoldStatistics | None = None) -> Candidate:
     """Least squares (``ols``), stepwise (``step``), ridge, or lasso and elastic net (``enet``), the
-    recipe refitted in every fold and once on all rows."""
-    res = tune.tune_linear(train, features, label, fold_col, grid, kind=kind, model_name=name, recipe=recipe)
+    recipe refitted in every fold and once on all rows; ``statistics`` of another candidate with the same
+    table and recipe save their passes."""
+    res = tune.tune_linear(train, features, label, fold_col, grid, kind=kind, model_name=name, recipe=recipe,
+                           statistics=statistics)
     spec = models.LinearSpec(kind, lam=float(res.best.get("lam", 0.0)), alpha=float(res.best.get("alpha", 1.0)))
     whole = res.recipes[WHOLE]
     fit = spec.fit(res.statistics.train(WHOLE), whole.terms, label)
@@ -43,7 +46,7 @@ def linear(name: str, train: DataFrame, features: Sequence[str], label: str, fol
     def predict(df: DataFrame) -> DataFrame:
         return models.predict_linear(df.withColumns(whole.expressions) if whole.expressions else df, fit)
 
-    return Candidate(name, _best_folds(res), res.best, predict)
+    return Candidate(name, _best_folds(res), res.best, predict, res.statistics)
 
 
 def trees(name: str, train: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],

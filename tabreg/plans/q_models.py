@@ -620,12 +620,14 @@ def model_compare(spark, sf_dir):
     at = (train, cols, LABEL, "fold")
     few = (train, FEATURES_TREE, LABEL, "fold")
     forest_of = lambda mtry, node: (lambda s: models.forest(FEATURES_TREE, LABEL, mtry=mtry, min_node=node, max_depth=6))
+    lm = compare.linear("lm", *at, [{"lam": 0.0}], "ols", _OLS_RECIPE)
+    ridge = compare.linear("ridge", *at, [{"lam": x} for x in LAMBDAS["ridge"]], "ridge", _PEN_RECIPE)
     found = [
-        compare.linear("lm", *at, [{"lam": 0.0}], "ols", _OLS_RECIPE),
-        compare.linear("step", *at, [{"lam": 0.0}], "step", _OLS_RECIPE),
-        compare.linear("ridge", *at, [{"lam": x} for x in LAMBDAS["ridge"]], "ridge", _PEN_RECIPE),
-        compare.linear("lasso", *at, [{"lam": x, "alpha": 1.0} for x in LAMBDAS["lasso"]], "enet", _PEN_RECIPE),
-        compare.linear("elnet", *at, _enet_grid(), "enet", _PEN_RECIPE),
+        lm,
+        compare.linear("step", *at, [{"lam": 0.0}], "step", _OLS_RECIPE, lm.statistics),
+        ridge,
+        compare.linear("lasso", *at, [{"lam": x, "alpha": 1.0} for x in LAMBDAS["lasso"]], "enet", _PEN_RECIPE, ridge.statistics),
+        compare.linear("elnet", *at, _enet_grid(), "enet", _PEN_RECIPE, ridge.statistics),
         compare.trees("bag", *few, forest_of("all", 5), [{}], [5, 10], parallelism=8),
         compare.trees("forest", *few, forest_of(4, 4), [{}], [5, 10], parallelism=8),
         compare.trees("gbm", *few, lambda s: models.boosted(FEATURES_TREE, LABEL, depth=3, shrinkage=0.3, min_node=3), [{}],

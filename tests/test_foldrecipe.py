@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
-from tabreg.operators import foldrecipe, matrix, tune
+from tabreg.operators import compare, foldrecipe, matrix, tune
 from tabreg.operators.foldrecipe import FoldRecipe
 
 COLS = ["x", "twin", "combo", "z", "skew", "rare", "once", "const"]
@@ -139,3 +139,14 @@ def test_variety_makes_no_row_per_value_and_fold(spark, monkeypatch):
         n = sum(r[3] != fold for r in rows)
         assert got[fold]["a"] == (counts[0] / counts[1], 100.0 * len(counts) / n, len(counts))
         assert got[fold]["empty"] == (0.0, 0.0, 0) and got[fold]["one"] == (0.0, 100.0 / n, 1)
+
+
+def test_candidates_of_one_recipe_share_its_statistics(planted, monkeypatch):
+    df, _ = planted
+    recipe, grid = FoldRecipe(("zv", "center", "scale")), [{"lam": 0.01, "alpha": 1.0}]
+    at = (df, COLS, "y", "fold")
+    ridge = compare.linear("ridge", *at, [{"lam": 0.1}], "ridge", recipe)
+    alone = compare.linear("lasso", *at, grid, "enet", recipe)
+    monkeypatch.setattr(foldrecipe, "fold_statistics", None)          # the rows are not read again
+    shared = compare.linear("lasso", *at, grid, "enet", recipe, ridge.statistics)
+    assert shared.fold_rmse == pytest.approx(alone.fold_rmse)

@@ -654,13 +654,13 @@ def chained_impute(spark, sf_dir):
     t = t.withColumn("prio", F.concat(F.lit("P"), F.col("prio_rank").cast("int").cast("string"))) \
          .withColumn("status", F.when(F.col(KEY) % 19 != 1, F.when(F.col("status_f") == 1, "F")
                                       .when(F.col("status_o") == 1, "O").otherwise("P")))
-    t = t.withColumns({c: F.when(~F.expr(w), F.col(c)) for c, w in _GAPS.items()})
+    t = cut_lineage(t.withColumns({c: F.when(~F.expr(w), F.col(c)) for c, w in _GAPS.items()}))    # read twice
     preds = {"*": [*_GAPS, "avg_discount", "n_lines", "status"]}
     done = cut_lineage(impute.chained_impute(t, KEY, list(_GAPS), preds, seed=1970, min_node=5))
     outside = done.agg(*[F.struct(F.count_if(F.col(f"{c}_imputed")).alias("filled"), F.count_if(F.col(c).isNull()).alias("left")).alias(c)
                          for c in _GAPS], F.count(F.lit(1)).alias("n"))
     for c in _GAPS:
-        seen = done.where(~F.col(f"{c}_imputed")).select(c)
+        seen = done.where(~F.col(f"{c}_imputed")).select(c).distinct()      # a frequent value is one row
         strange = done.where(F.col(f"{c}_imputed")).join(seen, c, "left_anti").agg(F.count(F.lit(1)).alias("n"))
         outside = outside.withColumns({f"n_imputed_{c}": F.col(f"{c}.filled"), f"n_left_{c}": F.col(f"{c}.left"),
                                        f"n_outside_{c}": strange.select("n").scalar()})

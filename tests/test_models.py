@@ -328,3 +328,20 @@ def test_a_missing_predictor_is_an_error_not_a_dropped_row(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "x double, y double")
     with pytest.raises(Exception, match="null|NULL"):
         models.assemble(df, ["x"]).collect()
+
+
+def test_chained_impute_query_imputes_a_written_table(spark, tmp_path, monkeypatch):
+    """The query's table is read twice by the imputer; joins and sums behind it run once."""
+    from tabreg.plans import q_models
+
+    orders = [(i, "FOP"[i % 3], f"{i % 5 + 1}-X") for i in range(60)]
+    lines = [(i, 1000.0 + 7 * i + j, 0.01 * (i % 9), 0.01 * (i % 7), float(i % 11 + j)) for i in range(60) for j in range(2)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_extendedprice double, l_discount double, l_tax double, l_quantity double"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, real = [], impute.chained_impute
+    monkeypatch.setattr(impute, "chained_impute", lambda df, *a, **k: seen.extend(df.inputFiles()) or real(df, *a, **k))
+    got = q_models.chained_impute(spark, str(tmp_path)).first()
+    assert seen and not any("lineitem" in f or "orders" in f for f in seen)
+    assert got["n"] == 60 and got["n_imputed_avg_tax"] == sum(i % 7 == 0 for i in range(60))
+    assert all(got[f"n_outside_{c}"] == 0 and got[f"n_left_{c}"] == 0 for c in ("avg_tax", "sum_qty", "log_ext", "prio"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
-from tabreg.operators import foldrecipe
+from tabreg.operators import boosthist, foldrecipe
 from tabreg.operators import evaluate as EV
 from tabreg.operators.matrix import gram
 from tabreg.operators.models import LinearSpec, assemble, linear_expr
@@ -235,21 +235,33 @@ def boosting_paths(df: DataFrame, features: Sequence[str], label: str, fold_col:
                    parallelism: int = 4) -> TuneResult:
     """ML9 with X3 and X5: one path of ``max(n_trees)`` iterations per (setting, fold), shared by all
     tree counts: the held-out loss after every iteration is that of a shorter fit. With 16 counts, 27
-    settings and 10 folds that is 270 fits for 4,320 evaluations. ``make(setting)`` returns the
-    estimator; its iterations are set here. Only losses are kept."""
+    settings and 10 folds that is 270 paths for 4,320 evaluations. ``make(setting)`` returns the
+    estimator; its iterations are set here. Paths of plain squared-loss boosting grow side by side
+    (``boosthist``), other estimators are fitted one by one. Only losses are kept."""
     data = _assembled(df, features, label, [fold_col])
-    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    sizes = dict(sorted((r[0], r[1]) for r in data.groupBy(fold_col).agg(F.count(F.lit(1))).collect()))   # k values
     counts = sorted({int(m) for m in n_trees})
     full = [{**g, "n_trees": m} for g in grid for m in counts]
+    estimators = [make(g).setMaxIter(counts[-1]) for g in grid]
 
     def run(job):
         gi, f = job
-        model = make(grid[gi]).setMaxIter(counts[-1]).fit(data.where(F.col(fold_col) != f))
+        model = estimators[gi].fit(data.where(F.col(fold_col) != f))
         return model.evaluateEachIteration(data.where(F.col(fold_col) == f), "squared")
 
-    jobs = [(gi, f) for gi in range(len(grid)) for f in folds]
+    groups, losses = {}, {}
+    for gi, e in enumerate(estimators):
+        groups.setdefault((e.getSeed(), e.getSubsamplingRate(), e.getMaxBins()) if boosthist.supports(e) and len(sizes) > 1 else None,
+                          []).append(gi)
+    for shared, members in groups.items():
+        if shared is None:
+            jobs = [(gi, f) for gi in members for f in sizes]
+            losses |= dict(zip(jobs, _run_fits(run, jobs, parallelism)))
+        else:
+            found = boosthist.paths(data, fold_col, label, sizes, [estimators[gi] for gi in members], counts[-1])
+            losses |= {(members[i], f): path for (i, f), path in found.items()}
     scores = {(gi * len(counts) + j, f): (math.sqrt(max(loss[m - 1], 0.0)), None, None)
-              for (gi, f), loss in zip(jobs, _run_fits(run, jobs, parallelism)) for j, m in enumerate(counts)}
+              for (gi, f), loss in losses.items() for j, m in enumerate(counts)}
     fm, gm, best = _grid_tables(df.sparkSession, model_name, full, scores)
     return TuneResult(gm, fm, {"grid_id": best, **full[best]})
 

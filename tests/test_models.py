@@ -301,6 +301,31 @@ def test_boosting_paths_share_one_fit(steps):
     assert path.count() == 9 and path.columns == ["model", "fold", "n_trees", "rmse"]
 
 
+def test_boosting_paths_serve_all_settings_and_folds_by_the_same_jobs(steps, monkeypatch):
+    """No fit per setting and fold; drawn rows, repeated candidates and small nodes give MLlib's losses."""
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = steps.withColumn("c", F.when(F.col("key") % 3 == 0, 0.05).when(F.col("key") % 3 == 1, 0.05 + 2.0 ** -56).otherwise(F.col("c")))
+    make = lambda s: models.boosted(ABC, "y", depth=int(s["depth"]), shrinkage=0.3, min_node=1, subsample=0.5)
+    vec = models.assemble(rows, ABC)
+    own = {(d, f): make({"depth": d}).setMaxIter(4).fit(vec.where(F.col("fold") != f))
+           .evaluateEachIteration(vec.where(F.col("fold") == f), "squared") for d in (1, 3) for f in (1, 2, 3)}
+    fits, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    monkeypatch.setattr(tune, "cut_lineage", lambda df: df)               # the draws depend on how the rows lie
+    res = tune.boosting_paths(rows, ABC, "y", "fold", make, [{"depth": 1}, {"depth": 3}], [1, 2, 3, 4])
+    got = {(int(r["depth"]), r["fold"], int(r["n_trees"])): r["rmse"] for r in res.fold_metrics.collect()}
+    assert not fits and len(got) == 2 * 3 * 4
+    for (d, f), losses in own.items():
+        assert [got[(d, f, m + 1)] ** 2 for m in range(4)] == pytest.approx(losses, rel=1e-9)
+
+
+def test_a_boosted_label_that_is_not_finite_is_an_error(steps):
+    bad = steps.withColumn("y", F.when(F.col("key") == 7, float("nan")).otherwise(F.col("y")))
+    with pytest.raises(Exception, match="NaN"):
+        tune.boosting_paths(bad, ABC, "y", "fold", lambda s: models.boosted(ABC, "y", depth=1), [{}], [1])
+
+
 def test_mllib_tuning_keeps_metrics_and_retries_a_failed_fit(steps):
     failed = []
 

@@ -6,9 +6,9 @@
   predictions of the chosen setting take one more scan (a ``CASE fold`` projection).
   With a ``recipe`` the preprocessing is refitted on every fold's training rows, from the
   same kind of statistics by fold (``foldrecipe``).
-* MLlib estimators (forests, boosting): one fit per (grid point, fold) on the rows of the
-  other folds, submitted from a small driver thread pool so several Spark jobs overlap. Tree
-  counts share a fit: a smaller forest is a prefix of a larger one (``tune_forest``), and the
+* MLlib estimators: one fit per (grid point, fold) on the rows of the other folds, submitted from a
+  small driver thread pool so several Spark jobs overlap; plain forests and boosting grow all grid
+  points and folds side by side instead (``foresthist``, ``boosthist``). Tree counts share a fit: a smaller forest is a prefix of a larger one (``tune_forest``), and the
   held-out loss after every boosting iteration is that of a shorter path (``boosting_paths``, X5).
 
 Returned tables: ``grid_metrics`` (one row per setting), ``fold_metrics`` (setting x fold),
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
-from tabreg.operators import boosthist, foldrecipe
+from tabreg.operators import boosthist, foldrecipe, foresthist
 from tabreg.operators import evaluate as EV
 from tabreg.operators.matrix import gram
 from tabreg.operators.models import LinearSpec, assemble, linear_expr
@@ -212,20 +212,31 @@ def nested_forest_metrics(model, held_out: DataFrame, label: str, counts: Sequen
 def tune_forest(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],
                 grid: Sequence[Mapping], n_trees: Sequence[int], model_name: str = "forest", parallelism: int = 4) -> TuneResult:
     """ML7/ML8 with X3: one forest of ``max(n_trees)`` per (setting, fold) gives the metrics of all
-    tree counts. ``make(setting)`` returns the estimator; its tree count is set here."""
+    tree counts. ``make(setting)`` returns the estimator; its tree count is set here. Plain forests grow
+    side by side (``foresthist``), other estimators are fitted one by one. Only metrics are kept."""
     data = _assembled(df, features, label, [fold_col])
-    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    sizes = dict(sorted((r[0], r[1]) for r in data.groupBy(fold_col).agg(F.count(F.lit(1))).collect()))   # k values
     counts = sorted({int(m) for m in n_trees})
     full = [{**g, "n_trees": m} for g in grid for m in counts]
+    estimators = [make(g).setNumTrees(counts[-1]) for g in grid]
 
     def run(job):
         gi, f = job
-        model = make(grid[gi]).setNumTrees(counts[-1]).fit(data.where(F.col(fold_col) != f))
+        model = estimators[gi].fit(data.where(F.col(fold_col) != f))
         return nested_forest_metrics(model, data.where(F.col(fold_col) == f), label, counts)
 
-    jobs = [(gi, f) for gi in range(len(grid)) for f in folds]
-    scores = {(gi * len(counts) + j, f): found[m] for (gi, f), found in zip(jobs, _run_fits(run, jobs, parallelism))
-              for j, m in enumerate(counts)}
+    groups, found = {}, {}
+    for gi, e in enumerate(estimators):
+        shared = foresthist.supports(e, len(features)) and counts[0] > 0 and len(sizes) > 1
+        groups.setdefault((e.getSeed(), e.getSubsamplingRate(), e.getMaxBins()) if shared else None, []).append(gi)
+    for shared, members in groups.items():
+        if shared is None:
+            jobs = [(gi, f) for gi in members for f in sizes]
+            found |= dict(zip(jobs, _run_fits(run, jobs, parallelism)))
+        else:
+            own = foresthist.scores(data, fold_col, label, sizes, [estimators[gi] for gi in members], counts)
+            found |= {(members[i], f): m for (i, f), m in own.items()}
+    scores = {(gi * len(counts) + j, f): got[m] for (gi, f), got in found.items() for j, m in enumerate(counts)}
     fm, gm, best = _grid_tables(df.sparkSession, model_name, full, scores)
     return TuneResult(gm, fm, {"grid_id": best, **full[best]})
 

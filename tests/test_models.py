@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
-from tabreg.operators import impute, matrix, models, tune
+from tabreg.operators import foresthist, impute, matrix, models, tune
 
 
 @pytest.fixture(scope="module")
@@ -288,6 +288,45 @@ def test_bagged_and_forest_tuning_find_the_planted_splits(steps):
     assert nested[12][0] == pytest.approx(whole, rel=1e-9)
 
 
+def test_forests_of_all_settings_and_folds_grow_by_the_same_jobs(steps, monkeypatch, tmp_path):
+    """No fit per setting and fold; bags, feature draws, repeated candidates and small nodes give MLlib's trees."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    cols = [*ABC, "d"]
+    odd = steps.withColumn("c", F.when(F.col("key") % 3 == 0, 0.05).when(F.col("key") % 3 == 1, 0.05 + 2.0 ** -56).otherwise(F.col("c")))
+    odd.where("key < 700").withColumn("d", (F.col("key") % 5).cast("double")).write.parquet(str(tmp_path / "rows"))
+    rows = steps.sparkSession.read.parquet(str(tmp_path / "rows"))
+    grid = [{"mtry": 4, "min_node": 1}, {"mtry": 4, "min_node": 30}, {"mtry": 2, "min_node": 3}]
+    make = lambda s: models.forest(cols, "y", mtry=int(s["mtry"]), min_node=int(s["min_node"]), max_depth=4)
+    vec = models.assemble(rows, cols)
+    own = {(i, f): tune.nested_forest_metrics(make(g).setNumTrees(9).fit(vec.where(F.col("fold") != f)), vec.where(F.col("fold") == f), "y", [1, 9])
+           for i, g in enumerate(grid) for f in (1, 2, 3)}
+    fits, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    monkeypatch.setattr(tune, "cut_lineage", lambda df: df)               # the bags depend on how the rows lie
+    monkeypatch.setattr(foresthist, "BLOCK", 64)
+    monkeypatch.setattr(foresthist, "JOB_BYTES", 100_000)                 # several jobs a level
+    arrow, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", steps.sparkSession.conf
+    before = conf.get(arrow)
+    conf.set(arrow, "40")                                                 # several blocks a partition
+    try:
+        res = tune.tune_forest(rows, cols, "y", "fold", make, grid, [1, 9])
+    finally:
+        conf.set(arrow, before)
+    got = {(r["grid_id"], r["fold"]): (r["rmse"], r["rsquared"], r["mae"]) for r in res.fold_metrics.collect()}
+    assert not fits and len(got) == 3 * 2 * 3
+    for (i, f), metrics in own.items():
+        assert got[(2 * i, f)] == pytest.approx(metrics[1], rel=1e-9) and got[(2 * i + 1, f)] == pytest.approx(metrics[9], rel=1e-9)
+
+
+@pytest.mark.parametrize("seed,mean", [(2, 1.0), (2 ** 40 + 5, 0.5)])
+def test_bootstrap_counts_are_those_of_mllibs_generator(spark, seed, mean):
+    own = spark._jvm.org.apache.commons.math3.distribution.PoissonDistribution(mean)
+    own.reseedRandomGenerator(seed)
+    draws = foresthist.PoissonCounts(seed, mean)
+    assert [*draws.take(3), *draws.take(900), *draws.take(97)] == list(own.sample(1000))
+
+
 def test_boosting_paths_share_one_fit(steps):
     make = lambda s: models.boosted(ABC, "y", depth=int(s["depth"]), shrinkage=0.5, min_node=5, subsample=1.0)
     res = tune.boosting_paths(steps, ABC, "y", "fold", make, [{"depth": 1}, {"depth": 2}], [1, 5, 12])

@@ -59,7 +59,8 @@ def model_table(spark, sf_dir):
 
 def _train_with_folds(spark, sf_dir, k=10):
     t = model_table(spark, sf_dir).where(F.col("set") == "train")
-    folds = split.stratified_folds(t, KEY, LABEL, k=k, seed=12345).select(KEY, "fold")
+    keys = cut_lineage(t.select(KEY, LABEL))           # the folds read it several times
+    folds = split.stratified_folds(keys, KEY, LABEL, k=k, seed=12345).select(KEY, "fold")
     return t.join(folds, KEY)
 
 

@@ -19,8 +19,8 @@ stored order: the trees are the same.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator, Mapping, Sequence
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ from tabreg.operators.boosthist import _binned, _candidates, _variance
 BLOCK = 1 << 16            # rows of a block
 JOB_BYTES = 128 << 20      # histograms of one task
 REDUCE_BYTES = 8 << 20     # histograms a reducer adds up, where cores are left
+MASKED = 4                 # tree levels whose nodes are compared one by one
+EPSILON = float(np.finfo(float).eps)
 
 
 def supports(est, n_features: int) -> bool:
@@ -54,29 +56,35 @@ def supports(est, n_features: int) -> bool:
 
 class PoissonCounts:
     """The Poisson draws of MLlib's bags: Well19937c words, two to a uniform, uniforms multiplied up to exp(-mean).
-    A word needs the one before it and words 70 to 623 steps back, so all but one term is worked out 70 words at a time."""
+    A word needs the one before it and words 70 to 623 steps back, so all but one term is worked out 70 words at a time,
+    side by side in one large integer."""
 
     def __init__(self, seed: int, mean: float):
         v = [seed >> 32 & 0xFFFFFFFF, seed & 0xFFFFFFFF]
         for i in range(2, 624):
             signed = v[i - 2] - (v[i - 2] >> 31 << 32)
             v.append((1812433253 * (signed ^ (signed >> 30)) + i) & 0xFFFFFFFF)
-        self.past, self.last, self.stop = np.array(v[:0:-1], np.uint32), v[0], math.exp(-mean)
+        self.past, self.last, self.stop = np.array(v[:0:-1], "<u4").tobytes(), v[0], math.exp(-mean)
+        every = sum(1 << 32 * i for i in range(70))
+        self.masks = [every * m for m in (0x1F, 0x7FFFFF, 0x7FFFFFFF, 0x80000000, 0xFFFFFE00, 0xFFE00000, 0x7FF, 0xFE000000)]
         self.uniforms, self.counts = np.zeros(0), np.zeros(0, np.uint8)
 
     def _words(self, chunks: int) -> np.ndarray:
-        x, out = np.concatenate([self.past, np.empty(70 * chunks, np.uint32)]), np.empty(70 * chunks, np.uint32)
-        for i in range(len(self.past), len(x), 70):
-            a, b = x[i - 70:i], x[i - 449:i - 379]
-            a, b = a ^ (a >> 27), (x[i - 179:i - 109] >> 9) ^ b ^ (b >> 1)
+        low_5, low_23, low_31, top, from_9, from_21, low_11, from_25 = self.masks
+        x, out, last = bytearray(self.past), array("I"), self.last
+        for i in range(len(x), len(x) + 280 * chunks, 280):
+            a, b, c, d, e = [int.from_bytes(x[i - 4 * back:i - 4 * back + 280], "little") for back in (70, 449, 179, 623, 622)]
+            a ^= a >> 27 & low_5
+            b ^= (c >> 9 & low_23) ^ (b >> 1 & low_31)
             both = a ^ b
-            known = (x[i - 623:i - 553] & 0x80000000) ^ (x[i - 622:i - 552] & 0x7FFFFFFF) ^ (a << 9) ^ (b << 21) ^ (both >> 21)
-            z = np.fromiter(accumulate(known.tolist(), lambda z, k: ((z & 0x7FFFFF) << 9) ^ (z >> 21) ^ ((z & 127) << 4) ^ k,
-                                       initial=self.last), np.uint32, 71)
-            x[i:i + 70] = z[:-1] ^ (z[:-1] << 25) ^ both
-            out[i - len(self.past):i - len(self.past) + 70] = z[1:]
-            self.last = int(z[-1])
-        self.past = x[-len(self.past):].copy()
+            known = (d & top) ^ (e & low_31) ^ (a << 9 & from_9) ^ (b << 21 & from_21) ^ (both >> 21 & low_11)
+            z = array("I", [last])
+            z.extend([last := (last & 0x7FFFFF) << 9 ^ last >> 21 ^ (last & 127) << 4 ^ k
+                      for k in memoryview(known.to_bytes(280, "little")).cast("I").tolist()])
+            out += z[1:]
+            before = int.from_bytes(z[:-1].tobytes(), "little")
+            x += (before ^ (before << 25 & from_25) ^ both).to_bytes(280, "little")
+        self.past, self.last, out = bytes(x[-len(self.past):]), last, np.array(out, np.uint32)
         out ^= (out << 7) & 0xE46E1700
         out ^= (out << 15) & 0x9B868000
         return out
@@ -110,13 +118,23 @@ class _Subsets:
     """The features tried at the i-th node that MLlib takes up: a reservoir sample seeded by the fit's i-th long."""
 
     def __init__(self, spark, seed: int, n_features: int):
-        self.jvm, self.n, self.drawn, self.found = spark._jvm, n_features, [], {}
-        self.longs = self.jvm.java.util.Random(seed)
+        self.hashed = getattr(getattr(spark._jvm.org.apache.spark.util.random, "XORShiftRandom$"), "MODULE$").hashSeed
+        self.n, self.drawn, self.found = n_features, [], {}
+        self.longs = spark._jvm.java.util.Random(seed)
+
+    def _uniforms(self, state: int) -> list[float]:
+        """The doubles of MLlib's XORShiftRandom, worked out here: a call of the JVM takes longer than all of them."""
+        state, words = state & 0xFFFFFFFFFFFFFFFF, []
+        for _ in range(2 * (self.n - 1)):
+            state ^= state << 21 & 0xFFFFFFFFFFFFFFFF
+            state ^= state >> 35
+            state ^= state << 4 & 0xFFFFFFFFFFFFFFFF
+            words.append(state)
+        return [(((a & 0x3FFFFFF) << 27) + (b & 0x7FFFFFF)) * 2.0 ** -53 for a, b in zip(words[::2], words[1::2])]
 
     def get(self, k: int, i: int) -> list[int]:
         while len(self.drawn) <= i:
-            r = self.jvm.org.apache.spark.util.random.XORShiftRandom(self.longs.nextLong())
-            self.drawn.append([r.nextDouble() for _ in range(self.n - 1)])
+            self.drawn.append(self._uniforms(self.hashed(self.longs.nextLong())))
         if (k, i) not in self.found:
             kept = list(range(k))
             for item, u in zip(range(k, self.n), self.drawn[i]):
@@ -205,7 +223,7 @@ class _Tree:
         for side, (value, impurity) in enumerate(sides):
             child = 2 * node + 1 + side
             self.value[child], self.impurity[child] = value, impurity
-            if child + 1 < 2 ** depth and abs(impurity) >= np.finfo(float).eps:
+            if child + 1 < 2 ** depth and abs(impurity) >= EPSILON:
                 self.paths[child] = (*path, feature, split, side)
                 following.append(child)
         return following
@@ -224,11 +242,32 @@ def _place(shape: tuple, bins: np.ndarray, depth: int) -> np.ndarray:
     return node
 
 
+def _codes(shape: tuple, bins: np.ndarray, level: int, nodes: Sequence[int]) -> np.ndarray:
+    """The place within ``level`` of every row whose node there is one of ``nodes``; the other rows are at other places."""
+    feature, split, _ = shape
+    ways, n = np.asarray(nodes) + 1, bins.shape[1]
+    code = np.zeros(n, np.uint8)
+    for d in range(min(level, MASKED)):
+        right = np.zeros(n, bool)
+        for node in np.unique(ways >> (level - d)) - 1:
+            right |= (code == node + 1 - 2 ** d) & (bins[feature[node]] > split[node])
+        code = code + code + right
+    code, flat, at = code.astype(np.int64), bins.reshape(-1), np.arange(n)
+    for d in range(MASKED, level):
+        here = slice(2 ** d - 1, 2 ** (d + 1) - 1)
+        row = (feature[here] * n).take(code)
+        row += at
+        right = flat.take(row) > split[here].take(code)
+        code += code
+        code += right
+    return code
+
+
 def _histograms(jobs: Mapping, folds: Sequence[int], level: int, n_bins: int):
     """``jobs``: fold position -> tree -> [(shape, nodes)]. Sums ``((fold position, tree, shape number), [count, sum, squares]
     per feature, node and bin)``."""
     def run(blocks):
-        found = {}
+        found, room, room_2 = {}, np.empty(0, complex), np.empty(0)
         for fold, y, bins, counts, begin in blocks:
             for i, trees in jobs.items():
                 training = np.flatnonzero(fold != folds[i])
@@ -240,26 +279,37 @@ def _histograms(jobs: Mapping, folds: Sequence[int], level: int, n_bins: int):
                     drawn = np.flatnonzero(count)
                     some, w, y_d = bins_f.take(drawn, axis=1), count[drawn].astype(float), y_f[drawn]
                     wy = w * y_d
-                    wyy = wy * y_d
+                    first, squares = np.empty(len(drawn), complex), wy * y_d       # count and sum are added up in one go
+                    first.real, first.imag = w, wy
                     for c, (shape, nodes) in enumerate(shapes):
                         if not len(nodes):
                             continue
-                        slots = np.full(len(shape[0]), len(nodes), np.int64)
-                        slots[nodes] = np.arange(len(nodes))
-                        slot = slots.take(_place(shape, some, level))
-                        inside = np.flatnonzero(slot < len(nodes))
-                        x, sums = some, (w, wy, wyy)
-                        if len(inside) < len(slot):
-                            x, sums, slot = some.take(inside, axis=1), [s[inside] for s in sums], slot[inside]
-                        slot, size = slot * n_bins, len(nodes) * n_bins
-                        h = np.empty((3, len(x), len(nodes), n_bins))
+                        slots = np.full(2 ** level, len(nodes) * n_bins, np.int64)
+                        slots[np.asarray(nodes) + 1 - 2 ** level] = np.arange(len(nodes)) * n_bins
+                        slot = slots.take(_codes(shape, some, level, nodes))
+                        x, one, two = some, first, squares
+                        inside = np.flatnonzero(slot < len(nodes) * n_bins)
+                        if len(inside) < 0.75 * len(slot):          # else the other rows go to a node of their own
+                            x, one, two, slot = x.take(inside, axis=1), one[inside], two[inside], slot[inside]
+                        size = (len(x), (len(nodes) + 1) * n_bins)
+                        if len(room) < size[0] * size[1]:
+                            room, room_2 = np.empty(size[0] * size[1], complex), np.empty(size[0] * size[1])
+                        ones, twos = (a[:size[0] * size[1]].reshape(size) for a in (room, room_2))
+                        ones.fill(0.0)
+                        twos.fill(0.0)
                         for j in range(len(x)):
                             at = slot + x[j]
-                            for k in range(3):
-                                h[k, j] = np.bincount(at, weights=sums[k], minlength=size).reshape(-1, n_bins)
+                            np.add.at(ones[j], at, one)
+                            np.add.at(twos[j], at, two)
                         key = (i, t, c)
-                        found[key] = found[key] + h if key in found else h
-        return iter(found.items())
+                        if key in found:
+                            for total, part in zip(found[key], (ones, twos)):
+                                total += part
+                        else:
+                            found[key] = ones.copy(), twos.copy()
+        for key in list(found):
+            ones, twos = (a.reshape(len(a), -1, n_bins)[:, :-1] for a in found.pop(key))
+            yield key, np.stack([ones.real, ones.imag, twos])
 
     return run
 
@@ -377,6 +427,7 @@ def scores(data: DataFrame, fold_col: str, label: str, sizes: Mapping, estimator
     n_features = len(cuts[folds[0]])
     n_bins = 1 + max(1, *(len(c) for fold_cuts in cuts.values() for c in fold_cuts))
     depths = [e.getMaxDepth() for e in estimators]
+    limits = [(e.getMinInstancesPerNode(), e.getMinInfoGain()) for e in estimators]
     tried = [n_features if e.getFeatureSubsetStrategy() == "all" else min(int(e.getFeatureSubsetStrategy()), n_features) for e in estimators]
     subsets = _Subsets(spark, seed, n_features)
     blocks = _rows(data, fold_col, label, cuts, n_trees, est.getSubsamplingRate(), seed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -390,14 +441,13 @@ def scores(data: DataFrame, fold_col: str, label: str, sizes: Mapping, estimator
         """Histograms of a level, each set of rows once: (fold position, tree) -> shapes with their nodes, and who asks."""
         jobs, wanted, shape_no, node_no = {}, {}, {}, {}
         for g, i in every:
-            e = estimators[g]
             for t, node in opened[(g, i)]:
                 features = None
                 if tried[g] < n_features:
                     features = subsets.get(tried[g], drawn[(g, i)])
                     drawn[(g, i)] += 1
                 tree = trees[(g, i, t)]
-                ask = (g, node, tree.impurity[node], features, e.getMinInstancesPerNode(), e.getMinInfoGain())
+                ask = (g, node, tree.impurity[node], features, *limits[g])
                 at = (i, t, tree.paths[node])
                 if at not in node_no:
                     shapes = jobs.setdefault((i, t), [])

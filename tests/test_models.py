@@ -327,6 +327,50 @@ def test_bootstrap_counts_are_those_of_mllibs_generator(spark, seed, mean):
     assert [*draws.take(3), *draws.take(900), *draws.take(97)] == list(own.sample(1000))
 
 
+def test_feature_draws_are_mllibs_with_two_calls_of_the_jvm_each(spark, monkeypatch):
+    longs, random = spark._jvm.java.util.Random(5), spark._jvm.org.apache.spark.util.random.XORShiftRandom
+    own = []
+    for _ in range(40):
+        r, kept = random(longs.nextLong()), [0, 1, 2]
+        for item in range(3, 8):
+            place = int(r.nextDouble() * (item + 1))
+            if place < 3:
+                kept[place] = item
+        own.append(kept)
+    subsets, calls, client = foresthist._Subsets(spark, 5, 8), [], spark.sparkContext._gateway._gateway_client
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda command, *a, **k: calls.append(command) or send(command, *a, **k))
+    assert [subsets.get(3, i) for i in range(40)] == own
+    assert len([c for c in calls if not c.startswith("m\n")]) <= 2 * 40          # m: the JVM frees an object
+
+
+@pytest.mark.parametrize("level", [0, 2, 6])
+def test_histograms_are_those_of_the_rows_that_reach_a_node(level):
+    rng = np.random.default_rng(level)
+    n, n_bins, first = 3000, 8, 2 ** level - 1
+    fold, y = rng.integers(1, 4, n).astype(np.int32), rng.normal(size=n)
+    bins, counts = rng.integers(0, n_bins, (1, 3, n)).astype(np.uint8), rng.poisson(1.0, (1, n)).astype(np.uint8)
+    tree = foresthist._Tree(level + 1)
+    for node in range(first):
+        if node % 5 or not node:                                          # the others are leaves
+            tree.feature[node], tree.split[node], tree.inner[node] = rng.integers(0, 3), rng.integers(2, 5), True
+    reached = foresthist._place(tree.shape(), bins[0], level)
+    some = [node for node in range(first, 2 * first + 1) if np.any(reached == node)][::-2]
+    full = [node for node in range(first, 2 * first + 1) if np.any(reached == node)]
+    halves = [(a[:1500], a[1500:]) for a in (fold, y)]
+    at = int(np.sum(fold[:1500] != 2))
+    blocks = [(halves[0][h], halves[1][h], bins[:, :, 1500 * h:1500 * (h + 1)].copy(), counts, np.array([at * h])) for h in (0, 1)]
+    got = dict(foresthist._histograms({0: {0: [(tree.shape(), some), (tree.shape(), full)]}}, [2], level, n_bins)(iter(blocks)))
+    drawn = np.zeros(n)
+    drawn[fold != 2] = counts[0, :np.sum(fold != 2)]
+    for c, nodes in enumerate((some, full)):
+        assert got[(0, 0, c)].shape == (3, 3, len(nodes), n_bins)
+        for k, v in enumerate((drawn, drawn * y, drawn * y * y)):
+            for j in range(3):
+                plain = [[v[(reached == node) & (bins[0, j] == b)].sum() for b in range(n_bins)] for node in nodes]
+                assert got[(0, 0, c)][k, j] == pytest.approx(np.array(plain), abs=1e-9)
+
+
 def test_boosting_paths_share_one_fit(steps):
     make = lambda s: models.boosted(ABC, "y", depth=int(s["depth"]), shrinkage=0.5, min_node=5, subsample=1.0)
     res = tune.boosting_paths(steps, ABC, "y", "fold", make, [{"depth": 1}, {"depth": 2}], [1, 5, 12])

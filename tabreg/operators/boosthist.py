@@ -5,10 +5,13 @@ Gradient boosting with squared loss as MLlib's ``GBTRegressor`` does it: feature
 tree. One job per tree level serves ALL settings and folds, where a fit per (setting, fold) needs jobs of
 its own for every level of each of its trees.
 
-* Every fold's training rows lie in Spark as blocks of binned rows; a task adds up the histograms of its
-  blocks (numpy), a shuffle adds them up by (setting, fold), the driver sees sums, never rows.
-* A block carries the prediction of every setting so far; it is brought up to date once per tree.
-* The held-out rows are blocks of their own, so every iteration's loss comes with the next tree.
+* The rows lie in Spark as blocks, once for all folds: labels, folds, the bins by every fold's split candidates and
+  the draws. A task adds up the histograms of its blocks (numpy), a shuffle adds them up by (setting, fold), the
+  driver sees sums, never rows.
+* Beside every block lies one of predictions, one for each setting, fold and row. Only these are written anew, once per
+  tree; they hold the held-out rows too, so every iteration's loss comes with the next tree.
+* Both lie on the executors' disks and pass through memory a block at a time: nothing in memory grows with the rows.
+  Settings whose predictions would exceed ``PREDICTED`` bytes together grow one after the other.
 
 The draws are those of MLlib (``rand`` over the training rows in their stored order), and so are the split
 candidates (from a sample of about 10,000 training rows where there are more) and the rounding of the gains:
@@ -24,13 +27,16 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 16            # rows of a block
+BLOCK = 1 << 14            # rows of a block; Spark's stream of a partition holds up to 100 blocks at a time
+PREDICTED = 4 << 30        # bytes of predictions that are held at once
 SAMPLE = 10_000            # rows that give the split candidates, as in MLlib
 REDUCE_BYTES = 8 << 20     # histograms a reducer adds up, where cores are left
 BITS = 32                  # draws kept in one integer
+MASKED = 5                 # tree levels whose nodes are compared one by one
 
 
 def supports(est) -> bool:
@@ -98,49 +104,55 @@ def _met(c: np.ndarray, value: float) -> int:
 
 
 def _blocks(cuts: Mapping, n_bags: int):
-    """Rows (fold, label, features, draws) of a partition to blocks of binned rows: the rows of all other folds,
-    for training, and the held-out ones, of every fold. A fold's training rows take the partition's draws in order."""
-    kinds = pa.schema([("fold", pa.int32()), ("held_out", pa.bool_()), ("y", pa.binary()), ("bins", pa.binary()), ("bags", pa.binary())])
+    """Rows (fold, label, features, draws) of a partition to blocks for all folds. A fold's training rows take the
+    partition's draws in order; a block holds the window of draws its folds are at."""
+    folds = sorted(cuts)
+    kinds = pa.schema([("fold", pa.binary()), ("y", pa.binary()), ("bins", pa.binary()), ("bags", pa.binary()), ("begin", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, rows, drawn, taken = [], 0, np.zeros((n_bags, 0), np.uint32), dict.fromkeys(cuts, 0)
+        kept, rows, window, taken, start = [], 0, np.zeros((n_bags, 0), np.uint32), np.zeros(len(folds), np.int64), 0
 
-        def pack() -> Iterator[pa.RecordBatch]:
-            nonlocal drawn
-            t = pa.Table.from_batches(kept)
-            fold, y = t["fold"].to_numpy(), t["y"].to_numpy()
+        def packed(t: pa.Table) -> pa.RecordBatch:
+            nonlocal window, taken, start
+            fold, y = t["fold"].to_numpy().astype(np.int32), t["y"].to_numpy()
             x = t["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
             if not (np.isfinite(y).all() and np.isfinite(x).all()):
                 raise ValueError("a label or feature is NaN or infinite")
+            until = taken + np.array([np.sum(fold != f) for f in folds])
             if n_bags:
                 new = np.stack([t[f"bag{i}"].to_numpy() for i in range(n_bags)]).astype(np.uint32)
-                drawn = np.concatenate([drawn[:, (done := min(taken.values())):], new], axis=1)
-                taken.update({f: n - done for f, n in taken.items()})
-            for f, c in cuts.items():
-                for held_out in (False, True):
-                    at = (fold == f) == held_out
-                    n, bags = int(at.sum()), b""
-                    if n and n_bags and not held_out:
-                        bags = drawn[:, taken[f]:taken[f] + n].tobytes()
-                        taken[f] += n
-                    if n:
-                        part = [[int(f)], [held_out], [y[at].tobytes()], [_binned(x[at], c, held_out).tobytes()], [bags]]
-                        yield pa.RecordBatch.from_arrays([pa.array(v, k.type) for v, k in zip(part, kinds)], schema=kinds)
+                window, start = np.concatenate([window[:, taken.min() - start:], new], axis=1), int(taken.min())
+            bins = np.empty((len(folds), x.shape[1], len(y)), np.uint8)
+            for i, f in enumerate(folds):
+                held_out = fold == f
+                bins[i] = _binned(x, cuts[f], False)
+                bins[i][:, held_out] = _binned(x[held_out], cuts[f], True)
+            used = np.ascontiguousarray(window[:, :int(until.max()) - start])
+            part = [fold.tobytes(), y.astype(float).tobytes(), bins.tobytes(), used.tobytes(), (taken - start).tobytes()]
+            taken = until
+            return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in part], schema=kinds)
 
         for b in batches:
             kept, rows = [*kept, b], rows + b.num_rows
             if rows >= BLOCK:
-                yield from pack()
-                kept, rows = [], 0
+                t = pa.Table.from_batches(kept)
+                for at in range(0, rows - BLOCK + 1, BLOCK):
+                    yield packed(t.slice(at, BLOCK))
+                kept, rows = t.slice(rows - rows % BLOCK).to_batches(), rows % BLOCK
         if rows:
-            yield from pack()
+            yield packed(pa.Table.from_batches(kept))
 
     return run
 
 
-def _training(data: DataFrame, fold_col: str, label: str, cuts: Mapping, n_settings: int, trees: int, rate: float, seed: int):
-    """All folds' training and held-out blocks as an RDD of ``(fold, held_out, y, bins, bags, predictions)``."""
-    n_bags, draws = -(-trees // BITS) if rate < 1 else 0, []
+def _alone(rdd):
+    """The RDD with every block pickled on its own, so that RDDs of blocks can be zipped as they are."""
+    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1))
+
+
+def _training(data: DataFrame, fold_col: str, label: str, cuts: Mapping, trees: int, rate: float, seed: int):
+    """All rows as an RDD of blocks ``(fold, y, bins[fold, feature, row], bags[32 trees, draw], first draw of each fold)``."""
+    n_bags, draws, n_folds = -(-trees // BITS) if rate < 1 else 0, [], len(cuts)
     for i in range(n_bags):
         drawn = [F.when(F.rand(seed + m + 1) < rate, F.lit(1 << (m % BITS)).cast("long")).otherwise(F.lit(0).cast("long"))
                  for m in range(i * BITS, min(trees, (i + 1) * BITS))]
@@ -150,10 +162,10 @@ def _training(data: DataFrame, fold_col: str, label: str, cuts: Mapping, n_setti
 
     def block(r):
         y = np.frombuffer(r["y"])
-        return (r["fold"], r["held_out"], y, np.frombuffer(r["bins"], np.uint8).reshape(-1, len(y)),
-                np.frombuffer(r["bags"], np.uint32).reshape(-1, len(y)), np.zeros((n_settings, len(y))))
+        return (np.frombuffer(r["fold"], np.int32), y, np.frombuffer(r["bins"], np.uint8).reshape(n_folds, -1, len(y)),
+                np.frombuffer(r["bags"], np.uint32).reshape(n_bags, len(r["bags"]) // (4 * max(n_bags, 1))), np.frombuffer(r["begin"], np.int64))
 
-    return rows.mapInArrow(_blocks(cuts, n_bags), "fold int, held_out boolean, y binary, bins binary, bags binary").rdd.map(block)
+    return _alone(rows.mapInArrow(_blocks(cuts, n_bags), "fold binary, y binary, bins binary, bags binary, begin binary").rdd.map(block))
 
 
 class _Tree:
@@ -164,64 +176,91 @@ class _Tree:
         self.feature, self.split, self.value, self.impurity = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
         self.open = [0]                     # nodes of the current level that may be split
 
-    def place(self, bins: np.ndarray) -> np.ndarray:
-        """The node every row has reached."""
-        node, at, flat = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1]), bins.reshape(-1)
-        for _ in range(int(self.feature.size).bit_length()):
-            feature = self.feature[node]
-            if not (feature >= 0).any():
-                break
-            right = flat[np.maximum(feature, 0) * len(node) + at] > self.split[node]
-            node = np.where(feature >= 0, 2 * node + 1 + right, node)
-        return node
-
-
-def _histograms(trees: Mapping, first: bool, m: int, n_bins: int, losses: bool):
+    def depth(self) -> int:
+        return int(self.feature.size).bit_length() - 1
+
+    def ends(self, depth: int) -> np.ndarray:
+        """The value of a row at every place ``codes`` gives at ``depth``: that of the leaf above, which all rows leave to the left."""
+        node = np.zeros(2 ** depth, np.int64)
+        for d in range(depth):
+            node = np.where(self.feature[node] >= 0, 2 * node + 1 + (np.arange(2 ** depth) >> (depth - 1 - d) & 1), node)
+        return self.value[node]
+
+    def codes(self, bins: np.ndarray, level: int) -> np.ndarray:
+        """The place within ``level`` of every row; below a leaf, rows go left."""
+        n = bins.shape[1]
+        code = np.zeros(n, np.uint8)
+        for d in range(min(level, MASKED)):
+            right, first = np.zeros(n, bool), 2 ** d - 1
+            for node in np.flatnonzero(self.feature[first:2 * first + 1] >= 0) + first:
+                right |= (code == node - first) & (bins[self.feature[node]] > self.split[node])
+            code = code + code + right
+        code, flat, at = code.astype(np.int64), bins.reshape(-1), np.arange(n) if level > MASKED else None
+        for d in range(MASKED, level):
+            here = slice(2 ** d - 1, 2 ** (d + 1) - 1)
+            feature = self.feature[here].take(code)
+            code += code + ((feature >= 0) & (flat.take(np.maximum(feature, 0) * n + at) > self.split[here].take(code)))
+        return code
+
+
+def _histograms(trees: Mapping, folds: Sequence[int], first: bool, m: int, level: int, n_bins: int, losses: bool):
     """Sums of one tree level: ``((setting, fold), [count, sum, squares] per feature, open node and bin)``, and with ``losses``
-    ``((setting, fold, "loss"), held-out squared error)``."""
+    ``((setting, fold, "loss"), held-out squared error)``. A block comes with its predictions ``[setting, fold, row]``."""
     def run(blocks):
         found = {}
-        for fold, held_out, y, bins, bags, pred in blocks:
-            if held_out:
+        for (fold, y, bins, bags, begin), pred in blocks:
+            draws = (bags[m // BITS] >> np.uint32(m % BITS) & np.uint32(1)).astype(bool) if len(bags) else None
+            for i, f in enumerate(folds):
+                training = fold != f
                 if losses:
-                    for g in range(len(pred)):
-                        e = np.array([np.sum((y - pred[g]) ** 2)])
-                        found[(g, fold, "loss")] = found.get((g, fold, "loss"), 0.0) + e
-                continue
-            drawn = np.flatnonzero(bags[m // BITS] >> np.uint32(m % BITS) & np.uint32(1)) if len(bags) else slice(None)
-            some, y = np.ascontiguousarray(bins[:, drawn]), y[drawn]
-            for (g, f), tree in trees.items():
-                if f != fold or not tree.open:
+                    held_out = np.flatnonzero(~training)
+                    if len(held_out):
+                        for g in range(len(pred)):
+                            found[(g, f, "loss")] = found.get((g, f, "loss"), 0.0) + np.array([np.sum((y[held_out] - pred[g, i][held_out]) ** 2)])
+                open_ = [(g, tree) for (g, f2), tree in trees.items() if f2 == f and tree.open]
+                if not open_:
                     continue
-                slots = np.full(tree.feature.size, len(tree.open), np.int64)
-                slots[tree.open] = np.arange(len(tree.open))
-                slot = slots[tree.place(some)]
-                x, target = some, y if first else 2.0 * (y - pred[g][drawn])     # the negative gradient
-                inside = slot < len(tree.open)
-                if not inside.all():
-                    x, target, slot = some[:, inside], target[inside], slot[inside]
-                squares = target * target
-                slot, size = slot * n_bins, len(tree.open) * n_bins
-                h = np.empty((3, len(x), len(tree.open), n_bins))
-                for j in range(len(x)):
-                    at = slot + x[j]
-                    h[0, j] = np.bincount(at, minlength=size).reshape(-1, n_bins)
-                    h[1, j] = np.bincount(at, weights=target, minlength=size).reshape(-1, n_bins)
-                    h[2, j] = np.bincount(at, weights=squares, minlength=size).reshape(-1, n_bins)
-                found[(g, f)] = found[(g, f)] + h if (g, f) in found else h
+                drawn = np.flatnonzero(training)
+                if draws is not None:
+                    drawn = drawn.compress(draws[begin[i]:begin[i] + len(drawn)])
+                some, y_d = bins[i].take(drawn, axis=1), y[drawn]
+                for g, tree in open_:
+                    slots = np.full(2 ** level, len(tree.open), np.int64)
+                    slots[np.asarray(tree.open) + 1 - 2 ** level] = np.arange(len(tree.open))
+                    slot = slots.take(tree.codes(some, level))
+                    x, target = some, y_d if first else 2.0 * (y_d - pred[g, i].take(drawn))     # the negative gradient
+                    inside = np.flatnonzero(slot < len(tree.open)) if len(tree.open) < 2 ** level else drawn
+                    if len(inside) < len(slot):
+                        x, target, slot = some.take(inside, axis=1), target[inside], slot[inside]
+                    slot, size = slot * n_bins, len(tree.open) * n_bins
+                    both, totals = np.empty(len(target), complex), np.zeros((len(x), size), complex)
+                    both.real, both.imag = target, target * target          # sum and squares are added up in one go
+                    h = np.empty((3, len(x), len(tree.open), n_bins))
+                    for j in range(len(x)):
+                        at = slot + x[j]
+                        h[0, j] = np.bincount(at, minlength=size).reshape(-1, n_bins)
+                        np.add.at(totals[j], at, both)
+                    h[1], h[2] = totals.real.reshape(h[1].shape), totals.imag.reshape(h[2].shape)
+                    if (g, f) in found:
+                        found[(g, f)] += h
+                    else:
+                        found[(g, f)] = h
         return iter(found.items())
 
     return run
 
 
-def _updated(trees: Mapping, weights: Mapping):
-    def run(block):
-        fold, held_out, y, bins, bags, pred = block
+def _updated(trees: Mapping, folds: Sequence[int], weights: Mapping):
+    """The predictions of a block with the trees of an iteration."""
+    ends = {key: tree.ends(tree.depth()) for key, tree in trees.items()}
+
+    def run(item):
+        (_, _, bins, _, _), pred = item
         pred = pred.copy()
         for (g, f), tree in trees.items():
-            if f == fold:
-                pred[g] += weights[g] * tree.value[tree.place(bins)]
-        return fold, held_out, y, bins, bags, pred
+            i = folds.index(f)
+            pred[g, i] += weights[g] * ends[(g, f)].take(tree.codes(bins[i], tree.depth()))
+        return pred
     return run
 
 
@@ -266,45 +305,60 @@ def paths(data: DataFrame, fold_col: str, label: str, sizes: Mapping, estimators
     est = estimators[0]
     max_bins, rate, seed = est.getMaxBins(), est.getSubsamplingRate(), est.getSeed()
     cuts = _candidates(data, fold_col, sizes, max_bins, seed)
+    blocks = _training(data, fold_col, label, cuts, iterations, rate, seed).persist(StorageLevel.DISK_ONLY)
+    together = max(1, PREDICTED // (8 * len(sizes) * max(1, sum(sizes.values()))))
+    out = {}
+    try:
+        for g in range(0, len(estimators), together):
+            found = _paths(blocks, cuts, sizes, estimators[g:g + together], iterations)
+            out |= {(g + i, f): losses for (i, f), losses in found.items()}
+    finally:
+        blocks.unpersist()
+    return out
+
+
+def _paths(blocks, cuts: Mapping, sizes: Mapping, estimators: Sequence[GBTRegressor], iterations: int) -> dict:
+    """The paths of settings that grow side by side."""
+    folds, n_settings, sc = sorted(cuts), len(estimators), blocks.context
     n_bins = 1 + max(1, *(len(c) for fold_cuts in cuts.values() for c in fold_cuts))
-    sc = data.sparkSession.sparkContext
     depth = [e.getMaxDepth() for e in estimators]
-    blocks = _training(data, fold_col, label, cuts, len(estimators), iterations, rate, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    out = {(g, f): [] for g in range(len(estimators)) for f in sizes}
-
-    n_tasks, cell = blocks.getNumPartitions(), 24 * n_bins * len(next(iter(cuts.values())))
+    n_tasks, cell = blocks.getNumPartitions(), 24 * n_bins * len(cuts[folds[0]])
+    out = {(g, f): [] for g in range(n_settings) for f in sizes}
+    rows = blocks.map(lambda b: (b, np.zeros((n_settings, len(folds), len(b[1])))))      # with their predictions
+    held = last = None
 
-    def sums(trees, first, m, losses):
+    def sums(trees, first, m, level, losses):
         sent = n_tasks * cell * sum(len(t.open) for t in trees.values())
         reducers = max(1, min(sc.defaultParallelism, sent // REDUCE_BYTES))
-        return dict(blocks.mapPartitions(_histograms(trees, first, m, n_bins, losses))
+        return dict(rows.mapPartitions(_histograms(trees, folds, first, m, level, n_bins, losses))
                     .reduceByKey(lambda a, b: a + b, reducers).collect())
 
     def keep_losses(got):
         for g, f in out:
             out[(g, f)].append(float(got[(g, f, "loss")][0]) / sizes[f])
 
-    last = None
     try:
         for m in range(iterations):
-            trees = {(g, f): _Tree(depth[g]) for g, f in out}
+            trees, level = {(g, f): _Tree(depth[g]) for g, f in out}, 0
             while any(t.open for t in trees.values()):
-                top = all(t.feature[0] < 0 for t in trees.values())
-                got = sums(trees, m == 0, m, top and m > 0)
-                if top and m > 0:
+                got = sums(trees, m == 0, m, level, level == 0 and m > 0)
+                if level == 0 and m > 0:
                     keep_losses(got)
-                    last.unpersist()
+                    if last is not None:
+                        last.unpersist()
                 for (g, f), t in trees.items():
                     if t.open and (g, f) in got:
                         _split(t, got[(g, f)], cuts[f], depth[g], estimators[g].getMinInstancesPerNode(),
                                estimators[g].getMinInfoGain())
                     else:
                         t.open = []
+                level += 1
             weights = {g: 1.0 if m == 0 else e.getStepSize() for g, e in enumerate(estimators)}
-            last, blocks = blocks, blocks.map(_updated(trees, weights)).persist(StorageLevel.MEMORY_AND_DISK)
-        keep_losses(sums({}, False, iterations - 1, True))
+            last, held = held, _alone(rows.map(_updated(trees, folds, weights))).persist(StorageLevel.DISK_ONLY)
+            rows = blocks.zip(held)
+        keep_losses(sums({}, False, iterations - 1, 0, True))
     finally:
-        blocks.unpersist()
-        if last is not None:
-            last.unpersist()
+        for predictions in (last, held):
+            if predictions is not None:
+                predictions.unpersist()
     return out

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
-from tabreg.operators import foresthist, impute, matrix, models, tune
+from tabreg.operators import boosthist, foresthist, impute, matrix, models, tune
 
 
 @pytest.fixture(scope="module")
@@ -403,6 +403,38 @@ def test_boosting_paths_serve_all_settings_and_folds_by_the_same_jobs(steps, mon
         assert [got[(d, f, m + 1)] ** 2 for m in range(4)] == pytest.approx(losses, rel=1e-9)
 
 
+@pytest.mark.parametrize("subsample", [0.5, 1.0])
+def test_boosting_paths_hold_a_row_once_and_on_disk_only(steps, monkeypatch, tmp_path, subsample):
+    """Blocks serve all folds; neither they nor the predictions stay in memory, and settings whose predictions are too
+    many grow one after the other: the losses are still MLlib's."""
+    from pyspark import RDD
+
+    steps.where("key < 900").write.parquet(str(tmp_path / "rows"))
+    rows = steps.sparkSession.read.parquet(str(tmp_path / "rows"))
+    make = lambda s: models.boosted(ABC, "y", depth=int(s["depth"]), shrinkage=0.3, min_node=2, subsample=subsample)
+    vec = models.assemble(rows, ABC)
+    own = {(d, f): make({"depth": d}).setMaxIter(3).fit(vec.where(F.col("fold") != f))
+           .evaluateEachIteration(vec.where(F.col("fold") == f), "squared") for d in (1, 6) for f in (1, 2, 3)}
+    levels, held, persist, grown, paths = [], [], RDD.persist, [], boosthist._paths
+    monkeypatch.setattr(RDD, "persist", lambda self, level: levels.append(level) or held.append(persist(self, level)) or held[-1])
+    monkeypatch.setattr(boosthist, "_paths", lambda blocks, *a: grown.append(sum(len(b[1]) for b in blocks.collect())) or paths(blocks, *a))
+    monkeypatch.setattr(boosthist, "BLOCK", 64)
+    monkeypatch.setattr(boosthist, "PREDICTED", 1)
+    monkeypatch.setattr(tune, "cut_lineage", lambda df: df)               # the draws depend on how the rows lie
+    arrow, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", steps.sparkSession.conf
+    before = conf.get(arrow)
+    conf.set(arrow, "50")                                                 # batches and blocks do not end together
+    try:
+        res = tune.boosting_paths(rows, ABC, "y", "fold", make, [{"depth": 1}, {"depth": 6}], [1, 2, 3])
+    finally:
+        conf.set(arrow, before)
+    got = {(int(r["depth"]), r["fold"], int(r["n_trees"])): r["rmse"] for r in res.fold_metrics.collect()}
+    assert grown == [900, 900] and levels and not any(level.useMemory for level in levels)
+    assert not any(rdd.is_cached for rdd in held)                         # given back
+    for (d, f), losses in own.items():
+        assert [got[(d, f, m + 1)] ** 2 for m in range(3)] == pytest.approx(losses, rel=1e-9)
+
+
 def test_a_boosted_label_that_is_not_finite_is_an_error(steps):
     bad = steps.withColumn("y", F.when(F.col("key") == 7, float("nan")).otherwise(F.col("y")))
     with pytest.raises(Exception, match="NaN"):

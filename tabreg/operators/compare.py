@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tabreg.operators import evaluate as EV
 from tabreg.operators import models, tune
 from tabreg.operators.foldrecipe import WHOLE, FoldRecipe, FoldStatistics
+from tabreg.operators.foresthist import Shared
 
 
 @dataclass
@@ -50,10 +51,12 @@ def linear(name: str, train: DataFrame, features: Sequence[str], label: str, fol
 
 
 def trees(name: str, train: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],
-          grid: Sequence[Mapping], n_trees: Sequence[int], boosted: bool = False, parallelism: int = 4) -> Candidate:
-    """Bagged trees, random forests or (``boosted``) boosting, tree counts from shared fits."""
-    run = tune.boosting_paths if boosted else tune.tune_forest
-    res = run(train, features, label, fold_col, make, grid, n_trees, name, parallelism)
+          grid: Sequence[Mapping], n_trees: Sequence[int], boosted: bool = False, parallelism: int = 4,
+          shared: Shared | None = None) -> Candidate:
+    """Bagged trees, random forests or (``boosted``) boosting, tree counts from shared fits; forests of one
+    comparison may pass one ``shared``, so that rows and bags are made once."""
+    at = (train, features, label, fold_col, make, grid, n_trees, name, parallelism)
+    res = tune.boosting_paths(*at) if boosted else tune.tune_forest(*at, shared=shared)
     est = make(res.best)
     est = est.setMaxIter(res.best["n_trees"]) if boosted else est.setNumTrees(res.best["n_trees"])
     model = est.fit(models.assemble(train.where(F.col(label).isNotNull()), features))

@@ -417,20 +417,39 @@ def _score(m: np.ndarray) -> tuple:
 
 # -- all together --------------------------------------------------------------------------
 
+class Shared:
+    """The assembled rows and the blocks with their bags, for several tunings of one table, until ``release``. Other
+    work runs beside them, so they lie on disk only."""
+
+    def __init__(self):
+        self.source = self.data = self.sizes = None
+        self.blocks: dict = {}                       # (seed, rate, bins, trees) -> (split candidates, blocks)
+
+    def release(self) -> None:
+        for _, blocks in self.blocks.values():
+            blocks.unpersist()
+        self.blocks = {}
+
+
 def scores(data: DataFrame, fold_col: str, label: str, sizes: Mapping, estimators: Sequence[RandomForestRegressor],
-           counts: Sequence[int]) -> dict:
+           counts: Sequence[int], shared: Shared | None = None) -> dict:
     """``{(setting, fold): {tree count: (rmse, rsquared, mae)}}`` on the held-out rows. ``data`` has a ``features`` vector,
-    ``sizes`` is the number of rows of every fold; the estimators share seed, subsampling rate, bins and number of trees."""
+    ``sizes`` is the number of rows of every fold; the estimators share seed, subsampling rate, bins and number of trees.
+    The blocks stay in ``shared`` for the next call with the same bags."""
     est, spark = estimators[0], data.sparkSession
     n_trees, seed, folds = est.getNumTrees(), est.getSeed(), sorted(sizes)
-    cuts = _candidates(data, fold_col, sizes, est.getMaxBins(), seed)
+    held, bags = shared or Shared(), (seed, est.getSubsamplingRate(), est.getMaxBins(), n_trees)
+    if bags not in held.blocks:
+        cuts = _candidates(data, fold_col, sizes, est.getMaxBins(), seed)
+        level = StorageLevel.DISK_ONLY if shared else StorageLevel.MEMORY_AND_DISK
+        held.blocks[bags] = cuts, _rows(data, fold_col, label, cuts, n_trees, est.getSubsamplingRate(), seed).persist(level)
+    cuts, blocks = held.blocks[bags]
     n_features = len(cuts[folds[0]])
     n_bins = 1 + max(1, *(len(c) for fold_cuts in cuts.values() for c in fold_cuts))
     depths = [e.getMaxDepth() for e in estimators]
     limits = [(e.getMinInstancesPerNode(), e.getMinInfoGain()) for e in estimators]
     tried = [n_features if e.getFeatureSubsetStrategy() == "all" else min(int(e.getFeatureSubsetStrategy()), n_features) for e in estimators]
     subsets = _Subsets(spark, seed, n_features)
-    blocks = _rows(data, fold_col, label, cuts, n_trees, est.getSubsamplingRate(), seed).persist(StorageLevel.MEMORY_AND_DISK)
     n_tasks, cores = blocks.getNumPartitions(), spark.sparkContext.defaultParallelism
     every = [(g, i) for g in range(len(estimators)) for i in range(len(folds))]
     trees = {(g, i, t): _Tree(depths[g]) for g, i in every for t in range(n_trees)}
@@ -513,6 +532,7 @@ def scores(data: DataFrame, fold_col: str, label: str, sizes: Mapping, estimator
         moments = dict(blocks.mapPartitions(_moments(shapes, folds, list(counts), max(depths), len(estimators)))
                        .reduceByKey(_merged, max(1, min(cores, len(folds)))).collect())
     finally:
-        blocks.unpersist()
+        if shared is None:
+            held.release()
     return {(g, f): {m: _score(moments[i][g, k]) for k, m in enumerate(counts)}
             for g in range(len(estimators)) for i, f in enumerate(folds)}

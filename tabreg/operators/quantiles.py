@@ -44,22 +44,32 @@ def _sketch(vals: DataFrame, by: list[str], inner: list[float]) -> DataFrame:
     lo = [F.when(few | (F.floor(h(x)) <= 1), F.col("_min")).otherwise(F.col("_q")[2 * i]) for i, x in enumerate(inner)]
     hi = [F.when(few | (F.ceil(h(x)) >= F.col("_n")), F.col("_max")).otherwise(F.col("_q")[2 * i + 1])
           for i, x in enumerate(inner)]
-    return out.withColumns({"_lo": F.array(*lo), "_hi": F.array(*hi)}).drop("_q")
+    return out.withColumns({"_lo": F.sort_array(F.array(*lo)), "_hi": F.sort_array(F.array(*hi))}).drop("_q")
 
 
 def _bracket_counts(vals: DataFrame, groups: DataFrame, by: list[str], inner: list[float]) -> DataFrame:
     """``(group..., _i, _v, _c)``: per position the rows of every value in its bracket, and one row
-    with a NULL value for the rows below."""
+    with a NULL value for the rows below. ``_lo`` and ``_hi`` ascend with the position."""
     brackets = groups.select(*by, "_lo", "_hi")
     if by:
         near = null_safe(vals, small_side(brackets), by)
     else:                                                       # one row: a scalar, not a join
         near = vals.withColumn("_b", brackets.select(F.struct("_lo", "_hi")).scalar()).select("_v", "_b.*")
-    v = F.col("_v")
-    hits = F.array(*[F.when(v <= F.col("_hi")[i], F.struct(F.lit(i).alias("_i"), F.when(v >= F.col("_lo")[i], v).alias("_v")))
-                     for i in range(len(inner))])
-    hit = near.select(*by, F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_h"))
-    return hit.select(*by, "_h.*").groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # the brackets of the positions are in order: those that begin at or below a value come first, and of them those that
+    # end before it, so two numbers a value say which hold it and which lie above; rows in no bracket meet in few groups
+    v, k, none = F.col("_v"), len(inner), F.lit(None).cast("double")
+    begun = sum((F.col("_lo")[i] <= v).cast("int") for i in range(k))
+    over = sum((F.col("_hi")[i] < v).cast("int") for i in range(k))
+    placed = near.select(*by, "_v", begun.alias("_begun"), over.alias("_over"))
+    held = F.col("_over") < F.col("_begun")
+    cells = placed.select(*by, "_begun", F.when(held, F.col("_over")).alias("_over"), F.when(held, v).alias("_v")).groupBy(
+        *by, "_begun", "_over", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    at = lambda first, last, value: F.transform(F.sequence(first, last), lambda i: F.struct(i.alias("_i"), value.alias("_v")))
+    empty = F.array().cast("array<struct<_i:int,_v:double>>")
+    hits = F.concat(F.when(F.col("_over").isNotNull(), at(F.col("_over"), F.col("_begun") - 1, v)).otherwise(empty),
+                    F.when(F.col("_begun") < k, at(F.col("_begun"), F.lit(k - 1), none)).otherwise(empty))
+    hit = cells.select(*by, "_c", F.explode(hits).alias("_h"))
+    return hit.select(*by, "_h.*", "_c").groupBy(*by, "_i", "_v").agg(F.sum("_c").alias("_c"))
 
 
 def _narrowed(counts: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:

@@ -210,12 +210,20 @@ def nested_forest_metrics(model, held_out: DataFrame, label: str, counts: Sequen
 
 
 def tune_forest(df: DataFrame, features: Sequence[str], label: str, fold_col: str, make: Callable[[Mapping], object],
-                grid: Sequence[Mapping], n_trees: Sequence[int], model_name: str = "forest", parallelism: int = 4) -> TuneResult:
+                grid: Sequence[Mapping], n_trees: Sequence[int], model_name: str = "forest", parallelism: int = 4,
+                shared: "foresthist.Shared | None" = None) -> TuneResult:
     """ML7/ML8 with X3: one forest of ``max(n_trees)`` per (setting, fold) gives the metrics of all
     tree counts. ``make(setting)`` returns the estimator; its tree count is set here. Plain forests grow
-    side by side (``foresthist``), other estimators are fitted one by one. Only metrics are kept."""
-    data = _assembled(df, features, label, [fold_col])
-    sizes = dict(sorted((r[0], r[1]) for r in data.groupBy(fold_col).agg(F.count(F.lit(1))).collect()))   # k values
+    side by side (``foresthist``), other estimators are fitted one by one. Only metrics are kept. Tunings of one
+    table with the same features, label and folds may pass one ``shared``: it keeps the assembled rows and the bags
+    until its ``release``."""
+    rows, of = shared or foresthist.Shared(), (df, list(features), label, fold_col)
+    if rows.source is None:
+        rows.source, rows.data = of, _assembled(df, features, label, [fold_col])
+        rows.sizes = dict(sorted((r[0], r[1]) for r in rows.data.groupBy(fold_col).agg(F.count(F.lit(1))).collect()))   # k values
+    elif rows.source[0] is not df or rows.source[1:] != of[1:]:
+        raise ValueError("the shared rows are those of another table, other features, another label or other folds")
+    data, sizes = rows.data, rows.sizes
     counts = sorted({int(m) for m in n_trees})
     full = [{**g, "n_trees": m} for g in grid for m in counts]
     estimators = [make(g).setNumTrees(counts[-1]) for g in grid]
@@ -227,14 +235,14 @@ def tune_forest(df: DataFrame, features: Sequence[str], label: str, fold_col: st
 
     groups, found = {}, {}
     for gi, e in enumerate(estimators):
-        shared = foresthist.supports(e, len(features)) and counts[0] > 0 and len(sizes) > 1
-        groups.setdefault((e.getSeed(), e.getSubsamplingRate(), e.getMaxBins()) if shared else None, []).append(gi)
-    for shared, members in groups.items():
-        if shared is None:
+        plain = foresthist.supports(e, len(features)) and counts[0] > 0 and len(sizes) > 1
+        groups.setdefault((e.getSeed(), e.getSubsamplingRate(), e.getMaxBins()) if plain else None, []).append(gi)
+    for alike, members in groups.items():
+        if alike is None:
             jobs = [(gi, f) for gi in members for f in sizes]
             found |= dict(zip(jobs, _run_fits(run, jobs, parallelism)))
         else:
-            own = foresthist.scores(data, fold_col, label, sizes, [estimators[gi] for gi in members], counts)
+            own = foresthist.scores(data, fold_col, label, sizes, [estimators[gi] for gi in members], counts, shared)
             found |= {(members[i], f): m for (i, f), m in own.items()}
     scores = {(gi * len(counts) + j, f): got[m] for (gi, f), got in found.items() for j, m in enumerate(counts)}
     fm, gm, best = _grid_tables(df.sparkSession, model_name, full, scores)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabreg.functions import linalg
 from tabreg.operators import evaluate as EV
-from tabreg.operators import compare, features, foldrecipe, impute, matrix, models, split, tune
+from tabreg.operators import compare, features, foldrecipe, foresthist, impute, matrix, models, split, tune
 from tabreg.operators.score import refit_and_score
 from tabreg.plans.common import r6
 from tabreg.plans.registry import register
@@ -623,14 +623,20 @@ def model_compare(spark, sf_dir):
     forest_of = lambda mtry, node: (lambda s: models.forest(FEATURES_TREE, LABEL, mtry=mtry, min_node=node, max_depth=6))
     lm = compare.linear("lm", *at, [{"lam": 0.0}], "ols", _OLS_RECIPE)
     ridge = compare.linear("ridge", *at, [{"lam": x} for x in LAMBDAS["ridge"]], "ridge", _PEN_RECIPE)
+    shared = foresthist.Shared()                       # bag and forest draw the same bags
+    try:
+        bag = compare.trees("bag", *few, forest_of("all", 5), [{}], [5, 10], parallelism=8, shared=shared)
+        forest = compare.trees("forest", *few, forest_of(4, 4), [{}], [5, 10], parallelism=8, shared=shared)
+    finally:
+        shared.release()
     found = [
         lm,
         compare.linear("step", *at, [{"lam": 0.0}], "step", _OLS_RECIPE, lm.statistics),
         ridge,
         compare.linear("lasso", *at, [{"lam": x, "alpha": 1.0} for x in LAMBDAS["lasso"]], "enet", _PEN_RECIPE, ridge.statistics),
         compare.linear("elnet", *at, _enet_grid(), "enet", _PEN_RECIPE, ridge.statistics),
-        compare.trees("bag", *few, forest_of("all", 5), [{}], [5, 10], parallelism=8),
-        compare.trees("forest", *few, forest_of(4, 4), [{}], [5, 10], parallelism=8),
+        bag,
+        forest,
         compare.trees("gbm", *few, lambda s: models.boosted(FEATURES_TREE, LABEL, depth=3, shrinkage=0.3, min_node=3), [{}],
                       [5, 10], boosted=True, parallelism=8),
         compare.hinges("mars", train, FEATURES_TREE, LABEL, "fold", NPRUNE)]

@@ -319,6 +319,27 @@ def test_forests_of_all_settings_and_folds_grow_by_the_same_jobs(steps, monkeypa
         assert got[(2 * i, f)] == pytest.approx(metrics[1], rel=1e-9) and got[(2 * i + 1, f)] == pytest.approx(metrics[9], rel=1e-9)
 
 
+def test_forests_of_a_comparison_share_rows_and_bags(steps, monkeypatch, tmp_path):
+    steps.write.parquet(str(tmp_path / "rows"))
+    steps, made, rows, written = steps.sparkSession.read.parquet(str(tmp_path / "rows")), [], foresthist._rows, []
+    monkeypatch.setattr(foresthist, "_rows", lambda *a: made.append(1) or rows(*a))
+    monkeypatch.setattr(tune, "cut_lineage", lambda df: written.append(1) or df)      # the bags depend on how the rows lie
+    of = lambda mtry, node: (lambda s: models.forest(ABC, "y", mtry=mtry, min_node=node, max_depth=3))
+    settings = [of("all", 5), of(2, 4)]
+    alone = [tune.tune_forest(steps, ABC, "y", "fold", m, [{}], [2, 4]).fold_metrics.collect() for m in settings]
+    assert (len(made), len(written)) == (2, 2)
+    shared = foresthist.Shared()
+    both = [tune.tune_forest(steps, ABC, "y", "fold", m, [{}], [2, 4], shared=shared).fold_metrics.collect() for m in settings]
+    assert (len(made), len(written)) == (3, 3)
+    for a, b in zip(alone, both):
+        assert [r["rmse"] for r in b] == pytest.approx([r["rmse"] for r in a], rel=1e-9)
+    with pytest.raises(ValueError, match="other features"):
+        tune.tune_forest(steps, ABC[:2], "y", "fold", settings[0], [{}], [2], shared=shared)
+    (_, blocks), = shared.blocks.values()
+    shared.release()
+    assert not blocks.is_cached and not shared.blocks
+
+
 @pytest.mark.parametrize("seed,mean", [(2, 1.0), (2 ** 40 + 5, 0.5)])
 def test_bootstrap_counts_are_those_of_mllibs_generator(spark, seed, mean):
     own = spark._jvm.org.apache.commons.math3.distribution.PoissonDistribution(mean)

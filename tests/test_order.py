@@ -164,6 +164,28 @@ def test_quantiles_count_again_where_a_bracket_is_wrong(spark, monkeypatch):
     assert got == {0: 3000.0, 1: 2999.5, 2: 3000.5}
 
 
+def test_bracket_counts_spread_out_counted_values_not_rows(spark):
+    """Rows below a bracket, inside and above; a value is spread over the positions after it was counted."""
+    nan = float("nan")
+    rows = [("a", float(i % 40)) for i in range(400)] + [(None, float(i % 7)) for i in range(70)] + [("a", nan)] * 3
+    vals = spark.createDataFrame(rows, "g string, _v double").repartition(3)
+    groups = spark.createDataFrame([("a", [0.0, 10.0, 11.0, 39.0], [0.0, 12.0, 14.0, nan]), (None, [2.0, 2.0, 6.0, 6.0], [2.0, 3.0, 6.0, 6.0])],
+                                   "g string, _lo array<double>, _hi array<double>")
+    counts = quantiles._bracket_counts(vals, groups, ["g"], [0.1, 0.2, 0.5, 0.9])
+    got = {(r["g"], r["_i"], repr(r["_v"])): r["_c"] for r in counts.collect()}
+    want: dict = {}
+    top = lambda x: np.inf if np.isnan(x) else x
+    for g, lo, hi in groups.collect():
+        for _, v in (r for r in rows if r[0] == g):
+            for i in range(4):
+                if top(v) <= top(hi[i]):
+                    key = (g, i, repr(v if top(v) >= lo[i] else None))
+                    want[key] = want.get(key, 0) + 1
+    assert got == want
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.split("Generate", 1)[1]
+
+
 def test_quantile_plan_has_no_range_sort(spark):
     df = spark.range(10000).selectExpr("id % 3 g", "cast(id * 7919 % 10007 as double) v")
     plan = exact_quantiles(df, "v", [0.25, 0.5], ["g"])._jdf.queryExecution().toString()

@@ -10,7 +10,7 @@ its own for every level of each of its trees.
   driver sees sums, never rows.
 * Beside every block lies one of predictions, one for each setting, fold and row. Only these are written anew, once per
   tree; they hold the held-out rows too, so every iteration's loss comes with the next tree.
-* Both lie on the executors' disks and pass through memory a block at a time: nothing in memory grows with the rows.
+* Both lie on the executors' disks and pass through memory a block at a time.
   Settings whose predictions would exceed ``PREDICTED`` bytes together grow one after the other.
 
 The draws are those of MLlib (``rand`` over the training rows in their stored order), and so are the split
@@ -31,7 +31,7 @@ from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 14            # rows of a block; Spark's stream of a partition holds up to 100 blocks at a time
+BLOCK = 1 << 14            # rows of a block
 PREDICTED = 4 << 30        # bytes of predictions that are held at once
 SAMPLE = 10_000            # rows that give the split candidates, as in MLlib
 REDUCE_BYTES = 8 << 20     # histograms a reducer adds up, where cores are left
